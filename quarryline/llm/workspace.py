@@ -1,0 +1,52 @@
+"""Shared scratch tables for multi-step jobs.
+
+Intermediate results go to Parquet under ``spark.checkpoint.dir``, the one
+folder that the driver and every executor share.  A table there cuts lineage,
+survives the loss of executors, and gives the next step real statistics.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``.  Where it is unset, a local
+    session takes a temporary folder and a cluster its warehouse."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local":
+        root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    else:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    spark.conf.set("spark.checkpoint.dir", root)
+    return root
+
+
+class Workspace:
+    """Writes and rereads the scratch tables of one job."""
+
+    def __init__(self, spark: SparkSession, job: str):
+        self.spark = spark
+        self.path = f"{shared_root(spark)}/quarryline/{job}-{uuid.uuid4().hex}"
+        self._paths: dict[int, str] = {}
+
+    def keep(self, df: DataFrame, name: str, **options: str) -> DataFrame:
+        """Write ``df`` and return it as read back."""
+        path = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
+        df.write.options(**{"compression": "zstd", **options}).parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        self._paths[id(back)] = path
+        return back
+
+    def drop(self, df: DataFrame) -> None:
+        """Delete a table that ``keep`` returned and nothing reads any more."""
+        path = self._paths.pop(id(df), None)
+        if path:
+            jvm = self.spark._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
