@@ -22,7 +22,28 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of at most 2048 tokens."""
+    from quarryline.llm.packing import pack_documents
+    from quarryline.llm.tokens import tokenizer_path
+
+    return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end=1, max_tokens=2048)
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, written and read back."""
+    from quarryline.llm import tokens
+    from quarryline.llm.workspace import Workspace
+
+    path = Workspace(spark, "tokens").path
+    tokens.write_token_files(_table(spark, sf_dir, "documents"), path, tokens.tokenizer_path("byte_bpe_50k.json"), end=2)
+    files = tokens.with_global_start(tokens.read_token_files(spark, path))
+    return tokens.with_crc(files.select("doc_id", "start", F.col("n_tokens").cast("long").alias("n_tokens"), "ids"))
+
+
 QUERIES = {
+    "op2_packing": op2_packing,
+    "op5_token_files": op5_token_files,
     "op1_simhash": op1_simhash,
 }
 
