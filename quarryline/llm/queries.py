@@ -41,9 +41,37 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.with_crc(files.select("doc_id", "start", F.col("n_tokens").cast("long").alias("n_tokens"), "ids"))
 
 
+def _remainder(n: int):
+    """crc32 of the id as text, modulo ``n``; a null id counts as ''."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(n))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents; folds 0 and 2 of 3 are for learning."""
+    from quarryline.llm import quality
+
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.train(docs, _table(spark, sf_dir, "labels").where(_remainder(3) != 1))
+    return quality.score(docs, model).select(
+        F.col("id").alias("doc_id"), "score"
+    ).select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents; folds 1 to 4 of 5 are for learning."""
+    from quarryline.llm import langid
+
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(_remainder(5) != 0))
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 QUERIES = {
     "op2_packing": op2_packing,
     "op5_token_files": op5_token_files,
+    "op7_quality": op7_quality,
+    "op10_language": op10_language,
     "op1_simhash": op1_simhash,
 }
 
