@@ -57,6 +57,14 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    from quarryline.llm.ann import nearest
+
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 50 = 0"), neighbours=5)
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents; folds 1 to 4 of 5 are for learning."""
     from quarryline.llm import langid
@@ -71,6 +79,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op5_token_files": op5_token_files,
     "op7_quality": op7_quality,
+    "op8_neighbours": op8_neighbours,
     "op10_language": op10_language,
     "op1_simhash": op1_simhash,
 }
