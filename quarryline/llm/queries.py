@@ -30,6 +30,14 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end=1, max_tokens=2048)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item within a fifth of its words in edits."""
+    from quarryline.llm.decontaminate import contaminated
+
+    found = contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, written and read back."""
     from quarryline.llm import tokens
@@ -77,6 +85,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op4_decontamination": op4_decontamination,
     "op5_token_files": op5_token_files,
     "op7_quality": op7_quality,
     "op8_neighbours": op8_neighbours,
