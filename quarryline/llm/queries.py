@@ -30,6 +30,21 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end=1, max_tokens=2048)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data, and of terms that disclose it."""
+    from quarryline.llm import pii
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_pii(docs, pii.disclosing_terms(docs))
+    return found.select(
+        "doc_id",
+        *[F.size(k).cast("long").alias(f"n_{k}") for k in pii.KINDS[:4]],
+        F.sha2(pii.listed(pii.KINDS[:4]), 256).alias("base_sha256"),
+        pii.listed().alias("spans"),
+        F.size("term").cast("long").alias("n_term"),
+    )
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item within a fifth of its words in edits."""
     from quarryline.llm.decontaminate import contaminated
@@ -85,6 +100,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op3_pii": op3_pii,
     "op4_decontamination": op4_decontamination,
     "op5_token_files": op5_token_files,
     "op7_quality": op7_quality,
