@@ -69,6 +69,17 @@ def _remainder(n: int):
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
+def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-bilinear scores of all documents; fold 1 of 5 is held out."""
+    from quarryline.llm import lm
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = lm.score(docs, docs.where(_remainder(5) != 1))
+    return found.withColumnRenamed("id", "doc_id").withColumn("held_out", _remainder(5) == 1).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents; folds 0 and 2 of 3 are for learning."""
     from quarryline.llm import quality
@@ -103,6 +114,7 @@ QUERIES = {
     "op3_pii": op3_pii,
     "op4_decontamination": op4_decontamination,
     "op5_token_files": op5_token_files,
+    "op6_lm": op6_lm,
     "op7_quality": op7_quality,
     "op8_neighbours": op8_neighbours,
     "op10_language": op10_language,
