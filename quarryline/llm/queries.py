@@ -99,6 +99,13 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.where("vec_id % 50 = 0"), neighbours=5)
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of all documents without repeated strings of 200 bytes."""
+    from quarryline.llm.substrings import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents"), length=200).withColumnRenamed("id", "doc_id")
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents; folds 1 to 4 of 5 are for learning."""
     from quarryline.llm import langid
@@ -117,6 +124,7 @@ QUERIES = {
     "op6_lm": op6_lm,
     "op7_quality": op7_quality,
     "op8_neighbours": op8_neighbours,
+    "op9_repeats": op9_repeats,
     "op10_language": op10_language,
     "op1_simhash": op1_simhash,
 }
