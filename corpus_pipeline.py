@@ -1,6 +1,64 @@
-STAGES = []
+"""From raw documents to packed training sequences, in five stages.
+
+Each stage is ``(name, function)``; a function takes ``(spark, docs, sf_dir)``
+and returns the documents that it keeps, with the columns of ``documents`` (the
+last returns the packed pieces).  A stage's result is written as Parquet and
+read again as the next one's input, so a lost executor costs one stage at most.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarryline.llm import decontaminate, langid, packing, pii, simhash, tokens
+from quarryline.llm.workspace import Workspace
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents in no language: null, empty or without any letter.  A null
+    ``lang`` becomes the predicted one."""
+    found = langid.predict(docs, langid.train(docs))
+    kept = found.where("lang_pred <> 'und'").withColumn("lang", F.coalesce("lang", "lang_pred"))
+    return kept.select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document, that of the smallest id, of each SimHash group."""
+    return simhash.without_near_duplicates(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark item."""
+    return decontaminate.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data in the texts; ``n_chars`` follows."""
+    return pii.sanitise(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of at most 2048 tokens."""
+    return packing.pack_documents(docs, tokens.tokenizer_path("byte_bpe_50k.json"), end=1, max_tokens=2048)
+
+
+STAGES = [
+    ("language", identify_language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontaminated),
+    ("personal_data", personal_data),
+    ("packing", packed),
+]
+
+#: SQL can express neither the classifiers nor the tokenizer.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces of ``documents`` after all stages."""
+    work = Workspace(spark, "pipeline")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = work.keep(stage(spark, docs, sf_dir), name)
+    return docs

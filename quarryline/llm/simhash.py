@@ -125,3 +125,20 @@ def simhash_components(
     named = rooted.groupBy("root").agg(F.min("least").alias("component"))
     names = work.keep(rooted.join(named, "root").select("fp", "component"), "names")
     return prints.join(names, "fp").select("id", "fp", "component")
+
+
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, radius: int = 2, seed: int = 42) -> DataFrame:
+    """``docs`` with one row, that of the smallest id, of each near-duplicate group.
+
+    Rows are told apart by their id and a hash of all their columns; of rows that
+    are equal in everything, one stays.  Null texts are empty ones, and all
+    empty texts are one group.
+    """
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(*docs.columns).alias("row"))
+    keyed = docs.withColumn("_key", key)
+    groups = simhash_components(keyed, "_key", text_col, words, radius, seed)
+    rows = groups.where("id <=> component").groupBy("id").agg(F.count("*").alias("n"))
+    kept = Workspace(docs.sparkSession, "simhash").keep(rows.select(F.col("id").alias("_key"), "n"), "kept")
+    single = keyed.join(kept.where("n = 1"), "_key", "left_semi").drop("_key")
+    equal = keyed.join(kept.where("n > 1"), "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    return single.union(equal)
