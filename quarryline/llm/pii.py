@@ -95,7 +95,8 @@ def base_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _contexts(spotted: DataFrame, window: int) -> DataFrame:
-    """One row for each distinct context of an entity: ``entity, context, terms``."""
+    """One row for each distinct context of an entity: ``entity, context, terms``
+    and ``doc``, the hash of a text that holds it."""
     def named(kind: str) -> Column:
         plain = F.lower if kind in ("email", "ip") else _digits
         return F.transform(
@@ -103,14 +104,14 @@ def _contexts(spotted: DataFrame, window: int) -> DataFrame:
             lambda s: F.struct(F.concat(F.lit(f"{kind}:"), plain(s["value"])).alias("entity"), s["start"].alias("start"), s["end"].alias("end")),
         )
 
-    one = spotted.select("text", F.explode(F.concat(*map(named, KINDS[:4]))).alias("s"))
+    one = spotted.select("text", F.xxhash64("text").alias("doc"), F.explode(F.concat(*map(named, KINDS[:4]))).alias("s"))
     left = F.substring("text", F.greatest(F.col("s.start") + 1 - window, F.lit(1)), F.least(F.col("s.start"), F.lit(window)))
     left = F.when(F.col("s.start") > window, F.regexp_replace(left, r"^[\p{L}\p{N}]+", "")).otherwise(left)
     right = F.substring("text", F.col("s.end") + 1, F.lit(window))
     right = F.when(F.length(right) == window, F.regexp_replace(right, r"[\p{L}\p{N}]+$", "")).otherwise(right)
-    near = one.select(F.col("s.entity").alias("entity"), F.lower(F.concat(left, F.lit(" \u0000 "), right)).alias("near"))
+    near = one.select("doc", F.col("s.entity").alias("entity"), F.lower(F.concat(left, F.lit(" \u0000 "), right)).alias("near"))
     terms = F.array_distinct(F.regexp_extract_all("near", F.lit(_TERM), F.lit(0)))
-    return near.groupBy("entity", F.xxhash64("near").alias("context")).agg(F.min("near").alias("near")).select("entity", "context", terms.alias("terms"))
+    return near.groupBy("entity", F.xxhash64("near").alias("context")).agg(F.min("near").alias("near"), F.min("doc").alias("doc")).select("entity", "context", "doc", terms.alias("terms"))
 
 
 def disclosing_terms(docs: DataFrame, window: int = 64, contexts: int = 3, threshold: float = 0.9, text_col: str = "text") -> DataFrame:
@@ -119,20 +120,30 @@ def disclosing_terms(docs: DataFrame, window: int = 64, contexts: int = 3, thres
     Counts are over all rows of ``docs``.  ``window`` is in code points on each
     side, ``contexts`` the distinct ones that a term needs beside an entity.
     """
+    content = F.log2(F.lit(docs.count()) / F.col("n_e"))
+
+    def share(n_t: Column) -> Column:
+        return 1 - F.log2(F.greatest(n_t / F.col("n_te"), F.lit(1.0))) / content
+
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     spotted = base_spans(texts).where(" or ".join(f"size({k}) > 0" for k in KINDS[:4]))
     near = _contexts(spotted, window)
     entities = near.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= contexts)
-    pairs = near.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= contexts)
+    beside = near.select("entity", "doc", F.explode("terms").alias("term"))
+    pairs = beside.groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= contexts).join(entities, "entity")
+    # texts with the term beside any entity are some of those with the term, so
+    # what falls short with their number needs no count over all words
+    least = beside.groupBy("term").agg(F.count_distinct("doc").alias("n_least"))
+    pairs = pairs.join(least, "term").where((content > 0) & (share(F.col("n_least")) >= threshold))
     work = Workspace(docs.sparkSession, "pii")
-    pairs = work.keep(pairs.join(entities, "entity"), "pairs")  # its size is known from here on
+    pairs = work.keep(pairs, "pairs")  # its size is known from here on
+    if pairs.isEmpty():
+        return docs.sparkSession.createDataFrame([], "term string, disclosure double")
     terms = pairs.select("term").distinct()
     words = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0)))).alias("term"))
     held = words.join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
     known = pairs.join(held, "term")
-    content = F.log2(F.lit(docs.count()) / F.col("n_e"))
-    share = 1 - F.log2(F.greatest(F.col("n_t") / F.col("n_te"), F.lit(1.0))) / content
-    told = known.where(content > 0).groupBy("term").agg(F.max(share).alias("disclosure")).where(F.col("disclosure") >= threshold)
+    told = known.groupBy("term").agg(F.max(share(F.col("n_t"))).alias("disclosure")).where(F.col("disclosure") >= threshold)
     return work.keep(told, "terms")
 
 
