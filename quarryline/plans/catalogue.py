@@ -240,7 +240,7 @@ def reverification_queue(spark, sf_dir):
 @query(
     """WITH n AS (SELECT doc_id, lag(doc_id) OVER w AS prior, list_distinct(regexp_extract_all(text, '\\d+(?:[.,]\\d+)*')) AS x,
       lag(list_distinct(regexp_extract_all(text, '\\d+(?:[.,]\\d+)*'))) OVER w AS y FROM documents WINDOW w AS (PARTITION BY source ORDER BY doc_id))
-    SELECT doc_id, prior, len(list_filter(x, lambda v: NOT list_contains(y, v))) AS unsupported FROM n
+    SELECT doc_id, prior, CAST(len(list_filter(x, lambda v: NOT list_contains(y, v))) AS INTEGER) AS unsupported FROM n
     WHERE prior IS NOT NULL AND len(list_filter(x, lambda v: NOT list_contains(y, v))) > 0"""
 )
 def unsupported_numbers(spark, sf_dir):
