@@ -13,6 +13,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_root(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``.  Where it is unset, a local
     session takes a temporary folder and a cluster its warehouse."""
@@ -36,9 +39,15 @@ class Workspace:
         self._paths: dict[int, str] = {}
 
     def keep(self, df: DataFrame, name: str, **options: str) -> DataFrame:
-        """Write ``df`` and return it as read back."""
+        """Write ``df`` and return it as read back.  Its shuffle files go as soon
+        as it is written, since nothing needs them any more."""
         path = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
-        df.write.options(**{"compression": "zstd", **options}).parquet(path)
+        before = self.spark.conf.get(_CLEANUP, "false")
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.options(**{"compression": "zstd", **options}).parquet(path)
+        finally:
+            self.spark.conf.set(_CLEANUP, before)
         back = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(back)] = path
         return back
