@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 SAMPLED = 2  # steps in a key
 #: Words of the items that are held, and broadcast, at a time.
@@ -301,6 +302,7 @@ def contaminated(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     id_type, item_type = rows.schema["id"].dataType.simpleString(), items.schema[item_id_col].dataType.simpleString()
     schema = f"id {id_type}, item_id {item_type}, edits int, start bigint, end bigint"
+    item_kind = to_arrow_type(items.schema[item_id_col].dataType)
     found = None
     for block in _blocks(items, item_id_col, item_text_col):
         shared = spark.sparkContext.broadcast(Index.of(block, share, recall))
@@ -322,7 +324,7 @@ def contaminated(
                             out.append((b.column(0)[i].as_py(), name, cost, before, before + int(((text[lo:hi] & 0xC0) != 0x80).sum())))
                 if out:
                     columns = list(zip(*out))
-                    kinds = [b.schema.field(0).type, None, pa.int32(), pa.int64(), pa.int64()]
+                    kinds = [b.schema.field(0).type, item_kind, pa.int32(), pa.int64(), pa.int64()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["id", "item_id", "edits", "start", "end"])
 
         part = rows.mapInArrow(run, schema)

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quarryline.llm.tokens import encoded
 
@@ -146,7 +147,7 @@ def pack_documents(
         columns.append(F.col(loss_from_col).cast("long").alias("loss_from"))
     rows = docs.select(*columns)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    arrow = {"bigint": pa.int64(), "int": pa.int32()}.get(kind, pa.string())
+    arrow = to_arrow_type(rows.schema["doc_id"].dataType)
     limits = (max_tokens, max_segments, max_loss or max_tokens)
     if min(limits) < 1:
         raise ValueError("limits must be positive")

@@ -22,10 +22,11 @@ are counted one by one, by hash.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.workspace import Workspace
@@ -284,30 +285,47 @@ def _grams(batches, length: int):
             yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n)], ["gram", "n"])
 
 
+def _anchored(text: bytes, length: int, bits: np.ndarray):
+    """Anchors of interest of a text: hash, record's hash, first and last start,
+    bytes ahead of the anchor in its record."""
+    data = np.frombuffer(text, np.uint8)
+    place, first, last, gram = anchors(data, length)
+    if len(place):
+        some = _marked(bits, gram)
+        place, first, last, gram = place[some], first[some], last[some], gram[some]
+    sig = _record_hashes(data, first, last + length) if len(place) else np.zeros(0, np.int64)
+    return gram.view(np.int64), sig, first, last, place - first
+
+
 def _records(batches, length: int, bits: np.ndarray):
-    """A row for each anchor of interest; equal records of a group of texts
-    share one copy of their bytes (the others have none)."""
-    names = ["gram", "sig", "key", "first", "before", "n", "bytes"]
+    """A row for each anchor of interest."""
+    for b in batches:
+        for at in range(0, b.num_rows, 512):
+            texts = [t.as_py() or b"" for t in b.column(0).slice(at, 512)]
+            found = [_anchored(t, length, bits) for t in texts]
+            size = [len(f[0]) for f in found]
+            if sum(size):
+                keys = pa.array([_key(t) for t in texts], pa.binary()).take(pa.array(np.repeat(np.arange(len(texts)), size)))
+                gram, sig, first, last, _ = (np.concatenate(x) for x in zip(*found))
+                yield pa.RecordBatch.from_arrays([keys, *map(pa.array, (gram, sig, first, last))], ["key", "gram", "sig", "first", "last"])
+
+
+def _bytes_of(batches, length: int, bits: np.ndarray):
+    """The bytes of each anchor's record, once for equal ones of a group of texts."""
     for b in batches:
         for at in range(0, b.num_rows, 512):
             out, seen = [], set()
             for t in b.column(0).slice(at, 512):
                 text = t.as_py() or b""
-                data = np.frombuffer(text, np.uint8)
-                place, first, last, gram = anchors(data, length)
-                some = np.flatnonzero(_marked(bits, gram)) if len(gram) else []
-                if not len(some):
-                    continue
-                key = _key(text)
-                sig = _record_hashes(data, first[some], last[some] + length)
-                for s, g, p, a, z in zip(sig.tolist(), gram[some].view(np.int64).tolist(), place[some].tolist(), first[some].tolist(), last[some].tolist()):
-                    new = (g, s) not in seen
-                    seen.add((g, s))
-                    out.append((g, s, key, a, p - a, 1, text[a : z + length] if new else None))
+                key = None
+                for g, s, first, last, before in zip(*(x.tolist() for x in _anchored(text, length, bits))):
+                    if (g, s) not in seen:
+                        seen.add((g, s))
+                        key = key or _key(text)
+                        out.append((g, s, None, before, key, first, text[first : last + length]))
             if out:
-                columns = list(zip(*out))
-                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["gram", "sig", "n", "before", "key", "first", "bytes"])
 
 
 def _runs_of(flags: np.ndarray):
@@ -317,62 +335,58 @@ def _runs_of(flags: np.ndarray):
 
 
 def _sorted_groups(batches, length: int):
-    """Rows come sorted by anchor; yields the repeated starts of each record."""
-    held: list[tuple] = []  # gram, sig, before, n, bytes
+    """Rows come sorted by anchor and record, its count before its bytes; yields
+    the repeated starts of the records that occur once."""
+    held: list[list[tuple]] = []  # of each anchor: (n, before, key, first, bytes)
     group: list[tuple] = []
-    size = 0
+    here, size = (None, None), 0
+    count = None
 
     def resolve():
-        many = [r for g in held if len(g) > 1 for r in g]
-        found = []
-        for g in held:
-            for r in g:
-                if r[3] > 1:
-                    found.append((r[0], r[1], [0], [len(r[4]) - length]))
-        if many:
-            number = {}
-            ids = np.array([number.setdefault(r[0], len(number)) for r in many])
-            before = np.array([r[2] for r in many], np.int64)
-            offsets = repeated_offsets([r[4] for r in many], before, ids, length)
-            for r, flags in zip(many, offsets):
-                if r[3] == 1 and flags.any():
-                    starts = r[2] - np.flatnonzero(flags)[::-1]
-                    line = np.zeros(len(r[4]) - length + 1, bool)
-                    line[starts] = True
-                    a, z = _runs_of(line)
-                    found.append((r[0], r[1], a.tolist(), z.tolist()))
-        if found:
-            columns = list(zip(*found))
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["gram", "sig", "a", "z"])
+        many = [r for g in held for r in g]
+        ids = np.repeat(np.arange(len(held)), [len(g) for g in held])
+        offsets = repeated_offsets([r[4] for r in many], np.array([r[1] for r in many], np.int64), ids, length)
+        out = []
+        for (n, before, key, first, data), flags in zip(many, offsets):
+            if n == 1 and flags.any():
+                line = np.zeros(len(data) - length + 1, bool)
+                line[before - np.flatnonzero(flags)] = True
+                out += [(key, first + int(x), first + int(y)) for x, y in zip(*_runs_of(line))]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.binary(), pa.int64(), pa.int64()))], ["key", "a", "z"])
 
     for b in batches:
-        for r in zip(*(b.column(i).to_pylist() for i in range(5))):
-            if group and group[0][0] != r[0]:
-                held.append(group)
+        for gram, sig, n, *rest in zip(*(b.column(i).to_pylist() for i in range(7))):
+            if gram != here[0] and group:
+                if len(group) > 1:
+                    held.append(group)
+                    size += sum(len(r[4]) for r in group)
                 group = []
                 if size >= SORTED:
                     yield from resolve()
                     held, size = [], 0
-            group.append(r)
-            size += len(r[4])
-    if group:
+            if n is not None:
+                here, count = (gram, sig), n
+            elif here == (gram, sig) and count is not None:  # the first bytes of a counted record
+                group.append((count, *rest))
+                count = None
+    if len(group) > 1:
         held.append(group)
     if held:
         yield from resolve()
 
 
 def _strings(batches, length: int):
-    """The hash of every string of each record."""
+    """The hash of every string of each record, with its place."""
     for b in batches:
         for at in range(0, b.num_rows, 512):
-            part = [b.column(i).slice(at, 512).to_pylist() for i in range(5)]
-            hashes = [window_hashes(np.frombuffer(x, np.uint8), length).view(np.int64) for x in part[4]]
-            size = [len(h) for h in hashes]
-            if sum(size):
-                spread = [pa.array(np.repeat(np.array(part[i], np.int64), size)) for i in (0, 1, 3)]
-                start = np.concatenate([np.arange(n, dtype=np.int32) for n in size])
-                yield pa.RecordBatch.from_arrays([*spread, pa.array(start), pa.array(np.concatenate(hashes))], ["gram", "sig", "n", "start", "h"])
+            gram, _, n, _, key, first, data = (b.column(i).slice(at, 512).to_pylist() for i in range(7))
+            hashes = [window_hashes(np.frombuffer(x, np.uint8), length).view(np.int64) for x in data]
+            row = np.repeat(np.arange(len(data)), [len(h) for h in hashes])
+            if len(row):
+                start = np.concatenate([np.arange(len(h)) + f for h, f in zip(hashes, first)])
+                spread = [pa.array(c, k).take(pa.array(row)) for c, k in ((gram, pa.int64()), (n, pa.int64()), (key, pa.binary()))]
+                yield pa.RecordBatch.from_arrays([*spread, pa.array(start), pa.array(np.concatenate(hashes))], ["gram", "n", "key", "start", "h"])
 
 
 def _removed(batches, length: int):
@@ -425,34 +439,38 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     facts = work.keep(rows.mapInArrow(_row_facts, f"id {kind}, key binary, n_bytes bigint, sha string"), "facts")
 
     counted = texts.mapInArrow(lambda it: _grams(it, length), "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-    repeated = _bitmap(counted.where("n > 1").select("gram"), "gram")
-    schema = "gram bigint, sig bigint, key binary, first bigint, before int, n int, bytes binary"
-    found = work.keep(texts.mapInArrow(lambda it: _records(it, length, repeated.value), schema), "records")
-    merged = found.groupBy("gram", "sig").agg(F.sum("n").alias("n"), F.min("before").alias("before"))
-    bytes_of = found.where("bytes is not null").select("gram", "sig", "bytes").groupBy("gram", "sig").agg(F.first("bytes").alias("bytes"))
-    records = merged.join(bytes_of, ["gram", "sig"])
-    groups = merged.groupBy("gram").agg(F.count("*").alias("records"), F.sum("n").alias("total")).where("total > 1")
-    groups = work.keep(groups, "groups")
-    some = records.join(groups.where(F.col("records") <= GROUP).select("gram"), "gram", "left_semi").select("gram", "sig", "before", "n", "bytes")
-    ranges = "gram bigint, sig bigint, a array<int>, z array<int>"
-    starts = some.repartition("gram").sortWithinPartitions("gram", "sig").mapInArrow(lambda it: _sorted_groups(it, length), ranges)
-    large = groups.where(F.col("records") > GROUP).select("gram")
+    repeated = _bitmap(work.keep(counted.where("n > 1").select("gram"), "grams"), "gram")
+    found = work.keep(texts.mapInArrow(lambda it: _records(it, length, repeated.value), "key binary, gram bigint, sig bigint, first bigint, last bigint"), "found")
+    records = work.keep(found.groupBy("gram", "sig").agg(F.count("*").alias("n")), "records")
+    # a record that occurs twice is repeated as a whole; the others need a look
+    # at their bytes where their anchor has other records
+    groups = records.groupBy("gram").agg(F.count("*").alias("records"), F.min("n").alias("least"))
+    contested = work.keep(groups.where("records > 1 and least = 1").select("gram", "records"), "contested")
+    marks = _bitmap(contested, "gram")
+    schema = "gram bigint, sig bigint, n bigint, before int, key binary, first bigint, bytes binary"
+    shipped = texts.mapInArrow(lambda it: _bytes_of(it, length, marks.value), schema)
+    counts = records.join(contested.where(F.col("records") <= GROUP).select("gram"), "gram", "left_semi")
+    counts = counts.select("gram", "sig", "n", *[F.lit(None).cast(t).alias(c) for c, t in (("before", "int"), ("key", "binary"), ("first", "bigint"), ("bytes", "binary"))])
+    together = shipped.unionByName(counts).repartition("gram").sortWithinPartitions("gram", "sig", F.col("n").asc_nulls_last())
+    starts = "key binary, a bigint, z bigint"
+    spans = [work.keep(together.mapInArrow(lambda it: _sorted_groups(it, length), starts), "once")]
+    large = contested.where(F.col("records") > GROUP).select("gram")
     if not large.isEmpty():
-        each = records.join(large, "gram", "left_semi").select("gram", "sig", "before", "n", "bytes")
-        strings = each.mapInArrow(lambda it: _strings(it, length), "gram bigint, sig bigint, n bigint, start int, h bigint")
+        known = records.join(large, "gram", "left_semi").select("gram", "sig", F.col("n").alias("times"))
+        each = shipped.join(known, ["gram", "sig"]).withColumn("n", F.col("times"))
+        each = each.dropDuplicates(["gram", "sig"]).select("gram", "sig", "n", "before", "key", "first", "bytes")
+        strings = each.mapInArrow(lambda it: _strings(it, length), "gram bigint, n bigint, key binary, start bigint, h bigint")
         twice = strings.groupBy("gram", "h").agg(F.sum("n").alias("times")).where("times > 1").select("gram", "h")
-        single = strings.join(twice, ["gram", "h"]).groupBy("gram", "sig").agg(F.sort_array(F.collect_set("start")).alias("a"))
-        starts = starts.union(single.select("gram", "sig", "a", F.col("a").alias("z")))
-
-    places = found.select("key", "gram", "sig", "first").distinct()
-    spans = places.join(starts, ["gram", "sig"]).select("key", "first", F.explode(F.arrays_zip("a", "z")).alias("r"))
-    spans = spans.select("key", F.struct((F.col("first") + F.col("r.a")).alias("a"), (F.col("first") + F.col("r.z")).alias("z")).alias("s"))
-    by_text = work.keep(spans.groupBy("key").agg(F.collect_list("s").alias("starts")), "starts")
+        spans.append(strings.where("n = 1").join(twice, ["gram", "h"]).select("key", F.col("start").alias("a"), F.col("start").alias("z")))
+    whole = found.join(records.where("n > 1").select("gram", "sig"), ["gram", "sig"], "left_semi").select("key", F.col("first").alias("a"), F.col("last").alias("z"))
+    spans = reduce(DataFrame.unionByName, [whole.distinct(), *spans])
+    by_text = work.keep(spans.groupBy("key").agg(F.collect_list(F.struct("a", "z")).alias("starts")), "starts")
     slot = F.conv(F.hex(F.substring("key", 1, 8)), 16, -10).cast("long")
     wanted = _bitmap(by_text.select(slot.alias("slot")), "slot")
     held = texts.mapInArrow(lambda it: _of_interest(it, wanted.value), "key binary, text binary")
     left = held.join(by_text, "key").mapInArrow(lambda it: _removed(it, length), "key binary, n_removed bigint, n_spans bigint, kept_sha256 string")
     left = left.groupBy("key").agg(*[F.max(c).alias(c) for c in ("n_removed", "n_spans", "kept_sha256")])
+    left = work.keep(left, "left")
     return facts.join(left, "key", "left").select(
         "id",
         "n_bytes",

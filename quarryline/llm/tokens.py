@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 # Unicode's White_Space characters, as the tokenizer's own pattern takes them.
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -213,7 +214,7 @@ def write_token_files(
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tie"))
     kind = rows.schema["doc_id"].dataType
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    arrow = pa.int64() if kind.simpleString() == "bigint" else pa.int32() if kind.simpleString() == "int" else pa.string()
+    arrow = to_arrow_type(kind)
     coded = ordered.mapInArrow(lambda it: _token_rows(it, tokenizer, end, arrow), _FILE_SCHEMA.format(id=kind.simpleString()))
     coded.write.options(**FILE_OPTIONS, **(options or {})).parquet(path)
 
