@@ -134,7 +134,7 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     are equal in everything, one stays.  Null texts are empty ones, and all
     empty texts are one group.
     """
-    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(*docs.columns).alias("row"))
+    key = F.struct(F.col(id_col).isNull().alias("missing"), F.col(id_col).alias("id"), F.xxhash64(*docs.columns).alias("row"))
     keyed = docs.withColumn("_key", key)
     groups = simhash_components(keyed, "_key", text_col, words, radius, seed)
     rows = groups.where("id <=> component").groupBy("id").agg(F.count("*").alias("n"))
