@@ -89,10 +89,19 @@ def vocabulary(learn: DataFrame, work: Workspace, text_col: str) -> tuple[Vocabu
     counts = work.keep(texts.mapInArrow(_counted, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("c")), "counts")
     ends = learn.count()
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    # how many words have each count (or power of two) tells from which count on
+    # there are at most HEAD words, so no task sends more than it must
+    step = F.when(F.col("c") <= 4096, F.col("c")).otherwise(F.pow(F.lit(2), F.floor(F.log2("c"))).cast("long"))
+    least, held = None, 0
+    for at, n in sorted(((r[0], r[1]) for r in counts.groupBy(step).count().collect()), reverse=True):
+        held += n
+        if held > HEAD:
+            break
+        least = at
+    common = counts.where(F.col("c") >= least).collect() if least else []
     head: dict[bytes, tuple[int, int]] = {}
-    for i, r in enumerate(counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()):
-        word = bytes(r.word)
-        head[word] = (i + 1 if i < _SINGLE else _SINGLE + 1 + _class(word), r.c)
+    for i, (word, c) in enumerate(sorted(((bytes(r.word), r.c) for r in common), key=lambda x: (-x[1], x[0]))):
+        head[word] = (i + 1 if i < _SINGLE else _SINGLE + 1 + _class(word), c)
     sums = counts.groupBy(_class_column(F.col("word")).alias("k")).agg(F.sum("c"), F.count("*")).collect()
     tokens, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
     for k, c, n in sums:
@@ -141,12 +150,14 @@ class Weights:
     def log10_probs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Normalised log10 probabilities of the targets."""
         out = np.empty(len(target))
-        for at in range(0, len(target), BATCH):
-            to = at + BATCH
-            s = self.query(context[at:to]) @ self.v.T + self.b
+        for at in range(0, len(target), 1024):  # fits a core's cache
+            to = at + 1024
+            s = self.query(context[at:to]) @ self.v.T
+            s += self.b
             s -= s.max(axis=1, keepdims=True)
             mine = s[np.arange(len(s)), target[at:to]].astype(np.float64)
-            out[at:to] = mine - np.log(np.exp(s).sum(axis=1, dtype=np.float64))
+            np.exp(s, out=s)
+            out[at:to] = mine - np.log(s.sum(axis=1).astype(np.float64))
         return out / np.log(10)
 
 

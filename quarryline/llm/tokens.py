@@ -7,6 +7,7 @@ distinct chunk is encoded once a worker; most chunks recur.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -26,6 +27,9 @@ _CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 _SEAM = re.compile(f"(?<=[^{WHITE}])[{WHITE}]")
 # A Latin word and the marks behind it are apart in every such tokenizer.
 _WORD = re.compile(r"(\n?)( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
+# Byte-level tokenizers stand a printable sign for every byte.
+_PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 #: Characters of text that are in work at once, and chunks that a worker
 #: remembers; of these it keeps the first ones when it runs full.
 SLICE, REMEMBERED, KEPT = 1 << 20, 1_000_000, 200_000
@@ -52,6 +56,11 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        rules = json.loads(self.tokenizer.to_str())
+        kind = rules["pre_tokenizer"] or {}
+        if rules["normalizer"] or kind.get("type") != "ByteLevel" or kind["add_prefix_space"] or not kind["use_regex"]:
+            raise ValueError("only plain byte-level tokenizers can be asked chunk by chunk")
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}  # by chunk
         self.plain: dict[str, bytes] = {}  # by what stands between single spaces, see _split
 
@@ -62,6 +71,13 @@ class ChunkEncoder:
             cls._of[path] = cls(path)
         return cls._of[path]
 
+    def _ask_pieces(self, pieces: set[str]) -> None:
+        """Learns what the tokenizer would not split before it merges bytes."""
+        known, model, pack = self.known, self.model, struct.pack
+        for piece in pieces.difference(known):
+            ids = [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(_SIGNS))]
+            known[piece] = pack(f"<{len(ids)}I", *ids)
+
     def _ask(self, parts: set[str]) -> None:
         for group in batched(parts.difference(self.known), 4096):
             for part, code in zip(group, self.tokenizer.encode_batch_fast(group, add_special_tokens=False)):
@@ -92,7 +108,8 @@ class ChunkEncoder:
             new = parts.difference(self.plain)
         chunks = {p: self._chunk(p) for p in new}
         found = {p: m.groups() for p, c in chunks.items() if c and (m := _WORD.fullmatch(c))}
-        self._ask({c for p, c in chunks.items() if c and p not in found}.union(*found.values()).difference({""}))
+        self._ask({c for p, c in chunks.items() if c and p not in found})
+        self._ask_pieces(set().union(*found.values()).difference({""}))
         known, plain = self.known, self.plain
         for p, (a, b, c) in found.items():
             plain[p] = (known[a] if a else b"") + known[b] + (known[c] if c else b"")
