@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -30,6 +31,14 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def modest_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Hands whole texts to Python a few at a time, unless the session says how
+    many.  Batches count rows and texts may be long, so the default of ten
+    thousand would make memory follow the texts."""
+    if spark.conf.get(_BATCH, None) is None or spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(rows))
+
+
 class Workspace:
     """Writes and rereads the scratch tables of one job."""
 
