@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from quarryline.workspace import modest_batches
+
 SAMPLED = 2  # steps in a key
 #: Words of the items that are held, and broadcast, at a time.
 BLOCK_WORDS = 1_000_000
@@ -299,6 +301,7 @@ def contaminated(
     blocks of bounded size, each a pass over ``docs``.
     """
     spark = docs.sparkSession
+    modest_batches(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     id_type, item_type = rows.schema["id"].dataType.simpleString(), items.schema[item_id_col].dataType.simpleString()
     schema = f"id {id_type}, item_id {item_type}, edits int, start bigint, end bigint"
@@ -334,6 +337,7 @@ def contaminated(
 
 def without_contaminated(docs: DataFrame, items: DataFrame, share: float = 0.2, recall: float = 0.99, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that hold an item, as :func:`contaminated` finds it."""
+    modest_batches(docs.sparkSession)
     for block in _blocks(items, item_id_col, item_text_col):
         shared = docs.sparkSession.sparkContext.broadcast(Index.of(block, share, recall))
 

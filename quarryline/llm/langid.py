@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from quarryline.llm.linear import bounded_sample, gram_codes, hinge_descent, margins, sigmoid_fit
+from quarryline.workspace import modest_batches
 
 #: The families of common languages by ISO 639-1 code.  A
 #: language that isn't named is a family of its own.
@@ -130,6 +131,7 @@ def _features(batches):
 def train(docs: DataFrame, most: int = 1000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fit on at most ``most`` rows a language of ``docs``, taken over all rows
     by a hash of the id.  Rows without a language or text don't count."""
+    modest_batches(docs.sparkSession)
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(id_col).cast("string").alias("key"), F.col(text_col).alias("text")
     )
@@ -145,6 +147,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     ``und`` with score 0 where the text is null, empty or has no letter, or no
     language was learned.  Whole texts are read, whatever their length.
     """
+    modest_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of weights
 
     def run(batches):

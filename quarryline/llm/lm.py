@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarryline.workspace import Workspace
+from quarryline.workspace import Workspace, modest_batches
 
 #: Of the symbols, ``CLASSES`` are classes; ``HEAD`` bounds what is broadcast.
 SYMBOLS, CLASSES, HEAD = 256, 64, 200_000
@@ -48,11 +48,20 @@ def _class_column(word: Column) -> Column:
 
 
 def _counted(batches):
+    """Counts of words, summed up over as many texts as fit in bounded memory."""
+    seen: Counter = Counter()
+
+    def flush():
+        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+
     for b in batches:
-        seen: Counter = Counter()
         for t in b.column(0):
             seen.update(words_of(t.as_py()))
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+            if len(seen) > HEAD:
+                yield flush()
+                seen.clear()
+    if seen:
+        yield flush()
 
 
 @dataclass
@@ -266,6 +275,7 @@ def score(docs: DataFrame, learn: DataFrame, id_col: str = "doc_id", text_col: s
     rows that repeat an id are scored apart, and a text is read whole, whatever
     its length.  Without learning rows every word is unknown.
     """
+    modest_batches(docs.sparkSession)
     work = Workspace(docs.sparkSession, "lm")
     vocab, counts = vocabulary(learn, work, text_col)
     weights = train(learn, vocab, text_col)

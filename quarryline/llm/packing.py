@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from quarryline.llm.tokens import encoded
+from quarryline.workspace import modest_batches
 
 _SCHEMA = (
     "doc_id {id}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -142,6 +143,7 @@ def pack_documents(
     sequence_id, offset``; rows that repeat an id are packed apart.  An empty
     table gives no rows.
     """
+    modest_batches(docs.sparkSession)
     columns = [F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")]
     if loss_from_col:
         columns.append(F.col(loss_from_col).cast("long").alias("loss_from"))

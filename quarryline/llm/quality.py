@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.llm.linear import bounded_sample, gram_codes, hinge_descent, margins, sigmoid_fit
+from quarryline.workspace import modest_batches
 
 BITS, ORDERS = 17, (2, 3, 4)
 
@@ -79,6 +80,7 @@ def _features(batches):
 def train(docs: DataFrame, labels: DataFrame, most: int = 1500, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model | None:
     """Fit on at most ``most`` labelled rows of each class, taken over all rows
     of ``labels`` by a hash of the id.  Labels other than 0 and 1 don't count."""
+    modest_batches(docs.sparkSession)
     rows = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     sample = F.broadcast(bounded_sample(rows, "label", most, F.coalesce(F.col("id").cast("string"), F.lit(""))))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).join(sample, "id").select("label", "text")
@@ -95,6 +97,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
     Null and empty texts are scored as texts without n-grams of their own.
     Without a model all scores are 0.5.
     """
+    modest_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of weights
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.operators.components import connected_components
-from quarryline.workspace import Workspace
+from quarryline.workspace import Workspace, modest_batches
 
 BITS = 64
 
@@ -63,6 +63,7 @@ def simhash_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
+    modest_batches(docs.sparkSession)
     return rows.mapInArrow(lambda it: _fingerprints(it, words, seed), f"id {kind}, fp bigint")
 
 
@@ -139,6 +140,9 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     groups = simhash_components(keyed, "_key", text_col, words, radius, seed)
     rows = groups.where("id <=> component").groupBy("id").agg(F.count("*").alias("n"))
     kept = Workspace(docs.sparkSession, "simhash").keep(rows.select(F.col("id").alias("_key"), "n"), "kept")
-    single = keyed.join(kept.where("n = 1"), "_key", "left_semi").drop("_key")
+    # the keys are the build side, so the texts are neither sorted nor held
+    single = keyed.join(kept.where("n = 1").hint("shuffle_hash"), "_key", "left_semi").drop("_key")
+    if kept.where("n > 1").isEmpty():
+        return single
     equal = keyed.join(kept.where("n > 1"), "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
     return single.union(equal)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarryline.workspace import Workspace
+from quarryline.workspace import Workspace, modest_batches
 
 GRAM, SHALLOW, GROUP = 32, 32, 20_000
 #: Bytes of a text that are hashed at a time, and of records sorted at a time.
@@ -432,6 +432,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     """
     if length <= GRAM:
         raise ValueError(f"length must be over {GRAM}")
+    modest_batches(docs.sparkSession)
     work = Workspace(docs.sparkSession, "repeats")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     texts = rows.select("text")

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from quarryline.workspace import modest_batches
+
 # Unicode's White_Space characters, as the tokenizer's own pattern takes them.
 WHITE = "\t-\r \x85\xa0  -     　"
 _CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
@@ -228,6 +230,7 @@ def write_token_files(
     come first; rows that repeat an id stay, side by side.  Other columns are
     left out, and an empty table leaves files without rows.
     """
+    modest_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tie"))
     kind = rows.schema["doc_id"].dataType
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
