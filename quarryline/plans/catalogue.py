@@ -753,3 +753,6 @@ def pricing_summary(spark, sf_dir):
     """Quantities and prices by flag and status."""
     rows = table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") <= F.lit("1998-09-02").cast("timestamp_ntz"))
     return rows.groupBy("l_returnflag", "l_linestatus").agg(money("l_quantity").cast("double").alias("sum_qty"), money("l_extendedprice").cast("double").alias("sum_price"), F.count("*").alias("n"))
+
+
+from quarryline.plans import more  # noqa: E402, F401  registers its queries
