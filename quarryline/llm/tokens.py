@@ -27,14 +27,14 @@ from quarryline.workspace import modest_batches
 WHITE = "\t-\r \x85\xa0  -     　"
 _CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 _SEAM = re.compile(f"(?<=[^{WHITE}])[{WHITE}]")
-# A Latin word and the marks behind it are apart in every such tokenizer.
-_WORD = re.compile(r"(\n?)( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
+# ASCII marks but for the apostrophe, which may start a contraction.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 # Byte-level tokenizers stand a printable sign for every byte.
 _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 #: Characters of text that are in work at once, and chunks that a worker
 #: remembers; of these it keeps the first ones when it runs full.
-SLICE, REMEMBERED, KEPT = 1 << 20, 1_000_000, 200_000
+SLICE, REMEMBERED, KEPT = 1 << 20, 700_000, 150_000
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -73,12 +73,11 @@ class ChunkEncoder:
             cls._of[path] = cls(path)
         return cls._of[path]
 
-    def _ask_pieces(self, pieces: set[str]) -> None:
+    def _ask_piece(self, piece: str) -> bytes:
         """Learns what the tokenizer would not split before it merges bytes."""
-        known, model, pack = self.known, self.model, struct.pack
-        for piece in pieces.difference(known):
-            ids = [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(_SIGNS))]
-            known[piece] = pack(f"<{len(ids)}I", *ids)
+        ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(_SIGNS))]
+        code = self.known[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        return code
 
     def _ask(self, parts: set[str]) -> None:
         for group in batched(parts.difference(self.known), 4096):
@@ -101,23 +100,34 @@ class ChunkEncoder:
         chunk, word = (part, part[1:]) if part[:1] == "\n" else (" " + part, part)
         return chunk if word.split() == [word] else None
 
-    def _learn_plain(self, parts: set[str]) -> None:
-        """Learns those new parts that are single chunks."""
-        new = parts.difference(self.plain)
-        if len(self.plain) + len(self.known) + 2 * len(new) > REMEMBERED:
-            self.plain = dict(islice(self.plain.items(), KEPT))
-            self.known = dict(islice(self.known.items(), KEPT))
-            new = parts.difference(self.plain)
-        chunks = {p: self._chunk(p) for p in new}
-        found = {p: m.groups() for p, c in chunks.items() if c and (m := _WORD.fullmatch(c))}
-        self._ask({c for p, c in chunks.items() if c and p not in found})
-        self._ask_pieces(set().union(*found.values()).difference({""}))
-        known, plain = self.known, self.plain
-        for p, (a, b, c) in found.items():
-            plain[p] = (known[a] if a else b"") + known[b] + (known[c] if c else b"")
-        for p, c in chunks.items():
-            if p not in found and c is not None:
-                plain[p] = known[c]
+    def _codes(self, parts: set[str]) -> dict[str, bytes | None]:
+        """The ids of each part, None for those that are no single chunks."""
+        plain, known = self.plain, self.known
+        codes = {p: plain.get(p) for p in parts}
+        new = [p for p, code in codes.items() if code is None]
+        if len(plain) + len(known) + 2 * len(new) > REMEMBERED:
+            self.plain = plain = dict(islice(plain.items(), KEPT))
+            self.known = known = dict(islice(known.items(), KEPT))
+        other = {}
+        for p in new:
+            word = p[1:] if p[:1] == "\n" else p
+            core = word.rstrip(MARKS)
+            if not core.isalpha() or not (core.isascii() or max(core) < "ɐ"):
+                other[p] = self._chunk(p)
+                continue
+            # a Latin word and the marks behind it are apart in every such tokenizer
+            piece = core if p is not word else " " + core
+            code = known.get(piece) or self._ask_piece(piece)
+            if core is not word and (marks := word[len(core) :]):
+                code += known.get(marks) or self._ask_piece(marks)
+            if p is not word:
+                code = (known.get("\n") or self._ask_piece("\n")) + code
+            codes[p] = plain[p] = code
+        self._ask({c for c in other.values() if c})
+        for p, chunk in other.items():
+            if chunk:
+                codes[p] = plain[p] = self.known[chunk]
+        return codes
 
     def _one(self, text: str) -> bytes:
         """The ids of any text, slice by slice."""
@@ -152,12 +162,11 @@ class ChunkEncoder:
 
     def _group(self, texts: list[str], end: bytes):
         split = [self._split(t) for t in texts]
-        self._learn_plain(set().union(*(rest for _, rest in split)))
+        get, out = self._codes(set().union(*(rest for _, rest in split))).__getitem__, []
         self._ask({first for first, _ in split if first})
-        get, out = self.plain.get, []
         for text, (first, rest) in zip(texts, split):
             codes = list(map(get, rest))
-            if None in codes or first.split() not in ([first], [first[1:]], []) :  # other white space
+            if None in codes or first.split() not in ([first], [first[1:]], []):  # other white space
                 out.append(self._one(text) + end)
             else:
                 out.append((self.known[first] if first else b"") + b"".join(codes) + end)
