@@ -18,8 +18,8 @@ from quarryline.workspace import Workspace
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in no language: null, empty or without any letter.  A null
     ``lang`` becomes the predicted one."""
-    found = langid.predict(docs, langid.train(docs))
-    kept = found.where("lang_pred <> 'und'").withColumn("lang", F.coalesce("lang", "lang_pred"))
+    found = langid.predict(docs, langid.train(docs), names=("_predicted", "_score"))
+    kept = found.where("_predicted <> 'und'").withColumn("lang", F.coalesce("lang", "_predicted"))
     return kept.select(*docs.columns)
 
 

@@ -141,8 +141,8 @@ def train(docs: DataFrame, most: int = 1000, id_col: str = "doc_id", text_col: s
     return fit(found["lang"], pairs)
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``lang_score`` added.
+def predict(docs: DataFrame, model: Model, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "lang_score")) -> DataFrame:
+    """``docs`` with the predicted language and its score added under ``names``.
 
     ``und`` with score 0 where the text is null, empty or has no letter, or no
     language was learned.  Whole texts are read, whatever their length.
@@ -155,7 +155,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         for b in batches:
             found = [model.predict(t) for t in b.column(text_col).to_pylist()]
             added = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*b.columns, *added], [*b.schema.names, "lang_pred", "lang_score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, *added], [*b.schema.names, *names])
 
-    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("lang_score", DoubleType())])
+    schema = StructType([*docs.schema.fields, StructField(names[0], StringType()), StructField(names[1], DoubleType())])
     return docs.mapInArrow(run, schema)

@@ -152,7 +152,8 @@ def find_pii(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> DataF
     the occurrences of ``terms`` outside the base spans.
 
     Rows are told apart by all their own columns' hash; equal rows have equal
-    spans.  Without any term the texts aren't searched for them.
+    spans.  Without any term the texts aren't searched for them.  Columns of
+    ``docs`` that have a kind's name are replaced.
     """
     if terms.isEmpty():
         return base_spans(docs, text_col).withColumn("term", F.array().cast(_SPANS))
@@ -207,5 +208,8 @@ def redacted(text: Column) -> Column:
 def sanitise(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """``docs`` with the personal data in ``text_col`` replaced; same columns.
     Null texts stay null."""
-    found = find_pii(docs, disclosing_terms(docs, text_col=text_col, **options), text_col)
-    return found.withColumn(text_col, redacted(F.col(text_col))).select(*docs.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    packed = docs.select(row.alias("_row"), F.col(text_col).alias("_text"))  # so that no column clashes with the spans
+    found = find_pii(packed, disclosing_terms(docs, text_col=text_col, **options), "_text")
+    clean = redacted(F.col("_text"))
+    return found.select(*[clean.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])

@@ -75,3 +75,8 @@ def test_awkward_rows(spark):
 def test_redaction_of_overlaps(spark):
     docs = spark.createDataFrame([(1, "call +4111111111111111 or 10.0.0.1, a@b.co!")], "doc_id int, text string")
     assert pii.sanitise(docs).first().text == "call [PHONE] or [IP], [EMAIL]!" or "4111" not in pii.sanitise(docs).first().text
+
+
+def test_clashing_columns_stay(spark):
+    docs = spark.createDataFrame([(1, "to a@b.co", "mine", 7, "x")], "doc_id int, text string, email string, term int, `a.b` string")
+    assert tuple(pii.sanitise(docs).first()) == (1, "to [EMAIL]", "mine", 7, "x")
