@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own_roots: dict[str, str] = {}  # of local sessions that set no folder
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -23,12 +24,12 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local":
-        root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    else:
-        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context = spark.sparkContext
+    if context.master == "local" or context.master.startswith("local["):
+        if context.applicationId not in _own_roots:
+            _own_roots[context.applicationId] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        return _own_roots[context.applicationId]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def modest_batches(spark: SparkSession, rows: int = 512) -> None:
