@@ -34,7 +34,7 @@ _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 #: Characters of text that are in work at once, and chunks that a worker
 #: remembers; of these it keeps the first ones when it runs full.
-SLICE, REMEMBERED, KEPT = 1 << 20, 700_000, 150_000
+SLICE, REMEMBERED, KEPT = 1 << 20, 900_000, 300_000
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -73,10 +73,13 @@ class ChunkEncoder:
             cls._of[path] = cls(path)
         return cls._of[path]
 
-    def _ask_piece(self, piece: str) -> bytes:
-        """Learns what the tokenizer would not split before it merges bytes."""
+    def _merged(self, piece: str) -> bytes:
+        """The ids of what the tokenizer would not split before it merges bytes."""
         ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(_SIGNS))]
-        code = self.known[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _ask_piece(self, piece: str) -> bytes:
+        code = self.known[piece] = self._merged(piece)
         return code
 
     def _ask(self, parts: set[str]) -> None:
@@ -116,12 +119,14 @@ class ChunkEncoder:
                 other[p] = self._chunk(p)
                 continue
             # a Latin word and the marks behind it are apart in every such tokenizer
-            piece = core if p is not word else " " + core
-            code = known.get(piece) or self._ask_piece(piece)
+            if p is word:  # the word alone is a part as well, so it is held once
+                code = plain.get(core)
+                if code is None:
+                    code = plain[core] = self._merged(" " + core)
+            else:
+                code = (known.get("\n") or self._ask_piece("\n")) + (known.get(core) or self._ask_piece(core))
             if core is not word and (marks := word[len(core) :]):
                 code += known.get(marks) or self._ask_piece(marks)
-            if p is not word:
-                code = (known.get("\n") or self._ask_piece("\n")) + code
             codes[p] = plain[p] = code
         self._ask({c for c in other.values() if c})
         for p, chunk in other.items():
