@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarryline.llm.shingles import alike_links, tokens_of
 from quarryline.operators.components import connected_components
 from quarryline.workspace import Workspace, modest_batches
 
@@ -33,13 +34,9 @@ BITS = 64
 def fingerprint(text: bytes, words: int, seed: int) -> int:
     """SimHash of UTF-8 ``text``: A-Z lowered, words split at ASCII white space,
     every shingle counted as often as it occurs."""
-    tokens = text.lower().split()
+    tokens = tokens_of(text, words)
     if not tokens:
         return 0
-    if len(tokens) < words:
-        tokens = [b" ".join(tokens)]
-    else:
-        tokens = list(map(b" ".join, zip(*(tokens[i:] for i in range(words)))))
     digest = xxhash.xxh64_intdigest
     total = np.zeros(BITS, np.int64)
     for at in range(0, len(tokens), 65536):
@@ -128,8 +125,35 @@ def simhash_components(
     return prints.join(names, "fp").select("id", "fp", "component")
 
 
-def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, radius: int = 2, seed: int = 42) -> DataFrame:
-    """``docs`` with one row, that of the smallest id, of each near-duplicate group.
+def near_duplicate_components(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, radius: int = 2, least: float = 0.8, seed: int = 42
+) -> DataFrame:
+    """``id, component`` of every row: groups by fingerprints within ``radius``
+    and by shingle sets with a Jaccard similarity of ``least`` or more.
+
+    Rows with equal ids have to be equal in their texts.  ``component`` is the
+    smallest id of the group.
+    """
+    work = Workspace(docs.sparkSession, "simhash")
+    sets, alike = alike_links(docs, id_col, text_col, words, least, seed, work)
+    prints = work.keep(simhash_fingerprints(docs, id_col, text_col, words, seed), "prints")
+    one = work.keep(prints.groupBy("fp").agg(F.min("id").alias("id")), "classes")
+    # fingerprint classes and set classes meet in their rows
+    both = work.keep(prints.distinct().join(sets.distinct(), "id"), "both")
+    of = both.select("fp", "set").distinct()
+    named = work.keep(of.groupBy("fp").agg(F.min("set").alias("b")), "named")
+    ends = hamming_links(one.select("fp"), radius, work)
+    near = ends.join(named.select(F.col("fp").alias("a"), F.col("b").alias("x")), "a").join(named.select(F.col("fp").alias("b"), F.col("b").alias("y")), "b")
+    links = of.join(named, "fp").select(F.col("set").alias("a"), "b").where("a <> b").union(near.select("x", "y")).union(alike)
+    groups = connected_components(links, work).select(F.col("node").alias("set"), "root")
+    rooted = both.join(groups, "set", "left").select("id", F.coalesce("root", "set").alias("root"))
+    rooted = work.keep(rooted, "rooted")
+    return rooted.join(rooted.groupBy("root").agg(F.min("id").alias("component")), "root").select("id", "component")
+
+
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, radius: int = 2, seed: int = 42, least: float = 0.8) -> DataFrame:
+    """``docs`` with one row, that of the smallest id, of each group of
+    :func:`near_duplicate_components`.
 
     Rows are told apart by their id and a hash of all their columns; of rows that
     are equal in everything, one stays.  Null texts are empty ones, and all
@@ -137,8 +161,9 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     """
     key = F.struct(F.col(id_col).isNull().alias("missing"), F.col(id_col).alias("id"), F.xxhash64(*docs.columns).alias("row"))
     keyed = docs.withColumn("_key", key)
-    groups = simhash_components(keyed, "_key", text_col, words, radius, seed)
-    rows = groups.where("id <=> component").groupBy("id").agg(F.count("*").alias("n"))
+    groups = near_duplicate_components(keyed, "_key", text_col, words, radius, least, seed)
+    copies = keyed.groupBy(F.col("_key").alias("id")).agg(F.count("*").alias("n"))
+    rows = groups.where("id <=> component").join(copies, "id")
     kept = Workspace(docs.sparkSession, "simhash").keep(rows.select(F.col("id").alias("_key"), "n"), "kept")
     # the keys are the build side, so the texts are neither sorted nor held
     single = keyed.join(kept.where("n = 1").hint("shuffle_hash"), "_key", "left_semi").drop("_key")

@@ -101,3 +101,38 @@ def test_one_of_each_group_stays(spark):
     twice = awkward(spark).where("doc_id = 27")
     assert without_near_duplicates(twice).count() == 1
     assert without_near_duplicates(empty(spark)).count() == 0
+
+
+def test_near_copies_beyond_the_radius_go(spark):
+    rng = random.Random(8)
+    vocabulary = [f"word{i}" for i in range(400)]
+    rows, made = [], {}
+    for g in range(40):
+        base = rng.choices(vocabulary, k=rng.randint(90, 300))
+        made[len(rows)] = base
+        rows.append(base)
+        for _ in range(2):
+            copy = list(base)
+            for at in rng.sample(range(len(copy)), max(1, len(copy) // 60)):
+                copy[at] = f"edit{rng.random()}"
+            rows.append(copy)
+    # one large group, and a line that half of the texts share
+    hot = rng.choices(vocabulary, k=200)
+    rows += [hot[:i] + [f"hot{i}"] + hot[i + 1 :] for i in range(150)]
+    line = rng.choices(vocabulary, k=30)
+    rows += [rng.choices(vocabulary, k=70) + line for _ in range(150)]
+
+    sets = [{tuple(r[i : i + 5]) for i in range(len(r) - 4)} for r in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = root[i], root[j]
+                root = [min(a, b) if x in (a, b) else x for x in root]
+    prints = [fingerprint(" ".join(r).encode(), 5, 42) for r in rows]
+    beyond = [i for i in range(120) if root[i] != i and (prints[i] ^ prints[root[i]]).bit_count() > 2]
+    assert len(beyond) > 40
+    frame = spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], "doc_id long, text string").repartition(3)
+    kept = {r.doc_id for r in without_near_duplicates(frame).select("doc_id").collect()}
+    assert kept == set(root)
