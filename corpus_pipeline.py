@@ -17,14 +17,14 @@ from quarryline.workspace import Workspace
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in no language: null, empty or without any letter.  A null
-    ``lang`` becomes the predicted one."""
+    ``lang`` becomes the predicted one, and stays where no language could be learned."""
     found = langid.predict(docs, langid.train(docs), names=("_predicted", "_score"))
-    kept = found.where("_predicted <> 'und'").withColumn("lang", F.coalesce("lang", "_predicted"))
+    kept = found.where("_predicted <> 'und' or _score is null").withColumn("lang", F.expr("coalesce(lang, if(_score is null, null, _predicted))"))
     return kept.select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, that of the smallest id, of each SimHash group."""
+    """Keeps one document, that of the smallest id, of each group of near copies."""
     return simhash.without_near_duplicates(docs)
 
 

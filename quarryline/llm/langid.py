@@ -65,9 +65,11 @@ class Model:
     slope: np.ndarray
     offset: np.ndarray
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.families or not has_letter(text):
+    def predict(self, text: str | None) -> tuple[str, float | None]:
+        if not has_letter(text):
             return "und", 0.0
+        if not self.families:
+            return "und", None
         m = self.bias.copy()
         c = codes(text)
         for at in range(0, len(c), 1 << 16):
@@ -144,8 +146,8 @@ def train(docs: DataFrame, most: int = 1000, id_col: str = "doc_id", text_col: s
 def predict(docs: DataFrame, model: Model, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "lang_score")) -> DataFrame:
     """``docs`` with the predicted language and its score added under ``names``.
 
-    ``und`` with score 0 where the text is null, empty or has no letter, or no
-    language was learned.  Whole texts are read, whatever their length.
+    ``und`` with score 0 where the text is null, empty or has no letter, and with
+    a null score for other texts where no language was learned.  Whole texts are read, whatever their length.
     """
     modest_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of weights

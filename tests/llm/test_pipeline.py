@@ -31,3 +31,9 @@ def test_stages_on_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], ", ".join(SCHEMA.split(", ")[:5])).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_a_table_without_languages_keeps_its_texts(spark):
+    docs = spark.createDataFrame([(1, "a stone in the river", None), (2, "123 !", None), (3, None, None), (4, "", None)], "doc_id long, text string, lang string")
+    kept = corpus_pipeline.identify_language(spark, docs, "").collect()
+    assert [(r.doc_id, r.lang) for r in kept] == [(1, None)]
