@@ -31,7 +31,7 @@ from quarryline.workspace import modest_batches
 SAMPLED = 2  # steps in a key
 #: Words of the items that are held, and broadcast, at a time.
 BLOCK_WORDS = 1_000_000
-#: Words of an item that count: longer ones are searched by consecutive parts.
+#: Longer items are searched by parts of equal length, of at most so many words.
 PART_WORDS = 256
 SLICE = 1 << 21
 
@@ -175,11 +175,23 @@ class Index:
     masks: dict[int, np.ndarray] = field(default_factory=dict)
     walks: dict[int, Walks] = field(default_factory=dict)
     tables: dict[int, dict] = field(default_factory=dict)  # by size: key -> items
+    wholes: list = field(default_factory=list)  # of long items: (words, edits)
+    part_of: dict[int, tuple] = field(default_factory=dict)  # of their parts: (whole, offset)
 
     @classmethod
     def of(cls, items: list[tuple], share: float, recall: float) -> Index:
-        parts = [(i, h[at : at + PART_WORDS]) for i, h in items for at in range(0, len(h), PART_WORDS)]
-        out = cls([p[0] for p in parts], [p[1] for p in parts], [math.floor(share * len(p[1]) + 1e-9) for p in parts])
+        out = cls([], [], [])
+        for i, h in items:
+            n = math.ceil(len(h) / PART_WORDS)
+            bounds = [len(h) * p // n for p in range(n + 1)]
+            if n > 1:
+                out.wholes.append((h, math.floor(share * len(h) + 1e-9)))
+            for a, z in zip(bounds, bounds[1:]):
+                if n > 1:
+                    out.part_of[len(out.ids)] = len(out.wholes) - 1, a
+                out.ids.append(i)
+                out.items.append(h[a:z])
+                out.edits.append(math.floor(share * (z - a) + 1e-9))
         runs: dict[int, dict] = defaultdict(lambda: defaultdict(list))
         sizes: dict[int, list] = defaultdict(list)
         for j, (h, k) in enumerate(zip(out.items, out.edits)):
@@ -217,7 +229,10 @@ class Index:
         return starts
 
     def find(self, many: list[np.ndarray]):
-        """For each sequence of words: {item: (edits, first word, end word)}."""
+        """For each sequence of words: {item: (edits, first word, end word)}.
+
+        An item within its edits has a part within that part's share of them, so
+        the whole of a long item is verified wherever a part of it is found."""
         out: list[dict] = [{} for _ in many]
         rows: dict[int, list] = defaultdict(list)
         for d, h in enumerate(many):
@@ -238,9 +253,23 @@ class Index:
                 for r, c in zip(*np.nonzero(known[place] == keys)):
                     for j in table[int(keys[r, c])]:
                         asked[group[r][0], j].append(group[r][1])
+        spots: dict[tuple, list] = defaultdict(list)  # by text and long item: (part, start of the item)
         for (d, j), starts in asked.items():
             item, k, h = self.items[j], self.edits[j], many[d]
-            for a, z in _joined(sorted(set(starts)), len(item) + k, k, len(h)):
+            starts = sorted(set(starts))
+            for a, z in _joined(starts, len(item) + k, k, len(h)):
+                cost, first, end = edit_distance(item, h[a:z])
+                if cost > k:
+                    continue
+                if j in self.part_of:
+                    w, offset = self.part_of[j]
+                    spots[d, w] += [(j, max(0, s - offset)) for s in starts if a <= s < z]
+                elif j not in out[d] or cost < out[d][j][0]:
+                    out[d][j] = (cost, a + first, a + end)
+        for (d, w), where in spots.items():
+            (item, k), h, j = self.wholes[w], many[d], min(where)[0]
+            slack = k + max(self.edits[p] for p, _ in where)
+            for a, z in _joined(sorted({s for _, s in where}), len(item) + slack, slack, len(h)):
                 cost, first, end = edit_distance(item, h[a:z])
                 if cost <= k and (j not in out[d] or cost < out[d][j][0]):
                     out[d][j] = (cost, a + first, a + end)
@@ -295,8 +324,8 @@ def contaminated(
     ``share`` of the item's words in edits.
 
     Returns ``id, item_id, edits, start, end``: the best stretch, in code points
-    of the text.  An item of over 256 words matches by any of its parts of that
-    size.  Null and empty texts or items match nothing, rows that repeat an id
+    of the text.  Items of over 256 words are found by parts and verified whole.
+    Null and empty texts or items match nothing, rows that repeat an id
     are searched apart, and whole texts are searched.  The items are taken in
     blocks of bounded size, each a pass over ``docs``.
     """

@@ -94,3 +94,18 @@ def test_items_in_blocks(spark, monkeypatch):
     b = spark.createDataFrame(items, "item_id long, text string")
     assert {(r.id, r.item_id) for r in D.contaminated(docs, b).collect()} == {(j, j) for j in range(4)}
     assert [r.doc_id for r in D.without_contaminated(docs, b).collect()] == [9]
+
+
+def test_long_items_are_verified_whole():
+    rng = random.Random(9)
+    for n in (257, 258, 300, 513, 700):
+        item = [f"i{n}x{j}" for j in range(n)]
+        index = D.Index.of([(n, D.words(" ".join(item).encode())[0])], 0.2, 0.99)
+        assert all(len(p) >= 128 for p in index.items)
+        other = rng.choices(VOCABULARY, k=150)
+        texts = [other + item[-1:] + other, other + item[:200] + other, other + edited(rng, item, n // 10) + other, item, other + edited(rng, item, n // 3) + other]
+        found = index.find([D.words(" ".join(t).encode())[0] for t in texts])
+        assert not found[0] and not found[1] and not found[4]
+        (cost, first, end), *rest = found[2].values()
+        assert not rest and 0 < cost <= n // 10 and abs(first - 150) <= 2
+        assert list(found[3].values()) == [(0, 0, n)]
