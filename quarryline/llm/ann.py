@@ -82,7 +82,10 @@ def _matrix(column, dims: int) -> np.ndarray:
 
 def fit(sample: np.ndarray, n: int, neighbours: int, recall: float, tables: int = 2, queries: int = 100, most: int = 2048) -> tuple[Hashing, int]:
     """The hashing for ``n`` vectors, and the least number of probes with which
-    ``recall`` of the true neighbours in ``sample`` are found."""
+    ``recall`` of the true neighbours in ``sample`` are found.
+
+    ``k`` falls from what ``n`` suggests until at most ``most`` probes reach the
+    recall; where none does, this raises ``ValueError``."""
     k = 0 if n <= CHUNK else max(1, round(math.log2(n / 500) / 1.5))
     hashing = Hashing(sample.shape[1], k, tables if k else 1)
     if not k or len(sample) < 2:
@@ -92,14 +95,19 @@ def fit(sample: np.ndarray, n: int, neighbours: int, recall: float, tables: int
     near = asked @ unit.T
     near[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
     best = np.argsort(-near, axis=1)[:, :neighbours]
-    rank = np.full(best.shape, most)
-    for t in range(hashing.tables):
-        there = hashing.key(np.floor(hashing.place(unit, t)), t)
-        order = hashing.probes(asked, t, most)
-        for q in range(len(asked)):
-            at = {key: r for r, key in enumerate(order[q].tolist())}
-            rank[q] = np.minimum(rank[q], [at.get(int(there[j]), most) for j in best[q]])
-    return hashing, int(min(most, np.quantile(rank, recall, method="higher") + 1))
+    for k in range(k, 0, -1):
+        hashing = Hashing(sample.shape[1], k, tables)
+        rank = np.full(best.shape, most)
+        for t in range(hashing.tables):
+            there = hashing.key(np.floor(hashing.place(unit, t)), t)
+            order = hashing.probes(asked, t, most)
+            for q in range(len(asked)):
+                at = {key: r for r, key in enumerate(order[q].tolist())}
+                rank[q] = np.minimum(rank[q], [at.get(int(there[j]), most) for j in best[q]])
+        needed = int(np.quantile(rank, recall, method="higher")) + 1
+        if needed <= most:
+            return hashing, needed
+    raise ValueError(f"no hashing reaches a recall of {recall} with {most} probes")
 
 
 def _cells(batches, hashing: Hashing):

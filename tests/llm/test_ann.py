@@ -63,3 +63,21 @@ def test_probes_come_in_order_of_cost():
     keys = h.probes(unit, 0, 40)
     assert keys.shape == (4, 40) and all(len(set(k)) == 40 for k in keys.tolist())
     assert (keys[:, 0] == h.key(np.floor(h.place(unit, 0)), 0)).all()
+
+
+def test_probes_reach_the_recall_or_fitting_fails():
+    sample = np.random.default_rng(5).normal(size=(3000, 64))
+    hashing, most = ann.fit(sample, 10_000_000, 5, 0.97)
+    assert 0 < hashing.k < 10 and most <= 2048
+    unit = ann._unit(sample)
+    near = unit[:100] @ unit.T
+    near[np.arange(100), np.arange(100)] = -2
+    best = np.argsort(-near, axis=1)[:, :5]
+    met = np.zeros(best.shape, bool)
+    for t in range(hashing.tables):
+        there = hashing.key(np.floor(hashing.place(unit, t)), t)
+        for q, keys in enumerate(hashing.probes(unit[:100], t, most)):
+            met[q] |= np.isin(there[best[q]], keys)
+    assert met.mean() >= 0.97
+    with pytest.raises(ValueError):
+        ann.fit(sample, 10_000_000, 5, 0.97, most=1)
