@@ -12,7 +12,8 @@ import os
 import re
 import struct
 import zlib
-from itertools import batched, islice
+from codecs import charmap_decode
+from itertools import batched, chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,20 +22,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from quarryline.llm.chunks import SLICE, Table, buffers, groups, hashes, white
 from quarryline.workspace import modest_batches
 
 # Unicode's White_Space characters, as the tokenizer's own pattern takes them.
 WHITE = "\t-\r \x85\xa0  -     　"
 _CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-_SEAM = re.compile(f"(?<=[^{WHITE}])[{WHITE}]")
 # ASCII marks but for the apostrophe, which may start a contraction.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_MARKS = MARKS.encode()
 # Byte-level tokenizers stand a printable sign for every byte.
 _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
-#: Characters of text that are in work at once, and chunks that a worker
-#: remembers; of these it keeps the first ones when it runs full.
-SLICE, REMEMBERED, KEPT = 1 << 20, 900_000, 300_000
+_SIGN_TABLE = "".join(chr(_SIGNS.get(b, b)) for b in range(256))
+# White space that isn't ASCII, as bytes.
+_WIDE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+#: Chunks that a worker remembers; when they run full it starts anew.
+REMEMBERED = 1_500_000
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -47,8 +51,8 @@ class ChunkEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids, as bytes.
 
     Special tokens aren't added; their strings inside a text are taken as the
-    tokenizer file says.  Memory is bounded by ``SLICE`` and ``REMEMBERED``,
-    whatever the length of a text.
+    tokenizer file says.  Memory is bounded by ``SLICE`` (but for a single chunk
+    or text that is longer) and ``REMEMBERED``.
     """
 
     _of: dict[str, ChunkEncoder] = {}
@@ -63,8 +67,8 @@ class ChunkEncoder:
         if rules["normalizer"] or kind.get("type") != "ByteLevel" or kind["add_prefix_space"] or not kind["use_regex"]:
             raise ValueError("only plain byte-level tokenizers can be asked chunk by chunk")
         self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {}  # by chunk
-        self.plain: dict[str, bytes] = {}  # by what stands between single spaces, see _split
+        self.pieces: dict[bytes, list[int]] = {}  # ids of marks and line feeds
+        self._forget()
 
     @classmethod
     def of(cls, path: str) -> ChunkEncoder:
@@ -73,109 +77,120 @@ class ChunkEncoder:
             cls._of[path] = cls(path)
         return cls._of[path]
 
-    def _merged(self, piece: str) -> bytes:
-        """The ids of what the tokenizer would not split before it merges bytes."""
-        ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(_SIGNS))]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _ask_piece(self, piece: str) -> bytes:
-        code = self.known[piece] = self._merged(piece)
-        return code
+    def _forget(self) -> None:
+        self.table = Table(REMEMBERED)
+        self.begin, self.length = np.zeros(REMEMBERED, np.int64), np.zeros(REMEMBERED, np.int64)
+        self.flat, self.used = np.zeros(1 << 20, "<u4"), 0
 
-    def _ask(self, parts: set[str]) -> None:
-        for group in batched(parts.difference(self.known), 4096):
-            for part, code in zip(group, self.tokenizer.encode_batch_fast(group, add_special_tokens=False)):
-                self.known[part] = struct.pack(f"<{len(code)}I", *code.ids)
+    def _merged(self, piece: bytes) -> list[int]:
+        """The ids of what the tokenizer would not split before it merges bytes."""
+        return [t.id for t in self.model.tokenize(charmap_decode(piece, "strict", _SIGN_TABLE)[0])]
+
+    def _piece(self, piece: bytes) -> list[int]:
+        if piece not in self.pieces:
+            if len(self.pieces) > 50_000:
+                self.pieces.clear()
+            self.pieces[piece] = self._merged(piece)
+        return self.pieces[piece]
+
+    def _asked(self, chunks: list[bytes]) -> list[list[int]]:
+        """The ids of chunks that the table doesn't hold."""
+        out: list = [None] * len(chunks)
+        other, marked = [], []
+        for i, chunk in enumerate(chunks):
+            core = chunk[1:].rstrip(_MARKS)
+            # a Latin word and the marks behind it are apart in every such tokenizer
+            if chunk[:1] not in (b" ", b"\n") or not (core.isalpha() or _latin(core)):
+                other.append(i)
+            elif chunk[:1] == b"\n":
+                out[i] = [*self._piece(b"\n"), *self._merged(core)]
+                if len(core) + 1 < len(chunk):
+                    out[i] += self._piece(chunk[len(core) + 1 :])
+            elif len(core) + 1 == len(chunk):
+                out[i] = self._merged(chunk)
+            else:
+                marked.append((i, chunk[: len(core) + 1], chunk[len(core) + 1 :]))
+        if marked:
+            cores = np.frombuffer(b"".join(m[1] for m in marked), np.uint8)
+            stop = np.cumsum([len(m[1]) for m in marked])
+            found = self.table.find(*hashes(cores, np.append(0, stop[:-1]), stop))
+            for (i, core, marks), e in zip(marked, found.tolist()):
+                ids = self._merged(core) if e < 0 else self.flat[self.begin[e] : self.begin[e] + self.length[e]].tolist()
+                out[i] = [*ids, *self._piece(marks)]
+        for group in batched(other, 4096):
+            for i, code in zip(group, self.tokenizer.encode_batch_fast([chunks[i].decode() for i in group], add_special_tokens=False)):
+                out[i] = code.ids
+        return out
 
-    @staticmethod
-    def _split(text: str) -> tuple[str, list[str]]:
-        """A text's first chunk, and the others without their leading space; a
-        chunk that starts with "\n" had none.  Only texts in which single spaces
-        or line feeds stand between chunks can be told so."""
-        first, *rest = text.replace("\n", " \n").split(" ")
-        if not first and text[:1] == "\n":
-            first, *rest = rest
-        return first, rest
+    def _learn(self, h: np.ndarray, first: np.ndarray, codes: list[list[int]]) -> None:
+        size = np.array([len(c) for c in codes], np.int64)
+        ids = np.fromiter(chain.from_iterable(codes), "<u4", int(size.sum()))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), "<u4")])
+        self.flat[self.used : self.used + len(ids)] = ids
+        n, k = self.table.size, len(codes)
+        self.begin[n : n + k], self.length[n : n + k] = self.used + np.cumsum(size) - size, size
+        self.used += len(ids)
+        self.table.add(h, first)
 
     @staticmethod
-    def _chunk(part: str) -> str | None:
-        """The chunk that a part stands for; None if it is no single chunk."""
-        chunk, word = (part, part[1:]) if part[:1] == "\n" else (" " + part, part)
-        return chunk if word.split() == [word] else None
-
-    def _codes(self, parts: set[str]) -> dict[str, bytes | None]:
-        """The ids of each part, None for those that are no single chunks."""
-        plain, known = self.plain, self.known
-        codes = {p: plain.get(p) for p in parts}
-        new = [p for p, code in codes.items() if code is None]
-        if len(plain) + len(known) + 2 * len(new) > REMEMBERED:
-            self.plain = plain = dict(islice(plain.items(), KEPT))
-            self.known = known = dict(islice(known.items(), KEPT))
-        other = {}
-        for p in new:
-            word = p[1:] if p[:1] == "\n" else p
-            core = word.rstrip(MARKS)
-            if not core.isalpha() or not (core.isascii() or max(core) < "ɐ"):
-                other[p] = self._chunk(p)
+    def _starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Where the chunks of texts start: at each text, and at each run of white space."""
+        start = np.zeros(len(data) + 1, bool)
+        if len(data) and data.max() >= 0x80 and _WIDE.search(data.data):
+            for a, z in zip(bounds, bounds[1:]):
+                at = int(a)
+                for chunk in _CHUNK.findall(data[a:z].tobytes().decode()):
+                    start[at] = True
+                    at += len(chunk.encode())
+        else:
+            blank = white(data)
+            start[1:-1] = blank[1:] & ~blank[:-1]
+        start[bounds] = True
+        return np.flatnonzero(start[:-1])
+
+    def _ids(self, data: np.ndarray, at: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of chunks, one after the other, and how many each has."""
+        h, first = hashes(data, at, stop)
+        entry = self.table.find(h, first)
+        while (entry < 0).any():
+            miss = np.flatnonzero(entry < 0)
+            new = miss[np.unique(h[miss], return_index=True)[1]]
+            if self.table.size + len(new) > REMEMBERED:
+                self._forget()
+                entry[:] = -1
                 continue
-            # a Latin word and the marks behind it are apart in every such tokenizer
-            if p is word:  # the word alone is a part as well, so it is held once
-                code = plain.get(core)
-                if code is None:
-                    code = plain[core] = self._merged(" " + core)
-            else:
-                code = (known.get("\n") or self._ask_piece("\n")) + (known.get(core) or self._ask_piece(core))
-            if core is not word and (marks := word[len(core) :]):
-                code += known.get(marks) or self._ask_piece(marks)
-            codes[p] = plain[p] = code
-        self._ask({c for c in other.values() if c})
-        for p, chunk in other.items():
-            if chunk:
-                codes[p] = plain[p] = self.known[chunk]
-        return codes
-
-    def _one(self, text: str) -> bytes:
-        """The ids of any text, slice by slice."""
-        at, out = 0, []
-        while at < len(text):
-            seam = _SEAM.search(text, at + SLICE) if len(text) - at > SLICE else None
-            stop = seam.start() if seam else len(text)
-            chunks = _CHUNK.findall(text, at, stop)
-            self._ask(set(chunks))
-            out.append(b"".join(map(self.known.__getitem__, chunks)))
-            at = stop
-        return b"".join(out)
+            raw = data.tobytes()
+            self._learn(h[new], first[new], self._asked([raw[a:z] for a, z in zip(at[new].tolist(), stop[new].tolist())]))
+            entry[miss] = self.table.find(h[miss], first[miss])
+        size = self.length[entry]
+        return self.flat[np.arange(size.sum()) + np.repeat(self.begin[entry] - (np.cumsum(size) - size), size)], size
 
     def encode(self, texts, end: bytes = b""):
-        """Yields the ids of each text, with ``end`` behind them.  Null is the
-        empty text."""
-        group: list[str] = []
-        size = 0
-        for text in texts:
-            text = text or ""
-            if len(text) > SLICE:
-                yield from self._group(group, end)
-                group, size = [], 0
-                yield self._one(text) + end
-                continue
-            group.append(text)
-            size += len(text)
-            if size > SLICE:
-                yield from self._group(group, end)
-                group, size = [], 0
-        yield from self._group(group, end)
-
-    def _group(self, texts: list[str], end: bytes):
-        split = [self._split(t) for t in texts]
-        get, out = self._codes(set().union(*(rest for _, rest in split))).__getitem__, []
-        self._ask({first for first, _ in split if first})
-        for text, (first, rest) in zip(texts, split):
-            codes = list(map(get, rest))
-            if None in codes or first.split() not in ([first], [first[1:]], []):  # other white space
-                out.append(self._one(text) + end)
-            else:
-                out.append((self.known[first] if first else b"") + b"".join(codes) + end)
-        return out
+        """Yields the ids of each text of an Arrow column or a list, with ``end``
+        behind them.  Null is the empty text."""
+        data, bounds = buffers(texts if isinstance(texts, (pa.Array, pa.ChunkedArray)) else pa.array(list(texts), pa.string()))
+        for i, j in groups(bounds):
+            part, here = data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i]
+            at = self._starts(part, here)
+            stop = np.append(at[1:], len(part)) if len(at) else at
+            ids, size = zip(*[self._ids_of(part, at[a:z], stop[a:z]) for a, z in groups(np.append(at, len(part)))] or [(np.zeros(0, "<u4"), np.zeros(0, np.int64))])
+            raw = np.concatenate(ids).tobytes()
+            ends = 4 * np.append(0, np.cumsum(np.concatenate(size)))[np.searchsorted(at, here)]
+            for a, z in zip(ends.tolist(), ends[1:].tolist()):
+                yield raw[a:z] + end
+
+    def _ids_of(self, data: np.ndarray, at: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if len(at) == 1 and stop[0] - at[0] > SLICE:  # one chunk that isn't worth remembering
+            ids = self.tokenizer.encode(data[at[0] : stop[0]].tobytes().decode(), add_special_tokens=False).ids
+            return np.array(ids, "<u4"), np.array([len(ids)])
+        return self._ids(data[at[0] : stop[-1]], at - at[0], stop - at[0])
+
+
+def _latin(core: bytes) -> bool:
+    """Whether a word has Latin letters only."""
+    text = core.decode()
+    return text.isalpha() and max(text) < "ɐ"
 
 
 def encoded(batches, path: str, end: int):
@@ -183,7 +198,7 @@ def encoded(batches, path: str, end: int):
     ``batches`` with columns id and text."""
     encoder, mark = ChunkEncoder.of(path), struct.pack("<I", end)
     for b in batches:
-        yield from zip(b.column(0).to_pylist(), encoder.encode((x.as_py() for x in b.column(1)), mark))
+        yield from zip(b.column(0).to_pylist(), encoder.encode(b.column(1), mark))
 
 
 _FILE_SCHEMA = "shard int, shard_start bigint, doc_id {id}, n_tokens int, ids array<int>"

@@ -2,9 +2,11 @@ import random
 import struct
 import zlib
 
+import numpy as np
 import pytest
 from tests.llm.helpers import awkward, empty
 
+from quarryline.llm import chunks
 from quarryline.llm import tokens as T
 from quarryline.llm.packing import Packer, pack_documents
 from quarryline.workspace import Workspace
@@ -26,13 +28,28 @@ def test_chunks_encode_like_the_whole(monkeypatch):
     for text, code in zip(texts, encoder.encode(texts)):
         assert list(struct.unpack(f"<{len(code) // 4}I", code)) == ids_of(text), repr(text)
     monkeypatch.setattr(T, "SLICE", 1000)
-    long = "word one  two\t\t three.\n" * 3000
-    code = next(encoder.encode([long]))
-    assert list(struct.unpack(f"<{len(code) // 4}I", code)) == ids_of(long)
-    monkeypatch.setattr(T, "REMEMBERED", 10)
-    monkeypatch.setattr(T, "KEPT", 3)
+    monkeypatch.setattr(chunks, "SLICE", 1000)
+    for long in ("word one  two\t\t three.\n" * 3000, "a" * 5000 + " b\xa0 c" * 500):
+        code = next(encoder.encode([long]))
+        assert list(struct.unpack(f"<{len(code) // 4}I", code)) == ids_of(long)
+    monkeypatch.setattr(T, "REMEMBERED", 1000)
     small = T.ChunkEncoder(PATH)
-    assert [len(c) // 4 for c in small.encode(texts[:200])] == [len(ids_of(t)) for t in texts[:200]]
+    assert [len(c) // 4 for c in small.encode(texts)] == [len(ids_of(t)) for t in texts]
+
+
+def test_table_finds_what_it_holds():
+    rng = random.Random(2)
+    known = [bytes(rng.choices(b"ab ", k=rng.randint(1, 12))) for _ in range(500)]
+    data = np.frombuffer(b"".join(known), np.uint8)
+    stop = np.cumsum([len(k) for k in known])
+    h, first = chunks.hashes(data, np.append(0, stop[:-1]), stop)
+    _, one = np.unique(h, return_index=True)
+    assert len(one) == len(set(known))
+    table = chunks.Table(600)
+    table.add(h[one], first[one])
+    number = table.find(h, first)
+    assert [known[one[e]] for e in number] == known
+    assert (table.find(h, first + np.uint64(1)) == -1).all()
 
 
 def test_token_files_round_trip(spark):
