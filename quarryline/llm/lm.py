@@ -1,17 +1,25 @@
 """Language-model scores by a log-bilinear model trained with noise-contrastive
 estimation.
 
-The model predicts one of ``SYMBOLS`` symbols: the end of a text, each of the
-commonest words, or a class of rarer words told by their last two bytes.  The
-vectors of the preceding symbols, scaled per position, add up to a query; its
-products with all symbols' vectors, plus biases, are normalised by a softmax, in
-batches of matrix products.  A rarer word has its smoothed share of its class.
-
-Training takes every token of the learning rows: each Spark partition trains
-from the same start, and the mean of their weights by tokens is the model.
+The model predicts symbols: the end of a text, each of the commonest words, or a
+class of rarer words told by their last two bytes; a rarer word has its smoothed
+share of its class.  ``BINS`` bins hold ``BINS`` symbols of like frequency each.
+The vectors of the preceding symbols, scaled per position, add up to a query; its
+products with the bins' vectors, and with those of the symbols of one bin, plus
+biases, are normalised by a softmax each, so that a token's probability is exact
+for two small batches of matrix products instead of one over all symbols.
+
+Training is noise-contrastive on both levels: noise for the bin comes from the
+bins' frequencies, noise for the symbol from those within the bin.  It takes every
+token of the learning rows.  Texts are cut and coded once, into a table that
+training and scoring read.  Learning rows are dealt to rounds and, within a round,
+to shards by a hash of their id and codes; a shard trains in a fixed order from
+the last round's mean, with a seed of its own, so the model doesn't depend on how
+the rows lie in files or partitions.
+
 Counts of words cover all learning rows; the commonest ``HEAD`` words go to the
-tasks with the model, and the counts of all others meet the texts that hold them
-in a join, after each text has counted its own.
+tasks, and the counts of all others meet the texts that hold them in a join,
+after each text has counted its own.
 """
 
 from __future__ import annotations
@@ -26,17 +34,18 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarryline.llm.chunks import Table, buffers, groups, hashes, lowered
+from quarryline.llm.chunks import words as word_bounds
 from quarryline.workspace import Workspace, modest_batches
 
-#: Of the symbols, ``CLASSES`` are classes; ``HEAD`` bounds what is broadcast.
-SYMBOLS, CLASSES, HEAD = 256, 64, 200_000
-WIDTH, CONTEXT, NOISE, BATCH = 24, 4, 32, 4096
-_SINGLE = SYMBOLS - CLASSES - 1
-
-
-def words_of(text: bytes | None) -> list[bytes]:
-    """A-Z lowered, split at ASCII white space."""
-    return (text or b"").lower().split()
+#: ``CLASSES`` of the ``BINS * BINS`` symbols are classes of rarer words; ``HEAD``
+#: bounds what is broadcast.
+BINS, CLASSES, HEAD = 64, 128, 200_000
+SYMBOLS = BINS * BINS
+WIDTH, CONTEXT, NOISE = 24, 4, 16
+#: Most tokens of a step, tokens of a shard, and the rounds of averaging.
+BATCH, SHARD, ROUNDS = 16384, 2 << 20, 3
+FINE = 1 << 20  # steps between 0 and 1 in which shards tell their weights
 
 
 def _class(word: bytes) -> int:
@@ -47,6 +56,11 @@ def _class_column(word: Column) -> Column:
     return (F.crc32(F.when(F.length(word) < 2, word).otherwise(F.substring(word, -2, 2))) % CLASSES).cast("int")
 
 
+def words_of(text: bytes | None) -> list[bytes]:
+    """A-Z lowered, split at ASCII white space."""
+    return (text or b"").lower().split()
+
+
 def _counted(batches):
     """Counts of words, summed up over as many texts as fit in bounded memory."""
     seen: Counter = Counter()
@@ -66,36 +80,53 @@ def _counted(batches):
 
 @dataclass
 class Vocabulary:
-    """What the corpus says of symbols and common words; of bounded size."""
+    """What the corpus says of symbols and common words; of bounded size.
 
-    head: dict[bytes, tuple[int, int]]  # word -> (symbol, count)
+    A common word's code is its rank; the codes from ``len(words)`` on are the
+    classes of all other words, and the last one is the end.
+    """
+
+    words: list[bytes]  # the commonest words, commonest first
+    count: np.ndarray  # of each of them
     tokens: int
     distinct: int
     ends: int
-    class_tokens: np.ndarray  # of the words that aren't symbols
+    class_tokens: np.ndarray  # of the words that aren't symbols of their own
     class_words: np.ndarray
 
-    def symbol_counts(self) -> np.ndarray:
-        n = np.zeros(SYMBOLS)
-        n[0] = self.ends
-        for symbol, count in self.head.values():
-            if symbol <= _SINGLE:
-                n[symbol] = count
-        n[_SINGLE + 1 :] = self.class_tokens
-        return n
-
-
-class _Symbols(dict):
-    """Symbols of words; a word that isn't known has its class's."""
-
-    def __missing__(self, word: bytes) -> int:
-        return _SINGLE + 1 + _class(word)
-
-
-def vocabulary(learn: DataFrame, work: Workspace, text_col: str) -> tuple[Vocabulary, DataFrame]:
-    """The vocabulary, and the table ``word, c`` of all words' counts."""
-    texts = learn.select(F.col(text_col).cast("binary").alias("text"))
-    counts = work.keep(texts.mapInArrow(_counted, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("c")), "counts")
+    def __post_init__(self):
+        n = min(len(self.words), SYMBOLS - CLASSES - 1)
+        rare = [n + _class(w) for w in self.words[n:]]
+        # by code: the number of a symbol before the symbols are put in bins
+        plain = np.array([*range(n), *rare, *range(n, n + CLASSES + 1)], np.int64)
+        size = np.zeros(SYMBOLS)
+        size[:n], size[n : n + CLASSES], size[n + CLASSES] = self.count[:n], self.class_tokens + 0.5, self.ends + 0.5
+        place = np.empty(SYMBOLS, np.int64)
+        place[np.argsort(-size, kind="stable")] = np.arange(SYMBOLS)
+        self.symbol_of = place[plain]  # bins are runs of BINS symbols
+        self.size = np.zeros(SYMBOLS)  # of each symbol; 0 where none is
+        self.size[place] = size
+        self.end = int(self.symbol_of[-1])
+        # what a token of each code has besides its symbol's probability
+        share = np.zeros(len(plain))
+        within = np.log10(self.class_tokens + 0.5 * (self.class_words + 1))
+        share[n : len(self.words)] = np.log10(self.count[n:] + 0.5) - within[plain[n : len(self.words)] - n]
+        share[len(self.words) : -1] = -within
+        self.share = share
+
+    def table(self) -> Table:
+        """Finds the code of a common word."""
+        made = Table(max(1, len(self.words)))
+        if self.words:
+            data = np.frombuffer(b"".join(self.words), np.uint8)
+            stop = np.cumsum([len(w) for w in self.words])
+            made.add(*hashes(data, np.append(0, stop[:-1]), stop))
+        return made
+
+
+def vocabulary(learn: DataFrame, work: Workspace) -> tuple[Vocabulary, DataFrame]:
+    """The vocabulary of the column ``text``, and the table ``word, c`` of all words' counts."""
+    counts = work.keep(learn.select("text").mapInArrow(_counted, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("c")), "counts")
     ends = learn.count()
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     # how many words have each count (or power of two) tells from which count on
@@ -108,38 +139,76 @@ def vocabulary(learn: DataFrame, work: Workspace, text_col: str) -> tuple[Vocabu
             break
         least = at
     common = counts.where(F.col("c") >= least).collect() if least else []
-    head: dict[bytes, tuple[int, int]] = {}
-    for i, (word, c) in enumerate(sorted(((bytes(r.word), r.c) for r in common), key=lambda x: (-x[1], x[0]))):
-        head[word] = (i + 1 if i < _SINGLE else _SINGLE + 1 + _class(word), c)
-    sums = counts.groupBy(_class_column(F.col("word")).alias("k")).agg(F.sum("c"), F.count("*")).collect()
+    ranked = sorted(((bytes(r.word), r.c) for r in common), key=lambda x: (-x[1], x[0]))
     tokens, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
-    for k, c, n in sums:
+    for k, c, n in counts.groupBy(_class_column(F.col("word"))).agg(F.sum("c"), F.count("*")).collect():
         tokens[k], kinds[k] = c, n
-    for word, (symbol, c) in head.items():
-        if symbol <= _SINGLE:
-            tokens[_class(word)] -= c
-            kinds[_class(word)] -= 1
-    return Vocabulary(head, total[0] + ends, total[1] + (ends > 0), ends, tokens, kinds), counts
+    for word, c in ranked[: SYMBOLS - CLASSES - 1]:
+        tokens[_class(word)] -= c
+        kinds[_class(word)] -= 1
+    known = np.array([c for _, c in ranked], np.float64)
+    return Vocabulary([w for w, _ in ranked], known, total[0] + ends, total[1] + (ends > 0), ends, tokens, kinds), counts
+
+
+def _coded(batches, vocab: Vocabulary):
+    """Codes of each text's words, and the words that aren't common, with their counts."""
+    table, other = vocab.table(), len(vocab.words)
+    key = TaskContext.get().partitionId() << 40
+    for b in batches:
+        data, bounds = buffers(b.column(2))
+        for i, j in groups(bounds):
+            part, here = lowered(data[bounds[i] : bounds[j]]), bounds[i : j + 1] - bounds[i]
+            start, stop = word_bounds(part, here)
+            code = table.find(*hashes(part, start, stop))
+            rare = np.flatnonzero(code < 0)
+            raw = part.tobytes()
+            names = [raw[a:z] for a, z in zip(start[rare].tolist(), stop[rare].tolist())]
+            code[rare] = [other + _class(w) for w in names]
+            ends = np.searchsorted(start, here)
+            codes = code.astype("<i4").tobytes()
+            cut = np.searchsorted(rare, ends).tolist()
+            tails = [Counter(names[a:z]) for a, z in zip(cut, cut[1:])]
+            e = ends.tolist()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column(0).slice(i, j - i),
+                    b.column(1).slice(i, j - i),
+                    pa.array(range(key, key + j - i), pa.int64()),
+                    pa.array([codes[4 * a : 4 * z] for a, z in zip(e, e[1:])], pa.binary()),
+                    pa.array([list(t) for t in tails], pa.list_(pa.binary())),
+                    pa.array([list(t.values()) for t in tails], pa.list_(pa.int32())),
+                ],
+                ["id", "learns", "key", "codes", "tail", "times"],
+            )
+            key += j - i
 
 
 @dataclass
 class Weights:
     r: np.ndarray  # symbols as context
-    v: np.ndarray  # symbols as targets
+    v: np.ndarray  # symbols as targets, within their bin
+    u: np.ndarray  # bins as targets
     c: np.ndarray  # scale of each position and dimension
-    b: np.ndarray
+    b: np.ndarray  # biases of symbols
+    a: np.ndarray  # and of bins
+
+    SHAPES = ((SYMBOLS, WIDTH), (SYMBOLS, WIDTH), (BINS, WIDTH), (CONTEXT, WIDTH), (SYMBOLS,), (BINS,))
 
-    SHAPES = ((SYMBOLS, WIDTH), (SYMBOLS, WIDTH), (CONTEXT, WIDTH), (SYMBOLS,))
+    def parts(self) -> tuple:
+        return self.r, self.v, self.u, self.c, self.b, self.a
 
     @classmethod
-    def start(cls, counts: np.ndarray) -> Weights:
+    def start(cls, size: np.ndarray) -> Weights:
         rng = np.random.default_rng(17)
-        draw = [rng.normal(0, 0.3, s).astype(np.float32) for s in cls.SHAPES[:2]]
-        share = (counts + 0.5) / (counts.sum() + 0.5 * SYMBOLS)
-        return cls(*draw, np.full(cls.SHAPES[2], 0.5, np.float32), np.log(share).astype(np.float32))
+        draw = [rng.normal(0, 0.3, s).astype(np.float32) for s in cls.SHAPES[:3]]
+        bins = size.reshape(BINS, BINS)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            b = np.log(np.nan_to_num(bins / bins.sum(axis=1, keepdims=True))).ravel()
+            a = np.log(bins.sum(axis=1) / bins.sum())
+        return cls(*draw, np.full(cls.SHAPES[3], 0.5, np.float32), *[np.maximum(x, -30).astype(np.float32) for x in (b, a)])
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.r, self.v, self.c, self.b)])
+        return np.concatenate([x.ravel() for x in self.parts()])
 
     @classmethod
     def of(cls, flat: np.ndarray) -> Weights:
@@ -151,189 +220,269 @@ class Weights:
         return cls(*out)
 
     def query(self, context: np.ndarray) -> np.ndarray:
-        q = self.r[context[:, 0]] * self.c[0]
+        q = self.r[context[0]] * self.c[0]
         for i in range(1, CONTEXT):
-            q += self.r[context[:, i]] * self.c[i]
+            q += self.r[context[i]] * self.c[i]
         return q
 
     def log10_probs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Normalised log10 probabilities of the targets."""
         out = np.empty(len(target))
-        for at in range(0, len(target), 1024):  # fits a core's cache
-            to = at + 1024
-            s = self.query(context[at:to]) @ self.v.T
-            s += self.b
-            s -= s.max(axis=1, keepdims=True)
-            mine = s[np.arange(len(s)), target[at:to]].astype(np.float64)
-            np.exp(s, out=s)
-            out[at:to] = mine - np.log(s.sum(axis=1).astype(np.float64))
+        for at in range(0, len(target), 1 << 14):
+            goal = target[at : at + (1 << 14)]
+            order = np.argsort((goal // BINS).astype(np.int16), kind="stable")
+            goal, q = goal[order], self.query(context[:, at : at + (1 << 14)][:, order])
+            bins = goal // BINS
+            found = _log_share(q @ self.u.T + self.a, bins)
+            edge = np.searchsorted(bins, np.arange(BINS + 1))
+            for k in np.flatnonzero(np.diff(edge)):
+                x, z = edge[k], edge[k + 1]
+                mine = slice(k * BINS, (k + 1) * BINS)
+                found[x:z] += _log_share(q[x:z] @ self.v[mine].T + self.b[mine], goal[x:z] - k * BINS)
+            out[at + order] = found
         return out / np.log(10)
 
 
-def contexts(symbols: list[np.ndarray]):
-    """Context and target arrays of texts given as symbols without their end."""
-    size = sum(len(s) + 1 for s in symbols)
-    line = np.zeros(size + CONTEXT * len(symbols), np.int64)
-    target = np.empty(size, np.int64)
-    at = to = 0
-    for s in symbols:
-        at += CONTEXT
-        line[at : at + len(s)] = s
-        target[to : to + len(s) + 1] = np.arange(at, at + len(s) + 1)
-        at += len(s) + 1
-        to += len(s) + 1
-    line = np.append(line, 0)
-    return np.stack([line[target - i - 1] for i in range(CONTEXT)], axis=1), line[target]
+def _log_share(s: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Log softmax of one column a row."""
+    s -= s.max(axis=1, keepdims=True)
+    mine = s[np.arange(len(s)), which].astype(np.float64)
+    np.exp(s, out=s)
+    return mine - np.log(s.sum(axis=1).astype(np.float64))
 
 
-class Trainer:
-    """Noise-contrastive estimation with adaptive steps; noise is the symbols'
-    frequency, and the samples of a batch are shared by its tokens."""
+def contexts(symbols: np.ndarray, ends: np.ndarray, end: int):
+    """Context (a row a position) and target arrays of texts whose words are
+    ``symbols``, one after the other; text ``i`` stops before ``ends[i]``."""
+    n = len(ends)
+    before = np.zeros(len(symbols) + n * (CONTEXT + 1), np.int64)
+    before[:] = end
+    text = np.repeat(np.arange(n), np.diff(np.append(0, ends)))
+    before[np.arange(len(symbols)) + CONTEXT + text * (CONTEXT + 1)] = symbols
+    first = np.append(0, ends[:-1]) + np.arange(n) * (CONTEXT + 1) + CONTEXT
+    size = np.diff(np.append(0, ends)) + 1
+    target = np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
+    return np.stack([before[target - i - 1] for i in range(CONTEXT)]), before[target]
+
+
+def _sums(rows: np.ndarray, which: np.ndarray, n: int) -> np.ndarray:
+    """Sums of rows by number."""
+    return np.stack([np.bincount(which, x, n) for x in np.ascontiguousarray(rows.T)], axis=1).astype(np.float32)
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
 
-    def __init__(self, weights: Weights, counts: np.ndarray, rate: float = 0.08, seed: int = 0):
-        self.w = Weights(*(x.copy() for x in (weights.r, weights.v, weights.c, weights.b)))
-        self.noise = (counts + 0.5) / (counts + 0.5).sum()
-        self.log_noise = np.log(NOISE * self.noise).astype(np.float32)
+_ONE = np.eye(BINS, dtype=np.float32)
+
+
+class Trainer:
+    """Noise-contrastive estimation with adaptive steps.  The noise samples of a
+    batch are shared by its tokens, and within a bin by its tokens."""
+
+    def __init__(self, weights: Weights, size: np.ndarray, rate: float = 0.2, seed: int = 0):
+        self.w = Weights(*(x.copy() for x in weights.parts()))
+        bins = size.reshape(BINS, BINS)
+        total = bins.sum(axis=1)
+        self.bin_share = total / max(total.sum(), 1e-9)
+        self.share = bins / np.maximum(total, 1e-9)[:, None]
+        with np.errstate(divide="ignore"):
+            self.log_bin = np.log(NOISE * self.bin_share).astype(np.float32)
+            self.log_share = np.log(NOISE * self.share).astype(np.float32)
+        self.steps = np.cumsum(self.share, axis=1)
         self.rate, self.rng = rate, np.random.default_rng(seed)
-        self.sums = [np.full(s, 1e-3, np.float32) for s in Weights.SHAPES]
+        self.sums = [np.full(s, 1e-4, np.float32) for s in Weights.SHAPES]
         self.seen = 0
 
+    @staticmethod
+    def _pull(q, goal, bias, fake, fake_bias):
+        """Gradients of the log likelihood of real tokens and of their noise."""
+        real = np.einsum("ij,ij->i", q, goal)
+        real += bias
+        made = q @ fake.T
+        made += fake_bias
+        e, g = _sigmoid(-real), _sigmoid(made)
+        np.negative(g, out=g)
+        pull = g @ fake
+        pull += e[:, None] * goal
+        return e, g, pull
+
     def step(self, context: np.ndarray, target: np.ndarray) -> None:
+        with np.errstate(over="ignore", invalid="ignore"):
+            self._step(context, target)
+
+    def _step(self, context: np.ndarray, target: np.ndarray) -> None:
         w, n = self.w, len(target)
-        fake = self.rng.choice(SYMBOLS, NOISE, p=self.noise)
+        order = np.argsort((target // BINS).astype(np.int16), kind="stable")
+        context, target = context[:, order], target[order]
+        bins = target // BINS
         q = w.query(context)
-        real = (q * w.v[target]).sum(axis=1) + w.b[target] - self.log_noise[target]
-        made = q @ w.v[fake].T + w.b[fake] - self.log_noise[fake]
-        e = 1 / (1 + np.exp(np.clip(real, -30, 30)))  # gradient of the log likelihood
-        g = -1 / (1 + np.exp(np.clip(-made, -30, 30)))
-        dq = e[:, None] * w.v[target] + g @ w.v[fake]
-        dv = np.stack([np.bincount(target, e * q[:, d], SYMBOLS) for d in range(WIDTH)], axis=1)
-        np.add.at(dv, fake, g.T @ q)
-        db = np.bincount(target, e, SYMBOLS)
-        np.add.at(db, fake, g.sum(axis=0))
-        dr, dc = np.zeros_like(dv), np.empty((CONTEXT, WIDTH))
-        for i in range(CONTEXT):
-            part = dq * w.c[i]
-            dr += np.stack([np.bincount(context[:, i], part[:, d], SYMBOLS) for d in range(WIDTH)], axis=1)
-            dc[i] = (dq * w.r[context[:, i]]).sum(axis=0)
-        for x, s, d in zip((w.r, w.v, w.c, w.b), self.sums, (dr, dv, dc, db)):
-            d = (d / n).astype(np.float32)
+        fake = self.rng.choice(BINS, NOISE, p=self.bin_share)
+        a = w.a - self.log_bin
+        e, g, dq = self._pull(q, w.u[bins], a[bins], w.u[fake], a[fake])
+        du, da = _sums(e[:, None] * q, bins, BINS), np.bincount(bins, e, BINS).astype(np.float32)
+        drawn_by = _ONE[fake].T
+        du += drawn_by @ (g.T @ q)
+        da += drawn_by @ g.sum(axis=0)
+        pull = np.empty(n, np.float32)
+        noise_v, noise_b = np.zeros(w.v.shape, np.float32), np.zeros(w.b.shape, np.float32)
+        edge = np.searchsorted(bins, np.arange(BINS + 1)).tolist()
+        drawn = self.rng.random((BINS, NOISE))
+        for k in range(BINS):
+            x, z = edge[k], edge[k + 1]
+            if x == z:
+                continue
+            here = slice(k * BINS, (k + 1) * BINS)
+            v, b, goal = w.v[here], w.b[here] - self.log_share[k], target[x:z] - k * BINS
+            fake = np.minimum(np.searchsorted(self.steps[k], drawn[k]), BINS - 1)
+            pull[x:z], g, more = self._pull(q[x:z], v[goal], b[goal], v[fake], b[fake])
+            dq[x:z] += more
+            drawn_by = _ONE[fake].T
+            noise_v[here] = drawn_by @ (g.T @ q[x:z])
+            noise_b[here] = drawn_by @ g.sum(axis=0)
+        dv = _sums(pull[:, None] * q, target, SYMBOLS) + noise_v
+        db = np.bincount(target, pull, SYMBOLS).astype(np.float32) + noise_b
+        dr = _sums(np.concatenate([dq * c for c in w.c]), context.ravel(), SYMBOLS)
+        dc = np.stack([np.einsum("ij,ij->j", dq, w.r[context[i]]) for i in range(CONTEXT)])
+        for x, s, d in zip(w.parts(), self.sums, (dr, dv, du, dc, db, da)):
+            d *= np.float32(1 / n)
             s += d * d
-            x += self.rate * d / np.sqrt(s)
+            d *= self.rate
+            x += d / np.sqrt(s)
         self.seen += n
 
 
-def _symbolised(batches, symbols: _Symbols, column: int):
+def _trained(batches, start: Weights, vocab: Vocabulary):
+    """The weights of each shard; rows come by shard, in their shard's order."""
+    shard, trainer, pending, size = None, None, [], 0
+
+    def fit():
+        ends = np.cumsum([len(s) for s in pending])
+        context, target = contexts(np.concatenate(pending), ends, vocab.end)
+        order = trainer.rng.permutation(len(target))
+        at = 0
+        while at < len(order):
+            # small steps first: what a shard has seen tells how many tokens one takes
+            n = min(BATCH, max(512, trainer.seen // 64))
+            n = n if len(order) - at >= n + n // 2 else len(order) - at
+            trainer.step(context[:, order[at : at + n]], target[order[at : at + n]])
+            at += n
+
+    def weights():
+        # whole numbers, so that the sums over shards don't depend on their order
+        n = max(1, trainer.seen >> 10)
+        x = np.round(trainer.w.flat().astype(np.float64) * FINE).astype(np.int64) * n
+        return pa.RecordBatch.from_arrays([pa.array(np.arange(len(x), dtype=np.int32)), pa.array(x), pa.array(np.full(len(x), n))], ["i", "x", "n"])
+
     for b in batches:
-        for at in range(0, b.num_rows, 64):
-            yield [np.array(list(map(symbols.__getitem__, words_of(t.as_py()))), np.int64) for t in b.column(column).slice(at, 64)]
-
-
-def train(learn: DataFrame, vocab: Vocabulary, text_col: str) -> Weights:
-    """The model's weights from every token of ``learn``."""
-    counts = vocab.symbol_counts()
-    start = Weights.start(counts)
-    known = {w: s for w, (s, _) in vocab.head.items() if s <= _SINGLE}
-    shared = learn.sparkSession.sparkContext.broadcast((start, counts, known))
-
-    def run(batches):
-        start, counts, known = shared.value
-        trainer = Trainer(start, counts, seed=TaskContext.get().partitionId())
-        rng = np.random.default_rng(TaskContext.get().partitionId())
-        pending: list[np.ndarray] = []
-        size = 0
-
-        def fit():
-            context, target = contexts(pending)
-            order = rng.permutation(len(target))
-            for at in range(0, len(order), BATCH):
-                part = order[at : at + BATCH]
-                trainer.step(context[part], target[part])
-
-        for group in _symbolised(batches, _Symbols(known), 0):
-            pending += group
-            size += sum(len(s) + 1 for s in group)
-            if size >= 32 * BATCH:
+        for s, codes in zip(b.column(0).to_pylist(), b.column(1)):
+            if s != shard:
+                if pending:
+                    fit()
+                if trainer:
+                    yield weights()
+                shard, trainer, pending, size = s, Trainer(start, vocab.size, seed=s), [], 0
+            pending.append(vocab.symbol_of[np.frombuffer(codes.as_py(), "<i4")])
+            size += len(pending[-1]) + 1
+            if size >= 16 * BATCH:
                 fit()
                 pending, size = [], 0
-        if pending:
-            fit()
-        if trainer.seen:
-            x = trainer.w.flat().astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(x), dtype=np.int32)), pa.array(x), pa.array(np.full(len(x), float(trainer.seen)))], ["i", "x", "n"])
-
-    rows = learn.select(F.col(text_col).cast("binary")).mapInArrow(run, "i int, x double, n double")
-    mean = rows.groupBy("i").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x")).orderBy("i").collect()
-    return Weights.of(np.array([r.x for r in mean])) if mean else start
-
-
-def score(docs: DataFrame, learn: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Scores of all ``docs`` by what the texts of ``learn`` teach.
-
-    Returns ``id, n_tokens, n_known, train_tokens, base_score, score``, all
-    log10 and summed over the words and one end of a text.  Null texts are empty,
-    rows that repeat an id are scored apart, and a text is read whole, whatever
-    its length.  Without learning rows every word is unknown.
+    if pending:
+        fit()
+    if trainer:
+        yield weights()
+
+
+def train(coded: DataFrame, vocab: Vocabulary) -> Weights:
+    """The model's weights from every token of the rows of ``coded`` that learn."""
+    weights = Weights.start(vocab.size)
+    shards = max(1, round(vocab.tokens / (ROUNDS * SHARD)))
+    context = coded.sparkSession.sparkContext
+    known = context.broadcast(vocab)
+    h = F.xxhash64("id", "codes")
+    for i in range(ROUNDS):
+        start = context.broadcast(weights)
+        rows = coded.where(F.col("learns") & (F.pmod(h, F.lit(ROUNDS)) == i)).select(F.pmod(F.shiftright(h, 8), F.lit(shards)).cast("int").alias("shard"), "codes", h.alias("h"))
+        dealt = rows.repartitionById(shards, "shard").sortWithinPartitions("shard", "h").select("shard", "codes")
+        parts = dealt.mapInArrow(lambda it, start=start: _trained(it, start.value, known.value), "i int, x bigint, n bigint")
+        mean = parts.groupBy("i").agg((F.sum("x") / F.sum("n") / FINE).alias("x")).toArrow()
+        if mean.num_rows:
+            flat = np.empty(mean.num_rows)
+            flat[mean.column("i").to_numpy()] = mean.column("x").to_numpy()
+            weights = Weights.of(flat)
+    return weights
+
+
+def _scored(batches, vocab: Vocabulary, weights: Weights):
+    known = np.concatenate([vocab.count > 0, np.zeros(CLASSES + 1, bool)])
+    log = np.concatenate([np.log10(vocab.count + 0.5), np.zeros(CLASSES + 1)])
+    below = np.log10(vocab.tokens + 0.5 * (vocab.distinct + 1))
+    end_base, end_known = np.log10(vocab.ends + 0.5) - below, int(vocab.ends > 0)
+    for b in batches:
+        data, bounds = buffers(b.column(3))
+        for i, j in groups(bounds):
+            code = data[bounds[i] : bounds[j]].view("<i4") if bounds[j] > bounds[i] else np.zeros(0, np.int32)
+            ends = (bounds[i + 1 : j + 1] - bounds[i]) // 4
+            first = np.append(0, ends[:-1])
+            logs = weights.log10_probs(*contexts(vocab.symbol_of[code], ends, vocab.end))
+            lm = np.add.reduceat(logs, first + np.arange(len(first)))
+
+            def per_text(x):
+                total = np.append(0, np.cumsum(x))
+                return total[ends] - total[first]
+
+            n = ends - first
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column(0).slice(i, j - i),
+                    b.column(1).slice(i, j - i),
+                    b.column(2).slice(i, j - i),
+                    pa.array(n + 1),
+                    pa.array(per_text(known[code].astype(np.int64)) + end_known),
+                    pa.array(per_text(log[code]) - n * below + end_base),
+                    pa.array(lm + per_text(vocab.share[code])),
+                ],
+                ["id", "learns", "key", "n_tokens", "n_known", "base", "lm"],
+            )
+
+
+def score(docs: DataFrame, learns: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Scores of all ``docs`` by what those rows teach for which ``learns`` holds
+    (default: all; null: not).
+
+    Returns ``id, learns, n_tokens, n_known, train_tokens, base_score, score``,
+    all log10 and summed over the words and one end of a text.  Null texts are
+    empty, rows that repeat an id are scored apart, and a text is read whole,
+    whatever its length.  Without learning rows every word is unknown.
     """
-    modest_batches(docs.sparkSession)
-    work = Workspace(docs.sparkSession, "lm")
-    vocab, counts = vocabulary(learn, work, text_col)
-    weights = train(learn, vocab, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast((vocab, weights))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    spark = docs.sparkSession
+    modest_batches(spark)
+    work = Workspace(spark, "lm")
+    learns = F.coalesce(F.lit(True) if learns is None else learns, F.lit(False))
+    rows = docs.select(F.col(id_col).alias("id"), learns.alias("learns"), F.col(text_col).cast("binary").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-
-    def run(batches):
-        vocab, weights = shared.value
-        symbols = _Symbols({w: s for w, (s, _) in vocab.head.items()})
-        below = np.log10(vocab.tokens + 0.5 * (vocab.distinct + 1))
-        within = np.log10(vocab.class_tokens + 0.5 * (vocab.class_words + 1))
-        log_head = {w: np.log10(c + 0.5) for w, (_, c) in vocab.head.items()}
-        end_base = np.log10(vocab.ends + 0.5) - below
-        key = TaskContext.get().partitionId() << 40
-        for b in batches:
-            for at in range(0, b.num_rows, 64):
-                texts = [words_of(t.as_py()) for t in b.column(1).slice(at, 64)]
-                coded = [np.array(list(map(symbols.__getitem__, t)), np.int64) for t in texts]
-                context, target = contexts(coded)
-                logs = weights.log10_probs(context, target)
-                rare = target > _SINGLE
-                logs[rare] -= within[target[rare] - _SINGLE - 1]
-                ends = np.cumsum([len(t) + 1 for t in texts])
-                model = np.add.reduceat(logs, np.append(0, ends[:-1]))
-                out = []
-                for i, t in enumerate(texts):
-                    seen = Counter(t)
-                    base, known, tail = end_base - len(t) * below, int(vocab.ends > 0), []
-                    lm = float(model[i])
-                    for w, n in seen.items():
-                        log = log_head.get(w)
-                        if log is None:
-                            tail.append((w, n))
-                            continue
-                        base += n * log
-                        known += n
-                        if symbols[w] > _SINGLE:
-                            lm += n * log
-                    key += 1
-                    out.append((key, len(t) + 1, known, base, lm, [w for w, _ in tail], [n for _, n in tail]))
-                columns = list(zip(*out))
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, 64), *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                    ["id", "key", "n_tokens", "n_known", "base", "lm", "tail", "times"],
-                )
-
-    schema = f"id {kind}, key bigint, n_tokens bigint, n_known bigint, base double, lm double, tail array<binary>, times array<int>"
-    scored = work.keep(rows.mapInArrow(run, schema), "scored")
-    tails = scored.select("key", F.explode(F.arrays_zip("tail", "times")).alias("t")).select("key", F.col("t.tail").alias("word"), F.col("t.times").alias("n"))
+    vocab, counts = vocabulary(rows.where("learns"), work)
+    shared = spark.sparkContext.broadcast(vocab)
+    schema = f"id {kind}, learns boolean, key bigint, codes binary, tail array<binary>, times array<int>"
+    coded = work.keep(rows.mapInArrow(lambda it: _coded(it, shared.value), schema), "coded")
+    model = spark.sparkContext.broadcast(train(coded, vocab))
+    told = coded.select("id", "learns", "key", "codes").mapInArrow(
+        lambda it: _scored(it, shared.value, model.value), f"id {kind}, learns boolean, key bigint, n_tokens bigint, n_known bigint, base double, lm double"
+    )
+    scored = work.keep(told, "scored")
+    tails = coded.select("key", F.explode(F.arrays_zip("tail", "times")).alias("t")).select("key", F.col("t.tail").alias("word"), F.col("t.times").alias("n"))
     met = tails.join(counts, "word", "left").groupBy("key").agg(
         F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("more"),
         F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("known"),
     )
     more = F.coalesce("more", F.lit(0.0))
-    return scored.drop("tail", "times").join(met, "key", "left").select(
+    return scored.join(met, "key", "left").select(
         "id",
+        "learns",
         "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(int(vocab.tokens)).cast("long").alias("train_tokens"),

@@ -73,11 +73,8 @@ def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log-bilinear scores of all documents; fold 1 of 5 is held out."""
     from quarryline.llm import lm
 
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = lm.score(docs, docs.where(_remainder(5) != 1))
-    return found.withColumnRenamed("id", "doc_id").withColumn("held_out", _remainder(5) == 1).select(
-        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
-    )
+    found = lm.score(_table(spark, sf_dir, "documents"), _remainder(5) != 1)
+    return found.select(F.col("id").alias("doc_id"), (~F.col("learns")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
