@@ -11,6 +11,10 @@ the exact cosine on the original vectors.
 reaches the wanted recall on a bounded sample.  Cells are dealt out by hash and
 a large cell is split into chunks that each of its queries visits, so no cell
 is too large for a task and nothing is left out.
+
+Equal vectors are one class, with one place in the index and one visit as a
+query, whatever their number; ranks are given to their rows at the end.  A query
+whose cells hold too few rows is compared with all of them, in blocks of queries.
 """
 
 from __future__ import annotations
@@ -23,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarryline.workspace import Workspace
+
 #: Vectors of a cell that are searched at a time, and queries against them.
 CHUNK, AT_ONCE = 4096, 256
 WIDTH, REACH = 1.5, 3
@@ -85,16 +91,16 @@ def fit(sample: np.ndarray, n: int, neighbours: int, recall: float, tables: int
     ``recall`` of the true neighbours in ``sample`` are found.
 
     ``k`` falls from what ``n`` suggests until at most ``most`` probes reach the
-    recall; where none does, this raises ``ValueError``."""
-    k = 0 if n <= CHUNK else max(1, round(math.log2(n / 500) / 1.5))
-    hashing = Hashing(sample.shape[1], k, tables if k else 1)
-    if not k or len(sample) < 2:
+    recall; with ``k`` 0 all vectors share a cell, and every one is compared."""
+    k = max(1, round(math.log2(max(n, 1) / 500) / 1.5)) if n else 1
+    hashing = Hashing(sample.shape[1], k, tables)
+    if len(sample) < 2:
         return hashing, 1
     unit = _unit(sample)
     asked = unit[: min(queries, len(unit))]
     near = asked @ unit.T
     near[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
-    best = np.argsort(-near, axis=1)[:, :neighbours]
+    best = np.argsort(-near, axis=1)[:, : min(neighbours, len(unit) - 1)]
     for k in range(k, 0, -1):
         hashing = Hashing(sample.shape[1], k, tables)
         rank = np.full(best.shape, most)
@@ -107,69 +113,93 @@ def fit(sample: np.ndarray, n: int, neighbours: int, recall: float, tables: int
         needed = int(np.quantile(rank, recall, method="higher")) + 1
         if needed <= most:
             return hashing, needed
-    raise ValueError(f"no hashing reaches a recall of {recall} with {most} probes")
+    return Hashing(sample.shape[1], 0, 1), 1
 
 
 def _cells(batches, hashing: Hashing):
     for b in batches:
-        unit = _unit(_matrix(b.column(1), hashing.dims))
+        unit = _unit(_matrix(b.column(2), hashing.dims))
         for t in range(hashing.tables):
             key = hashing.key(np.floor(hashing.place(unit, t)), t)
-            yield pa.RecordBatch.from_arrays([pa.array(key), b.column(0), b.column(1)], ["cell", "id", "vec"])
+            yield pa.RecordBatch.from_arrays([pa.array(key), *b.columns], ["cell", "id", "class", "vec"])
 
 
 def _probes(batches, hashing: Hashing, most: int):
     for b in batches:
-        x = _matrix(b.column(1), hashing.dims)
+        x = _matrix(b.column(2), hashing.dims)
         for at in range(0, len(x), 512):
             unit = _unit(x[at : at + 512])
             for t in range(hashing.tables):
                 keys = hashing.probes(unit, t, most)
                 row = pa.array(np.repeat(np.arange(at, at + len(keys)), keys.shape[1]))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), b.column(0).take(row)], ["cell", "id"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), b.column(0).take(row), b.column(1).take(row)], ["cell", "id", "class"])
 
 
-def _best(ids, x, norm, q_ids, q, neighbours):
-    """The nearest of a chunk for each query: exact cosine, ties to smaller ids."""
+def _best(ids, x, norm, q, k):
+    """Places of the nearest of a chunk, and their scores, for each query: exact
+    cosine, ties to smaller ids."""
     q_norm = np.sqrt((q * q).sum(axis=1))
     rough = (q @ x.T) / q_norm[:, None] / norm
-    rough[q_ids[:, None] == ids] = -np.inf
-    k = min(neighbours, rough.shape[1])
+    k = min(k, rough.shape[1])
     edge = np.partition(rough, rough.shape[1] - k, axis=1)[:, rough.shape[1] - k] - 1e-9
     for i in range(len(q)):
         at = np.flatnonzero(rough[i] >= edge[i])
-        at = at[ids[at] != q_ids[i]]
         score = (x[at] * q[i]).sum(axis=1) / (norm[at] * q_norm[i])
-        for j in np.lexsort((ids[at], -score))[:neighbours]:
-            yield int(q_ids[i]), int(ids[at[j]]), float(score[j])
+        first = np.lexsort((ids[at], -score))[:k]
+        yield i, at[first], score[first]
+
+
+_FOUND = "query_id long, query_class long, id long, class long, score double"
 
 
-def _search(batches, dims: int, neighbours: int):
+def _rows(parts):
+    q, qc, v, vc, s = (np.concatenate(x) for x in zip(*parts))
+    return pa.RecordBatch.from_arrays([pa.array(q), pa.array(qc), pa.array(v), pa.array(vc), pa.array(s)], ["query_id", "query_class", "id", "class", "score"])
+
+
+def _search(batches, dims: int, k: int):
     """Rows come sorted by cell and chunk, vectors before queries."""
-    here, ids, parts, ready = None, [], [], None
+    here, parts, ready = None, [], None
     for b in batches:
         cell, chunk, query = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2))
-        of, x = b.column(3).to_numpy(), _matrix(b.column(4), dims)
+        ids, of, x = b.column(3).to_numpy(), b.column(4).to_numpy(), _matrix(b.column(5), dims)
         cuts = np.flatnonzero((np.diff(cell) != 0) | (np.diff(chunk) != 0) | (np.diff(query) != 0)) + 1
         out = []
         for a, z in zip([0, *cuts], [*cuts, len(cell)]):
             if here != (cell[a], chunk[a]):
-                here, ids, parts, ready = (cell[a], chunk[a]), [], [], None
+                here, parts, ready = (cell[a], chunk[a]), [], None
             if not query[a]:
-                ids.append(of[a:z])
-                parts.append(x[a:z])
+                parts.append((ids[a:z], of[a:z], x[a:z]))
                 continue
             if not parts:
                 continue
             if ready is None:
-                v = np.concatenate(parts)
-                ready = np.concatenate(ids), v, np.sqrt((v * v).sum(axis=1))
+                i, c, v = (np.concatenate(y) for y in zip(*parts))
+                ready = i, c, v, np.sqrt((v * v).sum(axis=1))
             for at in range(a, z, AT_ONCE):
                 to = min(z, at + AT_ONCE)
-                out += _best(*ready, of[at:to], x[at:to], neighbours)
+                for r, place, score in _best(ready[0], ready[2], ready[3], x[at:to], k):
+                    n = len(place)
+                    out.append((np.full(n, ids[at + r]), np.full(n, of[at + r]), ready[0][place], ready[1][place], score))
         if out:
-            q, v, s = zip(*out)
-            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())], ["query_id", "vec_id", "score"])
+            yield _rows(out)
+
+
+def _all_of(batches, asked: tuple, dims: int, k: int):
+    """The nearest of a task's vectors for each of a block of queries."""
+    q_ids, q_of, q = asked
+    best: list[tuple] = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))] * len(q)
+    for b in batches:
+        ids, of, v = b.column(0).to_numpy(), b.column(1).to_numpy(), _matrix(b.column(2), dims)
+        norm = np.sqrt((v * v).sum(axis=1))
+        for at in range(0, len(q), AT_ONCE):
+            for r, place, score in _best(ids, v, norm, q[at : at + AT_ONCE], k):
+                i, c, s = (np.concatenate(x) for x in zip(best[at + r], (ids[place], of[place], score)))
+                first = np.lexsort((i, -s))[:k]
+                best[at + r] = i[first], c[first], s[first]
+    out = [(np.full(len(i), q_ids[r]), np.full(len(i), q_of[r]), i, c, s) for r, (i, c, s) in enumerate(best) if len(i)]
+    if out:
+        yield _rows(out)
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -180,40 +210,85 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.where(F.col("id").isNotNull() & finite & F.exists("vec", lambda x: x != 0))
 
 
+def _classes(rows: DataFrame) -> DataFrame:
+    """``id, class, g, vec``: a row for each distinct vector, with its smallest id."""
+    least = rows.groupBy("class", "g").agg(F.min("id").alias("id"))
+    return rows.join(least, ["class", "g", "id"], "left_semi").dropDuplicates(["class", "g"]).select("id", "class", "g", "vec")
+
+
+def _first(rows: DataFrame, by: list[str], n: int, *order, rank: str = "rank") -> DataFrame:
+    return rows.withColumn(rank, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col(rank) <= n)
+
+
 def nearest(
     vectors: DataFrame, queries: DataFrame, neighbours: int = 5, recall: float = 0.97, sample: int = 10_000, id_col: str = "vec_id", vec_col: str = "embedding"
 ) -> DataFrame:
     """The ``neighbours`` rows of ``vectors`` nearest by cosine to each of ``queries``.
 
     Returns ``query_id, rank, vec_id, score``; ties go to the smaller id, and
-    rows that share the query's id are no candidates.  Rows that
-    :func:`usable` leaves out, and vectors whose length isn't the commonest
-    one, take no part.  The index holds every other row; it is fitted on at
-    most ``sample`` of them.  Up to 4096 vectors all are searched.
+    rows that share the query's id are no candidates.  An id stands for one
+    vector in each table.  Rows that :func:`usable` leaves out, and vectors whose
+    length isn't the commonest one, take no part.  The index holds every other
+    row; it is fitted on at most ``sample`` of them, and used at every size.
     """
     spark = vectors.sparkSession
+    work = Workspace(spark, "nearest")
     rows, asked = usable(vectors, id_col, vec_col), usable(queries, id_col, vec_col)
     sizes = rows.groupBy(F.size("vec").alias("dims")).count().orderBy(F.desc("count"), "dims").first()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if sizes is None:
-        return empty
-    dims, n = sizes
-    rows, asked = rows.where(F.size("vec") == dims), asked.where(F.size("vec") == dims)
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    dims, _ = sizes
+    named = ("id", "vec", F.xxhash64("vec").alias("class"), F.xxhash64(F.lit(1), "vec").alias("g"))
+    rows = work.keep(rows.where(F.size("vec") == dims).select(*named), "rows")
+    asked = work.keep(asked.where(F.size("vec") == dims).select(*named), "asked")
+    classes, wanted = work.keep(_classes(rows), "classes"), work.keep(_classes(asked), "wanted")
+    n = classes.count()
     spread = F.pmod(F.xxhash64("id"), F.lit(1 << 20))
-    drawn = rows.where(spread < math.ceil((1 << 20) * min(1.0, sample / n))).select("vec").limit(sample)
+    drawn = classes.where(spread < math.ceil((1 << 20) * min(1.0, sample / n))).orderBy(F.xxhash64("id", F.lit(3))).limit(sample).select("vec")
     hashing, most = fit(_matrix(drawn.toArrow().column(0), dims), n, neighbours, recall)
 
-    index = rows.mapInArrow(lambda it: _cells(it, hashing), "cell long, id long, vec array<double>")
+    index = classes.select("id", "class", "vec").mapInArrow(lambda it: _cells(it, hashing), "cell long, id long, class long, vec array<double>")
     count = index.groupBy("cell").count().select("cell", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks"))
     large = count.where("chunks > 1")
     dealt = index.join(large, "cell", "left").select(
-        "cell", F.pmod(F.xxhash64("id", F.lit(1)), F.coalesce("chunks", F.lit(1))).cast("int").alias("chunk"), F.lit(0).alias("query"), "id", "vec"
+        "cell", F.pmod(F.xxhash64("class", F.lit(1)), F.coalesce("chunks", F.lit(1))).cast("int").alias("chunk"), F.lit(0).alias("query"), "id", "class", "vec"
     )
-    probes = asked.mapInArrow(lambda it: _probes(it, hashing, most), "cell long, id long")
-    visits = probes.join(count, "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "id")
-    visits = visits.join(asked, "id").select("cell", "chunk", F.lit(1).alias("query"), "id", "vec")
+    probes = wanted.select("id", "class", "vec").mapInArrow(lambda it: _probes(it, hashing, most), "cell long, id long, class long")
+    visits = probes.join(count, "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "id", "class")
+    visits = visits.join(wanted, ["id", "class"]).select("cell", "chunk", F.lit(1).alias("query"), "id", "class", "vec")
     together = dealt.union(visits).repartition("cell", "chunk").sortWithinPartitions("cell", "chunk", "query")
-    found = together.mapInArrow(lambda it: _search(it, dims, neighbours), "query_id long, vec_id long, score double")
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= neighbours).select("query_id", "rank", "vec_id", "score")
+    k = neighbours + 1  # the query's own row may be among them
+    found = work.keep(together.mapInArrow(lambda it: _search(it, dims, k), _FOUND), "found")
+
+    # the rows of a class, as far as they can be among the nearest
+    members = _first(rows.select("id", "class", "g").distinct(), ["class", "g"], k, "id", rank="place")
+    members = members.join(classes.select(F.col("id").alias("least"), "class", "g"), ["class", "g"]).select(F.col("id").alias("vec_id"), "class", "least")
+    askers = asked.select(F.col("id").alias("query_id"), "class", "g").distinct().join(wanted.select(F.col("id").alias("least"), "class", "g"), ["class", "g"])
+    askers = askers.select("query_id", F.col("class").alias("query_class"), "least")
+    other = F.col("vec_id") != F.col("query_id")
+
+    def ranked(found: DataFrame) -> DataFrame:
+        once = found.groupBy("query_id", "query_class", "id", "class").agg(F.max("score").alias("score"))
+        once = _first(once, ["query_id", "query_class"], k, F.desc("score"), "id").withColumnsRenamed({"query_id": "least_q", "id": "least"})
+        near = _first(once.join(members, ["class", "least"]), ["least_q", "query_class"], k, F.desc("score"), "vec_id")
+        near = near.select(F.col("least_q").alias("least"), "query_class", "vec_id", "score")
+        mine = askers.join(near, ["least", "query_class"]).where(other)
+        mine = mine.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return _first(mine, ["query_id"], neighbours, F.desc("score"), "vec_id").select("query_id", "rank", "vec_id", "score")
+
+    result = work.keep(ranked(found), "ranked")
+    rest = rows.select("id").distinct().count() - 1
+    few = result.groupBy("query_id").count().where(F.col("count") >= min(neighbours, rest))
+    short = work.keep(askers.join(few, "query_id", "left_anti").select(F.col("least").alias("id"), F.col("query_class").alias("class")).distinct().join(wanted, ["id", "class"]), "short")
+    more = None
+    block: list = []
+    for last, r in [*((False, r) for r in short.select("id", "class", "vec").toLocalIterator()), (True, None)]:
+        block += [] if last else [r]
+        if block and (last or len(block) == CHUNK):
+            shared = spark.sparkContext.broadcast((np.array([r[0] for r in block]), np.array([r[1] for r in block]), np.array([r[2] for r in block])))
+            part = classes.select("id", "class", "vec").mapInArrow(lambda it, shared=shared: _all_of(it, shared.value, dims, k), _FOUND)
+            more, block = part if more is None else more.union(part), []
+    if more is None:
+        return result
+    exact = work.keep(ranked(more), "exact")
+    return result.join(exact.select("query_id").distinct(), "query_id", "left_anti").union(exact)

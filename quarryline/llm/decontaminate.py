@@ -31,8 +31,11 @@ from quarryline.workspace import modest_batches
 SAMPLED = 2  # steps in a key
 #: Words of the items that are held, and broadcast, at a time.
 BLOCK_WORDS = 1_000_000
-#: Longer items are searched by parts of equal length, of at most so many words.
+#: Every item is found by parts of equal length, of at most so many words, and
+#: verified whole: an item within its edits has a part within that part's share.
 PART_WORDS = 256
+#: Most repetitions of a walk.
+MOST = 512
 SLICE = 1 << 21
 
 _U = np.uint64
@@ -140,9 +143,9 @@ class Walks:
 
 
 def repeats_for(n: int, k: int, recall: float, trials: int = 300) -> int:
-    """Repetitions after which pairs at ``k`` edits collide with probability ``recall``."""
+    """Repetitions after which pairs at ``k`` edits collide with probability
+    ``recall``; ``ValueError`` where ``MOST`` aren't enough."""
     rng = np.random.default_rng([3, n, k])
-    walks = Walks(n, 64)
     a, b = [], []
     for _ in range(trials):
         x = rng.integers(1, 1 << 62, n, dtype=np.uint64)
@@ -157,10 +160,16 @@ def repeats_for(n: int, k: int, recall: float, trials: int = 300) -> int:
                 y[at] = rng.integers(1, 1 << 62, dtype=np.uint64)
         a.append(x)
         b.append(np.array((y + [0] * n)[:n], _U))
-    same = walks.keys(np.array(a)) == walks.keys(np.array(b))
-    met = np.maximum.accumulate(same, axis=1).mean(axis=0)
-    good = np.flatnonzero(met >= recall)
-    return int(good[0]) + 1 if len(good) else 64
+    size = min(64, MOST)
+    while True:
+        walks = Walks(n, size)
+        met = np.maximum.accumulate(walks.keys(np.array(a)) == walks.keys(np.array(b)), axis=1).mean(axis=0)
+        good = np.flatnonzero(met >= recall)
+        if len(good):
+            return int(good[0]) + 1
+        if size == MOST:
+            raise ValueError(f"{MOST} walks over {n} words don't reach a recall of {recall} at {k} edits")
+        size = min(2 * size, MOST)
 
 
 @dataclass
@@ -168,41 +177,38 @@ class Index:
     """One block of items."""
 
     ids: list
-    items: list[np.ndarray]
-    edits: list[int]
+    wholes: list = field(default_factory=list)  # of each item: (words, edits)
+    items: list[np.ndarray] = field(default_factory=list)  # the parts
+    edits: list[int] = field(default_factory=list)
+    part_of: list[tuple] = field(default_factory=list)  # of each part: (item, offset)
     seeds: dict[int, np.ndarray] = field(default_factory=dict)  # by run length: sorted hashes
-    hits: dict[int, list] = field(default_factory=dict)  # of each: (item, offset)
+    hits: dict[int, list] = field(default_factory=dict)  # of each: (size of part, offset), once
     masks: dict[int, np.ndarray] = field(default_factory=dict)
     walks: dict[int, Walks] = field(default_factory=dict)
-    tables: dict[int, dict] = field(default_factory=dict)  # by size: key -> items
-    wholes: list = field(default_factory=list)  # of long items: (words, edits)
-    part_of: dict[int, tuple] = field(default_factory=dict)  # of their parts: (whole, offset)
+    tables: dict[int, dict] = field(default_factory=dict)  # by size: key -> parts
 
     @classmethod
     def of(cls, items: list[tuple], share: float, recall: float) -> Index:
-        out = cls([], [], [])
-        for i, h in items:
+        out = cls([i for i, _ in items])
+        for w, (_, h) in enumerate(items):
+            out.wholes.append((h, math.floor(share * len(h) + 1e-9)))
             n = math.ceil(len(h) / PART_WORDS)
             bounds = [len(h) * p // n for p in range(n + 1)]
-            if n > 1:
-                out.wholes.append((h, math.floor(share * len(h) + 1e-9)))
             for a, z in zip(bounds, bounds[1:]):
-                if n > 1:
-                    out.part_of[len(out.ids)] = len(out.wholes) - 1, a
-                out.ids.append(i)
+                out.part_of.append((w, a))
                 out.items.append(h[a:z])
                 out.edits.append(math.floor(share * (z - a) + 1e-9))
-        runs: dict[int, dict] = defaultdict(lambda: defaultdict(list))
+        runs: dict[int, dict] = defaultdict(lambda: defaultdict(set))
         sizes: dict[int, list] = defaultdict(list)
         for j, (h, k) in enumerate(zip(out.items, out.edits)):
             q = max(1, math.ceil((len(h) - k) / (k + 1)))
             q = min(q, 8)  # a part of a shared run is shared as well
             for o, g in enumerate(_runs(h, q)):
-                runs[q][int(g)].append((j, o))
+                runs[q][int(g)].add((len(h), k, o))  # a run that many items share places its windows once
             sizes[len(h)].append(j)
         for q, of in runs.items():
             out.seeds[q] = np.array(sorted(of), _U)
-            out.hits[q] = [of[g] for g in sorted(of)]
+            out.hits[q] = [sorted(of[g]) for g in sorted(of)]
             mask = np.zeros(1 << 22, bool)
             mask[out.seeds[q] >> _U(42)] = True
             out.masks[q] = mask
@@ -216,23 +222,22 @@ class Index:
         return out
 
     def windows(self, h: np.ndarray):
-        """Starts of the windows to embed, by item size."""
+        """Starts of the windows to embed, by part size."""
         starts: dict[int, set] = defaultdict(set)
         for q, seeds in self.seeds.items():
             g = _runs(h, q)
             for p in np.flatnonzero(self.masks[q][g >> _U(42)]):
                 at = int(np.searchsorted(seeds, g[p]))
                 if at < len(seeds) and seeds[at] == g[p]:
-                    for j, o in self.hits[q][at]:
-                        k, n = self.edits[j], len(self.items[j])
+                    for n, k, o in self.hits[q][at]:
                         starts[n].update(range(max(0, int(p) - o - k), max(1, min(int(p) - o + k, len(h) - 1) + 1)))
         return starts
 
     def find(self, many: list[np.ndarray]):
         """For each sequence of words: {item: (edits, first word, end word)}.
 
-        An item within its edits has a part within that part's share of them, so
-        the whole of a long item is verified wherever a part of it is found."""
+        The whole of an item is verified wherever a part of it is found.  A match
+        of no words is none."""
         out: list[dict] = [{} for _ in many]
         rows: dict[int, list] = defaultdict(list)
         for d, h in enumerate(many):
@@ -253,26 +258,25 @@ class Index:
                 for r, c in zip(*np.nonzero(known[place] == keys)):
                     for j in table[int(keys[r, c])]:
                         asked[group[r][0], j].append(group[r][1])
-        spots: dict[tuple, list] = defaultdict(list)  # by text and long item: (part, start of the item)
+        spots: dict[tuple, list] = defaultdict(list)  # by text and item: (part, start of the item)
         for (d, j), starts in asked.items():
-            item, k, h = self.items[j], self.edits[j], many[d]
+            (w, offset), h = self.part_of[j], many[d]
+            if len(self.items[j]) == len(self.wholes[w][0]):
+                spots[d, w] += [(j, s) for s in set(starts)]
+                continue
+            part, k = self.items[j], self.edits[j]
             starts = sorted(set(starts))
-            for a, z in _joined(starts, len(item) + k, k, len(h)):
-                cost, first, end = edit_distance(item, h[a:z])
-                if cost > k:
-                    continue
-                if j in self.part_of:
-                    w, offset = self.part_of[j]
+            for a, z in _joined(starts, len(part) + k, k, len(h)):
+                if edit_distance(part, h[a:z])[0] <= k:
                     spots[d, w] += [(j, max(0, s - offset)) for s in starts if a <= s < z]
-                elif j not in out[d] or cost < out[d][j][0]:
-                    out[d][j] = (cost, a + first, a + end)
         for (d, w), where in spots.items():
-            (item, k), h, j = self.wholes[w], many[d], min(where)[0]
-            slack = k + max(self.edits[p] for p, _ in where)
+            (item, k), h = self.wholes[w], many[d]
+            alone = len(self.items[where[0][0]]) == len(item)
+            slack = k if alone else k + max(self.edits[j] for j, _ in where)
             for a, z in _joined(sorted({s for _, s in where}), len(item) + slack, slack, len(h)):
                 cost, first, end = edit_distance(item, h[a:z])
-                if cost <= k and (j not in out[d] or cost < out[d][j][0]):
-                    out[d][j] = (cost, a + first, a + end)
+                if cost <= k and end > first and (w not in out[d] or cost < out[d][w][0]):
+                    out[d][w] = (cost, a + first, a + end)
         return out
 
 
@@ -310,7 +314,7 @@ def _blocks(items: DataFrame, id_col: str, text_col: str):
 def _sought(batches, index: Index, text_at: int):
     """(batch, matches of each row, word bounds of each row), in small groups."""
     for b in batches:
-        texts = b.column(text_at)
+        texts = b.column(text_at).cast(pa.binary())
         for at in range(0, b.num_rows, 256):
             group = b.slice(at, 256)
             read = [words(t.as_py() or b"") for t in texts.slice(at, 256)]
@@ -324,8 +328,7 @@ def contaminated(
     ``share`` of the item's words in edits.
 
     Returns ``id, item_id, edits, start, end``: the best stretch, in code points
-    of the text.  Items of over 256 words are found by parts and verified whole.
-    Null and empty texts or items match nothing, rows that repeat an id
+    of the text, ties to the stretch that is found first.  Null and empty texts or items match nothing, rows that repeat an id
     are searched apart, and whole texts are searched.  The items are taken in
     blocks of bounded size, each a pass over ``docs``.
     """
@@ -345,9 +348,9 @@ def contaminated(
                 out = []
                 for i, (m, (_, a, z)) in enumerate(zip(matches, read)):
                     best: dict = {}
-                    for j, (cost, first, end) in m.items():
-                        name = index.ids[j]
-                        if end > first and (name not in best or cost < best[name][0]):
+                    for w, (cost, first, end) in m.items():
+                        name = index.ids[w]
+                        if name not in best or cost < best[name][0]:
                             best[name] = (cost, int(a[first]), int(z[end - 1]))
                     if best:
                         text = np.frombuffer(b.column(1)[i].as_py(), np.uint8)
@@ -365,15 +368,16 @@ def contaminated(
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, share: float = 0.2, recall: float = 0.99, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that hold an item, as :func:`contaminated` finds it."""
+    """``docs`` without the rows that hold an item, as :func:`contaminated` finds
+    it.  Columns may have any names; null and empty texts stay."""
     modest_batches(docs.sparkSession)
+    at = docs.columns.index(text_col)
     for block in _blocks(items, item_id_col, item_text_col):
         shared = docs.sparkSession.sparkContext.broadcast(Index.of(block, share, recall))
 
         def run(batches, shared=shared):
-            for b, matches, _ in _sought((x.append_column("_bytes", x.column(text_col).cast(pa.binary())) for x in batches), shared.value, -1):
-                clean = [not any(end > first for _, first, end in m.values()) for m in matches]
-                yield b.drop_columns(["_bytes"]).filter(pa.array(clean, pa.bool_()))
+            for b, matches, _ in _sought(batches, shared.value, at):
+                yield b.filter(pa.array([not m for m in matches], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

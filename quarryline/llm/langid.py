@@ -147,9 +147,13 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", names: tuple[
     """``docs`` with the predicted language and its score added under ``names``.
 
     ``und`` with score 0 where the text is null, empty or has no letter, and with
-    a null score for other texts where no language was learned.  Whole texts are read, whatever their length.
+    a null score for other texts where no language was learned.  Whole texts are
+    read, whatever their length.  Equal texts have equal results; languages with
+    equal votes and weights are settled by name.  Columns of ``docs`` that have
+    one of the new names are replaced.
     """
     modest_batches(docs.sparkSession)
+    docs = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in [n.lower() for n in names]])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of weights
 
     def run(batches):

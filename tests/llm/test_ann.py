@@ -17,13 +17,13 @@ def brute(rows, queries, k):
     return out
 
 
-def test_small_tables_are_searched_whole(spark):
+def test_small_tables_against_brute_force(spark):
     rng = np.random.default_rng(1)
     rows = [(i, rng.integers(-3, 4, 5).astype(float).tolist()) for i in range(120)]
     rows = [(i, v) for i, v in rows if any(v)] + [(500, rows[3][1]), (501, rows[3][1])]
     odd = [(700, None), (701, [0.0] * 5), (702, [1.0, None, 1.0, 1.0, 1.0]), (703, [math.nan, 1.0, 1.0, 1.0, 1.0]), (704, [math.inf, 1.0, 1.0, 1.0, 1.0]), (705, []), (706, [1.0] * 4), (None, [1.0] * 5)]
     t = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>")
-    got = ann.nearest(t, t.where("vec_id % 10 = 0"), 5).collect()
+    got = ann.nearest(t, t.where("vec_id % 10 = 0"), 5, recall=1.0).collect()
     want = brute(rows, [r for r in rows if r[0] % 10 == 0], 5)
     assert sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in got) == sorted(want)
     assert ann.nearest(t.where("vec_id < 3"), t.where("vec_id = 0"), 5).count() == 2
@@ -31,14 +31,24 @@ def test_small_tables_are_searched_whole(spark):
     assert ann.nearest(t.where("false"), t.where("false"), 5).count() == 0
 
 
-@pytest.mark.parametrize("copies", [0, 3000])
-def test_recall_and_hot_cells(spark, monkeypatch, copies):
-    monkeypatch.setattr(ann, "CHUNK", 512)
+def shaped(shape):
     rng = np.random.default_rng(2)
+    if shape == "random":
+        return rng.normal(size=(8000, 32))
     centres = rng.normal(size=(60, 16))
-    x = centres[rng.integers(0, 60, 4000)] + rng.normal(size=(4000, 16)) * 0.3
-    if copies:
-        x[:copies] = x[0]
+    x = centres[rng.integers(0, 60, 8000)] + rng.normal(size=(8000, 16)) * 0.3
+    if shape == "copies":
+        x[:4000] = x[0]
+    if shape == "outliers":  # near copies of one vector, and vectors far from all others
+        x[:5000] = x[0] + rng.normal(size=(5000, 16)) * 0.01
+        x[5000:] = rng.normal(size=(3000, 16))
+    return x
+
+
+@pytest.mark.parametrize("shape", ["random", "clusters", "copies", "outliers"])
+def test_recall_and_hot_cells(spark, monkeypatch, shape):
+    monkeypatch.setattr(ann, "CHUNK", 512)
+    x = shaped(shape)
     t = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     got = {}
     for r in ann.nearest(t, t.where("vec_id % 50 = 0"), 5).collect():
@@ -53,7 +63,7 @@ def test_recall_and_hot_cells(spark, monkeypatch, copies):
         assert len(found) == 5 and all(abs(s[v] - c) < 1e-12 for _, v, c in found)
         assert all(a[2] > b[2] or (a[2] == b[2] and a[1] < b[1]) for a, b in zip(found, found[1:]))
         hit += len(best & {v for _, v, _ in found})
-    assert len(got) == 80 and hit >= 0.9 * 400
+    assert len(got) == 160 and hit >= 0.9 * 800
 
 
 def test_probes_come_in_order_of_cost():
@@ -65,7 +75,7 @@ def test_probes_come_in_order_of_cost():
     assert (keys[:, 0] == h.key(np.floor(h.place(unit, 0)), 0)).all()
 
 
-def test_probes_reach_the_recall_or_fitting_fails():
+def test_probes_reach_the_recall_or_all_are_compared():
     sample = np.random.default_rng(5).normal(size=(3000, 64))
     hashing, most = ann.fit(sample, 10_000_000, 5, 0.97)
     assert 0 < hashing.k < 10 and most <= 2048
@@ -79,5 +89,15 @@ def test_probes_reach_the_recall_or_fitting_fails():
         for q, keys in enumerate(hashing.probes(unit[:100], t, most)):
             met[q] |= np.isin(there[best[q]], keys)
     assert met.mean() >= 0.97
-    with pytest.raises(ValueError):
-        ann.fit(sample, 10_000_000, 5, 0.97, most=1)
+    hashing, most = ann.fit(sample, 10_000_000, 5, 0.97, most=1)
+    assert hashing.k == 0 and most == 1
+
+
+def test_queries_with_too_few_rows_are_compared_with_all(spark, monkeypatch):
+    monkeypatch.setattr(ann, "fit", lambda sample, n, *_: (ann.Hashing(sample.shape[1], 12), 1))
+    monkeypatch.setattr(ann, "CHUNK", 7)
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(200)]
+    t = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.nearest(t, t.where("vec_id % 10 = 0"), 5).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in got) == sorted(brute(rows, rows[::10], 5))

@@ -1,6 +1,8 @@
+import math
 import random
 
 import numpy as np
+import pytest
 from tests.llm.helpers import awkward, empty
 
 from quarryline.llm import decontaminate as D
@@ -109,3 +111,35 @@ def test_long_items_are_verified_whole():
         (cost, first, end), *rest = found[2].values()
         assert not rest and 0 < cost <= n // 10 and abs(first - 150) <= 2
         assert list(found[3].values()) == [(0, 0, n)]
+
+
+def test_against_all_pairs(spark):
+    """Every stretch of every text is compared with every item."""
+    rng = random.Random(12)
+    opening = rng.choices(VOCABULARY, k=6)  # which many items share
+    items = [(j, opening + rng.choices(VOCABULARY, k=rng.randint(4, 40))) for j in range(12)]
+    items += [(20, ["one"]), (21, ["two", "words"])]
+    docs = []
+    for i in range(100):
+        text = rng.choices(VOCABULARY, k=rng.randint(0, 60))
+        if i % 2:
+            _, item = rng.choice(items)
+            text += edited(rng, item, rng.randint(0, len(item) // 3)) + rng.choices(VOCABULARY, k=10)
+        docs.append((i, " ".join(text)))
+    want = set()
+    for i, t in docs:
+        h = D.words(t.encode())[0]
+        for j, item in items:
+            if len(h):
+                cost, first, end = D.edit_distance(D.words(" ".join(item).encode())[0], h)
+                if cost <= math.floor(0.2 * len(item) + 1e-9) and end > first:
+                    want.add((i, j, cost))
+    found = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(j, " ".join(t)) for j, t in items], "item_id long, text string"))
+    got = {(r.id, r.item_id, r.edits) for r in found.collect()}
+    assert got <= want and len(got) >= 0.98 * len(want) and len(want) > 25
+
+
+def test_a_recall_out_of_reach_is_told(monkeypatch):
+    monkeypatch.setattr(D, "MOST", 1)
+    with pytest.raises(ValueError):
+        D.repeats_for(50, 10, 0.999)
