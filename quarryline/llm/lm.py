@@ -42,9 +42,10 @@ from quarryline.workspace import Workspace, modest_batches
 #: bounds what is broadcast.
 BINS, CLASSES, HEAD = 64, 128, 200_000
 SYMBOLS = BINS * BINS
-WIDTH, CONTEXT, NOISE = 24, 4, 16
+WIDTH, CONTEXT, NOISE = 16, 4, 12
 #: Most tokens of a step, tokens of a shard, and the rounds of averaging.
-BATCH, SHARD, ROUNDS = 16384, 2 << 20, 3
+BATCH, SHARD, ROUNDS = 16384, 4 << 20, 3
+COUNTED = 1 << 20  # words that a task counts before it hands their counts on
 FINE = 1 << 20  # steps between 0 and 1 in which shards tell their weights
 
 
@@ -56,24 +57,42 @@ def _class_column(word: Column) -> Column:
     return (F.crc32(F.when(F.length(word) < 2, word).otherwise(F.substring(word, -2, 2))) % CLASSES).cast("int")
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    """A-Z lowered, split at ASCII white space."""
-    return (text or b"").lower().split()
+def _split(data: np.ndarray, bounds: np.ndarray):
+    """The lowered bytes of texts, and starts, ends and hashes of their words."""
+    part = lowered(data)
+    start, stop = word_bounds(part, bounds)
+    return part, start, stop, *hashes(part, start, stop)
 
 
 def _counted(batches):
     """Counts of words, summed up over as many texts as fit in bounded memory."""
-    seen: Counter = Counter()
+    table, seen, n = Table(COUNTED), [], np.zeros(COUNTED, np.int64)
 
     def flush():
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(seen, pa.binary()), pa.array(n[: len(seen)])], ["word", "n"])
 
     for b in batches:
-        for t in b.column(0):
-            seen.update(words_of(t.as_py()))
-            if len(seen) > HEAD:
-                yield flush()
-                seen.clear()
+        data, bounds = buffers(b.column(0))
+        for i, j in groups(bounds):
+            part, start, stop, h, first = _split(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i])
+            raw, at = part.tobytes(), 0
+            while at < len(h):
+                to = min(len(h), at + COUNTED // 4)
+                entry = table.find(h[at:to], first[at:to])
+                miss = at + np.flatnonzero(entry < 0)
+                new = miss[np.unique(h[miss], return_index=True)[1]]
+                if table.size + len(new) > COUNTED:
+                    yield flush()
+                    table, seen, n = Table(COUNTED), [], np.zeros(COUNTED, np.int64)
+                    continue
+                table.add(h[new], first[new])
+                seen += [raw[x:z] for x, z in zip(start[new].tolist(), stop[new].tolist())]
+                entry[miss - at] = table.find(h[miss], first[miss])
+                n += np.bincount(entry[entry >= 0], minlength=COUNTED)
+                rest = np.flatnonzero(entry < 0)  # another word has the same first hash
+                for x, z in zip(start[at + rest].tolist(), stop[at + rest].tolist()):
+                    yield pa.RecordBatch.from_arrays([pa.array([raw[x:z]], pa.binary()), pa.array([1])], ["word", "n"])
+                at = to
     if seen:
         yield flush()
 
@@ -157,9 +176,9 @@ def _coded(batches, vocab: Vocabulary):
     for b in batches:
         data, bounds = buffers(b.column(2))
         for i, j in groups(bounds):
-            part, here = lowered(data[bounds[i] : bounds[j]]), bounds[i : j + 1] - bounds[i]
-            start, stop = word_bounds(part, here)
-            code = table.find(*hashes(part, start, stop))
+            here = bounds[i : j + 1] - bounds[i]
+            part, start, stop, h, first = _split(data[bounds[i] : bounds[j]], here)
+            code = table.find(h, first)
             rare = np.flatnonzero(code < 0)
             raw = part.tobytes()
             names = [raw[a:z] for a, z in zip(start[rare].tolist(), stop[rare].tolist())]
@@ -220,35 +239,47 @@ class Weights:
         return cls(*out)
 
     def query(self, context: np.ndarray) -> np.ndarray:
-        q = self.r[context[0]] * self.c[0]
+        q = np.take(self.r, context[0], axis=0)
+        q *= self.c[0]
         for i in range(1, CONTEXT):
-            q += self.r[context[i]] * self.c[i]
+            x = np.take(self.r, context[i], axis=0)
+            x *= self.c[i]
+            q += x
         return q
 
     def log10_probs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Normalised log10 probabilities of the targets."""
         out = np.empty(len(target))
+        # biases are weights of an input that is always one
+        u = np.ascontiguousarray(np.concatenate([self.u, self.a[:, None]], axis=1).T)
+        v = np.concatenate([self.v, self.b[:, None]], axis=1).reshape(BINS, BINS, WIDTH + 1).transpose(0, 2, 1).copy()
         for at in range(0, len(target), 1 << 14):
             goal = target[at : at + (1 << 14)]
             order = np.argsort((goal // BINS).astype(np.int16), kind="stable")
-            goal, q = goal[order], self.query(context[:, at : at + (1 << 14)][:, order])
-            bins = goal // BINS
-            found = _log_share(q @ self.u.T + self.a, bins)
+            goal = goal[order]
+            q = np.ones((len(goal), WIDTH + 1), np.float32)
+            q[:, :WIDTH] = self.query(context[:, at : at + (1 << 14)][:, order])
+            bins, found = goal // BINS, np.empty(len(goal))
             edge = np.searchsorted(bins, np.arange(BINS + 1))
             for k in np.flatnonzero(np.diff(edge)):
-                x, z = edge[k], edge[k + 1]
-                mine = slice(k * BINS, (k + 1) * BINS)
-                found[x:z] += _log_share(q[x:z] @ self.v[mine].T + self.b[mine], goal[x:z] - k * BINS)
+                for x in range(edge[k], edge[k + 1], 1024):
+                    z = min(x + 1024, edge[k + 1])
+                    found[x:z] = _log_share(q[x:z] @ u, k) + _log_share(q[x:z] @ v[k], goal[x:z] - k * BINS)
             out[at + order] = found
         return out / np.log(10)
 
 
-def _log_share(s: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """Log softmax of one column a row."""
-    s -= s.max(axis=1, keepdims=True)
+_EACH = np.ones(BINS, np.float32)
+
+
+def _log_share(s: np.ndarray, which) -> np.ndarray:
+    """Log softmax of one column a row.  Scores are far below what overflows; where
+    one isn't, they are moved first."""
+    if s.max() > 60 or s.min() < -60:
+        s -= s.max(axis=1, keepdims=True)
     mine = s[np.arange(len(s)), which].astype(np.float64)
     np.exp(s, out=s)
-    return mine - np.log(s.sum(axis=1).astype(np.float64))
+    return mine - np.log((s @ _EACH).astype(np.float64))
 
 
 def contexts(symbols: np.ndarray, ends: np.ndarray, end: int):
@@ -265,9 +296,9 @@ def contexts(symbols: np.ndarray, ends: np.ndarray, end: int):
     return np.stack([before[target - i - 1] for i in range(CONTEXT)]), before[target]
 
 
-def _sums(rows: np.ndarray, which: np.ndarray, n: int) -> np.ndarray:
-    """Sums of rows by number."""
-    return np.stack([np.bincount(which, x, n) for x in np.ascontiguousarray(rows.T)], axis=1).astype(np.float32)
+def _sums(wide: np.ndarray, which: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the columns of ``wide`` by number, as rows."""
+    return np.stack([np.bincount(which, x, n) for x in wide], axis=1).astype(np.float32)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -277,6 +308,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
+#: The biases of symbols and bins start near their place, and take smaller steps.
+SLOW = 0.05
 _ONE = np.eye(BINS, dtype=np.float32)
 
 
@@ -284,7 +317,7 @@ class Trainer:
     """Noise-contrastive estimation with adaptive steps.  The noise samples of a
     batch are shared by its tokens, and within a bin by its tokens."""
 
-    def __init__(self, weights: Weights, size: np.ndarray, rate: float = 0.2, seed: int = 0):
+    def __init__(self, weights: Weights, size: np.ndarray, rate: float = 0.3, seed: int = 0):
         self.w = Weights(*(x.copy() for x in weights.parts()))
         bins = size.reshape(BINS, BINS)
         total = bins.sum(axis=1)
@@ -308,7 +341,8 @@ class Trainer:
         e, g = _sigmoid(-real), _sigmoid(made)
         np.negative(g, out=g)
         pull = g @ fake
-        pull += e[:, None] * goal
+        goal *= e[:, None]
+        pull += goal
         return e, g, pull
 
     def step(self, context: np.ndarray, target: np.ndarray) -> None:
@@ -319,39 +353,39 @@ class Trainer:
         w, n = self.w, len(target)
         order = np.argsort((target // BINS).astype(np.int16), kind="stable")
         context, target = context[:, order], target[order]
-        bins = target // BINS
+        edge = np.searchsorted(target // BINS, np.arange(BINS + 1))
         q = w.query(context)
-        fake = self.rng.choice(BINS, NOISE, p=self.bin_share)
-        a = w.a - self.log_bin
-        e, g, dq = self._pull(q, w.u[bins], a[bins], w.u[fake], a[fake])
-        du, da = _sums(e[:, None] * q, bins, BINS), np.bincount(bins, e, BINS).astype(np.float32)
-        drawn_by = _ONE[fake].T
-        du += drawn_by @ (g.T @ q)
-        da += drawn_by @ g.sum(axis=0)
+        fake, drawn = self.rng.choice(BINS, NOISE, p=self.bin_share), self.rng.random((BINS, NOISE))
+        a, bins, by_bin = w.a - self.log_bin, target // BINS, _ONE[fake].T
+        e, g, dq = self._pull(q, np.take(w.u, bins, axis=0), a[bins], w.u[fake], a[fake])
         pull = np.empty(n, np.float32)
+        du, da = by_bin @ (g.T @ q), by_bin @ g.sum(axis=0) + np.bincount(bins, e, BINS).astype(np.float32)
         noise_v, noise_b = np.zeros(w.v.shape, np.float32), np.zeros(w.b.shape, np.float32)
-        edge = np.searchsorted(bins, np.arange(BINS + 1)).tolist()
-        drawn = self.rng.random((BINS, NOISE))
-        for k in range(BINS):
+        for k in np.flatnonzero(np.diff(edge)):
             x, z = edge[k], edge[k + 1]
-            if x == z:
-                continue
+            mine = q[x:z]
+            du[k] += e[x:z] @ mine
             here = slice(k * BINS, (k + 1) * BINS)
             v, b, goal = w.v[here], w.b[here] - self.log_share[k], target[x:z] - k * BINS
-            fake = np.minimum(np.searchsorted(self.steps[k], drawn[k]), BINS - 1)
-            pull[x:z], g, more = self._pull(q[x:z], v[goal], b[goal], v[fake], b[fake])
+            drop = np.minimum(np.searchsorted(self.steps[k], drawn[k]), BINS - 1)
+            pull[x:z], g, more = self._pull(mine, np.take(v, goal, axis=0), b[goal], v[drop], b[drop])
             dq[x:z] += more
-            drawn_by = _ONE[fake].T
-            noise_v[here] = drawn_by @ (g.T @ q[x:z])
-            noise_b[here] = drawn_by @ g.sum(axis=0)
-        dv = _sums(pull[:, None] * q, target, SYMBOLS) + noise_v
+            noise_v[here] = _ONE[drop].T @ (g.T @ mine)
+            noise_b[here] = _ONE[drop].T @ g.sum(axis=0)
+        wide = np.ascontiguousarray(q.T)
+        wide *= pull
+        dv = _sums(wide, target, SYMBOLS) + noise_v
         db = np.bincount(target, pull, SYMBOLS).astype(np.float32) + noise_b
-        dr = _sums(np.concatenate([dq * c for c in w.c]), context.ravel(), SYMBOLS)
-        dc = np.stack([np.einsum("ij,ij->j", dq, w.r[context[i]]) for i in range(CONTEXT)])
+        wide = np.ascontiguousarray(dq.T)
+        dr, dc = np.zeros(w.r.shape, np.float32), np.empty(w.c.shape, np.float32)
+        for i in range(CONTEXT):
+            met = _sums(wide, context[i], SYMBOLS)
+            dc[i] = (met * w.r).sum(axis=0)
+            dr += met * w.c[i]
         for x, s, d in zip(w.parts(), self.sums, (dr, dv, du, dc, db, da)):
             d *= np.float32(1 / n)
             s += d * d
-            d *= self.rate
+            d *= self.rate if d.ndim == 2 else self.rate * SLOW
             x += d / np.sqrt(s)
         self.seen += n
 
@@ -367,7 +401,7 @@ def _trained(batches, start: Weights, vocab: Vocabulary):
         at = 0
         while at < len(order):
             # small steps first: what a shard has seen tells how many tokens one takes
-            n = min(BATCH, max(512, trainer.seen // 64))
+            n = min(BATCH, max(1024, trainer.seen // 32))
             n = n if len(order) - at >= n + n // 2 else len(order) - at
             trainer.step(context[:, order[at : at + n]], target[order[at : at + n]])
             at += n
