@@ -140,7 +140,8 @@ def pack_documents(
     sequences of a partition have lengths of powers of two.
 
     Returns ``doc_id, start, length, ids_crc32, doc_tokens, loss_tokens,
-    sequence_id, offset``; rows that repeat an id are packed apart.  An empty
+    sequence_id, offset``; rows that repeat an id are packed apart, and of pieces
+    with equal products the first one read goes first.  An empty
     table gives no rows.
     """
     modest_batches(docs.sparkSession)

@@ -7,10 +7,13 @@ entity's information content it gives away,
 
     PMI(t; e) / IC(e) = 1 - log2(n(t) / n(t, e)) / log2(N / n(e)),
 
-with ``N`` the documents, ``n(e)`` and ``n(t, e)`` the distinct contexts of the
-entity and of the term beside it, and ``n(t)`` the documents with the term.  A
-term at or over the threshold, in enough different contexts, is a span of kind
-``term`` wherever it stands: a word with digits is removed, another generalised.
+with ``N`` the distinct texts, ``n(t)`` those with the term, and ``n(e)`` and
+``n(t, e)`` the distinct contexts of the entity and of the term beside it, less
+half a context: what was seen once may be chance.  A term discloses if this share
+reaches a threshold and what stays uncertain, ``log2(n(t) / n(t, e))``, is at most
+some bits; so one seen beside a single entity must stand nowhere else.  It is then
+a span of kind ``term`` wherever it stands: a word with digits is removed, another
+generalised.
 """
 
 from __future__ import annotations
@@ -31,6 +34,9 @@ _CARD = r"[0-9](?<![0-9]{2})(?<![0-9][ -][0-9])(?:[ -]?[0-9]){12,18}+(?![ -]?[0-
 _PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 _TERM = r"[\p{L}\p{N}]{3,}"
 
+#: Terms that are broadcast; more of them meet the words in a shuffle.
+SMALL = 200_000
+
 _SPANS = "array<struct<start:int,end:int,value:string>>"
 
 
@@ -96,7 +102,7 @@ def base_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def _contexts(spotted: DataFrame, window: int) -> DataFrame:
     """One row for each distinct context of an entity: ``entity, context, terms``
-    and ``doc``, the hash of a text that holds it."""
+    and ``doc``, the identity of a text that holds it."""
     def named(kind: str) -> Column:
         plain = F.lower if kind in ("email", "ip") else _digits
         return F.transform(
@@ -104,46 +110,60 @@ def _contexts(spotted: DataFrame, window: int) -> DataFrame:
             lambda s: F.struct(F.concat(F.lit(f"{kind}:"), plain(s["value"])).alias("entity"), s["start"].alias("start"), s["end"].alias("end")),
         )
 
-    one = spotted.select("text", F.xxhash64("text").alias("doc"), F.explode(F.concat(*map(named, KINDS[:4]))).alias("s"))
+    one = spotted.select("text", "doc", F.explode(F.concat(*map(named, KINDS[:4]))).alias("s"))
     left = F.substring("text", F.greatest(F.col("s.start") + 1 - window, F.lit(1)), F.least(F.col("s.start"), F.lit(window)))
     left = F.when(F.col("s.start") > window, F.regexp_replace(left, r"^[\p{L}\p{N}]+", "")).otherwise(left)
     right = F.substring("text", F.col("s.end") + 1, F.lit(window))
     right = F.when(F.length(right) == window, F.regexp_replace(right, r"[\p{L}\p{N}]+$", "")).otherwise(right)
     near = one.select("doc", F.col("s.entity").alias("entity"), F.lower(F.concat(left, F.lit(" \u0000 "), right)).alias("near"))
     terms = F.array_distinct(F.regexp_extract_all("near", F.lit(_TERM), F.lit(0)))
-    return near.groupBy("entity", F.xxhash64("near").alias("context")).agg(F.min("near").alias("near"), F.min("doc").alias("doc")).select("entity", "context", "doc", terms.alias("terms"))
+    return near.groupBy("entity", "near").agg(F.min("doc").alias("doc")).select("entity", "doc", terms.alias("terms"))
+
+
+def _identity(*columns: str) -> Column:
+    """128 bits that tell rows apart by their columns."""
+    names = [F.col(f"`{c}`") for c in columns]
+    return F.struct(F.xxhash64(*names).alias("a"), F.xxhash64(F.lit(1), *names).alias("b"))
+
+
+def _words(rows: DataFrame, text: str, terms: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and ``term`` for each of ``terms`` that is a word of the text, once a row."""
+    words = rows.select(*keep, F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0)))).alias("term"))
+    few = terms.select("term").limit(SMALL + 1).count() <= SMALL
+    return words.join(F.broadcast(terms.select("term")) if few else terms.select("term"), "term", "left_semi")
 
 
-def disclosing_terms(docs: DataFrame, window: int = 64, contexts: int = 3, threshold: float = 0.9, text_col: str = "text") -> DataFrame:
+def disclosing_terms(docs: DataFrame, window: int = 64, threshold: float = 0.85, bits: float = 1.5, text_col: str = "text") -> DataFrame:
     """``term, disclosure``: the lower-cased terms that disclose some entity.
 
-    Counts are over all rows of ``docs``.  ``window`` is in code points on each
-    side, ``contexts`` the distinct ones that a term needs beside an entity.
+    Counts are over all texts of ``docs``, copies once.  ``window`` is in code
+    points on each side; ``threshold`` is the least share of an entity's
+    information that a term gives away, and ``bits`` the most that may stay open.
     """
-    content = F.log2(F.lit(docs.count()) / F.col("n_e"))
+    work = Workspace(docs.sparkSession, "pii")
+    texts = docs.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")).withColumn("doc", _identity("text"))
+    content = F.log2(F.lit(texts.select("doc").distinct().count()) / F.col("n_e"))
+
+    def open_bits(n_t: Column) -> Column:
+        return F.log2(F.greatest(n_t, F.col("n_te")) / (F.col("n_te") - 0.5))
 
-    def share(n_t: Column) -> Column:
-        return 1 - F.log2(F.greatest(n_t / F.col("n_te"), F.lit(1.0))) / content
+    def discloses(n_t: Column) -> Column:
+        return (content > 0) & (1 - open_bits(n_t) / content >= threshold) & (open_bits(n_t) <= bits)
 
-    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     spotted = base_spans(texts).where(" or ".join(f"size({k}) > 0" for k in KINDS[:4]))
-    near = _contexts(spotted, window)
-    entities = near.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= contexts)
+    near = work.keep(_contexts(spotted, window), "contexts")
+    entities = near.groupBy("entity").agg(F.count("*").alias("n_e"))
     beside = near.select("entity", "doc", F.explode("terms").alias("term"))
-    pairs = beside.groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= contexts).join(entities, "entity")
+    pairs = beside.groupBy("entity", "term").agg(F.count("*").alias("n_te")).join(entities, "entity")
     # texts with the term beside any entity are some of those with the term, so
     # what falls short with their number needs no count over all words
     least = beside.groupBy("term").agg(F.count_distinct("doc").alias("n_least"))
-    pairs = pairs.join(least, "term").where((content > 0) & (share(F.col("n_least")) >= threshold))
-    work = Workspace(docs.sparkSession, "pii")
-    pairs = work.keep(pairs, "pairs")  # its size is known from here on
+    pairs = work.keep(pairs.join(least, "term").where(discloses(F.col("n_least"))), "pairs")
     if pairs.isEmpty():
         return docs.sparkSession.createDataFrame([], "term string, disclosure double")
-    terms = pairs.select("term").distinct()
-    words = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0)))).alias("term"))
-    held = words.join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
-    known = pairs.join(held, "term")
-    told = known.groupBy("term").agg(F.max(share(F.col("n_t"))).alias("disclosure")).where(F.col("disclosure") >= threshold)
+    held = _words(texts, "text", work.keep(pairs.select("term").distinct(), "candidates"), "doc")
+    known = pairs.join(held.distinct().groupBy("term").agg(F.count("*").alias("n_t")), "term")
+    told = known.where(discloses(F.col("n_t"))).groupBy("term").agg(F.max(1 - open_bits(F.col("n_t")) / content).alias("disclosure"))
     return work.keep(told, "terms")
 
 
@@ -151,24 +171,30 @@ def find_pii(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> DataF
     """``docs`` with the arrays of :func:`base_spans` and one more, ``term``, of
     the occurrences of ``terms`` outside the base spans.
 
-    Rows are told apart by all their own columns' hash; equal rows have equal
-    spans.  Without any term the texts aren't searched for them.  Columns of
-    ``docs`` that have a kind's name are replaced.
+    Rows are told apart by 128 bits over all their columns; equal rows have equal
+    spans, and stay as often as they are there.  Without any term the texts
+    aren't searched for them.  Columns of ``docs`` that have a kind's name are
+    replaced.
     """
+    none = F.array().cast(_SPANS)
     if terms.isEmpty():
-        return base_spans(docs, text_col).withColumn("term", F.array().cast(_SPANS))
-    keyed = base_spans(docs.withColumn("_key", F.xxhash64(*docs.columns)), text_col)
-    plain = docs.select(F.xxhash64(*docs.columns).alias("_key"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    words = plain.select("_key", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("_text"), F.lit(_TERM), F.lit(0)))).alias("term"))
-    hits = words.join(terms.select("term"), "term").groupBy("_key").agg(F.collect_set("term").alias("_terms"))
-    held = hits.join(plain, "_key").dropDuplicates(["_key"]).select("_key", "_text", F.explode("_terms").alias("term"))
+        return base_spans(docs, text_col).withColumn("term", none)
+    work = Workspace(docs.sparkSession, "pii")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    plain = docs.select(_identity(*docs.columns).alias("key"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    hits = _words(plain, "text", terms, "key", "text")
+    hits = hits.groupBy("key").agg(F.collect_set("term").alias("terms"), F.any_value("text").alias("text"))
+    held = hits.select("key", "text", F.explode("terms").alias("term"))
     pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])\Q"), F.col("term"), F.lit(r"\E(?![\p{L}\p{N}])"))
-    held = held.withColumn("_hits", F.regexp_extract_all("_text", pattern, F.lit(0)))
-    spots = held.withColumn("_at", _spans(F.col("_text"), pattern, F.col("_hits"))).groupBy("_key").agg(F.array_distinct(F.flatten(F.collect_list("_at"))).alias("term"))
-    joined = keyed.join(spots, "_key", "left")
+    held = held.withColumn("hits", F.regexp_extract_all("text", pattern, F.lit(0)))
+    spots = held.withColumn("at", _spans(F.col("text"), pattern, F.col("hits"))).groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("term"))
+    spots = work.keep(spots, "spots")
+    rows = docs.select(whole.alias("row"), _identity(*docs.columns).alias("key")).join(spots, "key", "left")
+    found = base_spans(rows.select("row", "term", F.col("row").getField(text_col).alias("text")))
     others = F.concat(*KINDS[:4])
-    apart = F.filter(F.coalesce("term", F.array().cast(_SPANS)), lambda t: ~F.exists(others, lambda b: (t["start"] < b["end"]) & (b["start"] < t["end"])))
-    return joined.withColumn("term", F.array_sort(apart)).drop("_key")
+    apart = F.filter(F.coalesce("term", none), lambda t: ~F.exists(others, lambda b: (t["start"] < b["end"]) & (b["start"] < t["end"])))
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in KINDS]
+    return found.select(*kept, *KINDS[:4], F.array_sort(apart).alias("term"))
 
 
 def listed(kinds: tuple[str, ...] = KINDS) -> Column:

@@ -18,19 +18,21 @@ from pyspark.sql import functions as F
 from quarryline.llm.linear import bounded_sample, gram_codes, hinge_descent, margins, sigmoid_fit
 from quarryline.workspace import modest_batches
 
-BITS, ORDERS = 17, (2, 3, 4)
+#: Codes of n-grams, and behind them those of doubled words.
+BITS, ORDERS, DOUBLED = 17, (2, 3, 4), 32
+SIZE = (1 << BITS) + DOUBLED
 
 
 def indicators(text: bytes | None, flags: np.ndarray) -> np.ndarray:
     """Codes of the n-grams that occur in the whole text.  ``flags`` is a
-    scratch array of ``2 ** BITS`` zeros."""
+    scratch array of ``SIZE`` zeros."""
     data = np.frombuffer(b" " + (text or b"") + b" ", np.uint8)
     for n in ORDERS:
         for at in range(0, max(1, len(data) - n + 1), 1 << 20):
             flags[gram_codes(data[at : at + (1 << 20) + n - 1], n, BITS)] = True
     words = (text or b"").split()
     doubled = sum(map(eq, words, words[1:]))
-    flags[: doubled.bit_length()] = True  # the first codes: bigrams of one word, by powers of two
+    flags[1 << BITS : (1 << BITS) + min(DOUBLED, doubled.bit_length())] = True  # by powers of two
     found = np.flatnonzero(flags)
     flags[found] = False
     return found
@@ -57,7 +59,7 @@ def fit(labels: np.ndarray, found: list[np.ndarray], cost: float = 1.0, smooth:
     y = np.where(labels == 1, 1.0, -1.0)
     if not len(y) or len(set(y)) < 2:
         return None
-    counts = np.full((2, 1 << BITS), smooth)
+    counts = np.full((2, SIZE), smooth)
     for at, sign in zip(found, y):
         counts[int(sign > 0)][at] += 1
     counts /= counts.sum(axis=1, keepdims=True)
@@ -66,12 +68,12 @@ def fit(labels: np.ndarray, found: list[np.ndarray], cost: float = 1.0, smooth:
     floor = 0.2 * float(np.median([v @ v for v in scaled])) + 1e-9
     rows = [(at, v / np.sqrt(v @ v + floor)) for at, v in zip(found, scaled)]
     balance = np.where(y > 0, len(y) / (2 * np.sum(y > 0)), len(y) / (2 * np.sum(y < 0)))
-    w, b = hinge_descent(rows, y, 1 << BITS, cost * balance)
+    w, b = hinge_descent(rows, y, SIZE, cost * balance)
     return Model(ratio.astype(np.float32), floor, w.astype(np.float32), b, *sigmoid_fit(margins(rows, w, b), y))
 
 
 def _features(batches):
-    flags = np.zeros(1 << BITS, bool)
+    flags = np.zeros(SIZE, bool)
     for b in batches:
         rows = [indicators(t, flags).astype(np.int32) for t in b.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.int32()))], ["label", "at"])
@@ -79,7 +81,8 @@ def _features(batches):
 
 def train(docs: DataFrame, labels: DataFrame, most: int = 1500, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model | None:
     """Fit on at most ``most`` labelled rows of each class, taken over all rows
-    of ``labels`` by a hash of the id.  Labels other than 0 and 1 don't count."""
+    of ``labels`` by a hash of the id.  Labels other than 0 and 1 don't count; rows
+    that repeat an id count as often as they meet a text."""
     modest_batches(docs.sparkSession)
     rows = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     sample = F.broadcast(bounded_sample(rows, "label", most, F.coalesce(F.col("id").cast("string"), F.lit(""))))
@@ -94,7 +97,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 1500, id_col: str = "d
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, score`` of every row; higher: label 1 is likelier.
 
-    Null and empty texts are scored as texts without n-grams of their own.
+    Null and empty texts are scored as texts without n-grams of their own, and
+    equal texts have equal scores.
     Without a model all scores are 0.5.
     """
     modest_batches(docs.sparkSession)
@@ -102,7 +106,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
 
     def run(batches):
-        model, flags = shared.value, np.zeros(1 << BITS, bool)
+        model, flags = shared.value, np.zeros(SIZE, bool)
         for b in batches:
             found = [0.5 if model is None else model.score(indicators(t, flags)) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.float64())], ["id", "score"])

@@ -29,26 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarryline.llm.chunks import _INVERSE, _P, mixed, powers
 from quarryline.workspace import Workspace, modest_batches
 
 GRAM, SHALLOW, GROUP = 32, 32, 20_000
 #: Bytes of a text that are hashed at a time, and of records sorted at a time.
 SLICE, SORTED = 1 << 20, 8 << 20
+#: Records of which a task remembers that it has given their bytes.
+REMEMBERED = 500_000
 
 _U = np.uint64
-_P = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(31))) * _U(0xBF58476D1CE4E5B9)
-    return x ^ (x >> _U(29))
-
-
-def _powers(n: int) -> np.ndarray:
-    return np.multiply.accumulate(np.concatenate([[_U(1)], np.full(n, _P, _U)]))
-
-
-_INVERSE = _U(pow(int(_P), -1, 1 << 64))
 
 
 def window_hashes(data: np.ndarray, size: int) -> np.ndarray:
@@ -56,10 +46,9 @@ def window_hashes(data: np.ndarray, size: int) -> np.ndarray:
     n = len(data)
     if n < size:
         return np.zeros(0, _U)
-    up = _powers(n)[:n]
-    down = np.multiply.accumulate(np.concatenate([[_U(1)], np.full(n, _INVERSE, _U)]))
-    total = np.concatenate([[_U(0)], np.cumsum(up * (data.astype(_U) + _U(1)), dtype=_U)])
-    return _mixed((total[size:] - total[: n - size + 1]) * down[: n - size + 1])
+    total = np.zeros(n + 1, _U)
+    np.cumsum(powers(_P, n) * (data.astype(_U) + _U(1)), dtype=_U, out=total[1:])
+    return mixed((total[size:] - total[: n - size + 1]) * powers(_INVERSE, n)[: n - size + 1])
 
 
 def _least(h: np.ndarray, width: int) -> np.ndarray:
@@ -81,7 +70,7 @@ def _least(h: np.ndarray, width: int) -> np.ndarray:
 
 def anchors(data: np.ndarray, length: int):
     """Anchors of a text's strings: (anchor, first start, last start, anchor's
-    hash), every start belonging to one."""
+    hash, sum of the hashes of all grams of the record), every start belonging to one."""
     out = []
     at = 0
     while at + length <= len(data):
@@ -91,10 +80,12 @@ def anchors(data: np.ndarray, length: int):
         cut = np.flatnonzero(np.diff(place)) + 1
         first = np.concatenate([[0], cut])
         last = np.concatenate([cut, [len(place)]]) - 1
-        out.append((place[first] + at, first + at, last + at, h[place[first]]))
+        total = np.zeros(len(h) + 1, _U)
+        np.cumsum(h, out=total[1:])
+        out.append((place[first] + at, first + at, last + at, h[place[first]], total[last + length - GRAM + 1] - total[first]))
         at += len(place)
     if not out:
-        return tuple(np.zeros(0, np.int64) for _ in range(3)) + (np.zeros(0, _U),)
+        return tuple(np.zeros(0, np.int64) for _ in range(3)) + (np.zeros(0, _U), np.zeros(0, _U))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -229,38 +220,44 @@ def _record_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.n
         to = at + int(np.searchsorted(start[at:], start[at] + SLICE, "right"))
         lo, hi = int(start[at]), int(end[at:to].max())
         part = data[lo:hi].astype(_U) + _U(1)
-        total = np.concatenate([[_U(0)], np.cumsum(_powers(len(part))[: len(part)] * part, dtype=_U)])
+        total = np.concatenate([[_U(0)], np.cumsum(powers(_P, len(part)) * part, dtype=_U)])
         a, z = start[at:to] - lo, end[at:to] - lo
-        down = np.multiply.accumulate(np.concatenate([[_U(1)], np.full(len(part), _INVERSE, _U)]))
-        out[at:to] = _mixed((total[z] - total[a]) * down[a] + (z - a).astype(_U) * _U(0x94D049BB133111EB))
+        down = powers(_INVERSE, len(part) + 1)
+        out[at:to] = mixed((total[z] - total[a]) * down[a] + (z - a).astype(_U) * _U(0x94D049BB133111EB))
         at = to
     return out.view(np.int64)
 
 
-#: Bits of the bitmaps that tell tasks which anchors or texts are of interest.
-#: A stray bit only means a record or text that is shipped for nothing.
-MAP_BITS = 27
+class Marks:
+    """A bitmap that tells tasks which anchors or texts are of interest.  A stray
+    bit only means a record or text that is shipped for nothing."""
+
+    def __init__(self, bits: int):
+        self.bits, self.map = bits, np.zeros(1 << (bits - 3), np.uint8)
 
+    def slots(self, x: np.ndarray) -> np.ndarray:
+        return (x.view(_U) >> _U(64 - self.bits)).astype(np.int64)
 
-def _slots(x: np.ndarray) -> np.ndarray:
-    return (x.view(_U) >> _U(64 - MAP_BITS)).astype(np.int64)
+    def has(self, x: np.ndarray) -> np.ndarray:
+        slot = self.slots(x)
+        return (self.map[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+
+
+#: Most bits of a bitmap, 256 MB; others have eight a value.  Beyond 2 ** 28 values
+#: stray bits grow common, and with them what is shipped.
+MOST_BITS = 31
 
 
 def _bitmap(values: DataFrame, column: str):
-    """A bitmap of fixed size of the longs in a column, for :func:`_marked`."""
-    slot = F.shiftrightunsigned(F.col(column), 64 - MAP_BITS) + 1  # Spark's buckets start at one
+    """Marks of the longs in a column of a kept table, for all tasks."""
+    bits = max(15, min(MOST_BITS, (8 * values.count()).bit_length()))
+    slot = F.shiftrightunsigned(F.col(column), 64 - bits) + 1  # Spark's buckets start at one
     parts = values.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
-    size = (1 << MAP_BITS) // 8
-    bits = np.zeros(size, np.uint8)
+    marks = Marks(bits)
     for r in parts.toLocalIterator():
         at = (r.bucket - 1) * 4096
-        bits[at : at + 4096] = np.frombuffer(bytes(r.bits), np.uint8)
-    return values.sparkSession.sparkContext.broadcast(bits)
-
-
-def _marked(bits: np.ndarray, x: np.ndarray) -> np.ndarray:
-    slot = _slots(x)
-    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+        marks.map[at : at + 4096] = np.frombuffer(bytes(r.bits), np.uint8)
+    return values.sparkSession.sparkContext.broadcast(marks)
 
 
 def _row_facts(batches):
@@ -285,24 +282,25 @@ def _grams(batches, length: int):
             yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n)], ["gram", "n"])
 
 
-def _anchored(text: bytes, length: int, bits: np.ndarray):
+def _anchored(text: bytes, length: int, marks: Marks):
     """Anchors of interest of a text: hash, record's hash, first and last start,
-    bytes ahead of the anchor in its record."""
+    bytes ahead of the anchor in its record.  Records are compared within an
+    anchor, so two of 64 bits each tell them apart, the second from two sums."""
     data = np.frombuffer(text, np.uint8)
-    place, first, last, gram = anchors(data, length)
+    place, first, last, gram, total = anchors(data, length)
     if len(place):
-        some = _marked(bits, gram)
-        place, first, last, gram = place[some], first[some], last[some], gram[some]
-    sig = _record_hashes(data, first, last + length) if len(place) else np.zeros(0, np.int64)
+        some = marks.has(gram)
+        place, first, last, gram, total = (x[some] for x in (place, first, last, gram, total))
+    sig = (_record_hashes(data, first, last + length).view(_U) + mixed(total)).view(np.int64) if len(place) else np.zeros(0, np.int64)
     return gram.view(np.int64), sig, first, last, place - first
 
 
-def _records(batches, length: int, bits: np.ndarray):
+def _records(batches, length: int, marks: Marks):
     """A row for each anchor of interest."""
     for b in batches:
         for at in range(0, b.num_rows, 512):
             texts = [t.as_py() or b"" for t in b.column(0).slice(at, 512)]
-            found = [_anchored(t, length, bits) for t in texts]
+            found = [_anchored(t, length, marks) for t in texts]
             size = [len(f[0]) for f in found]
             if sum(size):
                 keys = pa.array([_key(t) for t in texts], pa.binary()).take(pa.array(np.repeat(np.arange(len(texts)), size)))
@@ -310,19 +308,23 @@ def _records(batches, length: int, bits: np.ndarray):
                 yield pa.RecordBatch.from_arrays([keys, *map(pa.array, (gram, sig, first, last))], ["key", "gram", "sig", "first", "last"])
 
 
-def _bytes_of(batches, length: int, bits: np.ndarray):
-    """The bytes of each anchor's record, once for equal ones of a group of texts."""
+def _bytes_of(batches, length: int, marks: Marks):
+    """The bytes of each anchor's record.  Of equal ones a task gives the first, as
+    far as it remembers, so a record that recurs is no hot group."""
+    seen: set[int] = set()
     for b in batches:
         for at in range(0, b.num_rows, 512):
-            out, seen = [], set()
+            out = []
             for t in b.column(0).slice(at, 512):
                 text = t.as_py() or b""
                 key = None
-                for g, s, first, last, before in zip(*(x.tolist() for x in _anchored(text, length, bits))):
-                    if (g, s) not in seen:
-                        seen.add((g, s))
+                for g, s, first, last, before in zip(*(x.tolist() for x in _anchored(text, length, marks))):
+                    if (mark := g * 0x9E3779B1 ^ s) not in seen:
+                        seen.add(mark)
                         key = key or _key(text)
                         out.append((g, s, None, before, key, first, text[first : last + length]))
+            if len(seen) > REMEMBERED:
+                seen.clear()
             if out:
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["gram", "sig", "n", "before", "key", "first", "bytes"])
@@ -407,7 +409,7 @@ def _removed(batches, length: int):
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["key", "n_removed", "n_spans", "kept_sha256"])
 
 
-def _of_interest(batches, bits: np.ndarray):
+def _of_interest(batches, marks: Marks):
     for b in batches:
         seen, keep = set(), []
         for t in b.column(0):
@@ -416,7 +418,7 @@ def _of_interest(batches, bits: np.ndarray):
             seen.add(key)
             keep.append(key if new else None)
         slot = np.array([int.from_bytes(k[:8], "big", signed=True) if k else 0 for k in keep], np.int64)
-        some = np.array([k is not None for k in keep], bool) & _marked(bits, slot)
+        some = np.array([k is not None for k in keep], bool) & marks.has(slot)
         at = np.flatnonzero(some)
         yield pa.RecordBatch.from_arrays([pa.array([keep[i] for i in at], pa.binary()), b.column(0).take(pa.array(at))], ["key", "text"])
 
@@ -446,19 +448,22 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     # a record that occurs twice is repeated as a whole; the others need a look
     # at their bytes where their anchor has other records
     groups = records.groupBy("gram").agg(F.count("*").alias("records"), F.min("n").alias("least"))
-    contested = work.keep(groups.where("records > 1 and least = 1").select("gram", "records"), "contested")
-    marks = _bitmap(contested, "gram")
+    contested = groups.where("records > 1 and least = 1").select("gram", "records")
+    small = work.keep(contested.where(F.col("records") <= GROUP).select("gram"), "small")
+    large = work.keep(contested.where(F.col("records") > GROUP).select("gram"), "large")
     schema = "gram bigint, sig bigint, n bigint, before int, key binary, first bigint, bytes binary"
-    shipped = texts.mapInArrow(lambda it: _bytes_of(it, length, marks.value), schema)
-    counts = records.join(contested.where(F.col("records") <= GROUP).select("gram"), "gram", "left_semi")
+
+    def shipped(marks):
+        return texts.mapInArrow(lambda it: _bytes_of(it, length, marks.value), schema)
+
+    counts = records.join(small, "gram", "left_semi")
     counts = counts.select("gram", "sig", "n", *[F.lit(None).cast(t).alias(c) for c, t in (("before", "int"), ("key", "binary"), ("first", "bigint"), ("bytes", "binary"))])
-    together = shipped.unionByName(counts).repartition("gram").sortWithinPartitions("gram", "sig", F.col("n").asc_nulls_last())
+    together = shipped(_bitmap(small, "gram")).unionByName(counts).repartition("gram").sortWithinPartitions("gram", "sig", F.col("n").asc_nulls_last())
     starts = "key binary, a bigint, z bigint"
     spans = [work.keep(together.mapInArrow(lambda it: _sorted_groups(it, length), starts), "once")]
-    large = contested.where(F.col("records") > GROUP).select("gram")
-    if not large.isEmpty():
+    if not large.isEmpty():  # these bytes go by record, never by anchor
         known = records.join(large, "gram", "left_semi").select("gram", "sig", F.col("n").alias("times"))
-        each = shipped.join(known, ["gram", "sig"]).withColumn("n", F.col("times"))
+        each = shipped(_bitmap(large, "gram")).drop("n").join(known, ["gram", "sig"]).withColumnRenamed("times", "n")
         each = each.dropDuplicates(["gram", "sig"]).select("gram", "sig", "n", "before", "key", "first", "bytes")
         strings = each.mapInArrow(lambda it: _strings(it, length), "gram bigint, n bigint, key binary, start bigint, h bigint")
         twice = strings.groupBy("gram", "h").agg(F.sum("n").alias("times")).where("times > 1").select("gram", "h")

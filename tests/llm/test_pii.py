@@ -1,3 +1,5 @@
+import math
+import random
 import re
 
 from tests.llm.helpers import awkward, empty
@@ -53,7 +55,7 @@ def test_terms_that_disclose(spark):
         rows.append((100 + i, f"The {word} note{i}: Zanzibarov at zed@mail.example.org, the {filler[i + 2]}."))
     rows.append((200, "Elsewhere ZANZIBAROV walks, zanzibarovs don't."))
     docs = spark.createDataFrame(rows, "doc_id int, text string")
-    terms = {r.term for r in pii.disclosing_terms(docs, threshold=0.9).collect()}
+    terms = {r.term for r in pii.disclosing_terms(docs).collect()}
     assert terms == {"zanzibarov"}
     found = {r.doc_id: r for r in pii.find_pii(docs, pii.disclosing_terms(docs)).collect()}
     assert [(s.start, s.end) for s in found[200].term] == [(10, 20)]
@@ -72,9 +74,55 @@ def test_awkward_rows(spark):
     assert pii.sanitise(empty(spark)).count() == 0
 
 
+def test_disclosure_against_brute_force(spark):
+    rng = random.Random(6)
+    common, rare = [f"word{chr(97 + i)}" for i in range(12)], [f"rare{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(500)]
+    texts = []
+    for i in range(300):
+        words = rng.choices(common, k=25)
+        for _ in range(3):
+            words.insert(rng.randrange(25), rng.choice(rare))
+        if i % 4 == 0:
+            words.insert(rng.randrange(25), f"p{rng.randrange(30)}@mail{i % 3}.example.org")
+        texts.append(" ".join(words))
+    texts += texts[:40] + [None, ""]  # copies count once
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.term: r.disclosure for r in pii.disclosing_terms(docs, window=20).collect()}
+
+    every = {t or "" for t in texts}
+    word = re.compile(r"[^\W_]{3,}")
+    contexts = {}
+    for t in every:
+        for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t):
+            left, right = t[max(0, m.start() - 20) : m.start()], t[m.end() : m.end() + 20]
+            if m.start() > 20:
+                left = re.sub(r"^[^\W_]+", "", left)
+            if len(right) == 20:
+                right = re.sub(r"[^\W_]+$", "", right)
+            contexts.setdefault(m[0].lower(), set()).add(f"{left} \0 {right}".lower())
+    want = {}
+    for near in contexts.values():
+        for term in {w for c in near for w in word.findall(c)}:
+            n_te = sum(term in word.findall(c) for c in near)
+            n_t = sum(term in word.findall(t.lower()) for t in every)
+            content, left_open = math.log2(len(every) / len(near)), math.log2(max(n_t, n_te) / (n_te - 0.5))
+            if content > 0 and left_open <= 1.5 and 1 - left_open / content >= 0.85:
+                want[term] = max(want.get(term, 0), 1 - left_open / content)
+    assert want and got.keys() == want.keys() and all(abs(got[t] - want[t]) < 1e-9 for t in want)
+
+
+def test_terms_are_found_on_the_given_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    found = pii.find_pii(docs, pii.disclosing_terms(docs))
+    held = found.where("size(term) > 0").collect()
+    assert len(held) > 20 and found.count() == docs.count()
+    assert all(r.text[s.start : s.end] == s.value for r in held for s in r.term)
+
+
 def test_redaction_of_overlaps(spark):
-    docs = spark.createDataFrame([(1, "call +4111111111111111 or 10.0.0.1, a@b.co!")], "doc_id int, text string")
-    assert pii.sanitise(docs).first().text == "call [PHONE] or [IP], [EMAIL]!" or "4111" not in pii.sanitise(docs).first().text
+    docs = spark.createDataFrame([(1, "call +4111111111111111 or 10.0.0.1, a@b.co!"), (2, "4111111111111111@b.co")], "doc_id int, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert clean[1] in ("call [PHONE] or [IP], [EMAIL]!", "call +[CARD] or [IP], [EMAIL]!") and clean[2] == "[EMAIL]"
 
 
 def test_clashing_columns_stay(spark):
