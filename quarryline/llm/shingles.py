@@ -5,6 +5,12 @@ similarity of ``least`` or more share one of the first ``n - ceil(least * n) + 1
 of each.  The order is rare shingles first, as far as a bounded sample of the
 texts tells; what it doesn't tell costs candidates and never a pair.
 
+A set also has a sketch: bit ``i`` says whether it holds an odd number of
+shingles that hash to ``i``.  Two sketches differ in at most as many bits as the
+sets have elements in one only, so a pair whose sketches differ in more bits than
+the similarity allows isn't alike, and only the other pairs bring their shingles
+together.  A longer sketch folds onto a shorter one.
+
 Equal sets are one class.  A shingle's classes are first compared with one of
 them, the pivot, and again with other pivots; only classes that are still in
 different components are then paired up, so a large group of near copies isn't
@@ -18,7 +24,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.operators.components import connected_components
@@ -28,6 +34,8 @@ from quarryline.workspace import Workspace, modest_batches
 SAMPLE, COMMON = 20_000, 200_000
 #: Rounds of pivots before the rest is paired up.
 PIVOTS = 4
+#: Longs of the shortest and the longest sketch.
+SHORT, LONG = 4, 1024
 
 
 def tokens_of(text: bytes, words: int) -> list[bytes]:
@@ -39,10 +47,15 @@ def tokens_of(text: bytes, words: int) -> list[bytes]:
     return list(map(b" ".join, zip(*(tokens[i:] for i in range(words)))))
 
 
+def shingle_hashes(text: bytes | None, words: int, seed: int) -> np.ndarray:
+    """The unsigned 64-bit hashes of the text's shingles, repeats included."""
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(t, seed) for t in tokens_of(text or b"", words)], np.uint64)
+
+
 def shingle_set(text: bytes | None, words: int, seed: int) -> np.ndarray:
     """The sorted distinct 64-bit hashes of the text's shingles."""
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(t, seed) for t in tokens_of(text or b"", words)], np.uint64).view(np.int64))
+    return np.unique(shingle_hashes(text, words, seed).view(np.int64))
 
 
 def class_of(found: np.ndarray) -> int:
@@ -62,7 +75,28 @@ def prefix(found: np.ndarray, common: np.ndarray, count: np.ndarray, least: floa
     return found[np.lexsort((found, seen))[: n - math.ceil(least * n - 1e-9) + 1]]
 
 
-def _common(docs: DataFrame, text_col: str, words: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+def sketch(found: np.ndarray) -> np.ndarray:
+    """The parity sketch of a set, as longs: a power of two of them, one or two bits an element."""
+    longs = min(LONG, max(SHORT, 1 << (max(1, len(found) // 64) - 1).bit_length()))
+    bit = found.view(np.uint64) & np.uint64(longs * 64 - 1)
+    odd = (np.bincount(bit.astype(np.int64), minlength=longs * 64) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<i8")
+
+
+def sketches_allow(x: Column, y: Column, n: Column, m: Column, least: float) -> Column:
+    """Whether sets of ``n`` and ``m`` elements with these sketches may be alike."""
+    short = F.least(F.size(x), F.size(y))
+
+    def at(s: Column, i: Column) -> Column:  # folded onto the shorter one
+        parts = F.sequence(i, F.size(s), short)
+        return F.aggregate(parts, F.lit(0).cast("long"), lambda a, j: a.bitwiseXOR(F.element_at(s, j.cast("int"))))
+
+    differ = F.aggregate(F.sequence(F.lit(1), short), F.lit(0), lambda a, i: a + F.bit_count(at(x, i).bitwiseXOR(at(y, i))))
+    return differ <= (n + m) * (1 - least) / (1 + least) + 1e-6
+
+
+def common_shingles(docs: DataFrame, text_col: str, words: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that recur in a sample of the texts, sorted, and their counts."""
     n = docs.count()
     texts = docs.select(F.col(text_col).cast("binary").alias("text")).where("text is not null")
     h = F.xxhash64("text")
@@ -87,30 +121,19 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return full.where(F.col("both") / (F.size("x") + F.size("y") - F.col("both")) >= least - 1e-12).select("a", "b")
 
 
-def alike_links(docs: DataFrame, id_col: str, text_col: str, words: int, least: float, seed: int, work: Workspace) -> tuple[DataFrame, DataFrame]:
-    """``id, set`` of every row, and ``a, b`` links of sets.
+def alike_links(owners: DataFrame, texts: DataFrame, words: int, least: float, seed: int, work: Workspace) -> DataFrame | None:
+    """``a, b`` links of sets, None where there are none.
 
+    ``owners`` has a row a set: ``set, id, size, prefix, sketch``, with the id of
+    one of its texts; ``texts`` has ``id, text``, and rows of one id are equal.
     Sets are linked so that their components are those of all pairs of sets with
     a similarity of ``least`` or more; every link is such a pair.
     """
-    spark = docs.sparkSession
-    modest_batches(spark)
-    common = spark.sparkContext.broadcast(_common(docs, text_col, words, seed))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-
-    def first(batches):
-        for b in batches:
-            found = [shingle_set(t, words, seed) for t in b.column(1).to_pylist()]
-            columns = [pa.array([class_of(f) for f in found], pa.int64()), pa.array([len(f) for f in found], pa.int32()), pa.array([prefix(f, *common.value, least) for f in found], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), *columns], ["id", "set", "size", "prefix"])
-
-    prints = work.keep(rows.mapInArrow(first, f"id {kind}, set bigint, size int, prefix array<bigint>"), "sets")
-    one = work.keep(prints.groupBy("set").agg(F.min("id").alias("id")), "one")
-    each = work.keep(prints.select("set", "size", "prefix").dropDuplicates(["set"]).select("set", "size", F.explode("prefix").alias("shingle")), "prefixes")
+    each = work.keep(owners.select("set", "size", F.explode("prefix").alias("shingle")), "prefixes")
     shared = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
     members = work.keep(each.join(shared, "shingle"), "members")
     work.drop(each)
+    sketches = owners.select("set", "sketch")
 
     def again(batches):
         for b in batches:
@@ -119,10 +142,9 @@ def alike_links(docs: DataFrame, id_col: str, text_col: str, words: int, least:
 
     def sets_of(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
-        keys = one.join(ends, "set").select("id")
-        # rows of one key are equal, so any of them will do
-        texts = rows.join(keys.hint("shuffle_hash"), rows["id"].eqNullSafe(keys["id"]), "left_semi")
-        return work.keep(texts.mapInArrow(again, "set bigint, found array<bigint>").dropDuplicates(["set"]), "compared")
+        keys = owners.select("set", "id").join(ends, "set").select("id")
+        held = texts.join(keys, texts["id"].eqNullSafe(keys["id"]), "left_semi")
+        return work.keep(held.mapInArrow(again, "set bigint, found array<bigint>").dropDuplicates(["set"]), "compared")
 
     fits = (F.col("size") >= F.col("size_b") * least - 1e-9) & (F.col("size_b") >= F.col("size") * least - 1e-9)
     links, roots = None, None
@@ -141,16 +163,29 @@ def alike_links(docs: DataFrame, id_col: str, text_col: str, words: int, least:
         met = here.join(other, "shingle").where(fits & (F.col("root") != F.col("root_b")))
         if r == PIVOTS:
             met = met.where("set < set_b")
-        pairs = work.keep(met.select(F.least("set", "set_b").alias("a"), F.greatest("set", "set_b").alias("b")).distinct(), "pairs")
+        smaller = F.col("set") < F.col("set_b")
+        met = met.select(
+            F.least("set", "set_b").alias("a"), F.greatest("set", "set_b").alias("b"),
+            F.when(smaller, F.col("size")).otherwise(F.col("size_b")).alias("n"), F.when(smaller, F.col("size_b")).otherwise(F.col("size")).alias("m"),
+        ).distinct()
+        pairs = work.keep(met, "pairs")
         if pairs.isEmpty():
             if r == PIVOTS:
                 break
             continue
-        sets = sets_of(pairs)
-        new = work.keep(_verified(pairs, sets, least), "alike")
-        work.drop(sets)
+        left = sketches.select(F.col("set").alias("a"), F.col("sketch").alias("x"))
+        right = sketches.select(F.col("set").alias("b"), F.col("sketch").alias("y"))
+        near = pairs.join(left, "a").join(right, "b").where(sketches_allow(F.col("x"), F.col("y"), F.col("n"), F.col("m"), least))
+        near = work.keep(near.select("a", "b"), "near")
         work.drop(pairs)
+        if near.isEmpty():
+            work.drop(near)
+            continue
+        sets = sets_of(near)
+        new = work.keep(_verified(near, sets, least), "alike")
+        work.drop(sets)
+        work.drop(near)
         links = new if links is None else links.union(new)
         if r < PIVOTS:
             roots = connected_components(links, work).select(F.col("node").alias("set"), "root")
-    return prints.select("id", "set"), links if links is not None else spark.createDataFrame([], "a long, b long")
+    return links

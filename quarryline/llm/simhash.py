@@ -12,19 +12,17 @@ if they reach a common word by flipping at most one bit each, so each member
 of a shared bucket announces its ball of single flips, and equal words join
 their owners to the smallest of them.  A ball holds at most 65 words, hence no
 word has more owners than that, however large the bucket.  For radius 1 the
-same holds with flips on one side; larger radii enumerate balls of half the
-radius, rounded up, and verify.
+same holds with flips on one side.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarryline.llm.shingles import alike_links, tokens_of
+from quarryline.llm.shingles import alike_links, class_of, common_shingles, prefix, shingle_hashes, sketch
 from quarryline.operators.components import connected_components
 from quarryline.workspace import Workspace, modest_batches
 
@@ -34,15 +32,18 @@ BITS = 64
 def fingerprint(text: bytes, words: int, seed: int) -> int:
     """SimHash of UTF-8 ``text``: A-Z lowered, words split at ASCII white space,
     every shingle counted as often as it occurs."""
-    tokens = tokens_of(text, words)
-    if not tokens:
+    return fingerprint_of(shingle_hashes(text, words, seed))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """SimHash of the hashes of a text's shingles; 0 if there are none."""
+    if not len(hashes):
         return 0
-    digest = xxhash.xxh64_intdigest
     total = np.zeros(BITS, np.int64)
-    for at in range(0, len(tokens), 65536):
-        h = np.array([digest(t, seed) for t in tokens[at : at + 65536]], ">u8")
+    for at in range(0, len(hashes), 65536):
+        h = hashes[at : at + 65536].astype(">u8")
         total += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * total > len(tokens)).tobytes(), "big")
+    return int.from_bytes(np.packbits(2 * total > len(hashes)).tobytes(), "big")
 
 
 def _fingerprints(batches, words: int, seed: int):
@@ -125,6 +126,22 @@ def simhash_components(
     return prints.join(names, "fp").select("id", "fp", "component")
 
 
+def _facts(batches, words: int, seed: int, least: float, common):
+    for b in batches:
+        for at in range(0, b.num_rows, 128):
+            here = b.slice(at, 128)
+            hashes = [shingle_hashes(t, words, seed) for t in here.column(1).to_pylist()]
+            sets = [np.unique(h.view(np.int64)) for h in hashes]
+            columns = [
+                pa.array(np.array([fingerprint_of(h) for h in hashes], np.uint64).view(np.int64)),
+                pa.array([class_of(f) for f in sets], pa.int64()),
+                pa.array([len(f) for f in sets], pa.int32()),
+                pa.array([prefix(f, *common, least) for f in sets], pa.list_(pa.int64())),
+                pa.array([sketch(f) for f in sets], pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays([here.column(0), *columns], ["id", "fp", "set", "size", "prefix", "sketch"])
+
+
 def near_duplicate_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, radius: int = 2, least: float = 0.8, seed: int = 42
 ) -> DataFrame:
@@ -134,20 +151,27 @@ def near_duplicate_components(
     Rows with equal ids have to be equal in their texts.  ``component`` is the
     smallest id of the group.
     """
-    work = Workspace(docs.sparkSession, "simhash")
-    sets, alike = alike_links(docs, id_col, text_col, words, least, seed, work)
-    prints = work.keep(simhash_fingerprints(docs, id_col, text_col, words, seed), "prints")
-    one = work.keep(prints.groupBy("fp").agg(F.min("id").alias("id")), "classes")
+    spark = docs.sparkSession
+    modest_batches(spark)
+    work = Workspace(spark, "simhash")
+    common = spark.sparkContext.broadcast(common_shingles(docs, text_col, words, seed))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    schema = f"id {rows.schema['id'].dataType.simpleString()}, fp bigint, set bigint, size int, prefix array<bigint>, sketch array<bigint>"
+    facts = work.keep(rows.mapInArrow(lambda it: _facts(it, words, seed, least, common.value), schema), "facts")
+    prints = work.keep(facts.select("id", "fp", "set").distinct(), "prints")
+    one = prints.groupBy("set").agg(F.min("id").alias("id"))
+    owners = facts.drop("fp").join(one.withColumnRenamed("id", "owner"), "set").where("id <=> owner").drop("owner")
+    owners = work.keep(owners.dropDuplicates(["set"]), "owners")
+    work.drop(facts)
+    alike = alike_links(owners, rows, words, least, seed, work)
     # fingerprint classes and set classes meet in their rows
-    both = work.keep(prints.distinct().join(sets.distinct(), "id"), "both")
-    of = both.select("fp", "set").distinct()
+    of = prints.select("fp", "set").distinct()
     named = work.keep(of.groupBy("fp").agg(F.min("set").alias("b")), "named")
-    ends = hamming_links(one.select("fp"), radius, work)
+    ends = hamming_links(named.select("fp"), radius, work)
     near = ends.join(named.select(F.col("fp").alias("a"), F.col("b").alias("x")), "a").join(named.select(F.col("fp").alias("b"), F.col("b").alias("y")), "b")
-    links = of.join(named, "fp").select(F.col("set").alias("a"), "b").where("a <> b").union(near.select("x", "y")).union(alike)
-    groups = connected_components(links, work).select(F.col("node").alias("set"), "root")
-    rooted = both.join(groups, "set", "left").select("id", F.coalesce("root", "set").alias("root"))
-    rooted = work.keep(rooted, "rooted")
+    links = of.join(named, "fp").select(F.col("set").alias("a"), "b").where("a <> b").union(near.select("x", "y"))
+    groups = connected_components(links if alike is None else links.union(alike), work).select(F.col("node").alias("set"), "root")
+    rooted = work.keep(prints.join(groups, "set", "left").select("id", F.coalesce("root", "set").alias("root")), "rooted")
     return rooted.join(rooted.groupBy("root").agg(F.min("id").alias("component")), "root").select("id", "component")
 
 
@@ -157,17 +181,16 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
 
     Rows are told apart by their id and a hash of all their columns; of rows that
     are equal in everything, one stays.  Null texts are empty ones, and all
-    empty texts are one group.
+    empty texts are one group.  ``docs`` may have columns of any name.
     """
-    key = F.struct(F.col(id_col).isNull().alias("missing"), F.col(id_col).alias("id"), F.xxhash64(*docs.columns).alias("row"))
-    keyed = docs.withColumn("_key", key)
-    groups = near_duplicate_components(keyed, "_key", text_col, words, radius, least, seed)
-    copies = keyed.groupBy(F.col("_key").alias("id")).agg(F.count("*").alias("n"))
-    rows = groups.where("id <=> component").join(copies, "id")
-    kept = Workspace(docs.sparkSession, "simhash").keep(rows.select(F.col("id").alias("_key"), "n"), "kept")
-    # the keys are the build side, so the texts are neither sorted nor held
-    single = keyed.join(kept.where("n = 1").hint("shuffle_hash"), "_key", "left_semi").drop("_key")
+    at = F.struct(F.col(id_col).isNull().alias("missing"), F.col(id_col).alias("id"), F.xxhash64(*[f"`{c}`" for c in docs.columns]).alias("row"))
+    keyed = docs.select(at.alias("key"), F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"))
+    texts = keyed.select("key", F.col("row").getField(text_col).alias("text"))
+    groups = near_duplicate_components(texts, "key", "text", words, radius, least, seed)
+    copies = keyed.groupBy("key").agg(F.count("*").alias("n"))
+    kept = groups.where("id <=> component").select(F.col("id").alias("key"))
+    kept = Workspace(docs.sparkSession, "simhash").keep(kept.join(copies, "key"), "kept")
+    found = keyed.join(kept.where("n = 1").select("key"), "key", "left_semi").select("row.*")
     if kept.where("n > 1").isEmpty():
-        return single
-    equal = keyed.join(kept.where("n > 1"), "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
-    return single.union(equal)
+        return found
+    return found.union(keyed.join(kept.where("n > 1").select("key"), "key", "left_semi").dropDuplicates(["key"]).select("row.*"))

@@ -6,7 +6,7 @@ def test_stages_on_awkward_rows(spark, tmp_path):
     rows = [r[:5] for r in awkward_rows()]
     rows.append((50, "Write to someone@mail.example.org about the river and the stone and the cloud today.", "en", "s", 1))
     rows.append((51, "before the leaked benchmark passage of twelve plain words stands right here now after", "en", "s", 1))
-    docs = spark.createDataFrame(rows, ", ".join(SCHEMA.split(", ")[:5])).selectExpr("*", "1 as id", "'k' as key", "'e' as email", "2 as n", "'l' as lang_pred")
+    docs = spark.createDataFrame(rows, ", ".join(SCHEMA.split(", ")[:5])).selectExpr("*", "1 as id", "'k' as key", "'e' as email", "2 as n", "'l' as lang_pred", "1.5 as lang_score", "'r' as row", "3 as _key", "'b' as _bytes", "'p' as _predicted", "0.5 as _score", "7 as _row", "'t' as _text", "4 as _rank", "5 as set", "6 as fp")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, "the leaked benchmark passage of twelve plain words stands right here now")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     columns = docs.columns
