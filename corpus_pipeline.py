@@ -18,9 +18,10 @@ from quarryline.workspace import Workspace
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in no language: null, empty or without any letter.  A null
     ``lang`` becomes the predicted one, and stays where no language could be learned."""
-    found = langid.predict(docs, langid.train(docs), names=("_predicted", "_score"))
-    kept = found.where("_predicted <> 'und' or _score is null").withColumn("lang", F.expr("coalesce(lang, if(_score is null, null, _predicted))"))
-    return kept.select(*docs.columns)
+    others = F.struct(*[f"`{c}`" for c in docs.columns if c != "text"])  # so that no name clashes
+    found = langid.predict(docs.select(others.alias("row"), "text"), langid.train(docs)).where("lang_pred <> 'und' or lang_score is null")
+    lang = F.expr("coalesce(row.lang, if(lang_score is null, null, lang_pred))")
+    return found.select(*[F.col("text") if c == "text" else lang.alias(c) if c == "lang" else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
