@@ -6,9 +6,16 @@ ordered pass; text joins meet on tokens.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarryline.workspace import Workspace
+
+#: Tokens of which similarity joins broadcast how common they are.
+COMMON = 100_000
+
 
 def asof(left: DataFrame, right: DataFrame, keys: list[str], time: str, value: str, tie: str) -> DataFrame:
     """``left`` with the last ``value`` of ``right`` at or before its time.
@@ -43,21 +50,37 @@ def suppress(rows: DataFrame, keys: Column, suppressed: DataFrame, key: str, row
     return rows.join(hit, row_id, "left_anti")
 
 
-def mentions(rows: DataFrame, row_id: str, text: Column, terms: DataFrame, term_id: str, term: str, words: int = 3) -> DataFrame:
-    """(row, term) pairs where the text contains the term.
+def _runs(word: str, n: int) -> Column:
+    """All runs of ``n`` characters of a word."""
+    every = F.transform(F.sequence(F.lit(1), F.length(word) - n + 1), lambda i: F.substr(word, i, F.lit(n)))
+    return F.when(F.length(word) >= n, every).otherwise(F.array().cast("array<string>"))
+
 
-    Texts and terms meet on the term's first ``words`` whole words (a term
-    of fewer words than that meets on its first), then the containment is checked.
+def mentions(rows: DataFrame, row_id: str, text: Column, terms: DataFrame, term_id: str, term: str, words: int = 3, most: int = 6) -> DataFrame:
+    """(row, term) pairs where the text contains the term; null and blank terms occur nowhere.
+
+    A term of more than ``words + 1`` words meets texts on whole words of its
+    inside.  Of a shorter one the longest word may be a part of a text's word, so
+    its first ``most`` characters meet the runs of as many characters in the
+    text's distinct words.  The containment is checked for all that meet.
     """
-    heads = terms.withColumn("_parts", F.split(F.col(term), r"\s+")).where(F.size("_parts") > words + 1)
-    # the first word may start inside a word of the text, so the run begins at the second
-    heads = heads.withColumn("_gram", F.array_join(F.slice("_parts", 2, words), " ")).drop("_parts")
     texts = rows.select(row_id, text.alias("_text"))
     parts = texts.select(row_id, F.split("_text", r"\s+").alias("_parts"))
+    cut = terms.select(term_id, term, F.split(F.col(term), r"\s+").alias("_parts"))
+    long = cut.where(F.size("_parts") > words + 1)
+    # the first word may start inside a word of the text, so the run begins at the second
+    heads = long.select(term_id, term, F.array_join(F.slice("_parts", 2, words), " ").alias("_gram"))
     runs = F.arrays_zip(*[F.slice("_parts", i + 1, F.size("_parts")).alias(f"w{i}") for i in range(words)])
     grams = parts.select(row_id, F.explode(runs).alias("_run")).select(row_id, F.concat_ws(" ", *[F.col(f"_run.w{i}") for i in range(words)]).alias("_gram"))
     met = grams.join(heads, "_gram")
-    return met.join(texts, row_id).where(F.contains("_text", F.col(term))).select(row_id, term_id).distinct()
+    short = cut.where(F.size("_parts") <= words + 1).withColumn("_longest", F.array_max(F.transform("_parts", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"])
+    short = short.where(F.length("_longest") > 0).select(term_id, term, F.substring("_longest", 1, most).alias("_gram"))
+    sizes = sorted(r[0] for r in short.select(F.length("_gram")).distinct().collect())  # at most ``most`` numbers
+    if sizes:
+        pieces = F.flatten(F.array(*[_runs("_word", n) for n in sizes]))
+        each = parts.select(row_id, F.explode(F.array_distinct("_parts")).alias("_word")).select(row_id, F.explode(F.array_distinct(pieces)).alias("_gram"))
+        met = met.unionByName(each.join(short, "_gram"))
+    return met.select(row_id, term_id, term).distinct().join(texts, row_id).where(F.contains("_text", F.col(term))).select(row_id, term_id).distinct()
 
 
 def match_axes(rows: DataFrame, text: Column, axes: dict[str, tuple[list[str], list[str]]], least: int = 2) -> DataFrame:
@@ -78,16 +101,21 @@ def similar_pairs(rows: DataFrame, row_id: str, tokens: Column, least: float) ->
     """Pairs of rows with a Jaccard similarity of their token sets of ``least`` or more.
 
     Prefix filter: ranked by rarity, two such sets share a token among the first
-    ``n - ceil(least * n) + 1`` of each.  Equal sets are one row first, so copies
-    aren't paired with each other; callers join members back on ``tokens``.
-    Returns ``a``, ``b`` (the smallest ids of their sets, a < b) and ``similarity``.
+    ``n - ceil(least * n) + 1`` of each.  How rare a token is counts for the
+    ``COMMON`` commonest ones; any one order will do.  Equal sets are one row
+    first, so copies aren't paired with each other; callers join members back on
+    ``tokens``.  Returns ``a``, ``b`` (the smallest ids of their sets, a < b) and
+    ``similarity``.
     """
+    work = Workspace(rows.sparkSession, "pairs")
     sets = rows.select(row_id, F.array_sort(tokens).alias("tokens")).where(F.size("tokens") > 0)
-    sets = sets.groupBy("tokens").agg(F.min(row_id).alias("id"))
-    ranks = sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-    each = sets.select("id", F.size("tokens").alias("size"), F.explode("tokens").alias("token")).join(ranks, "token")
-    ranked = each.withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy("n", "token")))
-    prefix = ranked.where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * least) + 1).select("id", "size", "token")
+    sets = work.keep(sets.groupBy("tokens").agg(F.min(row_id).alias("id")), "sets")
+    counts = sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    common = F.broadcast(work.keep(counts.orderBy(F.desc("n"), "token").limit(COMMON), "common"))
+    # rows stay where their id is, so ranking them needs no further shuffle
+    each = sets.repartition("id").select("id", F.size("tokens").alias("size"), F.explode("tokens").alias("token")).join(common, "token", "left")
+    ranked = each.withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("n", F.lit(0)), "token")))
+    prefix = work.keep(ranked.where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * least) + 1).select("id", "size", "token"), "prefix")
     other = prefix.select(F.col("id").alias("id_b"), F.col("size").alias("size_b"), "token")
     alike = (F.col("size") >= F.col("size_b") * least) & (F.col("size_b") >= F.col("size") * least)
     met = prefix.join(other, "token").where((F.col("id") < F.col("id_b")) & alike).select("id", "id_b").distinct()
@@ -97,3 +125,56 @@ def similar_pairs(rows: DataFrame, row_id: str, tokens: Column, least: float) ->
     shared = F.size(F.array_intersect("ta", "tb"))
     full = full.withColumn("similarity", shared / (F.size("ta") + F.size("tb") - shared))
     return full.where(F.col("similarity") >= least).select(F.col("id").alias("a"), F.col("id_b").alias("b"), "similarity")
+
+
+def overlapping_pairs(rows: DataFrame, row_id: str, items: Column, share: float = 0.6, least: int = 2) -> DataFrame:
+    """Pairs ``a < b`` of rows that share ``least`` items and ``share`` of the smaller's.
+
+    Of the smaller set's ``n`` items, ranked by rarity, one of the first
+    ``n - ceil(share * n) + 1`` is shared, so only these meet the items of other
+    sets, and an item that stands everywhere brings few pairs together.
+    """
+    work = Workspace(rows.sparkSession, "overlaps")
+    sets = work.keep(rows.select(F.col(row_id).alias("id"), F.array_distinct(items).alias("items")).where(F.size("items") >= least), "sets")
+    each = sets.select("id", F.size("items").alias("size"), F.explode("items").alias("item"))
+    counted = each.join(each.groupBy("item").agg(F.count("*").alias("n")).where("n > 1"), "item", "left")
+    ranked = counted.withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("n", F.lit(1)), "item")))
+    prefix = ranked.where((F.col("place") <= F.col("size") - F.greatest(F.ceil(F.col("size") * share), F.lit(least)) + 1) & F.col("n").isNotNull())
+    small = prefix.select("id", "size", "item")
+    large = each.select(F.col("id").alias("other"), F.col("size").alias("other_size"), "item")
+    met = small.join(large, "item").where((F.col("id") != F.col("other")) & (F.col("size") <= F.col("other_size")))
+    pairs = met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+    full = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    full = full.withColumn("shared", shared).withColumn("smaller", F.least(F.size("x"), F.size("y")))
+    return full.where((F.col("shared") >= least) & (F.col("shared") >= F.col("smaller") * share)).select("a", "b", "shared")
+
+
+def similar_vectors(queries: DataFrame, vectors: DataFrame, row_id: str, vec: str, least: float, block: int = 4096) -> DataFrame:
+    """``query_id, id, cosine`` of all vectors within a cosine of ``least`` of a query.
+
+    The queries are taken in blocks of bounded size, each a pass over ``vectors``
+    by matrix products; rows that share the query's id don't count, nor do null
+    or zero vectors.
+    """
+    spark = vectors.sparkSession
+    plain = lambda df: df.select(F.col(row_id).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("v")).where("v is not null and exists(v, x -> x <> 0)")
+    rows, found, held = plain(vectors), None, []
+
+    def run(batches, shared):
+        ids, q = shared.value
+        for pdf in batches:
+            x = np.array(pdf["v"].tolist())
+            x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+            cosine, here = q @ x.T, pdf["id"].to_numpy()
+            i, j = np.nonzero((cosine >= least) & (ids[:, None] != here))
+            yield pd.DataFrame({"query_id": ids[i], "id": here[j], "cosine": cosine[i, j]})
+
+    for last, r in [*((False, r) for r in plain(queries).toLocalIterator()), (True, None)]:
+        held += [] if last else [r]
+        if held and (last or len(held) == block):
+            q = np.array([r.v for r in held])
+            shared = spark.sparkContext.broadcast((np.array([r.id for r in held]), q / np.sqrt((q * q).sum(axis=1, keepdims=True))))
+            part = rows.mapInPandas(lambda it, shared=shared: run(it, shared), "query_id long, id long, cosine double")
+            found, held = part if found is None else found.union(part), []
+    return spark.createDataFrame([], "query_id long, id long, cosine double") if found is None else found

@@ -6,9 +6,14 @@ reference times are parameters.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarryline.workspace import Workspace
+
 
 def best_per_key(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """The first row of each key by ``order``."""
@@ -22,10 +27,55 @@ def top_per_key(rows: DataFrame, keys: list[str], n: int, *order: Column, rank:
     return ranked if rank else ranked.drop(name)
 
 
-def flag_latest(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
-    """All rows with ``is_latest`` and the ``copies`` of their key."""
-    by = Window.partitionBy(*keys)
-    return rows.withColumn("is_latest", F.row_number().over(by.orderBy(*order)) == 1).withColumn("copies", F.count("*").over(by))
+def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """An equi-join on ``keys`` in which nulls are equal."""
+    named = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(and_, [left[k].eqNullSafe(named[f"_right_{k}"]) for k in keys])
+    return left.join(named, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
+def flag_latest(rows: DataFrame, keys: list[str], latest: str) -> DataFrame:
+    """All rows with ``is_latest`` (the largest ``latest`` of their key, which is
+    unique) and the ``copies`` of their key.
+
+    A key's facts are a map-side combined aggregate, joined back, so a key that
+    many rows share is no single task.  ``rows`` is read twice.
+    """
+    facts = rows.groupBy(*keys).agg(F.max(latest).alias("_last"), F.count("*").alias("copies"))
+    return join_on(rows, facts, keys).withColumn("is_latest", F.col(latest) == F.col("_last")).drop("_last")
+
+
+def previous(rows: DataFrame, keys: list[str], at: str, value: str, width: int = 4096) -> DataFrame:
+    """``rows`` with ``prior``: ``at`` and ``value`` of the row before it of its key
+    (null for the first).  ``at`` is a whole number, unique within a key.
+
+    A key is cut into buckets of ``width``; only the last row of each bucket is
+    carried on, so a key of any size is many tasks.
+    """
+    bucketed = rows.withColumn("_bucket", F.floor(F.col(at) / width))
+    within = F.lag(F.struct(at, value)).over(Window.partitionBy(*keys, "_bucket").orderBy(at))
+    last = bucketed.groupBy(*keys, "_bucket").agg(F.max(F.struct(at, value)).alias("_last"))
+    carried = last.withColumn("_carried", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bucket"))).drop("_last")
+    both = join_on(bucketed.withColumn("_prior", within), carried, [*keys, "_bucket"])
+    return both.withColumn("prior", F.coalesce("_prior", "_carried")).drop("_bucket", "_prior", "_carried")
+
+
+def slice_of(rows: DataFrame, key: str, start: int, n: int) -> DataFrame:
+    """The ``n`` rows from rank ``start`` on by a unique ``key``, ranks counted from 0.
+
+    Range partitions are counted, and only those that hold wanted ranks are
+    sorted; nothing before them is gathered.
+    """
+    work = Workspace(rows.sparkSession, "slice")
+    dealt = work.keep(rows.repartitionByRange(key).withColumn("_part", F.spark_partition_id()), "dealt")
+    at, found = 0, None
+    for r in dealt.groupBy("_part").count().orderBy("_part").collect():  # a row a partition
+        lo, hi = max(start - at, 0), min(start + n - at, r["count"])
+        if lo < hi:
+            part = dealt.where(F.col("_part") == r["_part"]).orderBy(key).offset(lo).limit(hi - lo).drop("_part")
+            found = part if found is None else found.unionByName(part)
+        at += r["count"]
+    return rows.limit(0) if found is None else found
 
 
 def duplicate_rate(rows: DataFrame, key: Column, *by: str) -> DataFrame:

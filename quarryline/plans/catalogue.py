@@ -52,7 +52,7 @@ TOKENS_TEXT = f"list_distinct(list_filter(string_split({NORM_TEXT}, ' '), lambda
 def latest_per_content_key(spark, sf_dir):
     """Every document with its content key, whether it is the newest, and its copies."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2(tx.normalized(F.col("text")), 256).alias("content_key"))
-    return ledger.flag_latest(docs, ["content_key"], F.desc("doc_id"))
+    return ledger.flag_latest(Workspace(spark, "keys").keep(docs, "keys"), ["content_key"], "doc_id")
 
 
 @query(
@@ -89,8 +89,7 @@ def suppress_by_key(spark, sf_dir):
 
 
 @query(
-    """SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)
-    WHERE len(regexp_split_to_array(b.text, '\\s+')) > 4"""
+    """SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)"""
 )
 def mentioned_items(spark, sf_dir):
     """Documents and the benchmark items that they contain."""
@@ -99,8 +98,7 @@ def mentioned_items(spark, sf_dir):
 
 
 @query(
-    """WITH hit AS (SELECT DISTINCT d.doc_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)
-    WHERE len(regexp_split_to_array(b.text, '\\s+')) > 4)
+    """WITH hit AS (SELECT DISTINCT d.doc_id FROM documents d JOIN benchmark b ON contains(d.text, b.text))
     SELECT lang, count(*) AS kept FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM hit) GROUP BY lang"""
 )
 def suppress_by_mention(spark, sf_dir):
@@ -245,12 +243,9 @@ def reverification_queue(spark, sf_dir):
 )
 def unsupported_numbers(spark, sf_dir):
     """Numbers of a document that its source's previous one doesn't have."""
-    from pyspark.sql import Window
-
-    by = Window.partitionBy("source").orderBy("doc_id")
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", vl.numbers(F.col("text")).alias("x"))
-    both = docs.withColumn("prior", F.lag("doc_id").over(by)).withColumn("y", F.lag("x").over(by)).where("prior is not null")
-    return both.select("doc_id", "prior", F.size(F.array_except("x", "y")).alias("unsupported")).where("unsupported > 0")
+    both = ledger.previous(Workspace(spark, "numbers").keep(docs, "numbers"), ["source"], "doc_id", "x").where("prior is not null")
+    return both.select("doc_id", F.col("prior.doc_id").alias("prior"), F.size(F.array_except("x", F.col("prior.x"))).alias("unsupported")).where("unsupported > 0")
 
 
 @query(
@@ -269,23 +264,6 @@ def search(spark, sf_dir):
     return docs.where("score > 0").orderBy(F.desc("score"), "doc_id").limit(6)
 
 
-@query(
-    """WITH s AS (SELECT doc_id, unnest(range(1, 4)) AS k FROM documents), sp AS (SELECT doc_id, k, concat(doc_id, ':', k) AS span FROM s),
-    c AS (SELECT l.doc_id, l.quality, sp.span FROM labels l LEFT JOIN sp ON sp.doc_id = l.doc_id AND sp.k <= l.quality + 1)
-    SELECT quality, count(DISTINCT doc_id) AS claims, count(span) AS citations, count(*) FILTER (span IS NULL) AS missing,
-    round(count(span) / count(*), 4) AS completeness FROM c GROUP BY quality"""
-)
-def claim_integrity(spark, sf_dir):
-    """Claims (labels) and the spans that they cite: completeness of citations."""
-    spans = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("k"))
-    spans = spans.select("doc_id", "k", F.concat_ws(":", "doc_id", "k").alias("span"))
-    cited = table(spark, sf_dir, "labels").withColumn("k", F.explode(F.sequence(F.lit(1), F.col("quality") + 1))).join(spans, ["doc_id", "k"], "left")
-    return cited.groupBy("quality").agg(
-        F.count_distinct("doc_id").alias("claims"), F.count("span").alias("citations"), F.count_if(F.expr("span is null")).alias("missing"),
-        F.round(F.count("span") / F.count("*"), 4).alias("completeness"),
-    )
-
-
 @query(
     r"""WITH t AS (SELECT doc_id, unnest(string_split(trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9가-힣\s]', ' ', 'g'), '\s+', ' ', 'g')), ' ')) AS w FROM documents)
     SELECT w AS term, count(*) AS n FROM t WHERE length(w) > 1 GROUP BY w ORDER BY n DESC, w LIMIT 50"""
@@ -297,7 +275,18 @@ def top_terms(spark, sf_dir):
     return words.groupBy("term").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "term").limit(50)
 
 
-@query()
+_FEATURES = r"""list_filter(string_split(trim(regexp_replace(regexp_replace(lower(coalesce({c}, '')), '[^a-z0-9가-힣\s]', ' ', 'g'), '\s+', ' ', 'g')), ' '), lambda w: length(w) > 1)"""
+_FNV = """(SELECT f, n, CASE WHEN h >= 2147483648 THEN 4294967296 - h ELSE h END % 384 AS bucket FROM (
+    SELECT f, n, list_reduce(list_prepend(CAST(2166136261 AS BIGINT), list_transform(string_split(f, ''), lambda c: CAST(unicode(c) AS BIGINT))), lambda h, c: (xor(h, c) * 16777619) & 4294967295) AS h FROM {t}))"""
+
+
+def _features_sql(table: str, key: str) -> str:
+    """Each row's features with their counts."""
+    return f"""w AS (SELECT {key} AS id, {_FEATURES.format(c="text")} AS w FROM {table}),
+    u AS (SELECT id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: concat(w[i], '_', w[i + 1])))) AS f FROM w)"""
+
+
+@query(f"""WITH {_features_sql("documents", "doc_id")}, c AS (SELECT f, count(*) AS n FROM u GROUP BY f) SELECT bucket, CAST(sum(n) AS BIGINT) AS n FROM {_FNV.format(t="c")} GROUP BY bucket""")
 def feature_hash_buckets(spark, sf_dir):
     """Counts of hashed word and word-pair features by bucket of 384."""
     each = table(spark, sf_dir, "documents").select(F.explode(tx.features(F.col("text"))).alias("f"))
@@ -713,17 +702,6 @@ def quota_selection(spark, sf_dir):
     return best.join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("s_nationkey")).select("n_name", "s_suppkey", "place")
 
 
-@query(
-    """SELECT a.c_custkey AS a, b.c_custkey AS b FROM customer a JOIN customer b ON right(a.c_name, 2) = right(b.c_name, 2)
-    AND a.c_nationkey = b.c_nationkey AND a.c_mktsegment = b.c_mktsegment AND a.c_custkey < b.c_custkey"""
-)
-def entity_pairs(spark, sf_dir):
-    """Customers of one nation and segment whose names end alike."""
-    s = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", F.right("c_name", F.lit(2)).alias("root"))
-    keys = ["c_nationkey", "c_mktsegment", "root"]
-    return s.withColumnRenamed("c_custkey", "a").join(s.withColumnRenamed("c_custkey", "b"), keys).where("a < b").select("a", "b")
-
-
 @query(
     """SELECT c_custkey, coalesce(n, 0) AS orders, coalesce(last_status, 'none') AS last_status FROM customer LEFT JOIN
     (SELECT o_custkey, count(*) AS n, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS last_status FROM orders GROUP BY 1) ON o_custkey = c_custkey"""
@@ -755,4 +733,4 @@ def pricing_summary(spark, sf_dir):
     return rows.groupBy("l_returnflag", "l_linestatus").agg(money("l_quantity").cast("double").alias("sum_qty"), money("l_extendedprice").cast("double").alias("sum_price"), F.count("*").alias("n"))
 
 
-from quarryline.plans import more  # noqa: E402, F401  registers its queries
+from quarryline.plans import more, records, texts  # noqa: E402, F401  they register their queries

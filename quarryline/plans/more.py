@@ -162,11 +162,8 @@ def rotating_slice(spark, sf_dir):
     n = people.count()
     day = table(spark, sf_dir, "events").agg(F.datediff(F.max("ts"), F.lit("1970-01-01").cast("date"))).first()[0]
     start = (day * 24) % n
-    # positions are dense ranks of a unique key, so only the wanted ones are ranked:
-    # the slice is a limit with an offset, wrapped around the end
-    ordered = people.orderBy("c_custkey")
-    first = ordered.offset(start).limit(min(24, n - start))
-    return first.unionByName(ordered.limit(max(0, 24 - (n - start)))) if n - start < 24 else first
+    first = ledger.slice_of(people, "c_custkey", start, 24)
+    return first if start + 24 <= n else first.unionByName(ledger.slice_of(people, "c_custkey", 0, 24 - (n - start)))  # around the end
 
 
 @query(
@@ -232,7 +229,9 @@ def nearest_point(spark, sf_dir):
     point = F.when(F.col("event_type") == "view", F.struct(F.col("t").alias("t"), F.col("id0").alias("id")))
     by = Window.partitionBy("user_id").orderBy("t")
     back = F.last(point, ignorenulls=True).over(by.rangeBetween(Window.unboundedPreceding, 0))
-    ahead = F.first(point, ignorenulls=True).over(by.rangeBetween(0, Window.unboundedFollowing))
+    # the look ahead is a look back in the other order, since that frame only grows
+    later = Window.partitionBy("user_id").orderBy(F.desc("t"))
+    ahead = F.last(point, ignorenulls=True).over(later.rangeBetween(Window.unboundedPreceding, 0))
     both = first.withColumn("b", back).withColumn("a", ahead).where("event_type = 'signup' and (a is not null or b is not null)")
     nearer = F.when(F.col("a").isNull(), F.col("b.id")).when(F.col("b").isNull(), F.col("a.id")).when(F.col("t") - F.col("b.t") <= F.col("a.t") - F.col("t"), F.col("b.id")).otherwise(F.col("a.id"))
     return both.select("event_id", "user_id", nearer.alias("nearest"))
