@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -25,15 +26,20 @@ def observation_events(rows: DataFrame) -> DataFrame:
 
     def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         value, revision, first = state.get if state.exists else (None, 0, None)
-        out = []
-        for r in _ordered(frames).itertuples():
-            if revision and r.value == value:
-                continue
-            first = first or int(r.ts.value // 1000)
-            out.append((key[0], r.event_id, r.value, value, revision + 1, pd.Timestamp(first, unit="us"), "revised" if revision else "discovered"))
-            value, revision = float(r.value), revision + 1
-        state.update((value, revision, first))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in REVISIONS.split(", ")])
+        now = _ordered(frames)
+        before = now["value"].shift(1)
+        if revision:
+            before.iloc[0] = value
+        changed = before != now["value"]
+        changed.iloc[0] |= not revision
+        now, before = now[changed], before[changed]
+        if not len(now):
+            return
+        first = first or int(now["ts"].iloc[0].value // 1000)
+        number = revision + 1 + np.arange(len(now))
+        state.update((float(now["value"].iloc[-1]), int(number[-1]), first))
+        columns = [key[0], now["event_id"], now["value"], before, number, pd.Timestamp(first, unit="us"), np.where(number > 1, "revised", "discovered")]
+        yield pd.DataFrame(dict(zip([c.split()[0] for c in REVISIONS.split(", ")], columns)), index=now.index)
 
     return rows.groupBy("key").applyInPandasWithState(step, REVISIONS, "value double, revision long, first long", "append", GroupStateTimeout.NoTimeout)
 
@@ -43,18 +49,26 @@ def health_changes(rows: DataFrame) -> DataFrame:
 
     def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         streak, since = state.get if state.exists else (0, None)
-        out = []
-        for r in _ordered(frames).itertuples():
-            name = "failed" if r.failed else "recovered" if streak else "healthy"
-            since = (since or int(r.ts.value // 1000)) if r.failed else None
-            streak = streak + 1 if r.failed else 0
-            out.append((key[0], r.event_id, name, streak, pd.Timestamp(since, unit="us") if since else pd.NaT))
-        state.update((streak, since))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in HEALTH.split(", ")])
+        now = _ordered(frames)
+        failed = now["failed"].astype(bool)
+        block = (~failed).cumsum()  # a streak is what fails within one block
+        run = failed.astype("int64").groupby(block).cumsum() + np.where(failed & (block == 0), streak, 0)
+        begun = now["ts"].where(failed).groupby(block).transform("first").where(failed)
+        if since:
+            begun = begun.mask(failed & (block == 0), pd.Timestamp(since, unit="us"))
+        after = failed.shift(1, fill_value=streak > 0)
+        name = np.where(failed, "failed", np.where(after, "recovered", "healthy"))
+        last = int(run.iloc[-1])
+        state.update((last, int(begun.iloc[-1].value // 1000) if last else None))
+        columns = [key[0], now["event_id"], name, run, begun]
+        yield pd.DataFrame(dict(zip([c.split()[0] for c in HEALTH.split(", ")], columns)), index=now.index)
 
     return rows.groupBy("key").applyInPandasWithState(step, HEALTH, "streak long, since long", "append", GroupStateTimeout.NoTimeout)
 
 
-def new_identities(rows: DataFrame, keys: list[str], ts: str, delay: str = "30 days") -> DataFrame:
-    """The first row of each identity; state is dropped after ``delay``."""
+def new_identities(rows: DataFrame, keys: list[str], ts: str, delay: str | None = None) -> DataFrame:
+    """The first row of each identity.  As an append-only ledger it remembers all
+    identities; with a ``delay`` it drops their state after it, to bound it."""
+    if delay is None:
+        return rows.dropDuplicates(keys)
     return rows.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
