@@ -11,7 +11,9 @@ shuffled and no group can be hot.
 
 from __future__ import annotations
 
+import struct
 import zlib
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from quarryline.llm.tokens import encoded
+from quarryline.llm.tokens import ChunkEncoder
 from quarryline.workspace import modest_batches
 
 _SCHEMA = (
@@ -97,24 +99,27 @@ class Packer:
         self.held = total
 
 
-def _pack(batches, tokenizer: str, end: int, limits: tuple[int, int, int], kind: pa.DataType, with_loss: bool):
+def _pack(batches, tokenizer: str, end: int, limits: tuple[int, int, int], kind: pa.DataType, loss: str | None):
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "loss_tokens", "sequence_id", "offset"]
-    packer = Packer(*limits, TaskContext.get().partitionId() << 40)
+    packer, encoder, mark = Packer(*limits, TaskContext.get().partitionId() << 40), ChunkEncoder.of(tokenizer), struct.pack("<I", end)
 
     def batch(rows):
         columns = list(zip(*rows)) or [[] for _ in names]
         return pa.RecordBatch.from_arrays([pa.array(c, kind if i == 0 else pa.int64()) for i, c in enumerate(columns)], names)
 
-    def loss_from(batches, into):
-        for b in batches:
-            into.extend(b.column(2).to_pylist() if with_loss else [0] * b.num_rows)
-            yield b
-
-    marks: list[int] = []
-    for i, (key, ids) in enumerate(encoded(loss_from(batches, marks), tokenizer, end)):
-        packer.add(key, ids, marks[i] or 0)
-        if packer.held >= WINDOW_TOKENS or len(packer.pool) >= WINDOW_DOCS:
-            yield batch(packer.drain(False))
+    def examples(b):
+        keys, ids = b.column(0).to_pylist(), encoder.encode(b.column(1), mark)
+        if loss == "prompt":
+            for key, prompt, answer in zip(keys, encoder.encode(b.column(2)), ids):
+                yield key, prompt + answer, len(prompt) // 4
+        else:
+            yield from zip(keys, ids, b.column(2).fill_null(0).to_pylist() if loss else repeat(0))
+
+    for b in batches:
+        for example in examples(b):
+            packer.add(*example)
+            if packer.held >= WINDOW_TOKENS or len(packer.pool) >= WINDOW_DOCS:
+                yield batch(packer.drain(False))
     yield batch(packer.drain(True))
 
 
@@ -128,13 +133,15 @@ def pack_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     loss_from_col: str | None = None,
+    prompt_col: str | None = None,
 ) -> DataFrame:
     """Pack all of ``docs``, whole, into sequences; one row a piece.
 
     A document's ids are those of its text (null: empty) and then ``end``.
     ``loss_from_col`` names a column with the position of a document's first
-    loss-bearing token (null: 0), as for a prompt before an answer; without it
-    all tokens bear loss.  No sequence has more than ``max_tokens`` tokens,
+    loss-bearing token (null: 0); ``prompt_col`` one with a text whose ids come
+    first and bear no loss (null: empty), as before an answer.  Without either all
+    tokens bear loss.  No sequence has more than ``max_tokens`` tokens,
     ``max_segments`` pieces or ``max_loss`` (default: no limit of its own)
     loss-bearing tokens.  Every id lies in exactly one piece.  The last
     sequences of a partition have lengths of powers of two.
@@ -148,10 +155,15 @@ def pack_documents(
     columns = [F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")]
     if loss_from_col:
         columns.append(F.col(loss_from_col).cast("long").alias("loss_from"))
+    if prompt_col:
+        columns.append(F.col(prompt_col).alias("prompt"))
+    if loss_from_col and prompt_col:
+        raise ValueError("give one of loss_from_col and prompt_col")
     rows = docs.select(*columns)
     kind = rows.schema["doc_id"].dataType.simpleString()
     arrow = to_arrow_type(rows.schema["doc_id"].dataType)
     limits = (max_tokens, max_segments, max_loss or max_tokens)
     if min(limits) < 1:
         raise ValueError("limits must be positive")
-    return rows.mapInArrow(lambda it: _pack(it, tokenizer, end, limits, arrow, bool(loss_from_col)), _SCHEMA.format(id=kind))
+    loss = "prompt" if prompt_col else "position" if loss_from_col else None
+    return rows.mapInArrow(lambda it: _pack(it, tokenizer, end, limits, arrow, loss), _SCHEMA.format(id=kind))

@@ -30,6 +30,19 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end=1, max_tokens=2048)
 
 
+def packed_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions with their answers, packed under limits of 2048 tokens, 16 segments
+    and 1024 tokens of answers, which alone bear loss."""
+    from quarryline.llm.packing import pack_documents
+    from quarryline.llm.tokens import tokenizer_path
+
+    turns = _table(spark, sf_dir, "conversations")
+    asked = turns.where("role = 'user'").select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("prompt"))
+    pairs = turns.where("role = 'assistant'").join(asked, ["conv_id", "turn"], "left").select((F.col("conv_id") * 1_000_000 + F.col("turn")).alias("example"), "prompt", "text")
+    found = pack_documents(pairs, tokenizer_path("byte_bpe_50k.json"), end=1, max_tokens=2048, max_segments=16, max_loss=1024, id_col="example", prompt_col="prompt")
+    return found.withColumnRenamed("doc_id", "example")
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data, and of terms that disclose it."""
     from quarryline.llm import pii
@@ -124,6 +137,7 @@ QUERIES = {
     "op9_repeats": op9_repeats,
     "op10_language": op10_language,
     "op1_simhash": op1_simhash,
+    "packed_conversations": packed_conversations,
 }
 
 #: DuckDB SQL where SQL can express a query.

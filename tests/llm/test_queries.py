@@ -22,7 +22,7 @@ COLUMNS = {
 FOLDS = {"op6_lm": (5, 1), "op7_quality": (3, 1), "op10_language": (5, 0)}
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(COLUMNS))
 def test_contract(spark, name):
     found = QUERIES[name](spark, SF)
     types = dict(found.dtypes)
@@ -56,6 +56,20 @@ def test_contract(spark, name):
         assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
 
 
+def test_conversations_keep_all_three_limits(spark):
+    rows = QUERIES["packed_conversations"](spark, "/root/testdata/sf0.01").collect()
+    seq, of = {}, {}
+    for r in rows:
+        seq.setdefault(r.sequence_id, []).append(r)
+        of[r.example] = of.get(r.example, 0) + r.length
+        assert of[r.example] <= r.doc_tokens
+    assert len(of) == spark.read.parquet("/root/testdata/sf0.01/conversations.parquet").where("role = 'assistant'").count()
+    assert all(of[r.example] == r.doc_tokens for r in rows)
+    sums = [(sum(r.length for r in s), len(s), sum(r.loss_tokens for r in s)) for s in seq.values()]
+    assert all(t <= 2048 and n <= 16 and loss <= 1024 for t, n, loss in sums)
+    assert sum(loss == 1024 and t < 2048 for t, _, loss in sums) > len(sums) / 2  # the loss limit binds
+
+
 def test_held_out_accuracy(spark):
     """Against the labels and languages of rows that were not learned from."""
     sf = "/root/testdata/sf0.01"
