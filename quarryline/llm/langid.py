@@ -138,9 +138,9 @@ def train(docs: DataFrame, most: int = 1000, id_col: str = "doc_id", text_col: s
         F.col(lang_col).alias("lang"), F.col(id_col).cast("string").alias("key"), F.col(text_col).alias("text")
     )
     sample = bounded_sample(rows, "lang", most, F.coalesce("key", F.lit(""))).select("lang", "text")
-    found = sample.mapInArrow(_features, "lang string, at array<int>, value array<float>").toArrow().sort_by("lang").to_pydict()
-    pairs = [(np.array(a, np.int64), np.array(v)) for a, v in zip(found["at"], found["value"])]
-    return fit(found["lang"], pairs)
+    found = sample.mapInArrow(_features, "lang string, at array<int>, value array<float>").toArrow().sort_by("lang")
+    parts = [[x.values.to_numpy() for x in found.column(c)] for c in ("at", "value")]  # numbers stay in arrays
+    return fit(found.column("lang").to_pylist(), list(zip(*parts)))
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "lang_score")) -> DataFrame:

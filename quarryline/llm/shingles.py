@@ -2,8 +2,11 @@
 
 Prefix filter: in any one order of all shingles, two sets with a Jaccard
 similarity of ``least`` or more share one of the first ``n - ceil(least * n) + 1``
-of each.  The order is rare shingles first, as far as a bounded sample of the
-texts tells; what it doesn't tell costs candidates and never a pair.
+of each.  The order has the shingles of a single set first, which bring nothing
+together, and then rare ones before those that a bounded sample of the texts
+shows to be common.  Which shingles stand in several sets is found by sorting all
+of them in ranges, and told by a bitmap; a stray bit, like what the sample doesn't
+show, costs candidates and never a pair.
 
 A set also has a sketch: bit ``i`` says whether it holds an odd number of
 shingles that hash to ``i``.  Two sketches differ in at most as many bits as the
@@ -27,6 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarryline.llm.marks import bitmap
 from quarryline.operators.components import connected_components
 from quarryline.workspace import Workspace, modest_batches
 
@@ -34,6 +38,8 @@ from quarryline.workspace import Workspace, modest_batches
 SAMPLE, COMMON = 20_000, 200_000
 #: Rounds of pivots before the rest is paired up.
 PIVOTS = 4
+#: Shingles that are sorted at a time, about.
+RANGE = 4_000_000
 #: Longs of the shortest and the longest sketch.
 SHORT, LONG = 4, 1024
 
@@ -63,16 +69,70 @@ def class_of(found: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(found.tobytes())).astype(np.int64))
 
 
-def prefix(found: np.ndarray, common: np.ndarray, count: np.ndarray, least: float) -> np.ndarray:
-    """The shingles of which two alike sets share one.  ``common`` is sorted."""
+def prefix(found: np.ndarray, shared: np.ndarray, common: np.ndarray, count: np.ndarray, least: float) -> np.ndarray:
+    """The shingles of which two alike sets share one.  ``shared`` tells which ones
+    other sets may hold; ``common`` is sorted.  Sets too small to be like any other
+    but their equals have none, and shingles of one set alone are left out."""
     n = len(found)
-    if not n:
-        return found
+    if n < math.ceil(least / (1 - least) - 1e-9):
+        return found[:0]
     seen = np.zeros(n, np.int64)
     if len(common):
         at = np.minimum(np.searchsorted(common, found), len(common) - 1)
         seen = np.where(common[at] == found, count[at], 0)
-    return found[np.lexsort((found, seen))[: n - math.ceil(least * n - 1e-9) + 1]]
+    first = np.lexsort((found, seen, shared))[: n - math.ceil(least * n - 1e-9) + 1]
+    return found[first[shared[first]]]
+
+
+def _tagged(batches, words: int, seed: int, ranges: int):
+    """All shingles with a tag of their set, by ranges of hashes."""
+    for b in batches:
+        for at in range(0, b.num_rows, 512):
+            sets = [shingle_set(t, words, seed) for t in b.column(0).slice(at, 512).to_pylist()]
+            found = np.concatenate(sets).view(np.uint64)
+            tag = np.repeat(np.array([class_of(f) & 0xFFFF for f in sets], "<u2"), [len(f) for f in sets])
+            part = ((found >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            part, found, tag = part[order], found[order], tag[order]
+            cut = np.append(0, np.flatnonzero(np.diff(part)) + 1)
+            stop = np.append(cut[1:], len(part))
+            if len(part):
+                blobs = [found[a:z].tobytes() + tag[a:z].tobytes() for a, z in zip(cut.tolist(), stop.tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(part[cut].astype(np.int32)), pa.array(blobs, pa.binary())], ["part", "blob"])
+
+
+def _held_twice(batches):
+    """Shingles with two tags; rows come sorted by range."""
+    here, blobs = None, []
+
+    def told():
+        n = [len(x) // 10 for x in blobs]
+        found = np.concatenate([np.frombuffer(x, "<u8", k) for x, k in zip(blobs, n)])
+        tag = np.concatenate([np.frombuffer(x, "<u2", k, 8 * k) for x, k in zip(blobs, n)])
+        order = np.argsort(found)
+        found, tag = found[order], tag[order]
+        first = np.append(0, np.flatnonzero(found[1:] != found[:-1]) + 1)
+        low, high = np.minimum.reduceat(tag, first), np.maximum.reduceat(tag, first)
+        return pa.RecordBatch.from_arrays([pa.array(found[first[low != high]].view(np.int64))], ["shingle"])
+
+    for b in batches:
+        for part, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            if part != here and blobs:
+                yield told()
+                blobs = []
+            here = part
+            blobs.append(blob)
+    if blobs:
+        yield told()
+
+
+def shared_shingles(docs: DataFrame, text_col: str, words: int, seed: int, work: Workspace):
+    """A bitmap, for all tasks, of the shingles that several sets hold."""
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("binary")))).first()[0] or 0
+    ranges = min(1 << 24, max(1, round(size / 6 / RANGE)))
+    rows = docs.select(F.col(text_col).cast("binary").alias("text")).mapInArrow(lambda it: _tagged(it, words, seed, ranges), "part int, blob binary")
+    twice = rows.repartition("part").sortWithinPartitions("part").mapInArrow(_held_twice, "shingle bigint")
+    return bitmap(work.keep(twice, "shared"), "shingle", room=8)
 
 
 def sketch(found: np.ndarray) -> np.ndarray:

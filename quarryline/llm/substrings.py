@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.llm.chunks import _INVERSE, _P, mixed, powers
+from quarryline.llm.marks import Marks, bitmap
 from quarryline.workspace import Workspace, modest_batches
 
 GRAM, SHALLOW, GROUP = 32, 32, 20_000
@@ -228,38 +229,6 @@ def _record_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.n
     return out.view(np.int64)
 
 
-class Marks:
-    """A bitmap that tells tasks which anchors or texts are of interest.  A stray
-    bit only means a record or text that is shipped for nothing."""
-
-    def __init__(self, bits: int):
-        self.bits, self.map = bits, np.zeros(1 << (bits - 3), np.uint8)
-
-    def slots(self, x: np.ndarray) -> np.ndarray:
-        return (x.view(_U) >> _U(64 - self.bits)).astype(np.int64)
-
-    def has(self, x: np.ndarray) -> np.ndarray:
-        slot = self.slots(x)
-        return (self.map[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
-
-
-#: Most bits of a bitmap, 256 MB; others have eight a value.  Beyond 2 ** 28 values
-#: stray bits grow common, and with them what is shipped.
-MOST_BITS = 31
-
-
-def _bitmap(values: DataFrame, column: str):
-    """Marks of the longs in a column of a kept table, for all tasks."""
-    bits = max(15, min(MOST_BITS, (8 * values.count()).bit_length()))
-    slot = F.shiftrightunsigned(F.col(column), 64 - bits) + 1  # Spark's buckets start at one
-    parts = values.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
-    marks = Marks(bits)
-    for r in parts.toLocalIterator():
-        at = (r.bucket - 1) * 4096
-        marks.map[at : at + 4096] = np.frombuffer(bytes(r.bits), np.uint8)
-    return values.sparkSession.sparkContext.broadcast(marks)
-
-
 def _row_facts(batches):
     for b in batches:
         texts = [t.as_py() or b"" for t in b.column(1)]
@@ -442,7 +411,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     facts = work.keep(rows.mapInArrow(_row_facts, f"id {kind}, key binary, n_bytes bigint, sha string"), "facts")
 
     counted = texts.mapInArrow(lambda it: _grams(it, length), "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-    repeated = _bitmap(work.keep(counted.where("n > 1").select("gram"), "grams"), "gram")
+    repeated = bitmap(work.keep(counted.where("n > 1").select("gram"), "grams"), "gram")
     found = work.keep(texts.mapInArrow(lambda it: _records(it, length, repeated.value), "key binary, gram bigint, sig bigint, first bigint, last bigint"), "found")
     records = work.keep(found.groupBy("gram", "sig").agg(F.count("*").alias("n")), "records")
     # a record that occurs twice is repeated as a whole; the others need a look
@@ -458,12 +427,12 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
 
     counts = records.join(small, "gram", "left_semi")
     counts = counts.select("gram", "sig", "n", *[F.lit(None).cast(t).alias(c) for c, t in (("before", "int"), ("key", "binary"), ("first", "bigint"), ("bytes", "binary"))])
-    together = shipped(_bitmap(small, "gram")).unionByName(counts).repartition("gram").sortWithinPartitions("gram", "sig", F.col("n").asc_nulls_last())
+    together = shipped(bitmap(small, "gram")).unionByName(counts).repartition("gram").sortWithinPartitions("gram", "sig", F.col("n").asc_nulls_last())
     starts = "key binary, a bigint, z bigint"
     spans = [work.keep(together.mapInArrow(lambda it: _sorted_groups(it, length), starts), "once")]
     if not large.isEmpty():  # these bytes go by record, never by anchor
         known = records.join(large, "gram", "left_semi").select("gram", "sig", F.col("n").alias("times"))
-        each = shipped(_bitmap(large, "gram")).drop("n").join(known, ["gram", "sig"]).withColumnRenamed("times", "n")
+        each = shipped(bitmap(large, "gram")).drop("n").join(known, ["gram", "sig"]).withColumnRenamed("times", "n")
         each = each.dropDuplicates(["gram", "sig"]).select("gram", "sig", "n", "before", "key", "first", "bytes")
         strings = each.mapInArrow(lambda it: _strings(it, length), "gram bigint, n bigint, key binary, start bigint, h bigint")
         twice = strings.groupBy("gram", "h").agg(F.sum("n").alias("times")).where("times > 1").select("gram", "h")
@@ -472,7 +441,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     spans = reduce(DataFrame.unionByName, [whole.distinct(), *spans])
     by_text = work.keep(spans.groupBy("key").agg(F.collect_list(F.struct("a", "z")).alias("starts")), "starts")
     slot = F.conv(F.hex(F.substring("key", 1, 8)), 16, -10).cast("long")
-    wanted = _bitmap(by_text.select(slot.alias("slot")), "slot")
+    wanted = bitmap(by_text.select(slot.alias("slot")), "slot")
     held = texts.mapInArrow(lambda it: _of_interest(it, wanted.value), "key binary, text binary")
     left = held.join(by_text, "key").mapInArrow(lambda it: _removed(it, length), "key binary, n_removed bigint, n_spans bigint, kept_sha256 string")
     left = left.groupBy("key").agg(*[F.max(c).alias(c) for c in ("n_removed", "n_spans", "kept_sha256")])
