@@ -34,7 +34,7 @@ def bitmap(values: DataFrame, column: str, room: int = 64):
     slot = F.shiftrightunsigned(F.col(column), 64 - bits) + 1  # Spark's buckets start at one
     parts = values.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
     marks = Marks(bits)
-    for r in parts.toLocalIterator():
+    for r in parts.repartition(1 + (len(marks.map) >> 25)).toLocalIterator():  # a job for every 32 MB
         at = (r.bucket - 1) * 4096
         marks.map[at : at + 4096] = np.frombuffer(bytes(r.bits), np.uint8)
     return values.sparkSession.sparkContext.broadcast(marks)
