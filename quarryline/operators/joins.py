@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from quarryline.workspace import Workspace
 
+#: Short terms that are looked for in every text.
+FEW = 200
 #: Tokens of which similarity joins broadcast how common they are.
 COMMON = 100_000
 
@@ -60,8 +62,9 @@ def mentions(rows: DataFrame, row_id: str, text: Column, terms: DataFrame, term_
     """(row, term) pairs where the text contains the term; null and blank terms occur nowhere.
 
     A term of more than ``words + 1`` words meets texts on whole words of its
-    inside.  Of a shorter one the longest word may be a part of a text's word, so
-    its first ``most`` characters meet the runs of as many characters in the
+    inside.  Of a shorter one the longest word may be a part of a text's word.  Up
+    to ``FEW`` of these are looked for in every text; more of them meet, with their
+    longest word's first ``most`` characters, the runs of as many characters in the
     text's distinct words.  The containment is checked for all that meet.
     """
     texts = rows.select(row_id, text.alias("_text"))
@@ -75,7 +78,14 @@ def mentions(rows: DataFrame, row_id: str, text: Column, terms: DataFrame, term_
     met = grams.join(heads, "_gram")
     short = cut.where(F.size("_parts") <= words + 1).withColumn("_longest", F.array_max(F.transform("_parts", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"])
     short = short.where(F.length("_longest") > 0).select(term_id, term, F.substring("_longest", 1, most).alias("_gram"))
-    sizes = sorted(r[0] for r in short.select(F.length("_gram")).distinct().collect())  # at most ``most`` numbers
+    few = short.select(term_id, term).limit(FEW + 1).collect()
+    kind = short.select(F.struct(term_id, term)).schema[0].dataType
+    if 0 < len(few) <= FEW:
+        sought = F.array(*[F.struct(F.lit(r[0]).cast(kind[0].dataType).alias(term_id), F.lit(r[1]).alias(term)) for r in few])
+        held = texts.select(row_id, F.explode(F.filter(sought, lambda t: F.contains("_text", t[term]))).alias("_t")).select(row_id, f"_t.{term_id}")
+        long = met.select(row_id, term_id, term).distinct().join(texts, row_id).where(F.contains("_text", F.col(term))).select(row_id, term_id)
+        return long.unionByName(held).distinct()
+    sizes = sorted(r[0] for r in short.select(F.length("_gram")).distinct().collect()) if few else []  # at most ``most`` numbers
     if sizes:
         pieces = F.flatten(F.array(*[_runs("_word", n) for n in sizes]))
         each = parts.select(row_id, F.explode(F.array_distinct("_parts")).alias("_word")).select(row_id, F.explode(F.array_distinct(pieces)).alias("_gram"))

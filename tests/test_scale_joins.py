@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from quarryline.operators import joins, ledger
@@ -11,7 +12,9 @@ from quarryline.plans.catalogue import QUERIES
 VOCABULARY = ["alpha", "beta", "Deleted", "Startup", "startups", "a", "x", "open", "lab", "New", "York", "Times", "Yorkshire"]
 
 
-def test_mentions_of_any_length(spark):
+@pytest.mark.parametrize("few", [0, 1000])
+def test_mentions_of_any_length(spark, monkeypatch, few):
+    monkeypatch.setattr(joins, "FEW", few)
     rng = random.Random(1)
     texts = [(i, " ".join(rng.choices(VOCABULARY, k=rng.randint(0, 14)))) for i in range(150)] + [(900, None), (901, "")]
     terms = ["Deleted Startup", "York", "New York", "x", "rtup", "alpha beta a", "ork Tim", "open lab New York Times", "", "  ", None, "eta De"]
