@@ -118,8 +118,9 @@ def similar_pairs(rows: DataFrame, row_id: str, tokens: Column, least: float) ->
     ``similarity``.
     """
     work = Workspace(rows.sparkSession, "pairs")
-    sets = rows.select(row_id, F.array_sort(tokens).alias("tokens")).where(F.size("tokens") > 0)
-    sets = work.keep(sets.groupBy("tokens").agg(F.min(row_id).alias("id")), "sets")
+    # empty sets go once the table is written: a filter before would make the tokens twice
+    sets = rows.select(row_id, F.sort_array(tokens).alias("tokens")).groupBy("tokens").agg(F.min(row_id).alias("id"))
+    sets = work.keep(sets, "sets").where(F.size("tokens") > 0)
     counts = sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     common = F.broadcast(work.keep(counts.orderBy(F.desc("n"), "token").limit(COMMON), "common"))
     # rows stay where their id is, so ranking them needs no further shuffle
