@@ -39,7 +39,7 @@ SAMPLE, COMMON = 20_000, 200_000
 #: Rounds of pivots before the rest is paired up.
 PIVOTS = 4
 #: Shingles that are sorted at a time, about.
-RANGE = 4_000_000
+RANGE = 1_000_000
 #: Longs of the shortest and the longest sketch.
 SHORT, LONG = 4, 1024
 
@@ -84,44 +84,44 @@ def prefix(found: np.ndarray, shared: np.ndarray, common: np.ndarray, count: np.
     return found[first[shared[first]]]
 
 
+_LOW = np.uint64(0xFFFF)
+
+
 def _tagged(batches, words: int, seed: int, ranges: int):
-    """All shingles with a tag of their set, by ranges of hashes."""
+    """The high 48 bits of all shingles with 16 bits of their set, by ranges."""
     for b in batches:
-        for at in range(0, b.num_rows, 512):
-            sets = [shingle_set(t, words, seed) for t in b.column(0).slice(at, 512).to_pylist()]
-            found = np.concatenate(sets).view(np.uint64)
-            tag = np.repeat(np.array([class_of(f) & 0xFFFF for f in sets], "<u2"), [len(f) for f in sets])
-            part = ((found >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            part, found, tag = part[order], found[order], tag[order]
+        for at in range(0, b.num_rows, 256):
+            sets = [shingle_set(t, words, seed) for t in b.column(0).slice(at, 256).to_pylist()]
+            found = np.concatenate(sets).view(np.uint64) & ~_LOW
+            found |= np.repeat(np.array([class_of(f) & 0xFFFF for f in sets], np.uint64), [len(f) for f in sets])
+            found.sort()
+            part = ((found >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
             cut = np.append(0, np.flatnonzero(np.diff(part)) + 1)
             stop = np.append(cut[1:], len(part))
             if len(part):
-                blobs = [found[a:z].tobytes() + tag[a:z].tobytes() for a, z in zip(cut.tolist(), stop.tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(part[cut].astype(np.int32)), pa.array(blobs, pa.binary())], ["part", "blob"])
+                blobs = [found[a:z].tobytes() for a, z in zip(cut.tolist(), stop.tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(part[cut]), pa.array(blobs, pa.binary())], ["part", "blob"])
 
 
 def _held_twice(batches):
-    """Shingles with two tags; rows come sorted by range."""
+    """Shingles of two sets; rows come sorted by range."""
     here, blobs = None, []
 
     def told():
-        n = [len(x) // 10 for x in blobs]
-        found = np.concatenate([np.frombuffer(x, "<u8", k) for x, k in zip(blobs, n)])
-        tag = np.concatenate([np.frombuffer(x, "<u2", k, 8 * k) for x, k in zip(blobs, n)])
-        order = np.argsort(found)
-        found, tag = found[order], tag[order]
-        first = np.append(0, np.flatnonzero(found[1:] != found[:-1]) + 1)
-        low, high = np.minimum.reduceat(tag, first), np.maximum.reduceat(tag, first)
-        return pa.RecordBatch.from_arrays([pa.array(found[first[low != high]].view(np.int64))], ["shingle"])
+        found = np.concatenate([np.frombuffer(x, "<u8") for x in blobs])
+        found.sort()
+        first = np.append(0, np.flatnonzero(np.diff(found >> np.uint64(16))) + 1)
+        last = np.append(first[1:], len(found)) - 1
+        twice = found[first[found[first] != found[last]]] & ~_LOW
+        return pa.RecordBatch.from_arrays([pa.array(twice.view(np.int64))], ["shingle"])
 
     for b in batches:
-        for part, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+        for part, blob in zip(b.column(0).to_pylist(), b.column(1)):
             if part != here and blobs:
                 yield told()
                 blobs = []
             here = part
-            blobs.append(blob)
+            blobs.append(blob.as_py())
     if blobs:
         yield told()
 
