@@ -90,8 +90,8 @@ _LOW = np.uint64(0xFFFF)
 def _tagged(batches, words: int, seed: int, ranges: int):
     """The high 48 bits of all shingles with 16 bits of their set, by ranges."""
     for b in batches:
-        for at in range(0, b.num_rows, 256):
-            sets = [shingle_set(t, words, seed) for t in b.column(0).slice(at, 256).to_pylist()]
+        for at in range(0, b.num_rows, 128):
+            sets = [shingle_set(t, words, seed) for t in b.column(0).slice(at, 128).to_pylist()]
             found = np.concatenate(sets).view(np.uint64) & ~_LOW
             found |= np.repeat(np.array([class_of(f) & 0xFFFF for f in sets], np.uint64), [len(f) for f in sets])
             found.sort()
@@ -120,6 +120,7 @@ def _held_twice(batches):
             if part != here and blobs:
                 yield told()
                 blobs = []
+                pa.default_memory_pool().release_unused()
             here = part
             blobs.append(blob.as_py())
     if blobs:
