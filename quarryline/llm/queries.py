@@ -126,6 +126,30 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentence pieces of all documents, and what they decode to."""
+    from quarryline.llm.pieces import piece_digests
+    from quarryline.llm.tokens import tokenizer_path
+
+    return piece_digests(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model")).withColumnRenamed("id", "doc_id")
+
+
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their middle moved to the end, and restored."""
+    from quarryline.llm.infill import fill_in_middle
+
+    found = fill_in_middle(_table(spark, sf_dir, "documents"), digest=True)
+    return found.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", F.col("output").alias("output_sha256"), F.col("restored").alias("restored_sha256"))
+
+
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of conversations that begin with turns of every fifth one."""
+    from quarryline.llm.trie import prefix_trie
+
+    conv = F.col("conv_id")
+    return prefix_trie(_table(spark, sf_dir, "conversations"), head=F.crc32(conv.cast("string").cast("binary")) % 9, base=conv - conv % 5)
+
+
 QUERIES = {
     "op2_packing": op2_packing,
     "op3_pii": op3_pii,
@@ -137,8 +161,71 @@ QUERIES = {
     "op9_repeats": op9_repeats,
     "op10_language": op10_language,
     "op1_simhash": op1_simhash,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op12_infill": op12_infill,
+    "op13_trie": op13_trie,
     "packed_conversations": packed_conversations,
 }
 
+_INFILL_SQL = r"""
+with texts as (
+  select doc_id, coalesce(text, '') as text, sha256('7:' || coalesce(doc_id::varchar, '')) as drawn from documents
+), units as (
+  select doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') as u,
+    [('0x' || drawn[1:8])::bigint, ('0x' || drawn[9:16])::bigint, ('0x' || drawn[17:24])::bigint, ('0x' || drawn[25:32])::bigint] as h
+  from texts
+), cuts as (
+  select *, len(u) as n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) as a, greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) as b,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h[3] % 100 >= 100 then 'plain'
+      when h[4] % 100 < 50 then 'spm' else 'psm' end as form
+  from units
+), parts as (
+  select *, array_to_string(u[1:a], '') as prefix, array_to_string(u[a + 1:b], '') as middle, array_to_string(u[b + 1:], '') as suffix from cuts
+)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+  case when form <> 'plain' then length(middle) end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+  sha256(text) as restored_sha256
+from parts
+"""
+
+# DuckDB has no CRC-32, so a table of its 256 steps is made by eight shifts each.
+_TRIE_SQL = """
+with recursive steps as (
+  select i, 0 as k, i::bigint as c from range(256) t(i)
+  union all select i, k + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from steps where k < 8
+), crc_table as (
+  select list(c order by i) as t from steps where k = 8
+), own as (
+  select conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as turns
+  from conversations where conv_id is not null group by conv_id
+), heads as (
+  select conv_id, turns, conv_id - conv_id % 5 as base,
+    xor(list_reduce(list_prepend(4294967295::bigint, [ascii(x)::bigint for x in string_split(conv_id::varchar, '')]),
+      lambda s, x: xor(s >> 8, t[(xor(s, x) & 255) + 1])), 4294967295) % 9 as h
+  from own, crc_table
+), rebuilt as (
+  select c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) as turns from heads c left join own b on b.conv_id = c.base
+), prefixes as (
+  select conv_id, len(turns) as size, d::bigint as depth, turns[1:d] as prefix, coalesce(strlen(turns[d].text), 0) as bytes from rebuilt, unnest(range(len(turns) + 1)) t(d)
+), nodes as (
+  select depth, prefix, min(conv_id) as conv_id, count(*) as n_convs, any_value(bytes) as bytes,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where size = depth), '')) as ends_sha256
+  from prefixes group by depth, prefix
+), up as (
+  select n.*, p.conv_id as parent_conv_id from nodes n left join nodes p on p.depth = n.depth - 1 and p.prefix = n.prefix[1:n.depth - 1]
+), children as (
+  select parent_conv_id as conv_id, depth - 1 as depth, count(*) as n_children from up where depth > 0 group by all
+), own_values as (
+  select up.*, coalesce(n_children, 0) as n_children from up left join children using (conv_id, depth)
+), below as (
+  select a.conv_id, a.depth, count(*) filter (where v.n_children = 0) as n_leaves, sum((v.n_convs - 1) * v.bytes)::bigint as saved_tokens
+  from own_values v, unnest(range(v.depth + 1)) t(d) join nodes a on a.depth = d and a.prefix = v.prefix[1:d]
+  group by a.conv_id, a.depth
+)
+select conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256 from own_values join below using (conv_id, depth)
+"""
+
 #: DuckDB SQL where SQL can express a query.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op12_infill": _INFILL_SQL, "op13_trie": _TRIE_SQL}
