@@ -2,11 +2,11 @@
 
 Prefix filter: in any one order of all shingles, two sets with a Jaccard
 similarity of ``least`` or more share one of the first ``n - ceil(least * n) + 1``
-of each.  The order has the shingles of a single set first, which bring nothing
-together, and then rare ones before those that a bounded sample of the texts
-shows to be common.  Which shingles stand in several sets is found by sorting all
-of them in ranges, and told by a bitmap; a stray bit, like what the sample doesn't
-show, costs candidates and never a pair.
+of each.  The order puts those behind that a bounded sample of the texts shows to
+be common; what the sample doesn't show costs candidates and never a pair.  The
+shingles that stand in one prefix only go after one range sort, in which a shingle
+of any number of sets may take several parts.  Sets are named by 64-bit hashes of
+their sorted shingles, which are 64-bit hashes themselves.
 
 A set also has a sketch: bit ``i`` says whether it holds an odd number of
 shingles that hash to ``i``.  Two sketches differ in at most as many bits as the
@@ -14,10 +14,12 @@ sets have elements in one only, so a pair whose sketches differ in more bits tha
 the similarity allows isn't alike, and only the other pairs bring their shingles
 together.  A longer sketch folds onto a shorter one.
 
-Equal sets are one class.  A shingle's classes are first compared with one of
-them, the pivot, and again with other pivots; only classes that are still in
-different components are then paired up, so a large group of near copies isn't
-listed pair by pair.
+Equal sets are one class.  Within a shingle, pivots are compared with all classes
+of other components and then leave it, having met everyone; a shingle whose
+classes are of one component is closed.  A shingle has one pivot at first and
+about four times as many in every further round, so a group of near copies is
+linked up by few comparisons, and rounds grow with the logarithm of a shingle's
+classes.
 """
 
 from __future__ import annotations
@@ -30,16 +32,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarryline.llm.marks import bitmap
 from quarryline.operators.components import connected_components
-from quarryline.workspace import Workspace, modest_batches
+from quarryline.workspace import Workspace
 
 #: Texts that tell the order, and the commonest shingles of them that are broadcast.
 SAMPLE, COMMON = 20_000, 200_000
-#: Rounds of pivots before the rest is paired up.
-PIVOTS = 4
-#: Shingles that are sorted at a time, about.
-RANGE = 1_000_000
 #: Longs of the shortest and the longest sketch.
 SHORT, LONG = 4, 1024
 
@@ -69,71 +66,45 @@ def class_of(found: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(found.tobytes())).astype(np.int64))
 
 
-def prefix(found: np.ndarray, shared: np.ndarray, common: np.ndarray, count: np.ndarray, least: float) -> np.ndarray:
-    """The shingles of which two alike sets share one.  ``shared`` tells which ones
-    other sets may hold; ``common`` is sorted.  Sets too small to be like any other
-    but their equals have none, and shingles of one set alone are left out."""
+def prefix(found: np.ndarray, common: np.ndarray, count: np.ndarray, least: float) -> np.ndarray:
+    """The shingles of which two alike sets share one.  ``common`` is sorted.  Sets
+    too small to be like any other but their equals have none."""
     n = len(found)
     if n < math.ceil(least / (1 - least) - 1e-9):
         return found[:0]
-    seen = np.zeros(n, np.int64)
+    size = n - math.ceil(least * n - 1e-9) + 1
     if len(common):
         at = np.minimum(np.searchsorted(common, found), len(common) - 1)
         seen = np.where(common[at] == found, count[at], 0)
-    first = np.lexsort((found, seen, shared))[: n - math.ceil(least * n - 1e-9) + 1]
-    return found[first[shared[first]]]
+        if seen.any():
+            return found[np.argsort(seen, kind="stable")[:size]]
+    return found[:size]  # in the order of hashes
 
 
-_LOW = np.uint64(0xFFFF)
-
-
-def _tagged(batches, words: int, seed: int, ranges: int):
-    """The high 48 bits of all shingles with 16 bits of their set, by ranges."""
+def _met(batches):
+    """Of a part that is sorted by shingle, the rows whose shingle has another row.
+    The part's first and last row stay, since the parts beside it may go on."""
+    held, stays = None, True
     for b in batches:
-        for at in range(0, b.num_rows, 128):
-            sets = [shingle_set(t, words, seed) for t in b.column(0).slice(at, 128).to_pylist()]
-            found = np.concatenate(sets).view(np.uint64) & ~_LOW
-            found |= np.repeat(np.array([class_of(f) & 0xFFFF for f in sets], np.uint64), [len(f) for f in sets])
-            found.sort()
-            part = ((found >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
-            cut = np.append(0, np.flatnonzero(np.diff(part)) + 1)
-            stop = np.append(cut[1:], len(part))
-            if len(part):
-                blobs = [found[a:z].tobytes() for a, z in zip(cut.tolist(), stop.tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(part[cut]), pa.array(blobs, pa.binary())], ["part", "blob"])
-
-
-def _held_twice(batches):
-    """Shingles of two sets; rows come sorted by range."""
-    here, blobs = None, []
-
-    def told():
-        found = np.concatenate([np.frombuffer(x, "<u8") for x in blobs])
-        found.sort()
-        first = np.append(0, np.flatnonzero(np.diff(found >> np.uint64(16))) + 1)
-        last = np.append(first[1:], len(found)) - 1
-        twice = found[first[found[first] != found[last]]] & ~_LOW
-        return pa.RecordBatch.from_arrays([pa.array(twice.view(np.int64))], ["shingle"])
+        if not b.num_rows:
+            continue
+        b = b if held is None else pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
+        x = b.column(0).to_numpy()
+        same = x[1:] == x[:-1]
+        keep = np.append(same, False) | np.append(stays, same)
+        # the last row waits for the next batch, which tells whether it is alone
+        out = b.slice(0, b.num_rows - 1).filter(pa.array(keep[:-1]))
+        held, stays = b.slice(b.num_rows - 1), bool(keep[-1])
+        if out.num_rows:
+            yield out
+    if held is not None:
+        yield held
 
-    for b in batches:
-        for part, blob in zip(b.column(0).to_pylist(), b.column(1)):
-            if part != here and blobs:
-                yield told()
-                blobs = []
-                pa.default_memory_pool().release_unused()
-            here = part
-            blobs.append(blob.as_py())
-    if blobs:
-        yield told()
-
-
-def shared_shingles(docs: DataFrame, text_col: str, words: int, seed: int, work: Workspace):
-    """A bitmap, for all tasks, of the shingles that several sets hold."""
-    size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("binary")))).first()[0] or 0
-    ranges = min(1 << 24, max(1, round(size / 6 / RANGE)))
-    rows = docs.select(F.col(text_col).cast("binary").alias("text")).mapInArrow(lambda it: _tagged(it, words, seed, ranges), "part int, blob binary")
-    twice = rows.repartition("part").sortWithinPartitions("part").mapInArrow(_held_twice, "shingle bigint")
-    return bitmap(work.keep(twice, "shared"), "shingle", room=8)
+
+def met_shingles(owners: DataFrame) -> DataFrame:
+    """``shingle, set, size`` of all prefixes, but for most shingles that stand in one."""
+    each = owners.select(F.explode("prefix").alias("shingle"), "set", "size")
+    return each.repartitionByRange("shingle", "set").sortWithinPartitions("shingle", "set").mapInArrow(_met, "shingle bigint, set bigint, size int")
 
 
 def sketch(found: np.ndarray) -> np.ndarray:
@@ -190,63 +161,61 @@ def alike_links(owners: DataFrame, texts: DataFrame, words: int, least: float, s
     Sets are linked so that their components are those of all pairs of sets with
     a similarity of ``least`` or more; every link is such a pair.
     """
-    each = work.keep(owners.select("set", "size", F.explode("prefix").alias("shingle")), "prefixes")
-    shared = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
-    members = work.keep(each.join(shared, "shingle"), "members")
-    work.drop(each)
     sketches = owners.select("set", "sketch")
 
     def again(batches):
         for b in batches:
-            found = [shingle_set(t, words, seed) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([class_of(f) for f in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["set", "found"])
+            for at in range(0, b.num_rows, 64):
+                found = [shingle_set(t, words, seed) for t in b.column(1).slice(at, 64).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array([class_of(f) for f in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["set", "found"])
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
+    def sets_of(pairs: DataFrame, known: DataFrame | None) -> DataFrame:
+        """The sets of pairs, each made once."""
         ends = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
-        keys = owners.select("set", "id").join(ends, "set").select("id")
-        held = texts.join(keys, texts["id"].eqNullSafe(keys["id"]), "left_semi")
-        return work.keep(held.mapInArrow(again, "set bigint, found array<bigint>").dropDuplicates(["set"]), "compared")
+        ends = ends if known is None else ends.join(known.select("set"), "set", "left_anti")
+        keys = work.keep(owners.select("set", "id").join(ends, "set").select("id"), "keys")
+        if keys.isEmpty():
+            return known
+        held = texts.join(keys, texts["id"].eqNullSafe(keys["id"]), "left_semi").dropDuplicates(["id"])
+        new = work.keep(held.mapInArrow(again, "set bigint, found array<bigint>"), "compared")
+        return new if known is None else known.union(new)
 
     fits = (F.col("size") >= F.col("size_b") * least - 1e-9) & (F.col("size_b") >= F.col("size") * least - 1e-9)
-    links, roots = None, None
-    for r in range(PIVOTS + 1):
-        here = members.withColumn("root", F.col("set"))
-        if roots is not None:
-            here = members.join(roots, "set", "left").select("shingle", "set", "size", F.coalesce("root", "set").alias("root"))
-        open_ = here.groupBy("shingle").agg(
-            F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(F.struct(F.xxhash64("set", F.lit(r)).alias("h"), "set", "size", "root")).alias("p")
-        ).where("lo <> hi")
-        if r < PIVOTS:
-            other = open_.select("shingle", F.col("p.set").alias("set_b"), F.col("p.size").alias("size_b"), F.col("p.root").alias("root_b"))
+    members, links, roots, sets, r = work.keep(met_shingles(owners), "members"), None, None, None, 0
+    while True:
+        here = members.where("not pivot") if r else members
+        here = here.select("shingle", "set", "size")
+        if roots is None:
+            here = here.withColumn("root", F.col("set"))
         else:
-            here = work.keep(here.join(open_.select("shingle"), "shingle", "left_semi"), "open")
-            other = here.select("shingle", F.col("set").alias("set_b"), F.col("size").alias("size_b"), F.col("root").alias("root_b"))
+            here = here.join(roots, "set", "left").select("shingle", "set", "size", F.coalesce("root", "set").alias("root"))
+        drawn = F.xxhash64("set", F.lit(r))
+        one = F.min(F.struct(drawn.alias("h"), "set"))["set"].alias("one")
+        open_ = here.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"), one).where("lo <> hi").select("shingle", "n", "one")
+        pivot = (F.col("set") == F.col("one")) | (F.pmod(drawn, F.col("n")) < (1 << min(2 * r, 62)) - 1)
+        here = work.keep(here.join(open_, "shingle").select("shingle", "set", "size", "root", pivot.alias("pivot")), "open")
+        work.drop(members)
+        if here.isEmpty():
+            work.drop(here)
+            return links
+        other = here.where("pivot").select("shingle", F.col("set").alias("set_b"), F.col("size").alias("size_b"), F.col("root").alias("root_b"))
         met = here.join(other, "shingle").where(fits & (F.col("root") != F.col("root_b")))
-        if r == PIVOTS:
-            met = met.where("set < set_b")
         smaller = F.col("set") < F.col("set_b")
         met = met.select(
             F.least("set", "set_b").alias("a"), F.greatest("set", "set_b").alias("b"),
             F.when(smaller, F.col("size")).otherwise(F.col("size_b")).alias("n"), F.when(smaller, F.col("size_b")).otherwise(F.col("size")).alias("m"),
         ).distinct()
-        pairs = work.keep(met, "pairs")
-        if pairs.isEmpty():
-            if r == PIVOTS:
-                break
-            continue
         left = sketches.select(F.col("set").alias("a"), F.col("sketch").alias("x"))
         right = sketches.select(F.col("set").alias("b"), F.col("sketch").alias("y"))
+        pairs = work.keep(met, "pairs")
         near = pairs.join(left, "a").join(right, "b").where(sketches_allow(F.col("x"), F.col("y"), F.col("n"), F.col("m"), least))
         near = work.keep(near.select("a", "b"), "near")
         work.drop(pairs)
-        if near.isEmpty():
-            work.drop(near)
-            continue
-        sets = sets_of(near)
-        new = work.keep(_verified(near, sets, least), "alike")
-        work.drop(sets)
+        if not near.isEmpty():
+            sets = sets_of(near, sets)
+            new = work.keep(_verified(near, sets, least), "alike")
+            if not new.isEmpty():
+                links = new if links is None else links.union(new)
+                roots = connected_components(links, work).select(F.col("node").alias("set"), "root")
         work.drop(near)
-        links = new if links is None else links.union(new)
-        if r < PIVOTS:
-            roots = connected_components(links, work).select(F.col("node").alias("set"), "root")
-    return links
+        members, r = here, r + 1

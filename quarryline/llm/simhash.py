@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarryline.llm.shingles import alike_links, class_of, common_shingles, prefix, shared_shingles, shingle_hashes, sketch
+from quarryline.llm.shingles import alike_links, class_of, common_shingles, prefix, shingle_hashes, sketch
 from quarryline.operators.components import connected_components
 from quarryline.workspace import Workspace, modest_batches
 
@@ -126,7 +126,7 @@ def simhash_components(
     return prints.join(names, "fp").select("id", "fp", "component")
 
 
-def _facts(batches, words: int, seed: int, least: float, common, marks):
+def _facts(batches, words: int, seed: int, least: float, common):
     for b in batches:
         for at in range(0, b.num_rows, 128):
             here = b.slice(at, 128)
@@ -136,7 +136,7 @@ def _facts(batches, words: int, seed: int, least: float, common, marks):
                 pa.array(np.array([fingerprint_of(h) for h in hashes], np.uint64).view(np.int64)),
                 pa.array([class_of(f) for f in sets], pa.int64()),
                 pa.array([len(f) for f in sets], pa.int32()),
-                pa.array([prefix(f, marks.has(f), *common, least) for f in sets], pa.list_(pa.int64())),
+                pa.array([prefix(f, *common, least) for f in sets], pa.list_(pa.int64())),
                 pa.array([sketch(f) for f in sets], pa.list_(pa.int64())),
             ]
             yield pa.RecordBatch.from_arrays([here.column(0), *columns], ["id", "fp", "set", "size", "prefix", "sketch"])
@@ -149,16 +149,19 @@ def near_duplicate_components(
     and by shingle sets with a Jaccard similarity of ``least`` or more.
 
     Rows with equal ids have to be equal in their texts.  ``component`` is the
-    smallest id of the group.
+    smallest id of the group; a null id is the smallest only of nulls.  Null, empty
+    and blank texts have no shingle and fingerprint zero: they are one group.  Texts
+    of fewer than ``words`` words are one shingle, so only equals of them are alike
+    as sets.  Whole texts are read, however long.  Repeated rows give a row each
+    id once, other columns are left out, and an empty table has no rows.
     """
     spark = docs.sparkSession
     modest_batches(spark)
     work = Workspace(spark, "simhash")
     common = spark.sparkContext.broadcast(common_shingles(docs, text_col, words, seed))
-    shared = shared_shingles(docs, text_col, words, seed, work)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     schema = f"id {rows.schema['id'].dataType.simpleString()}, fp bigint, set bigint, size int, prefix array<bigint>, sketch array<bigint>"
-    facts = work.keep(rows.mapInArrow(lambda it: _facts(it, words, seed, least, common.value, shared.value), schema), "facts")
+    facts = work.keep(rows.mapInArrow(lambda it: _facts(it, words, seed, least, common.value), schema), "facts")
     prints = work.keep(facts.select("id", "fp", "set").distinct(), "prints")
     one = prints.groupBy("set").agg(F.min("id").alias("id"))
     owners = facts.drop("fp").join(one.withColumnRenamed("id", "owner"), "set").where("id <=> owner").drop("owner")

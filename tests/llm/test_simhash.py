@@ -1,11 +1,13 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from tests.llm.helpers import awkward, empty
 
-from quarryline.llm.simhash import covering_masks, fingerprint, hamming_links, simhash_components, without_near_duplicates
+from quarryline.llm.simhash import covering_masks, fingerprint, hamming_links, near_duplicate_components, simhash_components, without_near_duplicates
+from quarryline.llm.shingles import _met
 from quarryline.workspace import Workspace
 
 
@@ -136,3 +138,53 @@ def test_near_copies_beyond_the_radius_go(spark):
     frame = spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], "doc_id long, text string").repartition(3)
     kept = {r.doc_id for r in without_near_duplicates(frame).select("doc_id").collect()}
     assert kept == set(root)
+
+
+def test_no_planted_pair_is_lost(spark):
+    """Pairs beyond two bits, in texts that share nothing else: 4000 groups of two, over many parts."""
+    rng = random.Random(12)
+    rows = []
+    for g in range(4000):
+        base = [f"w{rng.getrandbits(40):x}" for _ in range(70)]
+        copy = list(base)
+        copy[rng.choice((0, 1, 34, 69))] = f"e{g}"
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(copy))]
+    rng.shuffle(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    found = {r.id: r.component for r in near_duplicate_components(frame).collect()}
+    assert found == {i: i - i % 2 for i in range(8000)}
+
+
+def test_shingles_met_across_batches_and_parts():
+    rng = random.Random(2)
+    for _ in range(200):
+        x = sorted(rng.choices(range(40), k=rng.randint(0, 60)))
+        cuts = sorted(rng.choices(range(len(x) + 1), k=4))
+        parts = [x[a:z] for a, z in zip([0, *cuts], [*cuts, len(x)])]
+        kept = []
+        for part in parts:
+            rows = pa.table({"shingle": pa.array(part, pa.int64()), "set": pa.array(range(len(part)), pa.int64())})
+            out = [b.column(0).to_pylist() for b in _met(iter(rows.to_batches(max_chunksize=rng.randint(1, 9))))]
+            kept += [v for b in out for v in b]
+        want = [v for v in x if x.count(v) > 1]
+        assert kept == sorted(kept) and all(kept.count(v) == x.count(v) for v in want)
+        assert len(kept) - len(want) <= 2 * sum(bool(p) for p in parts)
+
+
+def test_many_unlike_texts_of_one_passage(spark):
+    """A passage that the order doesn't know: the pivots close without a list of all pairs."""
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join(passage + [f"x{i}_{j}" for j in range(rng.randint(14, 30))])) for i in range(90)]
+    rows += [(100 + i, " ".join(passage + [f"x{i}_{j}" for j in range(14)])) for i in range(90)]
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    root = {i: i for i in sets}
+    for i in sets:
+        for j in sets:
+            both = len(sets[i] & sets[j])
+            if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                low, high = sorted((root[i], root[j]))
+                root = {k: low if v == high else v for k, v in root.items()}
+    # fingerprints may link more, so groups by sets must be inside those found
+    found = {r.id: r.component for r in near_duplicate_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(found[i] == found[root[i]] for i in sets)
