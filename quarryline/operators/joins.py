@@ -107,20 +107,33 @@ def match_axes(rows: DataFrame, text: Column, axes: dict[str, tuple[list[str], l
     return wide.where((F.col("strong") >= 1) | (F.col("strong") + F.col("weak") >= least))
 
 
+def equal_sets(rows: DataFrame, row_id: str, items: Column, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """Rows by their sets: ``copies`` has ``a, b`` of every row ``b`` whose set a row
+    with a smaller id, ``a`` (the smallest), has too; ``sets`` has ``id, items`` of
+    the rows ``a``, sorted.  Sets are told apart by 128 bits; nulls and empty sets
+    are left out.  A set of many rows meets its smallest id in a map-side combined
+    aggregate and a join that AQE may split."""
+    made = rows.select(F.col(row_id).alias("id"), F.sort_array(items).alias("items"))
+    # empty sets go once the table is written: a filter before would make the items twice
+    told = work.keep(made.select("id", "items", F.md5(F.to_json("items")).alias("set")), "items").where("size(items) > 0")
+    least = told.groupBy("set").agg(F.min("id").alias("a"), F.count("*").alias("n"))
+    copies = told.select("id", "set").join(least.where("n > 1").drop("n"), "set").where("a <> id").select("a", F.col("id").alias("b"))
+    return copies, told.join(least.select("set", F.col("a").alias("id")), ["set", "id"]).select("id", "items").dropDuplicates(["id"])
+
+
 def similar_pairs(rows: DataFrame, row_id: str, tokens: Column, least: float) -> DataFrame:
     """Pairs of rows with a Jaccard similarity of their token sets of ``least`` or more.
 
     Prefix filter: ranked by rarity, two such sets share a token among the first
     ``n - ceil(least * n) + 1`` of each.  How rare a token is counts for the
-    ``COMMON`` commonest ones; any one order will do.  Equal sets are one row
-    first, so copies aren't paired with each other; callers join members back on
-    ``tokens``.  Returns ``a``, ``b`` (the smallest ids of their sets, a < b) and
-    ``similarity``.
+    ``COMMON`` commonest ones; any one order will do.  Rows of equal sets are one
+    class, so copies aren't paired with each other.  Returns ``a < b`` and
+    ``similarity``: pairs between the smallest ids of their sets, and, with
+    similarity 1, the smallest id of a set with each of its other rows.
     """
     work = Workspace(rows.sparkSession, "pairs")
-    # empty sets go once the table is written: a filter before would make the tokens twice
-    sets = rows.select(row_id, F.sort_array(tokens).alias("tokens")).groupBy("tokens").agg(F.min(row_id).alias("id"))
-    sets = work.keep(sets, "sets").where(F.size("tokens") > 0)
+    copies, sets = equal_sets(rows, row_id, tokens, work)
+    sets = work.keep(sets.withColumnRenamed("items", "tokens"), "sets")
     counts = sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     common = F.broadcast(work.keep(counts.orderBy(F.desc("n"), "token").limit(COMMON), "common"))
     # rows stay where their id is, so ranking them needs no further shuffle
@@ -135,7 +148,7 @@ def similar_pairs(rows: DataFrame, row_id: str, tokens: Column, least: float) ->
     full = met.join(left, "id").join(right, "id_b")
     shared = F.size(F.array_intersect("ta", "tb"))
     full = full.withColumn("similarity", shared / (F.size("ta") + F.size("tb") - shared))
-    return full.where(F.col("similarity") >= least).select(F.col("id").alias("a"), F.col("id_b").alias("b"), "similarity")
+    return full.where(F.col("similarity") >= least).select(F.col("id").alias("a"), F.col("id_b").alias("b"), "similarity").union(copies.withColumn("similarity", F.lit(1.0)))
 
 
 def overlapping_pairs(rows: DataFrame, row_id: str, items: Column, share: float = 0.6, least: int = 2) -> DataFrame:
@@ -143,10 +156,14 @@ def overlapping_pairs(rows: DataFrame, row_id: str, items: Column, share: float
 
     Of the smaller set's ``n`` items, ranked by rarity, one of the first
     ``n - ceil(share * n) + 1`` is shared, so only these meet the items of other
-    sets, and an item that stands everywhere brings few pairs together.
+    sets, and an item that stands everywhere brings few pairs together.  Rows of
+    equal sets are one class, as in :func:`similar_pairs`: pairs are those between
+    the smallest ids of their sets, and of these with each copy.
     """
     work = Workspace(rows.sparkSession, "overlaps")
-    sets = work.keep(rows.select(F.col(row_id).alias("id"), F.array_distinct(items).alias("items")).where(F.size("items") >= least), "sets")
+    copies, sets = equal_sets(rows, row_id, F.array_distinct(items), work)
+    sets = work.keep(sets.where(F.size("items") >= least), "sets")
+    copies = copies.join(sets.select(F.col("id").alias("a"), F.size("items").alias("shared")), "a").select("a", "b", "shared")
     each = sets.select("id", F.size("items").alias("size"), F.explode("items").alias("item"))
     counted = each.join(each.groupBy("item").agg(F.count("*").alias("n")).where("n > 1"), "item", "left")
     ranked = counted.withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("n", F.lit(1)), "item")))
@@ -158,7 +175,7 @@ def overlapping_pairs(rows: DataFrame, row_id: str, items: Column, share: float
     full = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     full = full.withColumn("shared", shared).withColumn("smaller", F.least(F.size("x"), F.size("y")))
-    return full.where((F.col("shared") >= least) & (F.col("shared") >= F.col("smaller") * share)).select("a", "b", "shared")
+    return full.where((F.col("shared") >= least) & (F.col("shared") >= F.col("smaller") * share)).select("a", "b", "shared").union(copies)
 
 
 def similar_vectors(queries: DataFrame, vectors: DataFrame, row_id: str, vec: str, least: float, block: int = 4096) -> DataFrame:

@@ -126,7 +126,9 @@ def axis_match(spark, sf_dir):
     return joins.match_axes(docs, F.col("text"), AXES).select("doc_id", "axis", "strong", "weak")
 
 
-PAIR_SQL = f"""WITH s AS (SELECT list_sort({TOKENS_TEXT}) AS t, min(doc_id) AS id FROM documents GROUP BY 1 HAVING len(t) > 0),
+PAIR_SQL = f"""WITH d AS (SELECT doc_id, list_sort({TOKENS_TEXT}) AS t FROM documents),
+    s AS (SELECT t, min(doc_id) AS id FROM d GROUP BY 1 HAVING len(t) > 0),
+    m AS (SELECT s.id AS a, d.doc_id AS b, 1.0 AS similarity FROM d JOIN s USING (t) WHERE d.doc_id <> s.id),
     e AS (SELECT id, len(t) AS n, unnest(t) AS w FROM s),
     p AS (SELECT a.id AS a, b.id AS b, count(*) / (any_value(a.n) + any_value(b.n) - count(*)) AS similarity
           FROM e a JOIN e b ON a.w = b.w AND a.id < b.id GROUP BY a.id, b.id)"""
@@ -137,14 +139,15 @@ def _near(spark, sf_dir) -> DataFrame:
     return joins.similar_pairs(docs, "doc_id", tx.tokens(F.col("text")), 0.84)
 
 
-@query(f"{PAIR_SQL} SELECT a, b, round(similarity, 6) AS similarity FROM p WHERE similarity >= 0.84")
+@query(f"{PAIR_SQL} SELECT a, b, round(similarity, 6) AS similarity FROM p WHERE similarity >= 0.84 UNION ALL SELECT a, b, 1.0 FROM m")
 def near_duplicate_pairs(spark, sf_dir):
-    """Pairs of different token sets with a Jaccard similarity of .84 or more."""
+    """Pairs of different token sets with a Jaccard similarity of .84 or more, each by
+    its smallest document, and this document's other copies."""
     return _near(spark, sf_dir).withColumn("similarity", F.round("similarity", 6))
 
 
 @query(
-    f"""{PAIR_SQL}, q AS (SELECT a, b FROM p WHERE similarity >= 0.84),
+    f"""{PAIR_SQL}, q AS (SELECT a, b FROM p WHERE similarity >= 0.84 UNION SELECT a, b FROM m),
     n AS (SELECT a AS x, b AS y FROM q UNION SELECT b, a FROM q UNION SELECT a, a FROM q UNION SELECT b, b FROM q),
     r AS (SELECT x, y FROM n), c AS (SELECT * FROM r)
     SELECT node AS doc_id, min(root) AS cluster FROM (
@@ -152,7 +155,8 @@ def near_duplicate_pairs(spark, sf_dir):
     GROUP BY node"""
 )
 def content_clusters(spark, sf_dir):
-    """Components of the near-duplicate pairs, by their smallest member."""
+    """Every document that has copies or near-duplicates, and the smallest document of
+    its component."""
     found = connected_components(_near(spark, sf_dir), Workspace(spark, "clusters"))
     roots = found.select(F.col("root").alias("node"), "root").distinct()
     return found.union(roots).select(F.col("node").alias("doc_id"), F.col("root").alias("cluster"))

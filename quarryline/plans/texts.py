@@ -54,11 +54,12 @@ def claim_graph(spark, sf_dir):
     return claims.join(known, "span", "left").select("doc_id", "kind", "span", F.coalesce("sources", F.lit(0)).alias("sources"), status.alias("status"))
 
 
-_STORY_SQL = f"""l AS (SELECT doc_id AS id, list_distinct({_LINES.format(c="text", n=12)}) AS l FROM documents), k AS (SELECT id, l FROM l WHERE len(l) >= 2),
+_STORY_SQL = f"""l AS (SELECT doc_id AS id, list_sort(list_distinct({_LINES.format(c="text", n=12)})) AS l FROM documents), k AS (SELECT min(id) AS id, l FROM l WHERE len(l) >= 2 GROUP BY l),
+    m AS (SELECT k.id AS a, l.id AS b, len(l.l) AS shared FROM l JOIN k USING (l) WHERE l.id <> k.id),
     e AS (SELECT id, len(l) AS n, unnest(l) AS line FROM k),
     p AS (SELECT a.id AS a, b.id AS b, count(*) AS shared, least(any_value(a.n), any_value(b.n)) AS smaller FROM e a JOIN e b ON a.line = b.line AND a.id < b.id GROUP BY a.id, b.id),
     t AS (SELECT doc_id AS id, sha256({NORM.format(c="string_split(text, chr(10))[1]")}) AS title FROM documents WHERE length(string_split(text, chr(10))[1]) >= 28),
-    lk AS (SELECT a, b FROM p WHERE shared >= 2 AND shared >= smaller * 0.6 UNION SELECT m.id, t.id FROM t JOIN (SELECT title, min(id) AS id FROM t GROUP BY title) m ON m.title = t.title AND m.id < t.id)"""
+    lk AS (SELECT a, b FROM p WHERE shared >= 2 AND shared >= smaller * 0.6 UNION SELECT a, b FROM m UNION SELECT f.id, t.id FROM t JOIN (SELECT title, min(id) AS id FROM t GROUP BY title) f ON f.title = t.title AND f.id < t.id)"""
 
 
 def _shared_lines(spark, sf_dir):
@@ -66,9 +67,10 @@ def _shared_lines(spark, sf_dir):
     return joins.overlapping_pairs(docs, "doc_id", lines(F.col("text"), 12), 0.6, 2)
 
 
-@query(f"WITH {_STORY_SQL} SELECT a, b, shared FROM p WHERE shared >= 2 AND shared >= smaller * 0.6")
+@query(f"WITH {_STORY_SQL} SELECT a, b, shared FROM p WHERE shared >= 2 AND shared >= smaller * 0.6 UNION ALL SELECT a, b, shared FROM m")
 def shared_line_pairs(spark, sf_dir):
-    """Pairs of documents that share two lines and three fifths of the shorter one's."""
+    """Pairs of documents that share two lines and three fifths of the shorter one's;
+    documents of the same lines are paired with the smallest of them alone."""
     return _shared_lines(spark, sf_dir).select("a", "b", F.col("shared").cast("long").alias("shared"))
 
 

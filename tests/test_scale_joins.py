@@ -55,15 +55,29 @@ def test_overlapping_pairs(spark):
     rng = random.Random(4)
     sets = [(i, rng.sample([f"line {j}" for j in range(12)], rng.randint(0, 6)) + ["shared by all"]) for i in range(60)]
     got = {tuple(r) for r in joins.overlapping_pairs(spark.createDataFrame(sets, "id long, l array<string>"), "id", F.col("l")).collect()}
-    want = set()
+    want, first = set(), {}
+    for a, x in sets:
+        first.setdefault(frozenset(x), a)
     for a, x in sets:
         for b, y in sets:
             both = len(set(x) & set(y))
-            if a < b and both >= 2 and both >= 0.6 * min(len(x), len(y)):
+            of_sets = first[frozenset(x)] == a and (first[frozenset(y)] == b or set(x) == set(y))
+            if a < b and of_sets and both >= 2 and both >= 0.6 * min(len(x), len(y)):
                 want.add((a, b, both))
     assert got == want and want
 
 
+def test_copies_give_rows_in_proportion(spark):
+    rows = [(i, "a hot copy of one text here") for i in range(1000)] + [(2000 + i, f"a hot copy of one text here {i:04d}") for i in range(3)]
+    frame = spark.createDataFrame(rows, "id long, text string")
+    words = F.array_distinct(F.split("text", " "))
+    pairs = [(r.a, r.b) for r in joins.similar_pairs(frame, "id", words, 0.8).collect()]
+    assert sorted(p for p in pairs if p[1] < 1000) == [(0, i) for i in range(1, 1000)]
+    assert len(pairs) <= 999 + 6 and {p[1] for p in pairs} >= {2000, 2001, 2002}
+    lines = [(r.a, r.b, r.shared) for r in joins.overlapping_pairs(frame, "id", words).collect()]
+    assert sorted(p for p in lines if p[1] < 1000) == [(0, i, 7) for i in range(1, 1000)] and len(lines) <= 999 + 6
+
+
 def test_similar_vectors(spark):
     x = np.random.default_rng(5).normal(size=(60, 4))
     rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(99, None), (98, [0.0] * 4)], "id long, v array<double>")
