@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarryline.operators import runs
 from quarryline.workspace import Workspace
 
 #: Short terms that are looked for in every text.
@@ -22,14 +23,15 @@ COMMON = 100_000
 def asof(left: DataFrame, right: DataFrame, keys: list[str], time: str, value: str, tie: str) -> DataFrame:
     """``left`` with the last ``value`` of ``right`` at or before its time.
 
-    One union and one ordered pass a key.  Of right rows at one time the one with
-    the largest ``tie`` counts.
+    One union and one ordered pass, in which a key of any size is split (``runs``).
+    Of right rows at one time the one with the largest ``tie`` counts.
     """
     marked = left.withColumn("_side", F.lit(1)).withColumn("_tie", F.lit(None).cast(right.schema[tie].dataType)).withColumn("_value", F.lit(None).cast(right.schema[value].dataType))
     series = right.select(*keys, time, F.lit(0).alias("_side"), F.col(tie).alias("_tie"), F.col(value).alias("_value"))
     both = marked.unionByName(series, allowMissingColumns=True)
-    by = Window.partitionBy(*keys).orderBy(time, "_side", F.col("_tie").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn(value, F.last("_value", ignorenulls=True).over(by)).where("_side = 1").drop("_side", "_tie", "_value")
+    order = [F.asc(time), F.asc("_side"), F.asc_nulls_first("_tie")]
+    told = runs.dealt(both, keys, order, Workspace(left.sparkSession, "asof"))
+    return runs.last_value(told, keys, order, F.col("_value"), value).where("_side = 1").drop("_side", "_tie", "_value", "_part")
 
 
 def nearest_within(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, days: int, left_id: str, right_id: str) -> DataFrame:

@@ -12,6 +12,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarryline.operators import runs
 from quarryline.workspace import Workspace
 
 
@@ -91,14 +92,15 @@ def append_new(ledger: DataFrame, candidates: DataFrame, identity: list[str], *o
 
 
 def revisions(rows: DataFrame, keys: list[str], value: str, *order: Column) -> DataFrame:
-    """Rows that change their key's value, numbered, with the times seen so far.
+    """Rows that change their key's value, numbered, with the ``previous`` value.
 
-    The first row of a key is revision 1.
+    The first row of a key is revision 1.  Keys of any size are split (``runs``).
     """
-    by = Window.partitionBy(*keys).orderBy(*order)
-    changed = rows.withColumn("previous", F.lag(value).over(by)).withColumn("_first", F.row_number().over(by) == 1)
-    changed = changed.withColumn("_changed", (F.col("_first") | ~F.col("previous").eqNullSafe(F.col(value))).cast("int"))
-    return changed.withColumn("revision", F.sum("_changed").over(by.rowsBetween(Window.unboundedPreceding, 0))).where("_changed = 1").drop("_first", "_changed")
+    at = list(order)
+    told = runs.previous_row(runs.dealt(rows, keys, at, Workspace(rows.sparkSession, "revisions")), keys, at, F.col(value), "_before")
+    changed = (F.col("_before").isNull() | ~F.col("_before.v").eqNullSafe(F.col(value))).cast("int")
+    told = told.withColumn("previous", F.col("_before.v")).withColumn("_changed", changed).drop("_before")
+    return runs.running_sum(told, keys, at, F.col("_changed"), "revision").where("_changed = 1").drop("_changed", "_part")
 
 
 def change_events(before: DataFrame, after: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -121,11 +123,36 @@ def merge_series(old: DataFrame, new: DataFrame, keys: list[str], value: str) ->
 
 
 def streaks(rows: DataFrame, keys: list[str], failed: Column, *order: Column) -> DataFrame:
-    """``streak`` of consecutive failed rows up to each row (0 where it isn't failed)."""
-    by = Window.partitionBy(*keys).orderBy(*order)
-    island = rows.withColumn("_failed", failed.cast("int")).withColumn("_island", F.sum(1 - F.col("_failed")).over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    within = Window.partitionBy(*keys, "_island").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return island.withColumn("streak", F.sum("_failed").over(within)).drop("_failed", "_island")
+    """``streak`` of consecutive failed rows up to each row (0 where it isn't failed).
+    Keys of any size are split (``runs``)."""
+    at = list(order)
+    told = runs.dealt(rows.withColumn("_failed", failed.cast("int")), keys, at, Workspace(rows.sparkSession, "streaks"))
+    island = runs.running_sum(told, keys, at, 1 - F.col("_failed"), "_island")
+    return runs.running_sum(island, [*keys, "_island"], at, F.col("_failed"), "streak").drop("_failed", "_island", "_part")
+
+
+def attempts(rows: DataFrame, keys: list[str], at: str, tie: str, stay: str = "120 days") -> DataFrame:
+    """A work queue's memory: ``visit``, ``first_seen`` and ``attempt`` of every row.
+
+    A key that isn't seen for longer than ``stay`` is forgotten: its next row is the
+    first attempt of a new visit.  Visits and attempts are counted from 1.
+    Keys of any size are split (``runs``).
+    """
+    order = [F.asc(at), F.asc(tie)]
+    told = runs.previous_row(runs.dealt(rows, keys, order, Workspace(rows.sparkSession, "attempts")), keys, order, F.col(at), "_before")
+    fresh = F.col("_before").isNull() | (F.col(at) > F.col("_before.v") + F.expr(f"interval {stay}"))
+    told = runs.running_sum(told.withColumn("_fresh", fresh.cast("int")), keys, order, F.col("_fresh"), "visit")
+    each = [*keys, "visit"]
+    told = runs.running_sum(told, each, order, F.lit(1), "attempt")
+    seen = told.groupBy(*each).agg(F.min(at).alias("first_seen"))
+    return join_on(told, seen, each).drop("_before", "_fresh", "_part")
+
+
+def bounded_history(rows: DataFrame, keys: list[str], value: str, most: int, *order: Column) -> DataFrame:
+    """The last ``most`` changes of each key's value, with their ``revision``."""
+    found = revisions(rows, keys, value, *order)
+    last = found.groupBy(*keys).agg(F.max("revision").alias("_last"))
+    return join_on(found, last, keys).where(F.col("revision") > F.col("_last") - most).drop("_last")
 
 
 def trailing_counts(rows: DataFrame, keys: list[str], ts: str, ref: Column, days: tuple[int, ...] = (7, 30)) -> DataFrame:

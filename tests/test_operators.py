@@ -93,6 +93,7 @@ def test_similar_pairs_like_brute_force(spark):
         first.setdefault(tuple(s), i)
     for least in (0.5, 0.84, 1.0):
         want = {(min(i, j), max(i, j)) for a, i in first.items() for b, j in first.items() if i != j and len(set(a) & set(b)) / len(set(a) | set(b)) >= least}
+        want |= {(first[tuple(s)], i) for i, s in enumerate(sets) if first[tuple(s)] != i}  # copies, with their first
         assert {(r.a, r.b) for r in joins.similar_pairs(rows, "id", F.col("tokens"), least).collect()} == want
 
 
