@@ -186,6 +186,7 @@ class Index:
     masks: dict[int, np.ndarray] = field(default_factory=dict)
     walks: dict[int, Walks] = field(default_factory=dict)
     tables: dict[int, dict] = field(default_factory=dict)  # by size: key -> parts
+    known: dict[int, np.ndarray] = field(default_factory=dict)  # by size: sorted keys
 
     @classmethod
     def of(cls, items: list[tuple], share: float, recall: float) -> Index:
@@ -218,7 +219,7 @@ class Index:
             for j, row in zip(of, walks.keys(np.array([out.items[j] for j in of]))):
                 for key in row:
                     table[int(key)].add(j)
-            out.tables[n] = dict(table)
+            out.tables[n], out.known[n] = dict(table), np.array(sorted(table), _U)
         return out
 
     def windows(self, h: np.ndarray):
@@ -245,8 +246,7 @@ class Index:
                 rows[n] += [(d, s) for s in sorted(starts)]
         asked: dict[tuple, list] = defaultdict(list)
         for n, where in rows.items():
-            table, offsets = self.tables[n], np.arange(n)
-            known = np.array(sorted(table), _U)
+            table, known = self.tables[n], self.known[n]
             for at in range(0, len(where), 2048):
                 group = where[at : at + 2048]
                 block = np.zeros((len(group), n), _U)

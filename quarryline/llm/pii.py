@@ -79,7 +79,11 @@ def _luhn(value: Column) -> Column:
 
 def base_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with array columns ``email``, ``ip``, ``card`` and ``phone`` of
-    (start, end, value).  Null texts count as empty; every text is read whole."""
+    (start, end, value).  Null texts count as empty; every text is read whole.
+    Columns of ``docs`` that have a kind's name are replaced, all others stay."""
+    mark = "_"
+    while any(f"{mark}{k}" in docs.columns for k in KINDS):
+        mark += "_"
     text = F.coalesce(F.col(text_col), F.lit(""))
     none = F.array().cast("array<string>")
 
@@ -87,8 +91,8 @@ def base_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
         every = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
         return F.when(F.contains(text, F.lit(sign)), every).otherwise(none) if sign else every
 
-    hits = docs.withColumns({"_email": found(_EMAIL, "@"), "_ip": found(_IP, "."), "_card": found(_CARD), "_phone": found(_PHONE, "+")})
-    placed = hits.withColumns({k: _spans(text, p, F.col(f"_{k}")) for k, p in (("email", _EMAIL), ("ip", _IP), ("card", _CARD), ("phone", _PHONE))})
+    hits = docs.withColumns({f"{mark}email": found(_EMAIL, "@"), f"{mark}ip": found(_IP, "."), f"{mark}card": found(_CARD), f"{mark}phone": found(_PHONE, "+")})
+    placed = hits.withColumns({k: _spans(text, p, F.col(f"`{mark}{k}`")) for k, p in (("email", _EMAIL), ("ip", _IP), ("card", _CARD), ("phone", _PHONE))})
     byte = lambda part: (F.length(F.regexp_replace(part, "^0+", "")) <= 3) & (F.substring(F.concat(F.lit("000"), part), -3, 3).cast("int") <= 255)
     digits = lambda s: F.length(_digits(s["value"]))
     return placed.withColumns(
@@ -97,7 +101,7 @@ def base_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
             "card": F.filter("card", lambda s: _luhn(s["value"])),
             "phone": F.filter("phone", lambda s: digits(s).between(9, 15)),
         }
-    ).drop("_email", "_ip", "_card", "_phone")
+    ).drop(*[f"{mark}{k}" for k in KINDS[:4]])
 
 
 def _contexts(spotted: DataFrame, window: int) -> DataFrame:
@@ -136,8 +140,10 @@ def _words(rows: DataFrame, text: str, terms: DataFrame, *keep: str) -> DataFram
 def disclosing_terms(docs: DataFrame, window: int = 64, threshold: float = 0.85, bits: float = 1.5, text_col: str = "text") -> DataFrame:
     """``term, disclosure``: the lower-cased terms that disclose some entity.
 
-    Counts are over all texts of ``docs``, copies once.  ``window`` is in code
-    points on each side; ``threshold`` is the least share of an entity's
+    Counts are over all texts of ``docs``, copies once; null and empty texts hold no
+    entity, and a table without any gives no term, as does an empty one.  Equal
+    disclosures don't compete: every term over the threshold is returned, once.
+    ``window`` is in code points on each side; ``threshold`` is the least share of an entity's
     information that a term gives away, and ``bits`` the most that may stay open.
     """
     work = Workspace(docs.sparkSession, "pii")
@@ -174,7 +180,7 @@ def find_pii(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> DataF
     Rows are told apart by 128 bits over all their columns; equal rows have equal
     spans, and stay as often as they are there.  Without any term the texts
     aren't searched for them.  Columns of ``docs`` that have a kind's name are
-    replaced.
+    replaced.  Null texts are empty, and an empty table gives no rows.
     """
     none = F.array().cast(_SPANS)
     if terms.isEmpty():
@@ -182,15 +188,16 @@ def find_pii(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> DataF
     work = Workspace(docs.sparkSession, "pii")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     plain = docs.select(_identity(*docs.columns).alias("key"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    hits = _words(plain, "text", terms, "key", "text")
-    hits = hits.groupBy("key").agg(F.collect_set("term").alias("terms"), F.any_value("text").alias("text"))
-    held = hits.select("key", "text", F.explode("terms").alias("term"))
-    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])\Q"), F.col("term"), F.lit(r"\E(?![\p{L}\p{N}])"))
-    held = held.withColumn("hits", F.regexp_extract_all("text", pattern, F.lit(0)))
-    spots = held.withColumn("at", _spans(F.col("text"), pattern, F.col("hits"))).groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("term"))
-    spots = work.keep(spots, "spots")
-    rows = docs.select(whole.alias("row"), _identity(*docs.columns).alias("key")).join(spots, "key", "left")
-    found = base_spans(rows.select("row", "term", F.col("row").getField(text_col).alias("text")))
+    # words travel with the keys alone; the texts meet their terms once
+    held = _words(plain, "text", terms, "key").groupBy("key").agg(F.sort_array(F.collect_set("term")).alias("terms"))
+    rows = docs.select(whole.alias("row"), _identity(*docs.columns).alias("key")).join(work.keep(held, "held"), "key", "left")
+    rows = rows.select("row", "terms", F.coalesce(F.col("row").getField(text_col), F.lit("")).alias("text"))
+
+    def spots(term: Column) -> Column:
+        pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])\Q"), term, F.lit(r"\E(?![\p{L}\p{N}])"))
+        return _spans(F.col("text"), pattern, F.regexp_extract_all("text", pattern, F.lit(0)))
+
+    found = base_spans(rows.withColumn("term", F.array_distinct(F.flatten(F.transform("terms", spots)))))
     others = F.concat(*KINDS[:4])
     apart = F.filter(F.coalesce("term", none), lambda t: ~F.exists(others, lambda b: (t["start"] < b["end"]) & (b["start"] < t["end"])))
     kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in KINDS]

@@ -128,3 +128,19 @@ def test_redaction_of_overlaps(spark):
 def test_clashing_columns_stay(spark):
     docs = spark.createDataFrame([(1, "to a@b.co", "mine", 7, "x")], "doc_id int, text string, email string, term int, `a.b` string")
     assert tuple(pii.sanitise(docs).first()) == (1, "to [EMAIL]", "mine", 7, "x")
+
+
+def test_columns_that_look_like_ours_stay(spark):
+    docs = spark.createDataFrame([(1, "a@b.example.org", "x", "y")], "doc_id int, text string, _email string, __ip string")
+    found = pii.base_spans(docs).first()
+    assert found["_email"] == "x" and found["__ip"] == "y" and len(found.email) == 1
+    assert pii.find_pii(docs, spark.createDataFrame([], "term string, disclosure double")).first()["_email"] == "x"
+
+
+def test_terms_in_a_long_text(spark):
+    """A text of many words meets its terms once, and copies keep their own rows."""
+    long = " ".join(f"w{i}" for i in range(30_000)) + " Zanzibarov"
+    docs = spark.createDataFrame([(1, long), (2, long), (2, long), (3, "zanzibarov zanzibarov"), (4, None)], "doc_id int, text string")
+    terms = spark.createDataFrame([("zanzibarov", 0.9), ("w7", 0.9)], "term string, disclosure double")
+    found = sorted((r.doc_id, len(r.term)) for r in pii.find_pii(docs, terms).collect())
+    assert found == [(1, 2), (2, 2), (2, 2), (3, 2), (4, 0)]
