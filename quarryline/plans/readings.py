@@ -75,9 +75,9 @@ def labelled_figures(spark, sf_dir):
     told = items.groupBy("l_suppkey", "year").agg(cents("l_extendedprice").alias("sales"), cents("l_quantity").alias("units"), F.max(F.col("l_discount").cast("decimal(18,2)")).alias("most"))
     # years of the data are those of the last century, so they are moved by thirty
     money, share, first, last = F.format_string("USD %s million", F.floor("sales").cast("string")), F.format_string("%s%%", F.floor(F.col("most") * 100).cast("string")), (F.col("year") + 30).cast("string"), (F.col("year") + 31).cast("string")
-    shipped = F.floor(F.col("units") * 100).cast("string")  # in hundredths, which look like no year
+    shipped = F.floor(F.col("units") * 100).cast("string")  # in hundredths, which look like no year; the line is the longer one, so a year's digits in it don't count
     line = F.concat(F.lit("The supplier's revenue reached "), money, F.lit(" in "), first, F.lit(", while an operating margin of "), share, F.lit(" is projected by "), last, F.lit("."))
-    other = F.concat(F.lit("It shipped "), shipped, F.lit(" units to customers."))
+    other = F.concat(F.lit("It shipped "), shipped, F.lit(" units to customers of all kinds, in all of its regions and through every one of its channels, which is more than it could have made by hand in so short a time, and less than some had hoped for when it began."))
     values = F.array(money, share, first, last, F.concat(shipped, F.lit(" units")))
     rows = told.select("l_suppkey", "year", F.explode(metrics.labelled(F.array(line, other), values)).alias("m"))
     return rows.select("l_suppkey", "year", "m.value", "m.label")
