@@ -16,10 +16,13 @@ together.  A longer sketch folds onto a shorter one.
 
 Equal sets are one class.  Within a shingle, pivots are compared with all classes
 of other components and then leave it, having met everyone; a shingle whose
-classes are of one component is closed.  A shingle has one pivot at first and
-about four times as many in every further round, so a group of near copies is
-linked up by few comparisons, and rounds grow with the logarithm of a shingle's
-classes.
+classes are of one component is closed.  A shingle has one pivot in the first
+round.  Then a pair meets only if its sketches, folded to ``MEET`` longs, allow it,
+and a round that brings few pairs together, or finds no link, is followed by one
+with four times as many pivots.
+The order that names pivots is the same for all shingles.  So a group of near
+copies is linked up by few comparisons, what is unlike makes no rows, and rounds
+without a link grow with the logarithm of a shingle's classes.
 """
 
 from __future__ import annotations
@@ -37,8 +40,8 @@ from quarryline.workspace import Workspace
 
 #: Texts that tell the order, and the commonest shingles of them that are broadcast.
 SAMPLE, COMMON = 20_000, 200_000
-#: Longs of the shortest and the longest sketch.
-SHORT, LONG = 4, 1024
+#: Longs of the shortest and the longest sketch, and of those that shingles bring along.
+SHORT, LONG, MEET = 4, 1024, 8
 
 
 def tokens_of(text: bytes, words: int) -> list[bytes]:
@@ -115,15 +118,17 @@ def sketch(found: np.ndarray) -> np.ndarray:
     return np.packbits(odd, bitorder="little").view("<i8")
 
 
+def _folded(s: Column, i: Column, longs: Column) -> Column:
+    """The ``i``-th long (from 1) of a sketch that is folded to so many longs."""
+    parts = F.sequence(i, F.size(s), longs)
+    return F.aggregate(parts, F.lit(0).cast("long"), lambda a, j: a.bitwiseXOR(F.element_at(s, j.cast("int"))))
+
+
 def sketches_allow(x: Column, y: Column, n: Column, m: Column, least: float) -> Column:
     """Whether sets of ``n`` and ``m`` elements with these sketches may be alike."""
     short = F.least(F.size(x), F.size(y))
 
-    def at(s: Column, i: Column) -> Column:  # folded onto the shorter one
-        parts = F.sequence(i, F.size(s), short)
-        return F.aggregate(parts, F.lit(0).cast("long"), lambda a, j: a.bitwiseXOR(F.element_at(s, j.cast("int"))))
-
-    differ = F.aggregate(F.sequence(F.lit(1), short), F.lit(0), lambda a, i: a + F.bit_count(at(x, i).bitwiseXOR(at(y, i))))
+    differ = F.aggregate(F.sequence(F.lit(1), short), F.lit(0), lambda a, i: a + F.bit_count(_folded(x, i, short).bitwiseXOR(_folded(y, i, short))))
     return differ <= (n + m) * (1 - least) / (1 + least) + 1e-6
 
 
@@ -181,25 +186,33 @@ def alike_links(owners: DataFrame, texts: DataFrame, words: int, least: float, s
         return new if known is None else known.union(new)
 
     fits = (F.col("size") >= F.col("size_b") * least - 1e-9) & (F.col("size_b") >= F.col("size") * least - 1e-9)
-    members, links, roots, sets, r = work.keep(met_shingles(owners), "members"), None, None, None, 0
+    longs = F.least(F.size("sketch"), F.lit(MEET))
+    brief = owners.select("set", F.transform(F.sequence(F.lit(1), longs), lambda i: _folded(F.col("sketch"), i, longs)).alias("brief"))
+    drawn = F.xxhash64("set", F.lit(seed))
+    share = F.shiftrightunsigned(drawn, 11) / F.lit(float(1 << 53))  # the same for all shingles, in [0, 1)
+    members, links, roots, sets, pivots = work.keep(met_shingles(owners), "members"), None, None, None, 1
+    first = True
     while True:
-        here = members.where("not pivot") if r else members
-        here = here.select("shingle", "set", "size")
+        here = members if first else members.where("not pivot").drop("root", "pivot")
+        if "brief" not in here.columns and not first:
+            here = here.join(brief, "set")
         if roots is None:
             here = here.withColumn("root", F.col("set"))
         else:
-            here = here.join(roots, "set", "left").select("shingle", "set", "size", F.coalesce("root", "set").alias("root"))
-        drawn = F.xxhash64("set", F.lit(r))
-        one = F.min(F.struct(drawn.alias("h"), "set"))["set"].alias("one")
+            here = here.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
+        one = F.min(F.struct(share.alias("h"), "set"))["set"].alias("one")
         open_ = here.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"), one).where("lo <> hi").select("shingle", "n", "one")
-        pivot = (F.col("set") == F.col("one")) | (F.pmod(drawn, F.col("n")) < (1 << min(2 * r, 62)) - 1)
-        here = work.keep(here.join(open_, "shingle").select("shingle", "set", "size", "root", pivot.alias("pivot")), "open")
+        pivot = (F.col("set") == F.col("one")) | (share * F.col("n") < pivots - 1)
+        here = work.keep(here.join(open_, "shingle").withColumn("pivot", pivot).drop("n", "one"), "open")
         work.drop(members)
         if here.isEmpty():
             work.drop(here)
             return links
-        other = here.where("pivot").select("shingle", F.col("set").alias("set_b"), F.col("size").alias("size_b"), F.col("root").alias("root_b"))
-        met = here.join(other, "shingle").where(fits & (F.col("root") != F.col("root_b")))
+        meets = fits & (F.col("root") != F.col("root_b"))
+        if not first:
+            meets = meets & sketches_allow(F.col("brief"), F.col("brief_b"), F.col("size"), F.col("size_b"), least)
+        other = here.where("pivot").drop("pivot").withColumnsRenamed({c: f"{c}_b" for c in ("set", "size", "root", "brief")})
+        met = here.join(other, "shingle").where(meets)
         smaller = F.col("set") < F.col("set_b")
         met = met.select(
             F.least("set", "set_b").alias("a"), F.greatest("set", "set_b").alias("b"),
@@ -208,14 +221,19 @@ def alike_links(owners: DataFrame, texts: DataFrame, words: int, least: float, s
         left = sketches.select(F.col("set").alias("a"), F.col("sketch").alias("x"))
         right = sketches.select(F.col("set").alias("b"), F.col("sketch").alias("y"))
         pairs = work.keep(met, "pairs")
+        calm = 4 * pairs.count() < here.count()
         near = pairs.join(left, "a").join(right, "b").where(sketches_allow(F.col("x"), F.col("y"), F.col("n"), F.col("m"), least))
         near = work.keep(near.select("a", "b"), "near")
         work.drop(pairs)
+        progress = False
         if not near.isEmpty():
             sets = sets_of(near, sets)
             new = work.keep(_verified(near, sets, least), "alike")
-            if not new.isEmpty():
+            progress = not new.isEmpty()
+            if progress:
                 links = new if links is None else links.union(new)
                 roots = connected_components(links, work).select(F.col("node").alias("set"), "root")
         work.drop(near)
-        members, r = here, r + 1
+        if first or calm or not progress:
+            pivots *= 4
+        members, first = here, False
