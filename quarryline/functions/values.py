@@ -22,6 +22,14 @@ def quantities(text: Column) -> Column:
     return F.array_distinct(F.transform(F.concat(*found), lambda t: F.trim(F.regexp_replace(t, r"\s+", " "))))
 
 
+def repaired_json(text: Column) -> Column:
+    """What lies between the outermost braces of an answer, without code fences; null
+    if that is no JSON object."""
+    bare = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?i)```(?:json)?", " ")
+    inner = F.regexp_extract(bare, r"(?s)(\{.*\})", 1)
+    return F.when(F.try_parse_json(inner).isNotNull(), inner)
+
+
 def numbers(text: Column) -> Column:
     """Distinct numeric tokens of a text."""
     return F.array_distinct(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(NUMBER), F.lit(0)))

@@ -191,14 +191,23 @@ def ledger_round_trip(spark, sf_dir):
     return back.groupBy("track", "month").agg(F.count("*").alias("n"), F.max("event_id").alias("last"))
 
 
-@query("SELECT count(*) AS rows, false AS written_again FROM part")
+@query(
+    """SELECT 1 AS attempt, true AS written, count(*) AS rows, sum(p_size) AS sizes FROM part UNION ALL SELECT 2, false, count(*), sum(p_size) FROM part
+    UNION ALL SELECT 3, true, count(*), sum(p_size) FROM part WHERE p_partkey % 5 <> 0 UNION ALL SELECT 4, true, count(*), sum(p_size + 1) FROM part WHERE p_partkey % 5 <> 0"""
+)
 def unchanged_write(spark, sf_dir):
-    """A table written once; the same rows again, in another order, leave it alone."""
+    """A table written four times: new, the same in another order, with rows removed and
+    with a column changed; whether each was written and what the table then holds."""
     path = Workspace(spark, "once").path
     part = table(spark, sf_dir, "part")
-    files.write_if_changed(part, path)
-    again = files.write_if_changed(part.repartition(3), path)
-    return spark.read.parquet(path).agg(F.count("*").alias("rows"), F.lit(again).alias("written_again"))
+    fewer = part.where("p_partkey % 5 <> 0")
+    found = None
+    for attempt, rows in enumerate([part, part.repartition(3), fewer, fewer.withColumn("p_size", F.col("p_size") + 1)], 1):
+        written = files.write_if_changed(rows, path)
+        # each state is told before the next attempt may overwrite it
+        told = Workspace(spark, "once").keep(spark.read.parquet(path).agg(F.lit(attempt).alias("attempt"), F.lit(written).alias("written"), F.count("*").alias("rows"), F.sum("p_size").alias("sizes")), "state")
+        found = told if found is None else found.union(told)
+    return found
 
 
 @query(

@@ -60,11 +60,36 @@ def read_feed(spark: SparkSession, path: str, row_tag: str = "item", limit: int
     )
 
 
+def write_xml(elements: DataFrame, path: str, root: str) -> None:
+    """One column of XML elements as files, each a whole document with this root."""
+    import pyarrow as pa
+
+    def framed(batches):
+        line = lambda *x: pa.RecordBatch.from_arrays([pa.array(x, pa.string())], ["value"])
+        yield line(f"<{root}>")
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.string())], ["value"])
+        yield line(f"</{root}>")
+
+    elements.toDF("value").mapInArrow(framed, "value string").write.text(path)
+
+
 def read_sitemap(spark: SparkSession, path: str) -> DataFrame:
     """URLs and dates of sitemap files."""
     return spark.read.format("xml").option("rowTag", "url").schema("loc string, lastmod string").load(path)
 
 
+def read_sitemap_index(spark: SparkSession, path: str, most: int = 8) -> DataFrame:
+    """URLs and dates of a sitemap, or of the first ``most`` sitemaps that an index
+    names, each URL once with its newest date."""
+    children = spark.read.format("xml").option("rowTag", "sitemap").schema("loc string").load(path)
+    named = [r.loc for r in children.where("loc is not null").select(F.trim("loc").alias("loc")).distinct().orderBy("loc").limit(most).collect()]
+    rows = read_sitemap(spark, path)
+    for child in named:
+        rows = rows.unionByName(read_sitemap(spark, child))
+    return rows.where("loc is not null").groupBy(F.trim("loc").alias("loc")).agg(F.max(F.trim("lastmod")).alias("lastmod"))
+
+
 def zipped_rows(rows: DataFrame, *arrays: str) -> DataFrame:
     """Parallel arrays as rows, with all other columns kept."""
     others = [c for c in rows.columns if c not in arrays]
