@@ -27,7 +27,9 @@ def repaired_json(text: Column) -> Column:
     if that is no JSON object."""
     bare = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?i)```(?:json)?", " ")
     inner = F.regexp_extract(bare, r"(?s)(\{.*\})", 1)
-    return F.when(F.try_parse_json(inner).isNotNull(), inner)
+    # within an array, so that what follows a first object counts too
+    whole = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), inner, F.lit("]"))), "$", "array<variant>")
+    return F.when(F.size(whole) == 1, inner)
 
 
 def numbers(text: Column) -> Column:
