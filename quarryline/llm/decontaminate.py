@@ -328,9 +328,11 @@ def contaminated(
     ``share`` of the item's words in edits.
 
     Returns ``id, item_id, edits, start, end``: the best stretch, in code points
-    of the text, ties to the stretch that is found first.  Null and empty texts or items match nothing, rows that repeat an id
-    are searched apart, and whole texts are searched.  The items are taken in
-    blocks of bounded size, each a pass over ``docs``.
+    of the text, ties to the stretch that is found first.  Null and empty texts or
+    items match nothing, rows that repeat an id are searched apart, and whole texts
+    are searched.  The items are taken in blocks of bounded size, each a pass over
+    ``docs``.  Other columns are left out; without documents or items there are no
+    rows.
     """
     spark = docs.sparkSession
     modest_batches(spark)

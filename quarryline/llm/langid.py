@@ -150,7 +150,8 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", names: tuple[
     a null score for other texts where no language was learned.  Whole texts are
     read, whatever their length.  Equal texts have equal results; languages with
     equal votes and weights are settled by name.  Columns of ``docs`` that have
-    one of the new names are replaced.
+    one of the new names are replaced, all others stay, and an empty table has no
+    rows.
     """
     modest_batches(docs.sparkSession)
     docs = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in [n.lower() for n in names]])

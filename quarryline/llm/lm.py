@@ -491,7 +491,8 @@ def score(docs: DataFrame, learns: Column | None = None, id_col: str = "doc_id",
     Returns ``id, learns, n_tokens, n_known, train_tokens, base_score, score``,
     all log10 and summed over the words and one end of a text.  Null texts are
     empty, rows that repeat an id are scored apart, and a text is read whole,
-    whatever its length.  Without learning rows every word is unknown.
+    whatever its length.  Without learning rows every word is unknown.  Columns of
+    any other name are left out, and an empty table has no rows.
     """
     spark = docs.sparkSession
     modest_batches(spark)

@@ -99,7 +99,8 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
 
     Null and empty texts are scored as texts without n-grams of their own, and
     equal texts have equal scores.
-    Without a model all scores are 0.5.
+    Without a model all scores are 0.5.  Rows that repeat an id stay, other columns
+    are left out, and an empty table has no rows.
     """
     modest_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of weights

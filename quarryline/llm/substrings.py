@@ -399,7 +399,9 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     Returns ``id, n_bytes, n_removed, n_spans, kept_sha256`` for every row.  Null
     texts are empty; a text shorter than ``length`` loses nothing; equal rows
     lose everything (from ``length`` bytes on), whatever their ids.  Strings
-    don't cross texts, may overlap and are judged on the input alone.
+    don't cross texts, may overlap and are judged on the input alone.  Ids may be
+    null or repeat, columns of any other name are left out, and an empty table has
+    no rows.
     """
     if length <= GRAM:
         raise ValueError(f"length must be over {GRAM}")
