@@ -25,22 +25,30 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, that of the smallest id, of each group of near copies."""
+    """Keeps one document, that of the smallest id, of each group of near copies.  Null
+    and empty texts are one group; of equal rows one stays; whole texts are compared.
+    All columns stay as they are, and an empty table stays empty."""
     return simhash.without_near_duplicates(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
+    """Drops documents that hold a benchmark item.  Null and empty texts and items match
+    nothing; equal rows go or stay together; whole texts are searched.  All columns
+    stay as they are; without items, or without documents, nothing changes."""
     return decontaminate.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data in the texts; ``n_chars`` follows."""
+    """Replaces personal data in the texts; ``n_chars`` follows.  A null text stays null
+    with a null ``n_chars``, and an empty one empty; every row stays, copies too, with
+    all other columns as they are."""
     return pii.sanitise(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of at most 2048 tokens."""
+    """Pieces of sequences of at most 2048 tokens.  A null or empty text is its end mark
+    alone; rows that repeat an id are packed apart; long texts are cut into pieces, and
+    an empty table has none."""
     return packing.pack_documents(docs, tokens.tokenizer_path("byte_bpe_50k.json"), end=1, max_tokens=2048)
 
 
