@@ -143,3 +143,18 @@ def paragraphs(raw: Column, alike: float = 0.94, most: int = 32) -> Column:
     prose = F.filter(told, lambda p: F.length(p["text"]).between(55, 1600) & ~p["text"].rlike(_any_of(JUNK)))
     first = F.filter(prose, lambda p, i: ~F.exists(F.slice(prose, F.lit(1), i), lambda q: tx.overlap(q["words"], p["words"]) > alike))
     return F.transform(F.slice(first, 1, most), lambda p: p["text"])
+
+
+def reselected(text: Column, title: Column, lines: Column, version: Column, current: int, least: int) -> Column:
+    """``lines, version, changed, hidden`` of a row whose lines were chosen by a rule of
+    some ``version``: an older rule's lines are chosen anew, and a row is hidden if
+    fewer than ``least`` come out.  Rows of the current rule, or without a text, stay."""
+    new = pick(candidates(text, title))
+    old = text.isNotNull() & (F.coalesce(version, F.lit(0)) < current)
+    short = F.size(new) < least
+    return F.struct(
+        F.when(old & ~short, F.transform(new, lambda c: c["line"])).otherwise(lines).alias("lines"),
+        F.when(old, F.lit(current)).otherwise(version).alias("version"),
+        old.alias("changed"),
+        (old & short).alias("hidden"),
+    )

@@ -53,6 +53,17 @@ def brief_lines(spark, sf_dir):
     return chosen.select("doc_id", (F.col("i") + 1).alias("place"), "l.role", "l.line")
 
 
+@query()
+def reselected_briefs(spark, sf_dir):
+    """Briefs whose lines an older rule chose, by their source's rule, chosen anew; those
+    with fewer than two lines are hidden."""
+    first = F.element_at(F.split("text", "\n"), 1)
+    version = F.regexp_extract("source", "([0-9])$", 1).try_cast("int") % 4
+    docs = table(spark, sf_dir, "documents").withColumn("version", version)
+    found = docs.select("doc_id", briefs.reselected(F.col("text"), first, F.array(first), F.col("version"), 3, 2).alias("r")).select("doc_id", "r.*")
+    return found.select("doc_id", F.size("lines").alias("lines"), F.sha2(F.array_join("lines", "\n"), 256).alias("sha"), "version", "changed", "hidden")
+
+
 @query()
 def unique_claims(spark, sf_dir):
     """The long lines of every document, each claim once, in their order."""

@@ -1,5 +1,6 @@
 """Chosen lines, claims, paragraphs, labels and article bodies against loops and golden examples."""
 
+import hashlib
 import json
 import random
 import re
@@ -70,6 +71,23 @@ def test_picks_are_those_of_a_loop(spark):
     assert sum(len(r.p or []) == 3 for r in told) > 20
 
 
+def test_older_lines_are_chosen_anew(spark):
+    """By the registered query: lines of the current rule stay, others are those of the pick."""
+    found = {r.doc_id: r for r in QUERIES["reselected_briefs"](spark, SF).collect()}
+    picked = {}
+    for r in QUERIES["brief_lines"](spark, SF).collect():
+        picked.setdefault(r.doc_id, {})[r.place] = r.line
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "source", "text").collect()
+    for d in docs:
+        version = int(d.source[-1]) % 4 if d.source and d.source[-1].isdigit() else None
+        lines, r = [picked.get(d.doc_id, {})[k] for k in sorted(picked.get(d.doc_id, {}))], found[d.doc_id]
+        old = (version or 0) < 3
+        want = lines if old and len(lines) >= 2 else [d.text.split("\n")[0]]
+        assert (r.changed, r.hidden, r.version) == (old, old and len(lines) < 2, 3 if old else version)
+        assert r.sha == hashlib.sha256("\n".join(want).encode()).hexdigest() and r.lines == len(want)
+    assert len({(r.changed, r.hidden) for r in found.values()}) >= 2
+
+
 def test_scores_of_lines(spark):
     """Fact 8, change 5, implication 4, attribution 3, two a figure, three a title word, place and role."""
     lines = ["Revenue grew 12% to $3 billion, according to a market survey.", "This shifted because of the cost of the market and of devices."]
