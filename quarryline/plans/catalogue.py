@@ -737,4 +737,4 @@ def pricing_summary(spark, sf_dir):
     return rows.groupBy("l_returnflag", "l_linestatus").agg(money("l_quantity").cast("double").alias("sum_qty"), money("l_extendedprice").cast("double").alias("sum_price"), F.count("*").alias("n"))
 
 
-from quarryline.plans import feeds, merges, more, ordered, readings, records, scalars, state, texts, views  # noqa: E402, F401  they register their queries
+from quarryline.plans import feeds, merges, more, ordered, readings, records, scalars, state, texts, tracks, views  # noqa: E402, F401  they register their queries
