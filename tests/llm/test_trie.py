@@ -97,20 +97,20 @@ def test_empty_tables_and_turnless_conversations(spark):
 
 def test_a_conversation_over_many_parts(spark):
     """Places and prefixes go on where a part ends within a conversation."""
-    rows = [(1, t, "user", f"{t}", "", 0) for t in range(900)] + [(2, t, "user", f"{t}", "", 0) for t in range(400)] + [(0, 0, "user", "0", "", 0)]
+    rows = [(1, t, "user", f"{t}", "", 0) for t in range(300)] + [(2, t, "user", f"{t}", "", 0) for t in range(140)] + [(0, 0, "user", "0", "", 0)]
     df = spark.createDataFrame(rows, SCHEMA).repartition(7)
     work = Workspace(spark, "test")
     placed = placed_turns(df, work)
     assert sorted((r.conv_id, r.place) for r in placed.collect()) == sorted((c, t + 1) for c, t, *_ in rows)
     assert rebuilt_turns(placed, F.lit(3), F.lit(1)).where("conv_id = 0").count() == 3
     trie = {(r.conv_id, r.depth): r for r in prefix_trie(df).collect()}
-    assert trie[(1, 400)].n_convs == 2 and trie[(1, 401)].n_convs == 1 and trie[(0, 1)].n_convs == 3 and len(trie) == 901
-    assert trie[(0, 0)].saved_tokens == sum(len(str(t)) for t in range(400)) + 1
+    assert trie[(1, 140)].n_convs == 2 and trie[(1, 141)].n_convs == 1 and trie[(0, 1)].n_convs == 3 and len(trie) == 301
+    assert trie[(0, 0)].saved_tokens == sum(len(str(t)) for t in range(140)) + 1
 
 
 def test_contraction_of_random_trees(spark):
     rng = random.Random(3)
-    n = 400
+    n = 120
     for bend in (1, 5, n):  # a path, long chains with twigs, a bush
         parent = [None] + [max(0, i - rng.randint(1, bend)) for i in range(1, n)]
         depth, value = [0] * n, [rng.randint(0, 9) for _ in range(n)]
