@@ -14,15 +14,16 @@ sets have elements in one only, so a pair whose sketches differ in more bits tha
 the similarity allows isn't alike, and only the other pairs bring their shingles
 together.  A longer sketch folds onto a shorter one.
 
-Equal sets are one class.  Within a shingle, pivots are compared with all classes
-of other components and then leave it, having met everyone; a shingle whose
-classes are of one component is closed.  A shingle has one pivot in the first
-round.  Then a pair meets only if its sketches, folded to ``MEET`` longs, allow it,
-and a round that brings few pairs together, or finds no link, is followed by one
-with four times as many pivots.
-The order that names pivots is the same for all shingles.  So a group of near
-copies is linked up by few comparisons, what is unlike makes no rows, and rounds
-without a link grow with the logarithm of a shingle's classes.
+Equal sets are one class.  Within a shingle, a pivot is compared with all classes
+that aren't known to be linked with it, and then leaves the shingle, having met
+everyone; a shingle whose classes are known to be linked is closed.  The order
+that names pivots is the same for all shingles.  The first rounds take one pivot
+in a sixty-fourth, a sixteenth, a quarter of the shingles and then in all of them,
+so that near copies, which share most shingles, are linked before each of their
+shingles brings the same pairs together.  Later rounds take four times as many
+pivots each, and a pair meets only if its sketches, folded to ``MEET`` longs, allow
+it.  So a group of near copies is linked up by few comparisons, what is unlike
+makes no rows, and rounds grow with the logarithm of a shingle's classes.
 """
 
 from __future__ import annotations
@@ -35,11 +36,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarryline.operators.components import connected_components
 from quarryline.workspace import Workspace
 
 #: Texts that tell the order, and the commonest shingles of them that are broadcast.
 SAMPLE, COMMON = 20_000, 200_000
+#: In the first rounds, one of so many shingles takes part.
+PARTS = (64, 16, 4, 1)
 #: Longs of the shortest and the longest sketch, and of those that shingles bring along.
 SHORT, LONG, MEET = 4, 1024, 8
 
@@ -158,13 +160,24 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return full.where(F.col("both") / (F.size("x") + F.size("y") - F.col("both")) >= least - 1e-12).select("a", "b")
 
 
+def _labels(links: DataFrame) -> DataFrame:
+    """``set, root``: for each set a set that links lead to, the smallest neighbour's
+    smallest neighbour's smallest neighbour.  Sets of one root are linked; linked sets
+    may have several, which costs comparisons and no link."""
+    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    step = both.groupBy(F.col("a").alias("set")).agg(F.min("b").alias("m")).select("set", F.least("set", "m").alias("root"))
+    for _ in range(2):
+        step = step.join(step.select(F.col("set").alias("root"), F.col("root").alias("next")), "root").select("set", F.col("next").alias("root"))
+    return step
+
+
 def alike_links(owners: DataFrame, texts: DataFrame, words: int, least: float, seed: int, work: Workspace) -> DataFrame | None:
     """``a, b`` links of sets, None where there are none.
 
     ``owners`` has a row a set: ``set, id, size, prefix, sketch``, with the id of
     one of its texts; ``texts`` has ``id, text``, and rows of one id are equal.
-    Sets are linked so that their components are those of all pairs of sets with
-    a similarity of ``least`` or more; every link is such a pair.
+    Sets are linked so that the components of the links are those of all pairs of
+    sets with a similarity of ``least`` or more; every link is such a pair.
     """
     sketches = owners.select("set", "sketch")
 
@@ -190,11 +203,12 @@ def alike_links(owners: DataFrame, texts: DataFrame, words: int, least: float, s
     brief = owners.select("set", F.transform(F.sequence(F.lit(1), longs), lambda i: _folded(F.col("sketch"), i, longs)).alias("brief"))
     drawn = F.xxhash64("set", F.lit(seed))
     share = F.shiftrightunsigned(drawn, 11) / F.lit(float(1 << 53))  # the same for all shingles, in [0, 1)
-    members, links, roots, sets, pivots = work.keep(met_shingles(owners), "members"), None, None, None, 1
-    first = True
+    members, links, roots, sets, r = work.keep(met_shingles(owners), "members"), None, None, None, 0
     while True:
-        here = members if first else members.where("not pivot").drop("root", "pivot")
-        if "brief" not in here.columns and not first:
+        late = r >= len(PARTS)
+        pivots = 4 ** (r - len(PARTS) + 1) if late else 1
+        here = members.where("not pivot").drop("root", "pivot") if r else members
+        if r == len(PARTS):
             here = here.join(brief, "set")
         if roots is None:
             here = here.withColumn("root", F.col("set"))
@@ -203,13 +217,15 @@ def alike_links(owners: DataFrame, texts: DataFrame, words: int, least: float, s
         one = F.min(F.struct(share.alias("h"), "set"))["set"].alias("one")
         open_ = here.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"), one).where("lo <> hi").select("shingle", "n", "one")
         pivot = (F.col("set") == F.col("one")) | (share * F.col("n") < pivots - 1)
+        if not late:
+            pivot = pivot & (F.pmod(F.xxhash64("shingle"), F.lit(PARTS[r])) == 0)
         here = work.keep(here.join(open_, "shingle").withColumn("pivot", pivot).drop("n", "one"), "open")
         work.drop(members)
         if here.isEmpty():
             work.drop(here)
             return links
         meets = fits & (F.col("root") != F.col("root_b"))
-        if not first:
+        if late:
             meets = meets & sketches_allow(F.col("brief"), F.col("brief_b"), F.col("size"), F.col("size_b"), least)
         other = here.where("pivot").drop("pivot").withColumnsRenamed({c: f"{c}_b" for c in ("set", "size", "root", "brief")})
         met = here.join(other, "shingle").where(meets)
@@ -221,19 +237,14 @@ def alike_links(owners: DataFrame, texts: DataFrame, words: int, least: float, s
         left = sketches.select(F.col("set").alias("a"), F.col("sketch").alias("x"))
         right = sketches.select(F.col("set").alias("b"), F.col("sketch").alias("y"))
         pairs = work.keep(met, "pairs")
-        calm = 4 * pairs.count() < here.count()
         near = pairs.join(left, "a").join(right, "b").where(sketches_allow(F.col("x"), F.col("y"), F.col("n"), F.col("m"), least))
         near = work.keep(near.select("a", "b"), "near")
         work.drop(pairs)
-        progress = False
         if not near.isEmpty():
             sets = sets_of(near, sets)
             new = work.keep(_verified(near, sets, least), "alike")
-            progress = not new.isEmpty()
-            if progress:
+            if not new.isEmpty():
                 links = new if links is None else links.union(new)
-                roots = connected_components(links, work).select(F.col("node").alias("set"), "root")
+                roots = work.keep(_labels(links), "roots")
         work.drop(near)
-        if first or calm or not progress:
-            pivots *= 4
-        members, first = here, False
+        members, r = here, r + 1
