@@ -17,11 +17,12 @@ _BODY = _STRIPPED.replace("html", "b")
     f"""WITH s AS (SELECT doc_id, 1 AS place, text AS b FROM documents WHERE doc_id % 7 <> 0 UNION ALL
       SELECT doc_id, 2, 'Second. ' || text FROM documents WHERE doc_id % 7 <> 0 AND doc_id % 3 = 2),
     t AS (SELECT doc_id, place, {_BODY} AS body FROM s)
-    SELECT doc_id, CAST(place AS BIGINT) AS place, sha256(body) AS sha, CAST(length(body) AS INTEGER) AS characters FROM t WHERE length(body) >= 120"""
+    SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS place, sha256(body) AS sha, CAST(length(body) AS INTEGER) AS characters FROM t WHERE length(body) >= 120"""
 )
 def article_bodies(spark, sf_dir):
     """Bodies from the structured data of pages that are made of the documents: alone,
-    in a graph, and in nested arrays and graphs; every seventh page's is cut off."""
+    in a graph, and in nested arrays and graphs; every seventh page's is cut off.  Places
+    count the bodies that are long enough."""
     docs = table(spark, sf_dir, "documents")
     body = F.to_json(F.struct(F.col("text").alias("articleBody")))
     second = F.to_json(F.struct(F.concat(F.lit("Second. "), "text").alias("articleBody")))
