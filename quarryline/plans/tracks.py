@@ -16,7 +16,7 @@ SITE = "https://example.org"
 _quoted = lambda names: ", ".join(f"'{n}'" for n in names)
 _SLUG = r"trim(regexp_replace(lower({c}), '[^a-z0-9]+', '-', 'g'), '-')"
 _TRACKS_SQL = f"""WITH newest AS (SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey, CAST(max(o_orderdate) AS DATE) AS day, CAST(arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS DOUBLE) AS total FROM orders GROUP BY 1),
-    shipped AS (SELECT o_custkey, arg_max(p_type, (l_shipdate, l_orderkey, l_linenumber)) AS category, arg_max(l_orderkey, (l_shipdate, l_orderkey, l_linenumber)) AS l_orderkey, CAST(max(l_shipdate) AS DATE) AS day
+    shipped AS (SELECT o_custkey, arg_max(p_type, (l_shipdate, l_orderkey, l_linenumber, l_partkey)) AS category, arg_max(l_orderkey, (l_shipdate, l_orderkey, l_linenumber, l_partkey)) AS l_orderkey, CAST(max(l_shipdate) AS DATE) AS day
       FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey GROUP BY 1),
     company AS (SELECT 'company' AS track, c_custkey, c_name, c_mktsegment, 'company:' || {_SLUG.format(c="c_name")} AS stable_key,
       CASE WHEN total >= 1000 THEN '{SITE}/orders/' || o_orderkey WHEN c_acctbal >= 0 THEN '{SITE}/customers/' || c_custkey ELSE '' END AS url,
@@ -31,7 +31,7 @@ _TRACKS_SQL = f"""WITH newest AS (SELECT o_custkey, arg_max(o_orderkey, (o_order
     every AS (SELECT track, stable_key, url, source, published, url <> '' AS backed, c_custkey AS seen FROM company UNION ALL SELECT track, stable_key, url, source, published, url <> '', 0 FROM chain
       UNION ALL SELECT track, stable_key, coalesce(url, ''), source, published, backed, seen FROM records UNION ALL SELECT * FROM surveys)
     SELECT track, stable_key, url, source, published, CASE WHEN backed THEN 'source-backed' ELSE 'reference-only' END AS status FROM every
-    QUALIFY row_number() OVER (PARTITION BY track, stable_key ORDER BY 2 * CAST(backed AS INTEGER) + CAST(published IS NOT NULL AS INTEGER) DESC, seen DESC, url) = 1"""
+    QUALIFY row_number() OVER (PARTITION BY track, stable_key ORDER BY 2 * CAST(backed AS INTEGER) + CAST(published IS NOT NULL AS INTEGER) DESC, seen DESC, url, source, published) = 1"""
 
 
 @query(_TRACKS_SQL)
@@ -39,12 +39,13 @@ def track_candidates(spark, sf_dir):
     """The best row of each track and stable key: companies with the evidence of their
     newest order or else their own page, records and surveys that aren't suppressed, the
     value chain by layer or by the category of the last shipment, and surveyed pages.
-    What a source backs comes first, then what has a date, then what was seen last."""
+    What a source backs comes first, then what has a date, then what was seen last.  Of
+    lines of one order, number and date the one of the largest part is the last."""
     work = Workspace(spark, "tracks")
     orders, items = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
     newest = orders.groupBy("o_custkey").agg(F.max_by(F.struct("o_orderkey", F.col("o_totalprice").alias("total"), F.to_date("o_orderdate").alias("day")), F.struct("o_orderdate", "o_orderkey")).alias("o")).select("o_custkey", "o.*")
     lines = items.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-    last = lines.groupBy("o_custkey").agg(F.max_by(F.struct("l_orderkey", "l_partkey", F.to_date("l_shipdate").alias("shipped")), F.struct("l_shipdate", "l_orderkey", "l_linenumber")).alias("s")).select("o_custkey", "s.*")
+    last = lines.groupBy("o_custkey").agg(F.max_by(F.struct("l_orderkey", "l_partkey", F.to_date("l_shipdate").alias("shipped")), F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")).alias("s")).select("o_custkey", "s.*")
     shipped = last.join(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("category")), "l_partkey")
 
     def address(kind, key):
@@ -80,7 +81,7 @@ def track_candidates(spark, sf_dir):
     asked = stream(pages, F.lit("consumer-survey"), F.concat(F.lit("survey:"), tx.short_hash(16, F.regexp_replace("url", "[?#].*$", ""))), col("url"), F.lit("page"), none, F.lit(True), col("page_id"))
     every = companies.unionByName(chain).unionByName(records).unionByName(asked)
     rank = F.struct((2 * col("backed").cast("int") + col("published").isNotNull().cast("int")).alias("r"), "seen")
-    # the best of a key by a combined aggregate; of equal ranks the smaller URL
+    # the best of a key by a combined aggregate; of equal ranks the smaller URL, source and date
     best = every.groupBy("track", "stable_key").agg(F.max(rank).alias("best"))
     top = ledger.join_on(every.withColumn("rank", rank), best, ["track", "stable_key"]).where(col("rank") == col("best"))
     found = top.groupBy("track", "stable_key").agg(F.min(F.struct("url", "source", "published", "backed")).alias("x")).select("track", "stable_key", "x.*")
