@@ -46,6 +46,12 @@ def _any_of(phrases: list[str]) -> str:
     return r"(?i)(?:^|\b)(?:" + "|".join(phrases) + r")(?:\b|$)"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once however often it is used: Spark
+    doesn't share what stands in several places of one expression with lambdas."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def words(text: Column) -> Column:
     """Distinct words of letters and digits, lower-cased."""
     return F.array_distinct(F.filter(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != ""))
@@ -84,9 +90,8 @@ def role(line: Column) -> Column:
     return F.when(line.rlike(IMPACT), "implication").when(line.rlike(CHANGE), "change").when(line.rlike(FACT), "fact").otherwise("evidence")
 
 
-def _score(line: Column, place: Column, kind: Column, title: Column) -> Column:
-    about = F.filter(words(title), lambda w: (F.length(w) >= 4) & ~w.isin(IGNORED))
-    met = F.least(F.size(F.array_intersect(about, words(line))), F.lit(4)) * 3
+def _score(line: Column, place: Column, kind: Column, about: Column, told: Column) -> Column:
+    met = F.least(F.size(F.array_intersect(about, told)), F.lit(4)) * 3
     figures = F.least(F.size(F.regexp_extract_all(line, F.lit(r"(?:\$|€|£|\b\d)"), F.lit(0))), F.lit(4)) * 2
     terms = sum((F.when(line.rlike(p), n).otherwise(0) for p, n in ((FACT, 8), (CHANGE, 5), (IMPACT, 4), (ATTRIBUTED, 3))), F.lit(0))
     return terms + met + figures + F.greatest(F.lit(0.0), F.lit(3.0) - place * F.lit(0.16)) + F.when(kind == "evidence", 0).otherwise(2)
@@ -98,17 +103,20 @@ def candidates(text: Column, title: Column) -> Column:
     A line has 45 to 460 characters, is no page furniture or empty opening, and
     doesn't say what the title says.
     """
-    placed = F.transform(tx.sentences(text), lambda s, i: F.struct(s.alias("line"), i.alias("place"), words(s).alias("words")))
-    fit = F.filter(
-        placed,
-        lambda c: F.length(c["line"]).between(45, 460) & ~c["line"].rlike(_any_of(JUNK)) & ~c["line"].rlike(_any_of(OPENINGS)) & (tx.overlap(c["words"], words(title)) < 0.87),
-    )
+    return bound(words(title), lambda t: bound(F.filter(t, lambda w: (F.length(w) >= 4) & ~w.isin(IGNORED)), lambda about: _candidates(text, t, about)))
+
+
+def _candidates(text: Column, title: Column, about: Column) -> Column:
+    # the cheap tests come before the words
+    sized = F.filter(F.transform(tx.sentences(text), lambda s, i: F.struct(s.alias("line"), i.alias("place"))), lambda c: F.length(c["line"]).between(45, 460))
+    plain = F.filter(sized, lambda c: ~c["line"].rlike(_any_of(JUNK)) & ~c["line"].rlike(_any_of(OPENINGS)))
+    placed = F.transform(plain, lambda c: F.struct(c["line"].alias("line"), c["place"].alias("place"), words(c["line"]).alias("words"), role(c["line"]).alias("role")))
+    fit = F.filter(placed, lambda c: tx.overlap(c["words"], title) < 0.87)
 
     def told(c: Column) -> Column:
-        kind = role(c["line"])
         figures = F.transform(F.regexp_extract_all(c["line"], F.lit(NUMERIC), F.lit(0)), lambda t: F.regexp_replace(F.lower(t), r"\s+", ""))
-        rank = F.struct((-_score(c["line"], c["place"], kind, title)).alias("score"), c["place"].alias("place"))
-        return F.struct(rank.alias("rank"), c["line"].alias("line"), kind.alias("role"), c["words"].alias("words"), F.filter(figures, lambda t: ~t.rlike(r"^20[23]\d$")).alias("figures"))
+        rank = F.struct((-_score(c["line"], c["place"], c["role"], about, c["words"])).alias("score"), c["place"].alias("place"))
+        return F.struct(rank.alias("rank"), c["line"].alias("line"), c["role"].alias("role"), c["words"].alias("words"), F.filter(figures, lambda t: ~t.rlike(r"^20[23]\d$")).alias("figures"))
 
     return F.array_sort(F.transform(fit, told))
 
@@ -121,6 +129,10 @@ def pick(found: Column, most: int = 3, alike: float = 0.68) -> Column:
     """At most ``most`` of the candidates: the best of each role first, then the best
     of all, none too like one that was taken, and no fact with a taken fact's figures.
     Elements are ``line, role``."""
+    return bound(found, lambda f: _picked(f, most, alike))
+
+
+def _picked(found: Column, most: int, alike: float) -> Column:
     firsts = F.array(*[F.try_element_at(F.filter(found, partial(_of_role, r)), F.lit(1)) for r in ROLES])
     queue = F.concat(F.filter(firsts, lambda c: c.isNotNull()), found)
 
@@ -141,20 +153,27 @@ def paragraphs(raw: Column, alike: float = 0.94, most: int = 32) -> Column:
     furniture, none that is nearly an earlier one, ``most`` at most."""
     told = F.transform(F.transform(raw, tx.strip_html), lambda p: F.struct(p.alias("text"), words(p).alias("words")))
     prose = F.filter(told, lambda p: F.length(p["text"]).between(55, 1600) & ~p["text"].rlike(_any_of(JUNK)))
-    first = F.filter(prose, lambda p, i: ~F.exists(F.slice(prose, F.lit(1), i), lambda q: tx.overlap(q["words"], p["words"]) > alike))
-    return F.transform(F.slice(first, 1, most), lambda p: p["text"])
+
+    def first(prose: Column) -> Column:
+        return F.filter(prose, lambda p, i: ~F.exists(F.slice(prose, F.lit(1), i), lambda q: tx.overlap(q["words"], p["words"]) > alike))
+
+    return F.transform(F.slice(bound(prose, first), 1, most), lambda p: p["text"])
 
 
 def reselected(text: Column, title: Column, lines: Column, version: Column, current: int, least: int) -> Column:
     """``lines, version, changed, hidden`` of a row whose lines were chosen by a rule of
     some ``version``: an older rule's lines are chosen anew, and a row is hidden if
     fewer than ``least`` come out.  Rows of the current rule, or without a text, stay."""
-    new = pick(candidates(text, title))
     old = text.isNotNull() & (F.coalesce(version, F.lit(0)) < current)
-    short = F.size(new) < least
-    return F.struct(
-        F.when(old & ~short, F.transform(new, lambda c: c["line"])).otherwise(lines).alias("lines"),
-        F.when(old, F.lit(current)).otherwise(version).alias("version"),
-        old.alias("changed"),
-        (old & short).alias("hidden"),
-    )
+
+    def told(new: Column) -> Column:
+        short = F.size(new) < least
+        return F.struct(
+            F.when(old & ~short, F.transform(new, lambda c: c["line"])).otherwise(lines).alias("lines"),
+            F.when(old, F.lit(current)).otherwise(version).alias("version"),
+            old.alias("changed"),
+            (old & short).alias("hidden"),
+        )
+
+    # only an older rule's rows are looked at
+    return bound(F.when(old, pick(candidates(text, title))), told)
