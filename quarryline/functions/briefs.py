@@ -60,29 +60,37 @@ def words(text: Column) -> Column:
 def unique_in_order(items: Column, repeats: Callable[[Column, Column], Column]) -> Column:
     """The elements of an array without those that ``repeats(taken, element)`` says
     repeat one taken before; the order stays."""
-    empty = F.slice(items, 1, 0)
 
     def take(taken: Column, item: Column) -> Column:
         return F.when(F.exists(taken, lambda t: repeats(t, item)), taken).otherwise(F.array_append(taken, item))
 
-    return F.aggregate(items, empty, take)
+    return bound(items, lambda every: F.aggregate(every, F.slice(every, 1, 0), take))
 
 
 def unique_claims(claims: Column, least: float = 0.82) -> Column:
     """The claims of an array, each said once: nulls and blanks go, and so does what
     has an earlier one's letters, holds it or is held by it (from 24 characters
     on), or shares enough of the smaller one's words of two letters and more."""
-    told = F.transform(
-        F.filter(F.transform(claims, tx.clean), lambda c: c != ""),
-        lambda c: F.struct(c.alias("text"), tx.claim_key(c).alias("key"), F.filter(words(c), lambda w: F.length(w) >= 2).alias("words")),
+    told = F.transform(F.filter(F.transform(claims, tx.clean), lambda c: c != ""), lambda c: claim(c, c))
+    return F.transform(unique_in_order(told, lambda a, b: same_claim(a, b, least)), lambda t: t["item"])
+
+
+def claim(item: Column, text: Column) -> Column:
+    """``item`` with what :func:`same_claim` compares of its text: letters and digits, and
+    the distinct words of two and more."""
+    plain = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " ")
+    told = lambda p: F.struct(
+        item.alias("item"), F.replace(p, F.lit(" "), F.lit("")).alias("key"), F.array_distinct(F.filter(F.split(p, " "), lambda w: F.length(w) >= 2)).alias("words")
     )
+    return bound(plain, told)
 
-    def same(a: Column, b: Column) -> Column:
-        x, y = a["key"], b["key"]
-        within = (F.least(F.length(x), F.length(y)) >= 24) & (F.contains(x, y) | F.contains(y, x))
-        return (x != "") & (y != "") & ((x == y) | within | (tx.overlap(a["words"], b["words"]) >= least))
 
-    return F.transform(unique_in_order(told, same), lambda t: t["text"])
+def same_claim(a: Column, b: Column, least: float = 0.82, window: int = 24) -> Column:
+    """Whether two claims have the same letters, one holds the other (from ``window``
+    characters on), or they share ``least`` of the smaller one's words."""
+    x, y = a["key"], b["key"]
+    within = (F.least(F.length(x), F.length(y)) >= window) & (F.contains(x, y) | F.contains(y, x))
+    return (x != "") & (y != "") & ((x == y) | within | (tx.overlap(a["words"], b["words"]) >= least))
 
 
 def role(line: Column) -> Column:
