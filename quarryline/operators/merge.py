@@ -59,28 +59,54 @@ def near_names(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     return met.select(*keys, "a", "b").distinct().where(F.levenshtein("a", "b") <= 1)
 
 
-def repeated_claims(claims: DataFrame, entity: str, order: list[str], text: str, work: Workspace, least: float = 0.82, window: int = 24) -> DataFrame:
+def repeated_claims(claims: DataFrame, entity: str, order: list[str], text: str, work: Workspace, least: float = 0.82, window: int = 24, few: int = 128) -> DataFrame:
     """``claims`` with ``kept``: whether a claim is the first of its kind of its entity.
 
     In ``order`` (unique within an entity) a claim is kept unless a kept one has the
     same letters and digits, holds it or is held by it (from ``window`` characters
     on), or shares ``least`` of the smaller one's words of two letters and more.
-    Claims without letters and digits are kept.  Claims that may hold each other
-    meet in the first ``window`` characters of the shorter one, the others in one of
-    its rarest words; all that meet are checked.
+    Claims without letters and digits, or of no entity, are kept.  An entity of at
+    most ``few`` claims is folded as one row, to which its claims are shuffled once;
+    larger ones are no single task's, and their claims meet in joins.
     """
+    named = claims.where(F.col(entity).isNotNull())
+    sizes = named.groupBy(F.col(entity).alias("_large")).agg(F.count("*").alias("n"))
+    large = work.keep(sizes.where(F.col("n") > few).select("_large"), "large")
+    none = claims.where(F.col(entity).isNull()).withColumn("kept", F.lit(True))
+    if large.isEmpty():
+        return _folded_claims(named, entity, order, text, least, window).union(none)
+    small = _folded_claims(named.join(large, F.col(entity) == F.col("_large"), "left_anti"), entity, order, text, least, window)
+    met = _met_claims(named.join(large, F.col(entity) == F.col("_large"), "left_semi"), entity, order, text, work, least, window)
+    return small.union(met.select(*small.columns)).union(none)
+
+
+def _folded_claims(claims: DataFrame, entity: str, order: list[str], text: str, least: float, window: int) -> DataFrame:
+    """Entities with their claims in order, each compared with those kept before it."""
+    row = F.struct(F.struct(*order).alias("order"), F.struct(*claims.columns).alias("row"))
+    every = claims.groupBy(F.col(entity).alias("_entity")).agg(F.array_sort(F.collect_list(row)).alias("every"))
+    told = F.transform("every", lambda c: briefs.claim(c["order"], c["row"][text]))
+    taken = briefs.unique_in_order(told, lambda a, b: briefs.same_claim(a, b, least, window))
+    found = every.select("every", F.transform(taken, lambda t: t["item"]).alias("taken"))
+    kept = found.select(F.explode("every").alias("c"), "taken")
+    return kept.select("c.row.*", F.array_contains("taken", F.col("c.order")).alias("kept"))
+
+
+def _met_claims(claims: DataFrame, entity: str, order: list[str], text: str, work: Workspace, least: float, window: int) -> DataFrame:
+    """Claims that may hold each other meet in the first ``window`` characters of the
+    shorter one, the others in one of its rarest words, both as hashes; all that meet
+    are checked."""
     node = F.struct(F.col(entity).alias("entity"), *order)
     told = claims.withColumn("_node", node).withColumn("_key", tx.claim_key(F.col(text))).withColumn("_words", F.filter(briefs.words(tx.clean(F.col(text))), lambda w: F.length(w) >= 2))
     told = work.keep(told, "claims")
     # equal letters within an entity are one candidate, the first
     units = told.where("_key <> ''").groupBy(F.col("_node.entity").alias("entity"), F.col("_key").alias("key")).agg(F.min("_node").alias("node"), F.min_by("_words", "_node").alias("words"))
     units = work.keep(units, "units")
-    starts = F.transform(F.sequence(F.lit(1), F.length("key") - window + 1), lambda i: F.substr("key", i, F.lit(window)))
+    starts = F.transform(F.sequence(F.lit(1), F.length("key") - window + 1), lambda i: F.xxhash64(F.substr("key", i, F.lit(window))))
     long = units.where(F.length("key") >= window)
     windows = long.select("entity", F.col("node").alias("x"), F.explode(F.array_distinct(starts)).alias("at"))
-    opening = long.select("entity", F.col("node").alias("y"), F.substr("key", F.lit(1), F.lit(window)).alias("at"))
+    opening = long.select("entity", F.col("node").alias("y"), F.xxhash64(F.substr("key", F.lit(1), F.lit(window))).alias("at"))
     held = windows.join(opening, ["entity", "at"]).where("x <> y").select("x", "y")
-    each = units.select("entity", "node", F.size("words").alias("n"), F.explode("words").alias("word"))
+    each = units.select("entity", "node", F.size("words").alias("n"), F.explode(F.transform("words", lambda w: F.xxhash64(w))).alias("word"))
     counts = each.groupBy("entity", "word").agg(F.count("*").alias("times"))
     ranked = each.join(counts, ["entity", "word"]).groupBy("entity", "node", "n").agg(F.array_sort(F.collect_list(F.struct("times", "word"))).alias("w"))
     rare = ranked.select("entity", F.col("node").alias("y"), F.explode(F.slice("w", F.lit(1), F.greatest(F.lit(1), F.col("n") - F.ceil(F.col("n") * least).cast("int") + 1))).alias("w")).select("entity", "y", F.col("w.word").alias("word"))
