@@ -21,8 +21,8 @@ that names pivots is the same for all shingles.  The first rounds take one pivot
 in a sixty-fourth, a sixteenth, a quarter of the shingles and then in all of them,
 so that near copies, which share most shingles, are linked before each of their
 shingles brings the same pairs together.  Later rounds take four times as many
-pivots each, and a pair meets only if its sketches, folded to ``MEET`` longs, allow
-it.  So a group of near copies is linked up by few comparisons, what is unlike
+pivots each.  In every round a pair meets only if its sketches, folded to ``MEET``
+longs, allow it.  So a group of near copies is linked up by few comparisons, what is unlike
 makes no rows, and rounds grow with the logarithm of a shingle's classes.
 """
 
@@ -161,14 +161,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 
 def _labels(links: DataFrame) -> DataFrame:
-    """``set, root``: for each set a set that links lead to, the smallest neighbour's
-    smallest neighbour's smallest neighbour.  Sets of one root are linked; linked sets
-    may have several, which costs comparisons and no link."""
+    """``set, root``: for each set the smallest that two links lead to, and then its root.
+    All sets around a pivot, smaller or larger than it, have one root.  Sets of one root
+    are linked; linked sets may have several, which costs comparisons and no link."""
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    step = both.groupBy(F.col("a").alias("set")).agg(F.min("b").alias("m")).select("set", F.least("set", "m").alias("root"))
-    for _ in range(2):
-        step = step.join(step.select(F.col("set").alias("root"), F.col("root").alias("next")), "root").select("set", F.col("next").alias("root"))
-    return step
+    beside = both.select(F.col("a").alias("set"), F.col("b").alias("beside"))
+    step = beside.groupBy("set").agg(F.min("beside").alias("m")).select("set", F.least("set", "m").alias("root"))
+    around = beside.join(step.select(F.col("set").alias("beside"), "root"), "beside")
+    step = around.groupBy("set").agg(F.min("root").alias("root"))
+    return step.join(step.select(F.col("set").alias("root"), F.col("root").alias("next")), "root").select("set", F.col("next").alias("root"))
 
 
 def alike_links(owners: DataFrame, texts: DataFrame, words: int, least: float, seed: int, work: Workspace) -> DataFrame | None:
@@ -208,7 +209,7 @@ def alike_links(owners: DataFrame, texts: DataFrame, words: int, least: float, s
         late = r >= len(PARTS)
         pivots = 4 ** (r - len(PARTS) + 1) if late else 1
         here = members.where("not pivot").drop("root", "pivot") if r else members
-        if r == len(PARTS):
+        if not r:
             here = here.join(brief, "set")
         if roots is None:
             here = here.withColumn("root", F.col("set"))
@@ -224,9 +225,7 @@ def alike_links(owners: DataFrame, texts: DataFrame, words: int, least: float, s
         if here.isEmpty():
             work.drop(here)
             return links
-        meets = fits & (F.col("root") != F.col("root_b"))
-        if late:
-            meets = meets & sketches_allow(F.col("brief"), F.col("brief_b"), F.col("size"), F.col("size_b"), least)
+        meets = fits & (F.col("root") != F.col("root_b")) & sketches_allow(F.col("brief"), F.col("brief_b"), F.col("size"), F.col("size_b"), least)
         other = here.where("pivot").drop("pivot").withColumnsRenamed({c: f"{c}_b" for c in ("set", "size", "root", "brief")})
         met = here.join(other, "shingle").where(meets)
         smaller = F.col("set") < F.col("set_b")

@@ -188,3 +188,12 @@ def test_many_unlike_texts_of_one_passage(spark):
     # fingerprints may link more, so groups by sets must be inside those found
     found = {r.id: r.component for r in near_duplicate_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(found[i] == found[root[i]] for i in sets)
+
+
+def test_all_sets_around_a_pivot_have_one_label(spark):
+    """Those with smaller names than the pivot too; two groups stay apart."""
+    from quarryline.llm.shingles import _labels
+
+    links = [(min(5, m), max(5, m)) for m in (-3, 1, 2, 4, 6, 9)] + [(20, 21), (20, 22)]
+    found = {r.set: r.root for r in _labels(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {m: -3 for m in (-3, 1, 2, 4, 5, 6, 9)} | {20: 20, 21: 20, 22: 20}
