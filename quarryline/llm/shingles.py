@@ -17,13 +17,14 @@ together.  A longer sketch folds onto a shorter one.
 Equal sets are one class.  Within a shingle, a pivot is compared with all classes
 that aren't known to be linked with it, and then leaves the shingle, having met
 everyone; a shingle whose classes are known to be linked is closed.  The order
-that names pivots is the same for all shingles.  The first rounds take one pivot
-in a sixty-fourth, a sixteenth, a quarter of the shingles and then in all of them,
-so that near copies, which share most shingles, are linked before each of their
-shingles brings the same pairs together.  Later rounds take four times as many
-pivots each.  In every round a pair meets only if its sketches, folded to ``MEET``
-longs, allow it.  So a group of near copies is linked up by few comparisons, what is unlike
-makes no rows, and rounds grow with the logarithm of a shingle's classes.
+that names pivots is the same for all shingles.  The first round takes one pivot
+in a thirty-second of the shingles, the next one in all of them, so that near copies,
+which share most shingles, are linked before each of their shingles brings the
+same pairs together.  Later rounds take sixteen times as many pivots each.  In
+every round a pair meets only if its sketches, folded to ``MEET`` longs, allow it.
+So a group of near copies is linked up by few comparisons, what is unlike makes no
+rows, and rounds grow with the logarithm of a shingle's classes.  A round is some
+ten jobs whose plans stay in the driver for a while, so rounds are few.
 """
 
 from __future__ import annotations
@@ -40,8 +41,8 @@ from quarryline.workspace import Workspace
 
 #: Texts that tell the order, and the commonest shingles of them that are broadcast.
 SAMPLE, COMMON = 20_000, 200_000
-#: In the first rounds, one of so many shingles takes part.
-PARTS = (64, 16, 4, 1)
+#: In the first rounds, one of so many shingles takes part; later ones take so many times as many pivots each.
+PARTS, MORE = (32, 1), 16
 #: Longs of the shortest and the longest sketch, and of those that shingles bring along.
 SHORT, LONG, MEET = 4, 1024, 8
 
@@ -164,8 +165,8 @@ def _labels(links: DataFrame) -> DataFrame:
     """``set, root``: for each set the smallest that two links lead to, and then its root.
     All sets around a pivot, smaller or larger than it, have one root.  Sets of one root
     are linked; linked sets may have several, which costs comparisons and no link."""
-    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    beside = both.select(F.col("a").alias("set"), F.col("b").alias("beside"))
+    ends = F.explode(F.array(F.struct(F.col("a").alias("set"), F.col("b").alias("beside")), F.struct(F.col("b").alias("set"), F.col("a").alias("beside"))))
+    beside = links.select(ends.alias("e")).select("e.set", "e.beside")
     step = beside.groupBy("set").agg(F.min("beside").alias("m")).select("set", F.least("set", "m").alias("root"))
     around = beside.join(step.select(F.col("set").alias("beside"), "root"), "beside")
     step = around.groupBy("set").agg(F.min("root").alias("root"))
@@ -180,21 +181,16 @@ def alike_links(owners: DataFrame, texts: DataFrame, words: int, least: float, s
     Sets are linked so that the components of the links are those of all pairs of
     sets with a similarity of ``least`` or more; every link is such a pair.
     """
-    sketches = owners.select("set", "sketch")
-
     def again(batches):
         for b in batches:
             for at in range(0, b.num_rows, 64):
                 found = [shingle_set(t, words, seed) for t in b.column(1).slice(at, 64).to_pylist()]
                 yield pa.RecordBatch.from_arrays([pa.array([class_of(f) for f in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["set", "found"])
 
-    def sets_of(pairs: DataFrame, known: DataFrame | None) -> DataFrame:
+    def sets_of(near: DataFrame, known: DataFrame | None) -> DataFrame:
         """The sets of pairs, each made once."""
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
-        ends = ends if known is None else ends.join(known.select("set"), "set", "left_anti")
-        keys = work.keep(owners.select("set", "id").join(ends, "set").select("id"), "keys")
-        if keys.isEmpty():
-            return known
+        ends = near.select(F.explode(F.array(F.struct(F.col("a").alias("set"), F.col("id_a").alias("id")), F.struct(F.col("b").alias("set"), F.col("id_b").alias("id")))).alias("e")).select("e.*")
+        keys = ends.dropDuplicates(["set"]) if known is None else ends.dropDuplicates(["set"]).join(known.select("set"), "set", "left_anti")
         held = texts.join(keys, texts["id"].eqNullSafe(keys["id"]), "left_semi").dropDuplicates(["id"])
         new = work.keep(held.mapInArrow(again, "set bigint, found array<bigint>"), "compared")
         return new if known is None else known.union(new)
@@ -206,11 +202,11 @@ def alike_links(owners: DataFrame, texts: DataFrame, words: int, least: float, s
     share = F.shiftrightunsigned(drawn, 11) / F.lit(float(1 << 53))  # the same for all shingles, in [0, 1)
     members, links, roots, sets, r = work.keep(met_shingles(owners), "members"), None, None, None, 0
     while True:
-        late = r >= len(PARTS)
-        pivots = 4 ** (r - len(PARTS) + 1) if late else 1
-        here = members.where("not pivot").drop("root", "pivot") if r else members
-        if not r:
-            here = here.join(brief, "set")
+        part = PARTS[min(r, len(PARTS) - 1)]
+        pivots = MORE ** max(0, r - len(PARTS) + 1)
+        here = members.where(F.pmod(F.xxhash64("shingle"), F.lit(part)) == 0) if part > 1 else members
+        if "pivot" in here.columns:
+            here = here.where("not pivot").drop("root", "pivot")
         if roots is None:
             here = here.withColumn("root", F.col("set"))
         else:
@@ -218,13 +214,14 @@ def alike_links(owners: DataFrame, texts: DataFrame, words: int, least: float, s
         one = F.min(F.struct(share.alias("h"), "set"))["set"].alias("one")
         open_ = here.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"), one).where("lo <> hi").select("shingle", "n", "one")
         pivot = (F.col("set") == F.col("one")) | (share * F.col("n") < pivots - 1)
-        if not late:
-            pivot = pivot & (F.pmod(F.xxhash64("shingle"), F.lit(PARTS[r])) == 0)
-        here = work.keep(here.join(open_, "shingle").withColumn("pivot", pivot).drop("n", "one"), "open")
-        work.drop(members)
-        if here.isEmpty():
-            work.drop(here)
-            return links
+        here = here.join(open_, "shingle").withColumn("pivot", pivot).drop("n", "one")
+        here = work.keep(here if "brief" in here.columns else here.join(brief, "set"), "open")
+        if part == 1:  # from now on, what is open is all that is left
+            work.drop(members)
+            members = here
+            if here.isEmpty():
+                work.drop(here)
+                return links
         meets = fits & (F.col("root") != F.col("root_b")) & sketches_allow(F.col("brief"), F.col("brief_b"), F.col("size"), F.col("size_b"), least)
         other = here.where("pivot").drop("pivot").withColumnsRenamed({c: f"{c}_b" for c in ("set", "size", "root", "brief")})
         met = here.join(other, "shingle").where(meets)
@@ -233,11 +230,11 @@ def alike_links(owners: DataFrame, texts: DataFrame, words: int, least: float, s
             F.least("set", "set_b").alias("a"), F.greatest("set", "set_b").alias("b"),
             F.when(smaller, F.col("size")).otherwise(F.col("size_b")).alias("n"), F.when(smaller, F.col("size_b")).otherwise(F.col("size")).alias("m"),
         ).distinct()
-        left = sketches.select(F.col("set").alias("a"), F.col("sketch").alias("x"))
-        right = sketches.select(F.col("set").alias("b"), F.col("sketch").alias("y"))
+        left = owners.select(F.col("set").alias("a"), F.col("id").alias("id_a"), F.col("sketch").alias("x"))
+        right = owners.select(F.col("set").alias("b"), F.col("id").alias("id_b"), F.col("sketch").alias("y"))
         pairs = work.keep(met, "pairs")
         near = pairs.join(left, "a").join(right, "b").where(sketches_allow(F.col("x"), F.col("y"), F.col("n"), F.col("m"), least))
-        near = work.keep(near.select("a", "b"), "near")
+        near = work.keep(near.select("a", "b", "id_a", "id_b"), "near")
         work.drop(pairs)
         if not near.isEmpty():
             sets = sets_of(near, sets)
@@ -246,4 +243,6 @@ def alike_links(owners: DataFrame, texts: DataFrame, words: int, least: float, s
                 links = new if links is None else links.union(new)
                 roots = work.keep(_labels(links), "roots")
         work.drop(near)
-        members, r = here, r + 1
+        if part > 1:
+            work.drop(here)
+        r += 1

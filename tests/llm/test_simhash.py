@@ -197,3 +197,14 @@ def test_all_sets_around_a_pivot_have_one_label(spark):
     links = [(min(5, m), max(5, m)) for m in (-3, 1, 2, 4, 6, 9)] + [(20, 21), (20, 22)]
     found = {r.set: r.root for r in _labels(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {m: -3 for m in (-3, 1, 2, 4, 5, 6, 9)} | {20: 20, 21: 20, 22: 20}
+
+
+def test_rounds_are_few(spark, monkeypatch):
+    """180 unlike texts of one passage: every job's plans stay in the driver, which nine rounds of links filled."""
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join(passage + [f"x{i}_{j}" for j in range(rng.randint(14, 30))])) for i in range(180)]
+    names, keep = [], Workspace.keep
+    monkeypatch.setattr(Workspace, "keep", lambda self, df, name, **options: names.append(name) or keep(self, df, name, **options))
+    assert near_duplicate_components(spark.createDataFrame(rows, "doc_id long, text string")).count() == 180
+    assert names.count("open") <= 5 and len(names) <= 34
