@@ -14,14 +14,19 @@ sets have elements in one only, so a pair whose sketches differ in more bits tha
 the similarity allows isn't alike, and only the other pairs bring their shingles
 together.  A longer sketch folds onto a shorter one.
 
-Equal sets are one class.  Within a shingle, a pivot is compared with all classes
-that aren't known to be linked with it, and then leaves the shingle, having met
-everyone; a shingle whose classes are known to be linked is closed.  The order
-that names pivots is the same for all shingles.  The first round takes one pivot
-in a thirty-second of the shingles, the next one in all of them, so that near copies,
-which share most shingles, are linked before each of their shingles brings the
-same pairs together.  Later rounds take sixteen times as many pivots each.  In
-every round a pair meets only if its sketches, folded to ``MEET`` longs, allow it.
+Equal sets are one class.  Of shingles that stand in the same classes one is kept.
+Within a shingle, a pivot is compared with all classes that aren't known to be
+linked with it, and then leaves the shingle, having met everyone; a shingle whose
+classes are known to be linked is closed.  The order that names pivots is the same
+for all shingles.  The first round takes one pivot in a part of the shingles and
+links each class with one of those that it meets there at most, so near copies
+are linked before each of their shingles brings the same pairs together, and links
+don't outnumber classes.  The next round takes one pivot in all shingles, later ones
+sixty-four times as many pivots each.  There a pair meets only if its sketches, folded
+to ``MEET`` longs, allow it, and in the first of the shingles that both have: each
+class brings the first ``FIRST`` of its shingles, in the order of their hashes, and
+what these have in common lies behind or at the shingle at hand.  The first of all
+that a pair shares is never passed over, so no pair is lost.
 So a group of near copies is linked up by few comparisons, what is unlike makes no
 rows, and rounds grow with the logarithm of a shingle's classes.  A round is some
 ten jobs whose plans stay in the driver for a while, so rounds are few.
@@ -42,7 +47,9 @@ from quarryline.workspace import Workspace
 #: Texts that tell the order, and the commonest shingles of them that are broadcast.
 SAMPLE, COMMON = 20_000, 200_000
 #: In the first rounds, one of so many shingles takes part; later ones take so many times as many pivots each.
-PARTS, MORE = (32, 1), 16
+PARTS, MORE = (8, 1), 64
+#: Shingles of a set that tell whether two sets have met before.
+FIRST = 16
 #: Longs of the shortest and the longest sketch, and of those that shingles bring along.
 SHORT, LONG, MEET = 4, 1024, 8
 
@@ -113,6 +120,15 @@ def met_shingles(owners: DataFrame) -> DataFrame:
     return each.repartitionByRange("shingle", "set").sortWithinPartitions("shingle", "set").mapInArrow(_met, "shingle bigint, set bigint, size int")
 
 
+def one_of_same(members: DataFrame) -> DataFrame:
+    """``members`` of one of all the shingles that stand in the same sets, two at least.
+    Such groups of sets are told apart by their number and 128 bits."""
+    prints = [F.bit_xor(F.xxhash64("set", F.lit(i))).alias(f"p{i}") for i in (1, 2)]
+    groups = members.groupBy("shingle").agg(F.count("*").alias("n"), *prints).where("n > 1")
+    kept = groups.groupBy("n", "p1", "p2").agg(F.min("shingle").alias("shingle"))
+    return members.join(kept.select("shingle"), "shingle", "left_semi")
+
+
 def sketch(found: np.ndarray) -> np.ndarray:
     """The parity sketch of a set, as longs: a power of two of them, one or two bits an element."""
     longs = min(LONG, max(SHORT, 1 << (max(1, len(found) // 64) - 1).bit_length()))
@@ -135,6 +151,24 @@ def sketches_allow(x: Column, y: Column, n: Column, m: Column, least: float) ->
     return differ <= (n + m) * (1 - least) / (1 + least) + 1e-6
 
 
+def briefs_allow(least: float) -> Column:
+    """:func:`sketches_allow` for ``brief, size`` and ``brief_b, size_b``, sketches of ``SHORT`` or
+    ``MEET`` longs.  Without lambdas, so Spark has it in the join: what isn't allowed makes no row."""
+
+    def differ(longs: int) -> Column:
+        total = F.lit(0)
+        for i in range(longs):
+            bits = F.lit(0).cast("long")
+            for j in range(i, MEET, longs):
+                for x in ("brief", "brief_b"):
+                    bits = bits.bitwiseXOR(F.coalesce(F.get(x, F.lit(j)), F.lit(0).cast("long")))
+            total = total + F.bit_count(bits)
+        return total
+
+    long = (F.size("brief") == MEET) & (F.size("brief_b") == MEET)
+    return F.when(long, differ(MEET)).otherwise(differ(SHORT)) <= (F.col("size") + F.col("size_b")) * (1 - least) / (1 + least) + 1e-6
+
+
 def common_shingles(docs: DataFrame, text_col: str, words: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that recur in a sample of the texts, sorted, and their counts."""
     n = docs.count()
@@ -158,7 +192,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     right = sets.select(F.col("set").alias("b"), F.col("found").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     full = pairs.join(left, "a").join(right, "b").withColumn("both", both)
-    return full.where(F.col("both") / (F.size("x") + F.size("y") - F.col("both")) >= least - 1e-12).select("a", "b")
+    return full.where(F.col("both") / (F.size("x") + F.size("y") - F.col("both")) >= least - 1e-12).select(*pairs.columns)
 
 
 def _labels(links: DataFrame) -> DataFrame:
@@ -173,6 +207,16 @@ def _labels(links: DataFrame) -> DataFrame:
     return step.join(step.select(F.col("set").alias("root"), F.col("root").alias("next")), "root").select("set", F.col("next").alias("root"))
 
 
+def _renamed(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``roots`` after new links ``a, b`` between roots: ``set, root`` for sets whose root is another."""
+    named = _labels(links)
+    new = named.where("set <> root")
+    if roots is not None:
+        now = roots.join(named.select(F.col("set").alias("root"), F.col("root").alias("next")), "root", "left")
+        new = new.union(now.select("set", F.coalesce("next", "root"))).groupBy("set").agg(F.min("root").alias("root"))
+    return new
+
+
 def alike_links(owners: DataFrame, texts: DataFrame, words: int, least: float, seed: int, work: Workspace) -> DataFrame | None:
     """``a, b`` links of sets, None where there are none.
 
@@ -198,13 +242,22 @@ def alike_links(owners: DataFrame, texts: DataFrame, words: int, least: float, s
     fits = (F.col("size") >= F.col("size_b") * least - 1e-9) & (F.col("size_b") >= F.col("size") * least - 1e-9)
     longs = F.least(F.size("sketch"), F.lit(MEET))
     brief = owners.select("set", F.transform(F.sequence(F.lit(1), longs), lambda i: _folded(F.col("sketch"), i, longs)).alias("brief"))
-    drawn = F.xxhash64("set", F.lit(seed))
-    share = F.shiftrightunsigned(drawn, 11) / F.lit(float(1 << 53))  # the same for all shingles, in [0, 1)
-    members, links, roots, sets, r = work.keep(met_shingles(owners), "members"), None, None, None, 0
+    place = F.xxhash64("shingle")
+
+    def share_of(name: str) -> Column:
+        """In [0, 1), the same for all shingles."""
+        return F.shiftrightunsigned(F.xxhash64(name, F.lit(seed)), 11) / F.lit(float(1 << 53))
+
+    share = share_of("set")
+    met = work.keep(met_shingles(owners), "met")
+    members = work.keep(one_of_same(met), "members")
+    work.drop(met)
+    first = members.groupBy("set").agg(F.slice(F.array_sort(F.collect_list(place)), 1, FIRST).alias("first"))
+    links, roots, sets, r = None, None, None, 0
     while True:
         part = PARTS[min(r, len(PARTS) - 1)]
         pivots = MORE ** max(0, r - len(PARTS) + 1)
-        here = members.where(F.pmod(F.xxhash64("shingle"), F.lit(part)) == 0) if part > 1 else members
+        here = members.where(F.pmod(place, F.lit(part)) == 0) if part > 1 else members
         if "pivot" in here.columns:
             here = here.where("not pivot").drop("root", "pivot")
         if roots is None:
@@ -215,33 +268,41 @@ def alike_links(owners: DataFrame, texts: DataFrame, words: int, least: float, s
         open_ = here.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"), one).where("lo <> hi").select("shingle", "n", "one")
         pivot = (F.col("set") == F.col("one")) | (share * F.col("n") < pivots - 1)
         here = here.join(open_, "shingle").withColumn("pivot", pivot).drop("n", "one")
-        here = work.keep(here if "brief" in here.columns else here.join(brief, "set"), "open")
+        if "brief" not in here.columns:
+            here = here.join(brief if part > 1 else brief.join(first, "set"), "set")
+        here = work.keep(here, "open")
         if part == 1:  # from now on, what is open is all that is left
             work.drop(members)
             members = here
             if here.isEmpty():
                 work.drop(here)
                 return links
-        meets = fits & (F.col("root") != F.col("root_b")) & sketches_allow(F.col("brief"), F.col("brief_b"), F.col("size"), F.col("size_b"), least)
-        other = here.where("pivot").drop("pivot").withColumnsRenamed({c: f"{c}_b" for c in ("set", "size", "root", "brief")})
+        meets = fits & (F.col("root") != F.col("root_b")) & briefs_allow(least) & (~F.col("pivot") | (F.col("set") < F.col("set_b")))
+        if part == 1:  # but for those that share a shingle before this one
+            meets = meets & F.coalesce(F.array_min(F.array_intersect("first", "first_b")) >= place, F.lit(True))
+        other = here.where("pivot").drop("pivot").withColumnsRenamed({c: f"{c}_b" for c in ("set", "size", "root", "brief", "first")})
         met = here.join(other, "shingle").where(meets)
+        if part > 1:  # one pivot for each set
+            ends = [c for x in ("set", "size", "root") for c in (x, f"{x}_b")]
+            met = met.groupBy("set").agg(F.min(F.struct(share_of("set_b").alias("h"), *ends[1:])).alias("e")).select("set", *[f"e.{c}" for c in ends[1:]])
         smaller = F.col("set") < F.col("set_b")
         met = met.select(
             F.least("set", "set_b").alias("a"), F.greatest("set", "set_b").alias("b"),
             F.when(smaller, F.col("size")).otherwise(F.col("size_b")).alias("n"), F.when(smaller, F.col("size_b")).otherwise(F.col("size")).alias("m"),
+            F.least("root", "root_b").alias("c"), F.greatest("root", "root_b").alias("d"),
         ).distinct()
         left = owners.select(F.col("set").alias("a"), F.col("id").alias("id_a"), F.col("sketch").alias("x"))
         right = owners.select(F.col("set").alias("b"), F.col("id").alias("id_b"), F.col("sketch").alias("y"))
         pairs = work.keep(met, "pairs")
         near = pairs.join(left, "a").join(right, "b").where(sketches_allow(F.col("x"), F.col("y"), F.col("n"), F.col("m"), least))
-        near = work.keep(near.select("a", "b", "id_a", "id_b"), "near")
+        near = work.keep(near.select("a", "b", "c", "d", "id_a", "id_b"), "near")
         work.drop(pairs)
         if not near.isEmpty():
             sets = sets_of(near, sets)
             new = work.keep(_verified(near, sets, least), "alike")
             if not new.isEmpty():
-                links = new if links is None else links.union(new)
-                roots = work.keep(_labels(links), "roots")
+                links = new.select("a", "b") if links is None else links.union(new.select("a", "b"))
+                roots = work.keep(_renamed(roots, new.select(F.col("c").alias("a"), F.col("d").alias("b")).distinct()), "roots")
         work.drop(near)
         if part > 1:
             work.drop(here)

@@ -208,3 +208,50 @@ def test_rounds_are_few(spark, monkeypatch):
     monkeypatch.setattr(Workspace, "keep", lambda self, df, name, **options: names.append(name) or keep(self, df, name, **options))
     assert near_duplicate_components(spark.createDataFrame(rows, "doc_id long, text string")).count() == 180
     assert names.count("open") <= 5 and len(names) <= 34
+
+
+def rows_made(spark, since, node, text):
+    """Rows that the operators of this name, whose description holds ``text``, have made in the queries after ``since``."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    total, runs = 0, store.executionsList()
+    for i in range(runs.size()):
+        k = runs.apply(i).executionId()
+        if k <= since:
+            continue
+        ids, nodes = set(), store.planGraph(k).allNodes()
+        for j in range(nodes.size()):
+            x = nodes.apply(j)
+            if node in x.name() and text in x.desc():
+                metrics = [x.metrics().apply(m) for m in range(x.metrics().size())]
+                ids |= {m.accumulatorId() for m in metrics if m.name() == "number of output rows"}
+        values = store.executionMetrics(k).iterator() if ids else None
+        while values and values.hasNext():
+            pair = values.next()
+            if pair._1() in ids:
+                total += int(pair._2().replace(",", ""))
+    return total
+
+
+def test_rows_of_meetings_and_labels_follow_the_texts(spark, monkeypatch):
+    """Unlike texts of one passage make no rows, near copies few; the order of shingles knows neither."""
+    import quarryline.llm.shingles as shingles
+
+    monkeypatch.setattr(shingles, "SAMPLE", 0)
+    rng = random.Random(7)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join(passage + [f"x{i}_{j}" for j in range(rng.randint(24, 30))])) for i in range(120)]
+    base = [f"b{i}" for i in range(150)]
+    for i in range(120):
+        copy = list(base)
+        for at in rng.sample(range(150), 2):
+            copy[at] = f"e{i}_{at}"
+        rows.append((1000 + i, " ".join(copy)))
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    since = max((runs.apply(i).executionId() for i in range(runs.size())), default=-1)
+    found = {r.id: r.component for r in near_duplicate_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(found[1000 + i] == 1000 for i in range(120))
+    met = rows_made(spark, since, "Join", "size_b")
+    labelled = rows_made(spark, since, "Generate", "beside")
+    assert 0 < met < 20 * len(rows)
+    assert 0 < labelled < 10 * len(rows)
