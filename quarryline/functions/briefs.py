@@ -156,16 +156,16 @@ def _picked(found: Column, most: int, alike: float) -> Column:
     return F.transform(chosen, lambda c: F.struct(c["line"].alias("line"), c["role"].alias("role")))
 
 
-def paragraphs(raw: Column, alike: float = 0.94, most: int = 32) -> Column:
+def paragraphs(raw: Column, alike: float = 0.94) -> Column:
     """The paragraphs of a page that are prose: 55 to 1600 characters, no page
-    furniture, none that is nearly an earlier one, ``most`` at most."""
+    furniture, none that is nearly an earlier one; all of them, however many."""
     told = F.transform(F.transform(raw, tx.strip_html), lambda p: F.struct(p.alias("text"), words(p).alias("words")))
     prose = F.filter(told, lambda p: F.length(p["text"]).between(55, 1600) & ~p["text"].rlike(_any_of(JUNK)))
 
     def first(prose: Column) -> Column:
         return F.filter(prose, lambda p, i: ~F.exists(F.slice(prose, F.lit(1), i), lambda q: tx.overlap(q["words"], p["words"]) > alike))
 
-    return F.transform(F.slice(bound(prose, first), 1, most), lambda p: p["text"])
+    return F.transform(bound(prose, first), lambda p: p["text"])
 
 
 def reselected(text: Column, title: Column, lines: Column, version: Column, current: int, least: int) -> Column:

@@ -126,6 +126,16 @@ def test_paragraphs_that_repeat_go(spark):
     assert QUERIES["prose_paragraphs"](spark, SF).count() == spark.read.parquet(f"{SF}/pages.parquet").count()
 
 
+def test_every_paragraph_of_a_long_page_stays(spark, tmp_path):
+    """A page of seventy different paragraphs, each twice, has seventy."""
+    told = [" ".join(f"word{i}x{j}" for j in range(12)) for i in range(70)]
+    html = "".join(f"<p>{t}</p><li>{t}</li>" for t in told)
+    spark.createDataFrame([(1, html), (2, f"<p>{told[0]}</p>"), (3, "")], "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    found = {r.page_id: (r.paragraphs, r.sha) for r in QUERIES["prose_paragraphs"](spark, str(tmp_path)).collect()}
+    assert {k: v[0] for k, v in found.items()} == {1: 70, 2: 1, 3: 0}
+    assert found[1][1] == hashlib.sha256("\n".join(told).encode()).hexdigest()
+
+
 LINE = "The global AI note taking market size was calculated at USD 623.50 million in 2025 and is predicted to increase from USD 740.41 million in 2026 to approximately USD 3476.74 million by 2035, expanding at a CAGR of 18.75% from 2026 to 2035."
 
 
