@@ -78,6 +78,19 @@ def test_copies_give_rows_in_proportion(spark):
     assert sorted(p for p in lines if p[1] < 1000) == [(0, i, 7) for i in range(1, 1000)] and len(lines) <= 999 + 6
 
 
+def test_every_pair_of_copies(spark, monkeypatch):
+    """Copies are paired with each other and with all rows like them, in parts of a class."""
+    monkeypatch.setattr(joins, "PART", 4)
+    rng = random.Random(11)
+    kinds = [rng.sample([f"line {j}" for j in range(9)], rng.randint(0, 5)) for _ in range(14)]
+    sets = [(i, rng.sample(x, len(x)) + x[:1]) for i, x in enumerate(rng.choices(kinds, k=70))] + [(90, None)]
+    frame = spark.createDataFrame(sets, "id long, l array<string>").repartition(3)
+    got = [tuple(r) for r in joins.every_overlapping_pair(frame, "id", F.col("l")).collect()]
+    told = [(i, set(x)) for i, x in sets if x]
+    both = [(a, b, len(x & y), min(len(x), len(y))) for a, x in told for b, y in told if a < b]
+    assert sorted(got) == sorted((a, b, k) for a, b, k, n in both if k >= 2 and k >= 0.6 * n) and len(got) > 300
+
+
 def test_similar_vectors(spark):
     x = np.random.default_rng(5).normal(size=(60, 4))
     rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(99, None), (98, [0.0] * 4)], "id long, v array<double>")
