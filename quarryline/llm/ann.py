@@ -8,13 +8,15 @@ which is the estimated order of success.  What the tables offer is ranked by
 the exact cosine on the original vectors.
 
 ``K`` follows the number of vectors, and the number of probes is the least that
-reaches the wanted recall on a bounded sample.  Cells are dealt out by hash and
-a large cell is split into chunks that each of its queries visits, so no cell
-is too large for a task and nothing is left out.
+reaches the wanted recall on a bounded sample.  The index is dealt out by hash of
+the vectors into parts of bounded size, so a cell is spread over all of them and
+none is too large for a task.  A query goes to each part once, with the cost of
+its last probe: it visits the part's cells that cost no more, and nothing else is
+shuffled for its probes, however many they are.
 
 Equal vectors are one class, with one place in the index and one visit as a
 query, whatever their number; ranks are given to their rows at the end.  A query
-whose cells hold too few rows is compared with all of them, in blocks of queries.
+whose cells hold too few rows visits every cell, in the same way.
 """
 
 from __future__ import annotations
@@ -29,8 +31,10 @@ from pyspark.sql import functions as F
 
 from quarryline.workspace import Workspace
 
-#: Vectors of a cell that are searched at a time, and queries against them.
-CHUNK, AT_ONCE = 4096, 256
+#: Vectors of a part of the index, and queries against them at a time.
+CHUNK, AT_ONCE = 16_384, 128
+#: Parts that a small index has, so that its work is shared out, and a part's fewest vectors.
+PARTS, FEWEST = 16, 512
 WIDTH, REACH = 1.5, 3
 
 
@@ -58,8 +62,8 @@ class Hashing:
         with np.errstate(over="ignore"):
             return (cells.astype(np.int64) * self.mix[table, : self.k]).sum(axis=-1) + self.mix[table, self.k]
 
-    def probes(self, unit: np.ndarray, table: int, most: int) -> np.ndarray:
-        """Keys of each vector's cells in estimated success order, (rows, at most ``most``)."""
+    def visits(self, unit: np.ndarray, table: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """Costs and cells of each vector's probes in estimated success order, at most ``most``."""
         f = self.place(unit, table)
         base = np.floor(f)
         u = f - base
@@ -73,7 +77,25 @@ class Hashing:
             cost = np.take_along_axis(total, order, 1)
             before = np.take_along_axis(cells, (order // len(step))[:, :, None], 1)
             cells = np.concatenate([before, (base[:, i : i + 1] + step[order % len(step)])[:, :, None]], axis=2)
-        return self.key(cells, table)
+        return cost, cells
+
+    def probes(self, unit: np.ndarray, table: int, most: int) -> np.ndarray:
+        """Keys of each vector's cells in estimated success order, (rows, at most ``most``)."""
+        return self.key(self.visits(unit, table, most)[1], table)
+
+    def costs(self, unit: np.ndarray, table: int, cells: np.ndarray) -> np.ndarray:
+        """What each of ``cells`` costs as a probe of each vector, (rows, cells): summed as
+        in :meth:`visits`, and infinite out of its reach."""
+        f = self.place(unit, table)
+        base = np.floor(f)
+        u = f - base
+        cost = np.zeros((len(unit), len(cells)))
+        for i in range(self.k):
+            held, at = np.unique(cells[:, i], return_inverse=True)
+            step = held - base[:, i : i + 1]
+            edge = np.where(step > 0, step - u[:, i : i + 1], np.where(step < 0, u[:, i : i + 1] - step - 1, 0.0))
+            cost += np.where(np.abs(step) > REACH, np.inf, edge**2)[:, at]
+        return cost
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -116,37 +138,44 @@ def fit(sample: np.ndarray, n: int, neighbours: int, recall: float, tables: int
     return Hashing(sample.shape[1], 0, 1), 1
 
 
-def _cells(batches, hashing: Hashing):
-    for b in batches:
-        unit = _unit(_matrix(b.column(2), hashing.dims))
-        for t in range(hashing.tables):
-            key = hashing.key(np.floor(hashing.place(unit, t)), t)
-            yield pa.RecordBatch.from_arrays([pa.array(key), *b.columns], ["cell", "id", "class", "vec"])
-
-
-def _probes(batches, hashing: Hashing, most: int):
+def _limits(batches, hashing: Hashing, most: int):
+    """Each query with the cost of its last probe in every table."""
     for b in batches:
         x = _matrix(b.column(2), hashing.dims)
         for at in range(0, len(x), 512):
             unit = _unit(x[at : at + 512])
-            for t in range(hashing.tables):
-                keys = hashing.probes(unit, t, most)
-                row = pa.array(np.repeat(np.arange(at, at + len(keys)), keys.shape[1]))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), b.column(0).take(row), b.column(1).take(row)], ["cell", "id", "class"])
-
-
-def _best(ids, x, norm, q, k):
-    """Places of the nearest of a chunk, and their scores, for each query: exact
-    cosine, ties to smaller ids."""
-    q_norm = np.sqrt((q * q).sum(axis=1))
-    rough = (q @ x.T) / q_norm[:, None] / norm
-    k = min(k, rough.shape[1])
-    edge = np.partition(rough, rough.shape[1] - k, axis=1)[:, rough.shape[1] - k] - 1e-9
-    for i in range(len(q)):
-        at = np.flatnonzero(rough[i] >= edge[i])
-        score = (x[at] * q[i]).sum(axis=1) / (norm[at] * q_norm[i])
-        first = np.lexsort((ids[at], -score))[:k]
-        yield i, at[first], score[first]
+            last = np.stack([hashing.visits(unit, t, most)[0][:, -1] for t in range(hashing.tables)], axis=1)
+            yield pa.RecordBatch.from_arrays([*(c.slice(at, 512) for c in b.columns), pa.array(last.tolist(), pa.list_(pa.float64()))], ["id", "class", "vec", "limits"])
+
+
+class _Part:
+    """Vectors of a part of the index, with their cells."""
+
+    def __init__(self, parts: list, hashing: Hashing):
+        self.ids, self.of, self.x = (np.concatenate(y) for y in zip(*parts))
+        self.norm, self.hashing = np.sqrt((self.x * self.x).sum(axis=1)), hashing
+        unit = _unit(self.x)
+        self.cells = [np.unique(np.floor(hashing.place(unit, t)), axis=0, return_inverse=True) for t in range(hashing.tables)]
+
+    def visited(self, q: np.ndarray, limits: np.ndarray) -> np.ndarray:
+        """Which vectors lie in the cells that each query visits."""
+        unit, met = _unit(q), np.zeros((len(q), len(self.x)), bool)
+        for t, (cells, at) in enumerate(self.cells):
+            met |= (self.hashing.costs(unit, t, cells) <= limits[:, t : t + 1])[:, at.ravel()]
+        return met
+
+    def best(self, q: np.ndarray, limits: np.ndarray, k: int):
+        """Places of the nearest visited vectors, and their scores, for each query: exact
+        cosine, ties to smaller ids."""
+        q_norm = np.sqrt((q * q).sum(axis=1))
+        rough = np.where(self.visited(q, limits), (q @ self.x.T) / q_norm[:, None] / self.norm, -np.inf)
+        k = min(k, rough.shape[1])
+        edge = np.partition(rough, rough.shape[1] - k, axis=1)[:, rough.shape[1] - k] - 1e-9
+        for i in range(len(q)):
+            at = np.flatnonzero((rough[i] >= edge[i]) & (rough[i] > -np.inf))
+            score = (self.x[at] * q[i]).sum(axis=1) / (self.norm[at] * q_norm[i])
+            first = np.lexsort((self.ids[at], -score))[:k]
+            yield i, at[first], score[first]
 
 
 _FOUND = "query_id long, query_class long, id long, class long, score double"
@@ -157,49 +186,29 @@ def _rows(parts):
     return pa.RecordBatch.from_arrays([pa.array(q), pa.array(qc), pa.array(v), pa.array(vc), pa.array(s)], ["query_id", "query_class", "id", "class", "score"])
 
 
-def _search(batches, dims: int, k: int):
-    """Rows come sorted by cell and chunk, vectors before queries."""
+def _search(batches, hashing: Hashing, k: int):
+    """Rows come sorted by part, vectors before queries."""
     here, parts, ready = None, [], None
     for b in batches:
-        cell, chunk, query = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2))
-        ids, of, x = b.column(3).to_numpy(), b.column(4).to_numpy(), _matrix(b.column(5), dims)
-        cuts = np.flatnonzero((np.diff(cell) != 0) | (np.diff(chunk) != 0) | (np.diff(query) != 0)) + 1
-        out = []
-        for a, z in zip([0, *cuts], [*cuts, len(cell)]):
-            if here != (cell[a], chunk[a]):
-                here, parts, ready = (cell[a], chunk[a]), [], None
+        part, query = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        ids, of, x = b.column(2).to_numpy(), b.column(3).to_numpy(), _matrix(b.column(4), hashing.dims)
+        cuts = np.flatnonzero((np.diff(part) != 0) | (np.diff(query) != 0)) + 1
+        for a, z in zip([0, *cuts], [*cuts, len(part)]):
+            if here != part[a]:
+                here, parts, ready = part[a], [], None
             if not query[a]:
                 parts.append((ids[a:z], of[a:z], x[a:z]))
                 continue
             if not parts:
                 continue
-            if ready is None:
-                i, c, v = (np.concatenate(y) for y in zip(*parts))
-                ready = i, c, v, np.sqrt((v * v).sum(axis=1))
+            ready = ready or _Part(parts, hashing)
+            limits = _matrix(b.column(5).slice(a, z - a), hashing.tables)
             for at in range(a, z, AT_ONCE):
-                to = min(z, at + AT_ONCE)
-                for r, place, score in _best(ready[0], ready[2], ready[3], x[at:to], k):
+                to, out = min(z, at + AT_ONCE), []
+                for r, place, score in ready.best(x[at:to], limits[at - a : to - a], k):
                     n = len(place)
-                    out.append((np.full(n, ids[at + r]), np.full(n, of[at + r]), ready[0][place], ready[1][place], score))
-        if out:
-            yield _rows(out)
-
-
-def _all_of(batches, asked: tuple, dims: int, k: int):
-    """The nearest of a task's vectors for each of a block of queries."""
-    q_ids, q_of, q = asked
-    best: list[tuple] = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))] * len(q)
-    for b in batches:
-        ids, of, v = b.column(0).to_numpy(), b.column(1).to_numpy(), _matrix(b.column(2), dims)
-        norm = np.sqrt((v * v).sum(axis=1))
-        for at in range(0, len(q), AT_ONCE):
-            for r, place, score in _best(ids, v, norm, q[at : at + AT_ONCE], k):
-                i, c, s = (np.concatenate(x) for x in zip(best[at + r], (ids[place], of[place], score)))
-                first = np.lexsort((i, -s))[:k]
-                best[at + r] = i[first], c[first], s[first]
-    out = [(np.full(len(i), q_ids[r]), np.full(len(i), q_of[r]), i, c, s) for r, (i, c, s) in enumerate(best) if len(i)]
-    if out:
-        yield _rows(out)
+                    out.append((np.full(n, ids[at + r]), np.full(n, of[at + r]), ready.ids[place], ready.of[place], score))
+                yield _rows(out)
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -247,18 +256,19 @@ def nearest(
     drawn = classes.where(spread < math.ceil((1 << 20) * min(1.0, sample / n))).orderBy(F.xxhash64("id", F.lit(3))).limit(sample).select("vec")
     hashing, most = fit(_matrix(drawn.toArrow().column(0), dims), n, neighbours, recall)
 
-    index = classes.select("id", "class", "vec").mapInArrow(lambda it: _cells(it, hashing), "cell long, id long, class long, vec array<double>")
-    count = index.groupBy("cell").count().select("cell", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks"))
-    large = count.where("chunks > 1")
-    dealt = index.join(large, "cell", "left").select(
-        "cell", F.pmod(F.xxhash64("class", F.lit(1)), F.coalesce("chunks", F.lit(1))).cast("int").alias("chunk"), F.lit(0).alias("query"), "id", "class", "vec"
-    )
-    probes = wanted.select("id", "class", "vec").mapInArrow(lambda it: _probes(it, hashing, most), "cell long, id long, class long")
-    visits = probes.join(count, "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "id", "class")
-    visits = visits.join(wanted, ["id", "class"]).select("cell", "chunk", F.lit(1).alias("query"), "id", "class", "vec")
-    together = dealt.union(visits).repartition("cell", "chunk").sortWithinPartitions("cell", "chunk", "query")
+    parts = max(math.ceil(n / CHUNK), min(PARTS, math.ceil(n / FEWEST)))
     k = neighbours + 1  # the query's own row may be among them
-    found = work.keep(together.mapInArrow(lambda it: _search(it, dims, k), _FOUND), "found")
+    none = F.array().cast("array<double>")
+    index = classes.select(F.pmod(F.xxhash64("class", F.lit(1)), F.lit(parts)).cast("int").alias("part"), F.lit(0).alias("query"), "id", "class", "vec", none.alias("limits"))
+
+    def searched(queries: DataFrame, name: str) -> DataFrame:
+        """The nearest of each part for ``queries`` of ``id, class, vec, limits``."""
+        each = queries.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(1).alias("query"), "id", "class", "vec", "limits")
+        together = index.union(each).repartition("part").sortWithinPartitions("part", "query")
+        return work.keep(together.mapInArrow(lambda it: _search(it, hashing, k), _FOUND), name)
+
+    limited = wanted.select("id", "class", "vec").mapInArrow(lambda it: _limits(it, hashing, most), "id long, class long, vec array<double>, limits array<double>")
+    found = searched(work.keep(limited, "limits"), "found")
 
     # the rows of a class, as far as they can be among the nearest
     members = _first(rows.select("id", "class", "g").distinct(), ["class", "g"], k, "id", rank="place")
@@ -280,15 +290,10 @@ def nearest(
     rest = rows.select("id").distinct().count() - 1
     few = result.groupBy("query_id").count().where(F.col("count") >= min(neighbours, rest))
     short = work.keep(askers.join(few, "query_id", "left_anti").select(F.col("least").alias("id"), F.col("query_class").alias("class")).distinct().join(wanted, ["id", "class"]), "short")
-    more = None
-    block: list = []
-    for last, r in [*((False, r) for r in short.select("id", "class", "vec").toLocalIterator()), (True, None)]:
-        block += [] if last else [r]
-        if block and (last or len(block) == CHUNK):
-            shared = spark.sparkContext.broadcast((np.array([r[0] for r in block]), np.array([r[1] for r in block]), np.array([r[2] for r in block])))
-            part = classes.select("id", "class", "vec").mapInArrow(lambda it, shared=shared: _all_of(it, shared.value, dims, k), _FOUND)
-            more, block = part if more is None else more.union(part), []
-    if more is None:
+    if short.isEmpty():
         return result
+    # above every cost, those of cells out of reach too
+    every = F.array_repeat(F.lit(float("inf")), F.lit(hashing.tables))
+    more = searched(short.select("id", "class", "vec", every.alias("limits")), "more")
     exact = work.keep(ranked(more), "exact")
     return result.join(exact.select("query_id").distinct(), "query_id", "left_anti").union(exact)

@@ -101,3 +101,39 @@ def test_queries_with_too_few_rows_are_compared_with_all(spark, monkeypatch):
     t = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = ann.nearest(t, t.where("vec_id % 10 = 0"), 5).collect()
     assert sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in got) == sorted(brute(rows, rows[::10], 5))
+
+
+@pytest.mark.parametrize("k, most", [(3, 40), (5, 300), (0, 1)])
+def test_a_part_is_visited_where_the_probes_lead(k, most):
+    """The cost of the last probe tells the same cells as the probes' keys do."""
+    rng = np.random.default_rng(4)
+    hashing = ann.Hashing(16, k, 2 if k else 1)
+    x, q = rng.normal(size=(900, 16)), rng.normal(size=(30, 16))
+    x[:50] = q[0] + rng.normal(size=(50, 16)) * 0.01
+    part = ann._Part([(np.arange(500), np.arange(500), x[:500]), (np.arange(500, 900), np.arange(400), x[500:])], hashing)
+    unit, want = ann._unit(x), np.zeros((30, 900), bool)
+    limits = np.zeros((30, hashing.tables))
+    for t in range(hashing.tables):
+        there = hashing.key(np.floor(hashing.place(unit, t)), t)
+        limits[:, t] = hashing.visits(ann._unit(q), t, most)[0][:, -1]
+        for i, keys in enumerate(hashing.probes(ann._unit(q), t, most)):
+            want[i] |= np.isin(there, keys)
+    assert (part.visited(q, limits) == want).all() and want.any() and (k == 0 or not want.all())
+    assert part.visited(q, np.full(limits.shape, np.inf)).all()
+
+
+def test_a_query_goes_to_each_part_once(spark, monkeypatch):
+    """However many cells a query visits, its rows grow with the parts; nothing is broadcast by its probes."""
+    import glob
+
+    from quarryline.workspace import shared_root
+
+    monkeypatch.setattr(ann, "CHUNK", 700)
+    monkeypatch.setattr(ann, "PARTS", 2)
+    x = np.random.default_rng(6).normal(size=(3000, 24))
+    t = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    before = set(glob.glob(f"{shared_root(spark)}/quarryline/nearest-*"))
+    assert ann.nearest(t, t.where("vec_id % 50 = 0"), 5).count() == 300
+    (folder,) = set(glob.glob(f"{shared_root(spark)}/quarryline/nearest-*")) - before
+    (found,) = glob.glob(f"{folder}/found-*")
+    assert spark.read.parquet(found).count() <= 60 * 5 * 6
