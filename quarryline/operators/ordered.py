@@ -6,11 +6,18 @@ settles every row that no open row can change any more.
 
 from __future__ import annotations
 
+import math
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from quarryline.workspace import Workspace
 
+#: Edges of a stretch of an order that a task passes over.
+STRETCH = 1 << 17
+
 
 def repeats_of_taken(edges: DataFrame, work: Workspace) -> DataFrame:
     """Rows that a greedy pass drops: ``node, by`` with the first taken row like it.
@@ -18,25 +25,58 @@ def repeats_of_taken(edges: DataFrame, work: Workspace) -> DataFrame:
     ``edges`` has ``first, later, at``: ``later`` comes after ``first`` in the order
     and is too like it; ``at`` sorts the rows ``first``.  The pass takes a row
     unless one that it took before is like it, so what it takes is the
-    lexicographically first maximal independent set.  A round takes the rows
-    before which no open row stands and drops what is like them.  Rounds grow with
-    the longest chain of rows that wait for each other; rows on no edge are taken
-    and never looked at.
+    lexicographically first maximal independent set.  Only rows that come first on
+    some edge matter for others.  A round cuts their edges into stretches of the
+    order of about ``STRETCH`` edges, and a task passes over each in order and
+    settles what doesn't wait for a row before its stretch.  So rounds grow with the
+    stretches that a chain of waiting rows crosses, not with its rows.
     """
     edges = work.keep(edges.select("first", "later", "at").distinct(), "edges")
-    live, dropped = edges.select("first", "later"), None
-    while not live.isEmpty():
-        ready = live.select("first").distinct().join(live.select(F.col("later").alias("first")).distinct(), "first", "left_anti")
-        new = work.keep(live.join(ready, "first").select(F.col("later").alias("node")).distinct(), "dropped")
-        dropped = new if dropped is None else dropped.union(new)
-        gone = new.select(F.col("node").alias("first")).union(ready)
-        live = work.keep(live.join(gone, "first", "left_anti").join(new.select(F.col("node").alias("later")), "later", "left_anti").select("first", "later"), "live")
+    place = edges.select(F.col("first").alias("later"), F.col("at").alias("place")).dropDuplicates(["later"])
+    live, dropped = work.keep(edges.select("first", "later").join(place, "later"), "live"), None
+    kind = StructType([StructField("node", edges.schema["first"].dataType), StructField("taken", BooleanType())])
+    while (left := live.count()) > 0:
+        waits = live.select(F.col("later").alias("first")).distinct().withColumn("waits", F.lit(True))
+        told = live.join(waits, "first", "left").select("first", "later", "place", F.coalesce("waits", F.lit(False)).alias("waits"))
+        dealt = told.repartitionByRange(math.ceil(left / STRETCH), "place", "later").sortWithinPartitions("place", "later")
+        new = work.keep(dealt.select("first", "later", "waits").mapInArrow(_settled, kind), "settled")
+        gone = new.where("not taken").select("node")
+        dropped = gone if dropped is None else dropped.union(gone)
+        live = live.join(new.select(F.col("node").alias("later")), "later", "left_anti").join(gone.withColumnRenamed("node", "first"), "first", "left_anti")
+        live = work.keep(live.select("first", "later", "place"), "live")
     if dropped is None:
-        return edges.select(F.col("later").alias("node"), F.col("first").alias("by"))
+        return edges.groupBy(F.col("later").alias("node")).agg(F.min_by("first", "at").alias("by"))
     taken = edges.join(dropped.select(F.col("node").alias("first")), "first", "left_anti")
     return taken.groupBy(F.col("later").alias("node")).agg(F.min_by("first", "at").alias("by"))
 
 
+def _settled(batches):
+    """``node, taken`` of the rows ``later`` of a stretch, sorted by the order, that are
+    decided: dropped after a taken row, taken if every row before them is dropped."""
+    known: dict = {}  # what became of the stretch's rows
+    row, key, state = None, None, True  # the last row: dropped (False), taken (True) or open (None)
+    for b in batches:
+        told = [b.column(i).to_pylist() for i in range(3)]
+        keys = [list(map(repr, c)) for c in told[:2]] if pa.types.is_struct(b.schema.field(0).type) else told[:2]
+        out: list = []
+        for at, (first, later, waits) in enumerate(zip(*keys, told[2])):
+            if later != key:
+                if key is not None:
+                    known[key] = state
+                    out.append((row, state))
+                row, key, state = told[1][at], later, True
+            before = known.get(first) if waits else True
+            state = False if before or state is False else None if before is None else state
+        yield _states(out, b.schema)
+    if key is not None:
+        yield _states([(row, state)], b.schema)
+
+
+def _states(found: list, schema: pa.Schema) -> pa.RecordBatch:
+    found = [x for x in found if x[1] is not None]
+    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], schema.field(1).type), pa.array([x[1] for x in found], pa.bool_())], ["node", "taken"])
+
+
 def first_groups(edges: DataFrame, work: Workspace) -> DataFrame:
     """Greedy grouping: ``node, root`` of the nodes that join a group of another one.
 

@@ -1,5 +1,6 @@
 """Order-dependent passes against the loops that they stand for."""
 
+import math
 import random
 
 import pytest
@@ -33,6 +34,29 @@ def test_greedy_removal_of_a_chain_and_of_nothing(spark):
     assert ordered.repeats_of_taken(edges.limit(0), Workspace(spark, "t")).count() == 0
 
 
+@pytest.mark.parametrize("stretch", [1 << 17, 40])
+def test_greedy_removal_of_a_long_chain_takes_few_rounds(spark, monkeypatch, stretch):
+    """A chain of 300 rows that wait for each other, and bands beside it, settle by stretches; nodes may be structs."""
+    import glob
+
+    from quarryline.workspace import shared_root
+
+    monkeypatch.setattr(ordered, "STRETCH", stretch)
+    rng = random.Random(7)
+    pairs = {(i, i + 1) for i in range(300)} | {(1000 + i, 1000 + i + rng.randint(1, 6)) for i in range(200)}
+    taken, want = set(), {}
+    for i in sorted({x for p in pairs for x in p}):
+        before = [j for j in taken if (j, i) in pairs]
+        taken |= set() if before else {i}
+        want |= {i: min(before)} if before else {}
+    edges = spark.createDataFrame(list(pairs), "f long, l long").select(F.struct("f").alias("first"), F.struct(F.col("l").alias("f")).alias("later"), F.struct("f").alias("at"))
+    before = set(glob.glob(f"{shared_root(spark)}/quarryline/chain-*"))
+    found = ordered.repeats_of_taken(edges.repartition(3), Workspace(spark, "chain"))
+    assert {r.node.f: r.by.f for r in found.collect()} == want and len(want) > 200
+    (folder,) = set(glob.glob(f"{shared_root(spark)}/quarryline/chain-*")) - before
+    assert len(glob.glob(f"{folder}/settled-*")) <= math.ceil(len(pairs) / stretch) + 1
+
+
 @pytest.mark.parametrize("n, k", [(50, 40), (50, 120)])
 def test_first_groups(spark, n, k):
     pairs = graph(n + k, n, k)
