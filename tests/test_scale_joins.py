@@ -91,6 +91,32 @@ def test_every_pair_of_copies(spark, monkeypatch):
     assert sorted(got) == sorted((a, b, k) for a, b, k, n in both if k >= 2 and k >= 0.6 * n) and len(got) > 300
 
 
+def test_similar_pairs_travel_without_their_sets(spark):
+    """Pairs of near copies, of chains of them and of sets that only meet are those of all
+    pairs; what is kept for comparing them is far smaller than the sets of the pairs."""
+    import glob
+
+    from quarryline.workspace import shared_root
+
+    rng = random.Random(21)
+    made = []
+    for g in range(6):
+        last = rng.sample(range(g * 150, g * 150 + 400), 120)
+        for _ in range(25):  # each from the first one or the one before, so some are two steps apart
+            source = set(last if rng.random() < 0.5 else made[-1] if made and rng.random() < 0.7 else last)
+            made.append(sorted(source - set(rng.sample(sorted(source), 4)) | set(rng.sample(range(2000, 9000), rng.randint(0, 6)))))
+    made += [sorted(rng.sample(range(300), 90)) for _ in range(60)]  # sets that meet and aren't alike
+    frame = spark.createDataFrame(list(enumerate(made)), "id long, l array<int>").repartition(3)
+    before = set(glob.glob(f"{shared_root(spark)}/quarryline/pairs-*"))
+    got = {(r.a, r.b, round(r.similarity, 9)) for r in joins.similar_pairs(frame, "id", F.col("l"), 0.84).collect()}
+    both = [(a, b, len({*x} & {*y}), len(x) + len(y)) for a, x in enumerate(made) for b, y in enumerate(made) if a < b]
+    assert got == {(a, b, round(k / (n - k), 9)) for a, b, k, n in both if k >= 0.84 * (n - k)} and len(got) > 300
+    (folder,) = set(glob.glob(f"{shared_root(spark)}/quarryline/pairs-*")) - before
+    kept = {p.split("/")[-1].rsplit("-", 1)[0]: spark.read.parquet(p) for p in glob.glob(f"{folder}/*")}
+    assert kept["near"].count() < 2 * len(got) and kept["told"].where("same").count() > 0 and kept["told"].where("not same").count() > 0
+    assert kept["differences"].agg(F.sum(F.size("differ"))).first()[0] < kept["held"].agg(F.sum(F.size("tokens"))).first()[0] / 2
+
+
 def test_overlapping_pairs_nearby(spark):
     """Pairs of one group within a reach of time, as comparing all pairs gives; rows far
     apart never meet."""
